@@ -76,12 +76,12 @@ def ingest_summary(documents: DataFrame) -> DataFrame:
 
 def bibliography_gaps(documents: DataFrame, bibliography: DataFrame) -> DataFrame:
     """Files without a bibliography entry, and entries without a file."""
-    files = documents.select(tx.basename(F.col("source_path")).alias("filename"))
+    files = documents.select(tx.basename(F.col("source_path")).alias("filename")).distinct()
     entries = (
         bibliography.where(F.col("attachment").isNotNull())
         .select(tx.basename(F.col("attachment")).alias("filename")).distinct()
     )
-    unlisted = files.join(entries, "filename", "left_anti").distinct()
+    unlisted = files.join(entries, "filename", "left_anti")
     absent = entries.join(files, "filename", "left_anti")
     return unlisted.select("filename", F.lit("not_in_bibliography").alias("gap")).unionByName(
         absent.select("filename", F.lit("file_absent").alias("gap"))

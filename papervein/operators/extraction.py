@@ -200,7 +200,7 @@ def resolved_sentences(spans: DataFrame) -> DataFrame:
     )
     ranked = spans.groupBy("doc_id", "sent_id").agg(
         F.first("sentence").alias("sentence"),
-        F.array_sort(F.collect_set(span)).alias("ranked"),
+        F.sort_array(F.collect_set(span)).alias("ranked"),
     )
     kept = F.aggregate(
         "ranked",

@@ -81,15 +81,17 @@ def density_topics(points: DataFrame, cfg: Config, min_share: float) -> DataFram
     """Add ``topic`` to points that carry a ``cell``.
 
     A cell is dense with at least ``min_share`` of all points and no fewer than the
-    smallest topic.  Topics are numbered by size, then by their smallest cell.
+    smallest topic, so there are at most 1 / min_share dense cells, whatever the data.
+    Topics are numbered by size, then by their smallest cell.
     """
+    if min_share <= 0:
+        raise ValueError("min_share must be positive: it bounds the number of dense cells")
     cells = cut_lineage(points.groupBy("cell").agg(F.count(F.lit(1)).alias("n")))
     total = cells.agg(F.sum("n").alias("n")).first()["n"] or 0
     dense = cells.where(F.col("n") >= max(cfg.min_topic_size, min_share * total))
     component = connected_cells(dense, cfg.reduced_dims)
     sizes = component.groupBy("component").agg(F.sum("n").alias("size"))
     topics = sizes.where(F.col("size") >= cfg.min_topic_size)
-    # At most 1 / min_share topics exist, since each holds a dense cell.
     number = F.row_number().over(Window.orderBy(F.desc("size"), F.asc("component"))) - 1
     numbered = topics.withColumn("topic", number.cast("int"))
     lookup = component.join(numbered, "component").select("cell", "topic")
@@ -157,7 +159,7 @@ def topic_names(units: DataFrame, n_terms: int = 4) -> DataFrame:
     heaviest = first_rows(
         keyword_weights(units), "topic", n_terms, F.desc("weight"), F.asc("term")
     )
-    ordered = F.array_sort(F.collect_list(F.struct(F.negative("weight").alias("w"), "term")))
+    ordered = F.sort_array(F.collect_list(F.struct(F.negative("weight").alias("w"), "term")))
     labels = heaviest.groupBy("topic").agg(ordered.alias("_terms"))
     name = F.concat_ws("_", F.col("topic").cast("string"), F.array_join("_terms.term", "_"))
     return sizes(units).join(labels, "topic", "left").select(
@@ -165,12 +167,21 @@ def topic_names(units: DataFrame, n_terms: int = 4) -> DataFrame:
     )
 
 
-def clustered_units(documents: DataFrame, cfg: Config, cell_width: float = 0.05, min_share: float = 0.01) -> DataFrame:
+def with_cells(reduced: DataFrame, dims: int, cell_width: float) -> DataFrame:
+    """Add ``cell``, its width measured in standard deviations of each dimension."""
+    axes = [F.element_at("reduced", d + 1) for d in range(dims)]
+    spreads = reduced.agg(*[F.stddev(axis).alias(f"s{d}") for d, axis in enumerate(axes)]).first()
+    scaled = [axis / F.lit(spreads[d] or 1.0) for d, axis in enumerate(axes)]
+    return reduced.withColumn("cell", grid_cell(scaled, cell_width))
+
+
+def clustered_units(
+    documents: DataFrame, cfg: Config, cell_width: float = 1.0, min_share: float = 0.01
+) -> DataFrame:
     """The whole path: units, vectors, reduction, density topics, names."""
     vectors = unit_vectors(cut_units(documents, cfg))
-    reduced = reduce_by_pca(vectors, cfg.reduced_dims)
-    axes = [F.element_at("reduced", d + 1) for d in range(cfg.reduced_dims)]
-    celled = reduced.select("doc_id", "unit_id", "text", grid_cell(axes, cell_width).alias("cell"))
+    reduced = reduce_by_pca(vectors, cfg.reduced_dims).select("doc_id", "unit_id", "text", "reduced")
+    celled = with_cells(cut_lineage(reduced), cfg.reduced_dims, cell_width).drop("reduced")
     clustered = cut_lineage(density_topics(celled, cfg, min_share).drop("cell"))
     named = attach_names(clustered, topic_names(clustered))
     return named.select("doc_id", "unit_id", "text", "topic", "topic_name")

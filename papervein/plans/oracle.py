@@ -367,8 +367,8 @@ _PATH = "'/corpus/' || source || '/' || documents.doc_id || '.txt'"
 INGEST = [
     f"""raw_pages AS (
   SELECT {_PATH} AS source_path,
-         CASE WHEN coalesce(toxic, 0) = 0 THEN text END AS page_text
-  FROM documents LEFT JOIN labels ON labels.doc_id = documents.doc_id)""",
+         CASE WHEN lang <> 'de' THEN text END AS page_text
+  FROM documents)""",
     f"""ingested AS (
   SELECT md5(source_path) AS doc_id, source_path,
          {clean("array_to_string(string_split(page_text, chr(10)), ' ')")} AS text
@@ -470,7 +470,7 @@ ORACLE: dict[str, str] = {
     "entities_per_document": with_(ENTITIES, """SELECT doc_id, count(*) AS entity_count FROM entities
       GROUP BY doc_id ORDER BY entity_count DESC, doc_id"""),
     "zero_mention_documents": with_([LITERATURE, *entity_ctes("literature")], """SELECT doc_id FROM literature
-      WHERE doc_id NOT IN (SELECT doc_id FROM entities WHERE label = 'GRADE')"""),
+      WHERE doc_id NOT IN (SELECT doc_id FROM entities WHERE label = 'MPA_VALUE')"""),
     "distinct_measures": with_(ENTITIES, f"""SELECT DISTINCT label, entity_text FROM entities
       WHERE label IN ({_UNITS}) ORDER BY label, entity_text"""),
     "domain_mentions": with_(ENTITIES, f"""SELECT doc_id, start_char, label, entity_text FROM entities

@@ -229,8 +229,8 @@ def entities_per_document(spark, folder):
 def zero_mention_documents(spark, folder):
     literature = views.literature(spark, folder)
     entities = extraction.entity_table(literature, CFG, views.lexicon(spark))
-    grades = entities.where(F.col("label") == "GRADE")
-    return extraction.without_mentions(literature, grades)
+    strengths = entities.where(F.col("label") == "MPA_VALUE")
+    return extraction.without_mentions(literature, strengths)
 
 
 @query

@@ -52,13 +52,9 @@ def _path() -> F.Column:
 
 
 def raw_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as page lists, one page per line; toxic ones count as unreadable."""
-    labels = table(spark, folder, "labels").select("doc_id", "toxic")
-    joined = documents(spark, folder).join(labels, "doc_id", "left")
-    readable = F.coalesce(F.col("toxic"), F.lit(0)) == 0
-    return joined.select(
-        _path().alias("source_path"), F.when(readable, F.split("text", "\n", -1)).alias("pages")
-    )
+    """Documents as page lists, one page per line; German ones count as unreadable."""
+    pages = F.when(F.col("lang") != "de", F.split("text", "\n", -1))
+    return documents(spark, folder).select(_path().alias("source_path"), pages.alias("pages"))
 
 
 def bibliography(spark: SparkSession, folder: str) -> DataFrame:

@@ -27,7 +27,7 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     A document whose every page text is NULL could not be read and gets NULL pages.
     """
     rows = spark.read.parquet(path)
-    ordered = F.array_sort(F.collect_list(F.struct("page", "text")))
+    ordered = F.sort_array(F.collect_list(F.struct("page", "text")))
     found = rows.groupBy("source_path").agg(ordered.alias("_p"), F.count("text").alias("_n"))
     return found.select(
         "source_path", F.when(F.col("_n") > 0, F.col("_p.text")).alias("pages")
