@@ -120,11 +120,14 @@ def candidates(
     """
     split = with_tokens(sentences(documents))
     if lexicon is None:
+        if not cfg.patterns:
+            raise ValueError("neither patterns nor a lexicon to match")
         return _scan(split, cfg, None)
     phrases = lexicon_phrases(lexicon)
     if fits_broadcast(phrases, max_broadcast_bytes):
         return _scan(split, cfg, F.broadcast(phrases))
-    return _scan(split, cfg, None).unionByName(_phrases_by_shuffle(split, phrases))
+    from_lexicon = _phrases_by_shuffle(split, phrases)
+    return _scan(split, cfg, None).unionByName(from_lexicon) if cfg.patterns else from_lexicon
 
 
 def _scan(split: DataFrame, cfg: Config, phrases: DataFrame | None) -> DataFrame:
@@ -152,8 +155,6 @@ def _scan(split: DataFrame, cfg: Config, phrases: DataFrame | None) -> DataFrame
         starts = starts | phrase_found
         found.append(F.when(phrase_found, F.struct(F.col("phrase_label").alias("label"),
                                                    F.col("phrase_tokens").alias("n_tokens"))))
-    if not found:
-        raise ValueError("neither patterns nor a lexicon to match")
     hits = rows.where(starts).withColumn("_hit", F.explode_outer(F.array(*found)))
     named = hits.withColumns({"label": F.col("_hit.label"), "n_tokens": F.col("_hit.n_tokens")})
     return _spans(named.where(F.col("label").isNotNull()))

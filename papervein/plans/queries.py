@@ -44,7 +44,9 @@ def _normalised(spark, folder):
 
 
 def _years(spark, folder):
-    return _relevant(spark, folder).select("doc_id", "year")
+    """Years of all documents: mentions come from relevant ones only, so joining them
+    with these gives the same rows, and the text is not read a second time."""
+    return views.literature(spark, folder).select("doc_id", "year")
 
 
 def _bridge(spark, folder):
@@ -378,13 +380,13 @@ def units_clustered(spark, folder):
 # ---- trends ------------------------------------------------------------------
 
 
-def _literature_years(spark, folder):
-    return views.literature(spark, folder).select("doc_id", "year")
+def _relevant_years(spark, folder):
+    return _relevant(spark, folder).select("doc_id", "year")
 
 
 @query
 def period_spine(spark, folder):
-    counts = trends.documents_per_period(_literature_years(spark, folder), CFG)
+    counts = trends.documents_per_period(_years(spark, folder), CFG)
     spine = trends.period_spine(spark, CFG)
     joined = spine.join(counts.select("bucket", "n_docs"), "bucket", "left")
     return joined.na.fill(0, ["n_docs"]).orderBy("bucket")
@@ -392,7 +394,7 @@ def period_spine(spark, folder):
 
 @query
 def docs_per_bucket(spark, folder):
-    return trends.documents_per_period(_years(spark, folder), CFG).orderBy("bucket")
+    return trends.documents_per_period(_relevant_years(spark, folder), CFG).orderBy("bucket")
 
 
 @query
@@ -466,7 +468,7 @@ def entity_trends(spark, folder):
 @query
 def period_shares(spark, folder):
     counts = _counts(spark, folder, _competitors(spark, folder))
-    per_period = trends.documents_per_period(_years(spark, folder), CFG)
+    per_period = trends.documents_per_period(_relevant_years(spark, folder), CFG)
     return trends.period_shares(counts, per_period, "canonical_entity", CFG)
 
 
@@ -479,7 +481,7 @@ def unitisation_comparison(spark, folder):
 
 def _topic_counts(spark, folder):
     unit_table = views.assigned_topics(spark, folder, CFG)
-    return trends.prevalence(unit_table, _literature_years(spark, folder), "topic", CFG)
+    return trends.prevalence(unit_table, _years(spark, folder), "topic", CFG)
 
 
 @query

@@ -17,8 +17,16 @@ CELL_WIDTH = 0.8
 MIN_SHARE = 0.04
 
 
+SCHEMAS = {
+    "documents": "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG",
+    "embeddings": "vec_id LONG, embedding ARRAY<FLOAT>, label INT",
+    "labels": "doc_id LONG, quality INT, toxic INT",
+    "benchmark": "item_id LONG, text STRING",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
