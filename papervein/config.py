@@ -38,6 +38,8 @@ def _regex(value: str) -> TokenTest:
 # ---- fixed values -----------------------------------------------------------
 # Results are only right with exactly these words, patterns and numbers.
 
+SOURCE_TYPE, TEXT_SOURCE, ORIGIN = "paper", "fulltext", "local_pdf_zotero"
+
 DOMAIN_TERMS = (
     "non-oriented", "non-grain-oriented", "NGO", "NOES", "electrical steel",
     "silicon steel", "FeSi", "Fe-Si", "lamination steel", "soft magnetic",

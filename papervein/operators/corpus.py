@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from papervein import config
 from papervein.functions import text as tx
 from papervein.operators.joins import sized
 
@@ -19,9 +20,9 @@ def canonical_rows(pages: DataFrame, ingest_date: str) -> DataFrame:
         F.md5("source_path").alias("doc_id"),
         "source_path",
         tx.clean_whitespace(F.array_join("pages", " ")).alias("text"),
-        F.lit("paper").alias("source_type"),
-        F.lit("fulltext").alias("text_source"),
-        F.lit("local_pdf_zotero").alias("origin"),
+        F.lit(config.SOURCE_TYPE).alias("source_type"),
+        F.lit(config.TEXT_SOURCE).alias("text_source"),
+        F.lit(config.ORIGIN).alias("origin"),
         F.lit(None).cast("string").alias("title"),
         F.lit(None).cast("string").alias("doi"),
         F.to_date(F.lit(ingest_date)).alias("ingest_date"),

@@ -22,8 +22,13 @@ def default_roles(spark: SparkSession) -> DataFrame:
     return literal_table(spark, "label STRING,cost_role STRING", list(config.COST_ROLES.items()))
 
 
-def cost_bridge(mentions: DataFrame, roles: DataFrame, cfg: Config) -> DataFrame:
-    """Mentions with a role in a cost model; grades get a thickness and a price."""
+def cost_bridge(
+    mentions: DataFrame, roles: DataFrame, cfg: Config, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Mentions with a role in a cost model; grades get a thickness and a price.
+
+    The ten bridge columns as far as the mentions have them, and any others to ``keep``.
+    """
     with_role = mentions.join(roles, "label")
     priced = F.col("label").isin(*cfg.priced_labels)
     thick = with_role.withColumn(
@@ -32,10 +37,7 @@ def cost_bridge(mentions: DataFrame, roles: DataFrame, cfg: Config) -> DataFrame
     bridge = thick.withColumn(
         "relative_price_eur_kg", px.relative_price(F.col("thickness_mm"), cfg.price_constant)
     )
-    present = set(bridge.columns)
-    kept = [F.col(name) for name in BRIDGE_COLUMNS if name in present]
-    position = [F.col(name) for name in ("start_char",) if name in present]
-    return bridge.select(*kept, *position)
+    return bridge.select(*[c for c in (*BRIDGE_COLUMNS, *keep) if c in bridge.columns])
 
 
 def parsed(bridge: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,12 +30,12 @@ def words(text: Column) -> Column:
 
 
 def unit_vectors(units: DataFrame, dims: int = 512) -> DataFrame:
-    """Hashed TF-IDF vectors of unit length, as ``vector ARRAY<DOUBLE>``."""
+    """Add ``vector``: hashed TF-IDF of unit length, a sparse ML vector."""
     worded = units.withColumn("_words", words(F.col("text")))
     counted = HashingTF(numFeatures=dims, inputCol="_words", outputCol="_tf").transform(worded)
     weighted = IDF(inputCol="_tf", outputCol="_idf").fit(counted).transform(counted)
-    scaled = Normalizer(inputCol="_idf", outputCol="_unit").transform(weighted)
-    return scaled.withColumn("vector", vector_to_array("_unit")).drop("_words", "_tf", "_idf", "_unit")
+    scaled = Normalizer(inputCol="_idf", outputCol="vector").transform(weighted)
+    return scaled.drop("_words", "_tf", "_idf")
 
 
 def normalise_vector(vector: Column) -> Column:
@@ -45,13 +45,12 @@ def normalise_vector(vector: Column) -> Column:
 
 
 def reduce_by_pca(vectors: DataFrame, dims: int) -> DataFrame:
-    """``reduced ARRAY<DOUBLE>``: the first principal components.
+    """``reduced ARRAY<DOUBLE>``: the first principal components of the ML ``vector``.
 
     The driver holds one matrix of columns by columns, whatever the number of rows.
     """
-    packed = vectors.withColumn("_v", array_to_vector("vector"))
-    model = PCA(k=dims, inputCol="_v", outputCol="_pca").fit(packed)
-    return model.transform(packed).withColumn("reduced", vector_to_array("_pca")).drop("_v", "_pca")
+    model = PCA(k=dims, inputCol="vector", outputCol="_pca").fit(vectors)
+    return model.transform(vectors).withColumn("reduced", vector_to_array("_pca")).drop("_pca")
 
 
 def signed_sums(vector: Column, width: int, dims: int) -> list[Column]:
@@ -77,8 +76,8 @@ def grid_cell(coordinates: Sequence[Column], cell_width: float) -> Column:
     return F.array(*[F.floor((c + half) / F.lit(cell_width)).cast("int") for c in coordinates])
 
 
-def density_topics(points: DataFrame, cfg: Config, min_share: float) -> DataFrame:
-    """Add ``topic`` to points that carry a ``cell``.
+def dense_cells(points: DataFrame, cfg: Config, min_share: float) -> DataFrame:
+    """``(cell, topic)`` of every cell that belongs to a topic, from points with a ``cell``.
 
     A cell is dense with at least ``min_share`` of all points and no fewer than the
     smallest topic, so there are at most 1 / min_share dense cells, whatever the data.
@@ -94,11 +93,19 @@ def density_topics(points: DataFrame, cfg: Config, min_share: float) -> DataFram
     topics = sizes.where(F.col("size") >= cfg.min_topic_size)
     number = F.row_number().over(Window.orderBy(F.desc("size"), F.asc("component"))) - 1
     numbered = topics.withColumn("topic", number.cast("int"))
-    lookup = component.join(numbered, "component").select("cell", "topic")
-    tagged = points.join(sized(lookup), "cell", "left")
+    return component.join(numbered, "component").select("cell", "topic")
+
+
+def attach_topic(points: DataFrame, cell_topics: DataFrame) -> DataFrame:
+    """Add ``topic`` by cell; other cells are noise."""
+    tagged = points.join(sized(cell_topics), "cell", "left")
     return tagged.withColumn("topic", F.coalesce("topic", F.lit(NOISE)))
 
 
+def density_topics(points: DataFrame, cfg: Config, min_share: float) -> DataFrame:
+    return attach_topic(points, dense_cells(points, cfg, min_share))
+
+
 def connected_cells(dense: DataFrame, dims: int) -> DataFrame:
     """``(cell, n, component)``: the smallest cell reachable through shared faces.
 
@@ -133,9 +140,9 @@ def connected_cells(dense: DataFrame, dims: int) -> DataFrame:
 
 
 def kmeans_topics(vectors: DataFrame, k: int, cfg: Config) -> DataFrame:
-    packed = vectors.withColumn("_v", array_to_vector("vector"))
-    model = KMeans(k=k, seed=cfg.seed, featuresCol="_v", predictionCol="topic").fit(packed)
-    return model.transform(packed).drop("_v")
+    """Add ``topic`` by k-means on the ML ``vector``."""
+    model = KMeans(k=k, seed=cfg.seed, featuresCol="vector", predictionCol="topic").fit(vectors)
+    return model.transform(vectors)
 
 
 def keyword_weights(units: DataFrame) -> DataFrame:
@@ -167,22 +174,29 @@ def topic_names(units: DataFrame, n_terms: int = 4) -> DataFrame:
     )
 
 
-def with_cells(reduced: DataFrame, dims: int, cell_width: float) -> DataFrame:
-    """Add ``cell``, its width measured in standard deviations of each dimension."""
-    axes = [F.element_at("reduced", d + 1) for d in range(dims)]
-    spreads = reduced.agg(*[F.stddev(axis).alias(f"s{d}") for d, axis in enumerate(axes)]).first()
-    scaled = [axis / F.lit(spreads[d] or 1.0) for d, axis in enumerate(axes)]
-    return reduced.withColumn("cell", grid_cell(scaled, cell_width))
+def with_cells(reduced: DataFrame, spreads: Sequence[float], cell_width: float) -> DataFrame:
+    """Add ``cell``, its width measured in the given spread of each dimension."""
+    axes = [F.element_at("reduced", d + 1) / F.lit(s) for d, s in enumerate(spreads)]
+    return reduced.withColumn("cell", grid_cell(axes, cell_width))
 
 
 def clustered_units(
     documents: DataFrame, cfg: Config, cell_width: float = 1.0, min_share: float = 0.01
 ) -> DataFrame:
-    """The whole path: units, vectors, reduction, density topics, names."""
+    """The whole path: units, vectors, reduction, density topics, names.
+
+    Only the few reduced numbers of a unit are written to find the dense cells; the texts
+    are then labelled in one narrow pass, neither copied nor shuffled.
+    """
     vectors = unit_vectors(cut_units(documents, cfg))
-    reduced = reduce_by_pca(vectors, cfg.reduced_dims).select("doc_id", "unit_id", "text", "reduced")
-    celled = with_cells(cut_lineage(reduced), cfg.reduced_dims, cell_width).drop("reduced")
-    clustered = cut_lineage(density_topics(celled, cfg, min_share).drop("cell"))
+    units = reduce_by_pca(vectors, cfg.reduced_dims).select("doc_id", "unit_id", "text", "reduced")
+    points = cut_lineage(units.select("reduced"))
+    deviations = [
+        F.stddev(F.element_at("reduced", d + 1)).alias(f"s{d}") for d in range(cfg.reduced_dims)
+    ]
+    spreads = [s or 1.0 for s in points.agg(*deviations).first()]
+    cell_topics = cut_lineage(dense_cells(with_cells(points, spreads, cell_width), cfg, min_share))
+    clustered = attach_topic(with_cells(units, spreads, cell_width), cell_topics)
     named = attach_names(clustered, topic_names(clustered))
     return named.select("doc_id", "unit_id", "text", "topic", "topic_name")
 

@@ -541,7 +541,7 @@ ORACLE: dict[str, str] = {
       top("topic", 5)),
     "topic_selected_trends": with_([LITERATURE] + TOPICS
       + counts(f"SELECT * FROM units WHERE topic IN {SELECTED}", "topic", "literature"), matrix("topic")),
-    "cost_bridge": with_(BRIDGE, "SELECT * FROM bridge"),
+    "cost_bridge": with_(BRIDGE, "SELECT * EXCLUDE (start_char) FROM bridge"),
     "cost_role_counts": with_(BRIDGE, "SELECT cost_role, count(*) AS n FROM bridge GROUP BY cost_role"),
     "thickness_recall": with_(BRIDGE, f"""SELECT count(thickness_mm) AS parsed, count(*) AS total,
       round(count(thickness_mm) / count(*)::DOUBLE, 6) AS recall FROM bridge WHERE label IN ({texts(CFG.priced_labels)})"""),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,7 +51,9 @@ def _years(spark, folder):
 
 
 def _bridge(spark, folder):
-    return pricing.cost_bridge(_normalised(spark, folder), pricing.default_roles(spark), CFG)
+    return pricing.cost_bridge(
+        _normalised(spark, folder), pricing.default_roles(spark), CFG, keep=("start_char",)
+    )
 
 
 def _ingested(spark, folder):
@@ -355,19 +358,24 @@ def density_topics(spark, folder):
 
 @query
 def unit_vectors(spark, folder):
-    return topics.unit_vectors(units.units(_relevant(spark, folder), CFG)).select("doc_id", "unit_id", "vector")
+    vectors = topics.unit_vectors(units.units(_relevant(spark, folder), CFG))
+    return vectors.select("doc_id", "unit_id", vector_to_array("vector").alias("vector"))
+
+
+def _ml_vectors(spark, folder):
+    return views.planted_vectors(spark, folder).withColumn("vector", array_to_vector("vector"))
 
 
 @query
 def reduced_vectors(spark, folder):
-    return topics.reduce_by_pca(views.planted_vectors(spark, folder), CFG.reduced_dims).select(
+    return topics.reduce_by_pca(_ml_vectors(spark, folder), CFG.reduced_dims).select(
         "vec_id", "reduced"
     )
 
 
 @query
 def kmeans_topics(spark, folder):
-    return topics.kmeans_topics(views.planted_vectors(spark, folder), 10, CFG).select(
+    return topics.kmeans_topics(_ml_vectors(spark, folder), 10, CFG).select(
         "vec_id", "label", "topic"
     )
 
@@ -506,7 +514,7 @@ def topic_selected_trends(spark, folder):
 
 @query
 def cost_bridge(spark, folder):
-    return _bridge(spark, folder)
+    return pricing.cost_bridge(_normalised(spark, folder), pricing.default_roles(spark), CFG)
 
 
 @query

@@ -29,23 +29,31 @@ def build_corpus(
 
 
 def filter_corpus(ws: Workspace, cfg: Config) -> DataFrame:
-    tagged = ws.write(relevance.tag(ws.required("corpus"), cfg), "corpus_filtered")
+    """Every document's tag, without its text: the texts are not copied a second time."""
+    columns = ("doc_id", "source_path", "year", "domain_term_hits", "is_relevant")
+    tagged = ws.write(relevance.tag(ws.required("corpus"), cfg).select(*columns), "relevance")
     ws.write(relevance.summary(tagged), "relevance_summary")
+    ws.write(relevance.status_list(tagged), "relevance_status")
     return tagged
 
 
-def _relevant(ws: Workspace) -> DataFrame:
-    return ws.required("corpus_filtered").where("is_relevant")
+def _relevant_texts(ws: Workspace, cfg: Config) -> DataFrame:
+    """Texts of relevant documents.  Counting the terms again while the text is read is
+    cheaper than joining it with the tags, which would shuffle it."""
+    return relevance.relevant(ws.required("corpus"), cfg).select("doc_id", "text")
+
+
+def _relevant_years(ws: Workspace) -> DataFrame:
+    return ws.required("relevance").where("is_relevant").select("doc_id", "year")
 
 
 def extract_entities(ws: Workspace, cfg: Config, lexicon: DataFrame) -> DataFrame:
-    relevant = _relevant(ws)
-    table = extraction.entity_table(relevant, cfg, lexicon)
+    table = extraction.entity_table(_relevant_texts(ws, cfg), cfg, lexicon)
     entities = ws.write(table, "entities", partition_by="label")
     ws.write(extraction.label_counts(entities), "label_counts")
     ws.write(extraction.scope_counts(entities), "scope_counts")
-    ws.write(extraction.per_document(entities), "entities_per_doc")
-    ws.write(extraction.without_mentions(relevant, entities), "zero_mention_documents")
+    ws.write(extraction.per_document(entities), "entities_per_document")
+    ws.write(extraction.without_mentions(_relevant_years(ws), entities), "zero_mention_documents")
     return entities
 
 
@@ -55,20 +63,20 @@ def normalise_entities(
     aliases = normalise.default_aliases(ws.spark) if aliases is None else aliases
     bounds = normalise.default_bounds(ws.spark) if bounds is None else bounds
     table = normalise.normalise(ws.required("entities"), cfg, aliases, bounds)
-    return ws.write(table, "entities_normalised", partition_by="label")
+    return ws.write(table, "normalised", partition_by="label")
 
 
 def cluster_units(ws: Workspace, cfg: Config) -> DataFrame:
-    units = ws.write(topics.clustered_units(_relevant(ws), cfg), "units_clustered")
-    ws.write(topics.topic_names(units), "topic_info")
+    units = ws.write(topics.clustered_units(_relevant_texts(ws, cfg), cfg), "units")
+    ws.write(topics.topic_names(units), "topics")
     return units
 
 
 def trends_over_time(ws: Workspace, cfg: Config, selected: tuple[int, ...] = ()) -> None:
     """Trend tables of whatever is there: topics and entities are both optional."""
-    documents = _relevant(ws).select("doc_id", "year")
+    documents = _relevant_years(ws)
     per_period = ws.write(trends.documents_per_period(documents, cfg), "docs_per_bucket")
-    units = ws.optional("units_clustered")
+    units = ws.optional("units")
     if units is not None:
         counts = ws.write(trends.prevalence(units, documents, "topic", cfg), "topic_counts")
         ws.write(trends.trend_matrix(counts, "topic", cfg), "topic_trends")
@@ -77,7 +85,7 @@ def trends_over_time(ws: Workspace, cfg: Config, selected: tuple[int, ...] = ())
         if selected:
             chosen = counts.where(F.col("topic").isin(*selected))
             ws.write(trends.trend_matrix(chosen, "topic", cfg), "topic_trends_selected")
-    entities = ws.optional("entities_normalised")
+    entities = ws.optional("normalised")
     if entities is not None:
         is_application = F.col("label") == "APPLICATION"
         focus = {
@@ -99,7 +107,8 @@ def trends_over_time(ws: Workspace, cfg: Config, selected: tuple[int, ...] = ())
 def bridge_costs(ws: Workspace, cfg: Config, roles: DataFrame | None = None) -> DataFrame:
     roles = pricing.default_roles(ws.spark) if roles is None else roles
     bridge = ws.write(
-        pricing.cost_bridge(ws.required("entities_normalised"), roles, cfg), "cost_bridge"
+        pricing.cost_bridge(ws.required("normalised"), roles, cfg, keep=("start_char",)),
+        "cost_bridge",
     )
     ws.write(pricing.role_counts(bridge), "cost_role_counts")
     ws.write(pricing.thickness_recall(bridge, cfg), "thickness_recall")
@@ -111,12 +120,12 @@ def bridge_costs(ws: Workspace, cfg: Config, roles: DataFrame | None = None) ->
 
 def evaluate(ws: Workspace, cfg: Config) -> None:
     bridge = ws.required("cost_bridge")
-    ws.write(pricing.grade_prices(bridge), "s7_precision_check")
-    ws.write(pricing.price_sensitivity(bridge, cfg), "s7_sensitivity")
-    documents = _relevant(ws).select("doc_id", "year")
-    rivals = ws.required("entities_normalised").where(F.col("label") == "COMPETING_MATERIAL")
+    ws.write(pricing.grade_prices(bridge), "grade_prices")
+    ws.write(pricing.price_sensitivity(bridge, cfg), "price_sensitivity")
+    documents = _relevant_years(ws)
+    rivals = ws.required("normalised").where(F.col("label") == "COMPETING_MATERIAL")
     compared = trends.unitisation_comparison(rivals, documents, "label", cfg)
-    ws.write(compared, "s6_unitisation_comparison")
+    ws.write(compared, "unitisation_comparison")
     entities = ws.required("entities")
-    ws.write(sampling.stratified(entities, cfg), "s3_precision_sample")
-    ws.write(sampling.scope_groups(entities, cfg), "s3_scope_mechanism_sample")
+    ws.write(sampling.stratified(entities, cfg), "precision_sample")
+    ws.write(sampling.scope_groups(entities, cfg), "scope_sample")

@@ -157,10 +157,10 @@ def test_all_stages(spark, tmp_path):
         assert row["n"] == row["t"]
     stages.bridge_costs(ws, cfg)
     stages.evaluate(ws, cfg)
-    names = {r[0] for r in ws.required("s7_precision_check").select("entity_text").collect()}
+    names = {r[0] for r in ws.required("grade_prices").select("entity_text").collect()}
     assert {"35A300", "M300-35A5", "NO30-1600", "50JNE300"} <= names
-    ws.export_csv("s7_sensitivity")
-    assert list((tmp_path / "out/csv/s7_sensitivity").glob("*.csv"))
+    ws.export_csv("price_sensitivity")
+    assert list((tmp_path / "out/csv/price_sensitivity").glob("*.csv"))
 
 
 def test_arrivals_match_batch(spark, tmp_path):

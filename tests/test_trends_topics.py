@@ -161,7 +161,7 @@ def test_vectors(spark):
     units = spark.createDataFrame(rows, "doc_id LONG, text STRING")
     vectors = topics.unit_vectors(units, 64)
     for r in vectors.collect():
-        assert sum(x * x for x in r["vector"]) == pytest.approx(1.0)
+        assert sum(x * x for x in r["vector"].toArray()) == pytest.approx(1.0)
     reduced = topics.reduce_by_pca(vectors, 2).collect()
     assert {len(r["reduced"]) for r in reduced} == {2}
     labels = {(r["doc_id"] % 2, r["topic"]) for r in topics.kmeans_topics(vectors, 2, CFG).collect()}

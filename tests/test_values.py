@@ -37,7 +37,7 @@ def bridge(spark):
     rows += [(100 + i, "GRADE_BRAND", g, i) for i, g in enumerate(UNPARSED)]
     rows += [(200, "STANDARD", "EN 10106", 0), (201, "CORE_LOSS", "2 W/kg", 0)]
     mentions = spark.createDataFrame(rows, "doc_id LONG, label STRING, entity_text STRING, start_char INT")
-    return pricing.cost_bridge(mentions, pricing.default_roles(spark), CFG)
+    return pricing.cost_bridge(mentions, pricing.default_roles(spark), CFG, keep=("start_char",))
 
 
 def test_thickness_and_price(spark):
