@@ -34,20 +34,29 @@ def documents_per_period(documents: DataFrame, cfg: Config) -> DataFrame:
     return dated.groupBy("bucket", "bucket_label").agg(F.count_distinct("doc_id").alias("n_docs"))
 
 
-def prevalence(
-    rows: DataFrame, documents: DataFrame, category: str, cfg: Config, mode: str = "docs"
+def prevalence_both(
+    rows: DataFrame, documents: DataFrame, category: str, cfg: Config
 ) -> DataFrame:
-    """``(bucket, bucket_label, <category>, n)``: distinct documents, or rows.
+    """``(bucket, bucket_label, <category>, docs, mentions)``: distinct documents, and rows.
 
     Rows are first counted per document and category, so what meets the year table and
     the final count is one row per pair, however often a document repeats itself.
     """
-    if mode not in MODES:
-        raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     pairs = rows.groupBy("doc_id", category).agg(F.count(F.lit(1)).alias("_rows"))
-    count = F.count(F.lit(1)) if mode == "docs" else F.sum("_rows")
     dated = with_period(pairs, documents, cfg)
-    return dated.groupBy("bucket", "bucket_label", category).agg(count.alias("n"))
+    return dated.groupBy("bucket", "bucket_label", category).agg(
+        F.count(F.lit(1)).alias("docs"), F.sum("_rows").alias("mentions")
+    )
+
+
+def prevalence(
+    rows: DataFrame, documents: DataFrame, category: str, cfg: Config, mode: str = "docs"
+) -> DataFrame:
+    """``(bucket, bucket_label, <category>, n)`` in one of the two modes."""
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
+    counts = prevalence_both(rows, documents, category, cfg)
+    return counts.select("bucket", "bucket_label", category, F.col(mode).alias("n"))
 
 
 def trend_matrix(counts: DataFrame, category: str, cfg: Config, value: str = "n") -> DataFrame:
@@ -93,9 +102,9 @@ def unitisation_comparison(
     rows: DataFrame, documents: DataFrame, category: str, cfg: Config
 ) -> DataFrame:
     """Documents and mentions per period side by side, one row per category."""
-    sides = []
-    for mode in MODES:
-        matrix = trend_matrix(prevalence(rows, documents, category, cfg, mode), category, cfg)
-        named = [F.col(f"`{label}`").alias(f"{label}_{mode}") for label in cfg.period_labels]
-        sides.append(matrix.select(category, *named))
-    return sides[0].join(sides[1], category)
+    counts = prevalence_both(rows, documents, category, cfg)
+    wide = counts.groupBy(category).pivot("bucket_label", cfg.period_labels).agg(
+        *[F.sum(mode).alias(mode) for mode in MODES]
+    )
+    names = [f"{label}_{mode}" for mode in MODES for label in cfg.period_labels]
+    return wide.na.fill(0, names).select(category, *[F.col(f"`{name}`") for name in names])
