@@ -9,6 +9,9 @@ from papervein import config
 from papervein.functions import text as tx
 from papervein.operators.joins import sized
 
+# Added to the ordinals of manual years, so that they come after every listed one.
+MANUAL_AFTER = 1 << 62
+
 
 def canonical_rows(pages: DataFrame, ingest_date: str) -> DataFrame:
     """One row per document from ``(source_path, pages ARRAY<STRING>)``.
@@ -37,19 +40,16 @@ def year_table(bibliography: DataFrame, manual: DataFrame) -> DataFrame:
     """
     listed = bibliography.dropna(subset=["attachment", "year"]).select(
         tx.basename(F.col("attachment")).alias("filename"),
-        F.struct(F.lit(0).alias("source"), F.col("ordinal").cast("long").alias("ordinal")).alias("at"),
+        F.col("ordinal").cast("long").alias("at"),
         _whole_year(F.col("year")).alias("year"),
     )
     corrected = manual.select(
         "filename",
-        F.struct(F.lit(1).alias("source"), F.col("ordinal").cast("long").alias("ordinal")).alias("at"),
+        (F.col("ordinal").cast("long") + F.lit(MANUAL_AFTER)).alias("at"),
         _whole_year(F.col("year")).alias("year"),
     )
-    last = F.max_by(F.struct("year"), F.col("at"))
-    return (
-        listed.unionByName(corrected).groupBy("filename").agg(last.alias("last"))
-        .select("filename", F.col("last.year").alias("year"))
-    )
+    rows = listed.unionByName(corrected)
+    return rows.groupBy("filename").agg(F.max_by("year", "at").alias("year"))
 
 
 def _whole_year(year: Column) -> Column:

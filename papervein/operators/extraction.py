@@ -94,12 +94,16 @@ def _passes(token: Column, test: TokenTest) -> Column:
 
 
 def _may_start(token: Column, patterns: tuple[TokenPattern, ...]) -> Column:
-    """Whether a token meets the first test of any pattern; regexes are tried as one."""
+    """Whether a token meets the first test of any pattern; regexes are tried as one.
+
+    A common anchor in front lets the regex engine stop at the first character.
+    """
     firsts = {p.tests[0] for p in patterns}
-    regexes = sorted(f"(?:{t.regex})" for t in firsts if t.regex is not None)
+    regexes = sorted(t.regex for t in firsts if t.regex is not None)
     tests = [_passes(token, t) for t in firsts if t.regex is None]
     if regexes:
-        tests.append(token.rlike("|".join(regexes)))
+        anchor = "^" if all(regex.startswith("^") for regex in regexes) else ""
+        tests.append(token.rlike(anchor + "(?:" + "|".join(f"(?:{r})" for r in regexes) + ")"))
     return reduce(or_, tests, F.lit(False))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,8 +16,12 @@ MODES = ("docs", "mentions")
 def with_period(rows: DataFrame, documents: DataFrame, cfg: Config) -> DataFrame:
     """Add year, bucket and label; rows of documents without a year are dropped."""
     years = documents.where(F.col("year").isNotNull()).select("doc_id", "year")
-    dated = rows.join(years, "doc_id").withColumn("bucket", px.period_start(F.col("year"), cfg))
-    return dated.withColumn("bucket_label", px.period_label(F.col("bucket"), cfg))
+    return _add_period(rows.join(years, "doc_id"), cfg)
+
+
+def _add_period(dated: DataFrame, cfg: Config) -> DataFrame:
+    started = dated.withColumn("bucket", px.period_start(F.col("year"), cfg))
+    return started.withColumn("bucket_label", px.period_label(F.col("bucket"), cfg))
 
 
 def period_spine(spark: SparkSession, cfg: Config) -> DataFrame:
@@ -30,7 +36,7 @@ def period_spine(spark: SparkSession, cfg: Config) -> DataFrame:
 
 
 def documents_per_period(documents: DataFrame, cfg: Config) -> DataFrame:
-    dated = with_period(documents.select("doc_id"), documents, cfg)
+    dated = _add_period(documents.where(F.col("year").isNotNull()), cfg)
     return dated.groupBy("bucket", "bucket_label").agg(F.count_distinct("doc_id").alias("n_docs"))
 
 
@@ -68,6 +74,15 @@ def trend_matrix(counts: DataFrame, category: str, cfg: Config, value: str = "n"
     return wide.na.fill(0, cfg.period_labels)
 
 
+def period_matrix(
+    counts: DataFrame, category: str, categories: Sequence[str], cfg: Config
+) -> DataFrame:
+    """One row per period of the spine, one column per given category, zeros filled in."""
+    wide = counts.groupBy("bucket").pivot(category, list(categories)).agg(F.sum("n"))
+    spine = period_spine(counts.sparkSession, cfg).select("bucket", "bucket_label")
+    return spine.join(wide, "bucket", "left").na.fill(0, list(categories)).drop("bucket")
+
+
 def top_categories(counts: DataFrame, category: str, cfg: Config, n: int) -> DataFrame:
     """Matrix rows of the n categories with the largest totals, ties by category."""
     matrix = trend_matrix(counts, category, cfg)

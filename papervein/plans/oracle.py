@@ -525,7 +525,11 @@ ORACLE: dict[str, str] = {
       top("canonical_entity", 8)),
     "component_top": with_(NORMAL + counts(SUBTYPE.format("component"), "canonical_entity", "relevant"),
       top("canonical_entity", 8)),
-    "entity_trends": with_(NORMAL + counts(FOCUS, "label", "relevant"), "SELECT bucket_label, label, n FROM counts"),
+    "entity_trends": with_(NORMAL + counts(FOCUS, "label", "relevant"), f"""SELECT {label_of('s.bucket')} AS bucket_label,
+      coalesce(sum(n) FILTER (label = 'APPLICATION'), 0)::BIGINT AS "APPLICATION",
+      coalesce(sum(n) FILTER (label = 'COMPETING_MATERIAL'), 0)::BIGINT AS "COMPETING_MATERIAL"
+      FROM (SELECT unnest(range({CFG.start_year}, {CFG.end_year + 1}, {CFG.period_years}))::INTEGER AS bucket) s
+      LEFT JOIN counts c ON c.bucket = s.bucket GROUP BY s.bucket"""),
     "period_shares": with_(NORMAL + counts(COMPETITORS, "canonical_entity", "relevant") + [_PER_PERIOD.format(src="relevant")],
       f"""SELECT c.bucket_label, canonical_entity, n, total::BIGINT AS total, (running - n)::BIGINT AS "offset", n_docs,
         CASE WHEN n / total::DOUBLE * 100 >= 1 THEN round_even(n / total::DOUBLE * 100, 0)::INTEGER END AS pct

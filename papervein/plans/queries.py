@@ -17,6 +17,7 @@ from papervein.plans import views
 from papervein.sources import readers
 
 CFG = Config()
+FOCUS_LABELS = ("APPLICATION", "COMPETING_MATERIAL")
 SELECTED_TOPICS = (0, 2, 5, 12)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -412,8 +413,7 @@ def bucketed_mentions(spark, folder):
 
 
 def _label_rows(spark, folder):
-    focus = F.col("label").isin("COMPETING_MATERIAL", "APPLICATION")
-    return _normalised(spark, folder).where(focus)
+    return _normalised(spark, folder).where(F.col("label").isin(*FOCUS_LABELS))
 
 
 def _competitors(spark, folder):
@@ -470,7 +470,8 @@ def component_top(spark, folder):
 
 @query
 def entity_trends(spark, folder):
-    return _counts(spark, folder, _label_rows(spark, folder), "label").select("bucket_label", "label", "n")
+    counts = _counts(spark, folder, _label_rows(spark, folder), "label")
+    return trends.period_matrix(counts, "label", FOCUS_LABELS, CFG)
 
 
 @query

@@ -99,9 +99,10 @@ def trends_over_time(ws: Workspace, cfg: Config, selected: tuple[int, ...] = ())
             ws.write(trends.trend_matrix(counts, "canonical_entity", cfg), f"{name}_trends")
             shares = trends.period_shares(counts, per_period, "canonical_entity", cfg)
             ws.write(shares, f"{name}_shares")
-        labelled = entities.where(F.col("label").isin("COMPETING_MATERIAL", "APPLICATION"))
+        labels = ("APPLICATION", "COMPETING_MATERIAL")
+        labelled = entities.where(F.col("label").isin(*labels))
         by_label = trends.prevalence(labelled, documents, "label", cfg)
-        ws.write(trends.trend_matrix(by_label, "label", cfg), "entity_trends")
+        ws.write(trends.period_matrix(by_label, "label", labels, cfg), "entity_trends")
 
 
 def bridge_costs(ws: Workspace, cfg: Config, roles: DataFrame | None = None) -> DataFrame:
