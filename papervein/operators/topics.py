@@ -29,7 +29,7 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
-def unit_vectors(units: DataFrame, dims: int = 512) -> DataFrame:
+def unit_vectors(units: DataFrame, dims: int = 256) -> DataFrame:
     """Add ``vector``: hashed TF-IDF of unit length, a sparse ML vector."""
     worded = units.withColumn("_words", words(F.col("text")))
     counted = HashingTF(numFeatures=dims, inputCol="_words", outputCol="_tf").transform(worded)
@@ -197,7 +197,8 @@ def clustered_units(
     spreads = [s or 1.0 for s in points.agg(*deviations).first()]
     cell_topics = cut_lineage(dense_cells(with_cells(points, spreads, cell_width), cfg, min_share))
     clustered = attach_topic(with_cells(units, spreads, cell_width), cell_topics)
-    named = attach_names(clustered, topic_names(clustered))
+    names = cut_lineage(topic_names(clustered))
+    named = attach_names(clustered, names)
     return named.select("doc_id", "unit_id", "text", "topic", "topic_name")
 
 
