@@ -57,20 +57,33 @@ def _whole_year(year: Column) -> Column:
 
 
 def attach_year(documents: DataFrame, years: DataFrame) -> DataFrame:
-    """Left join on the file name; a document without an entry gets a NULL year."""
+    """Left join on the file name; a document without an entry gets a NULL year.
+
+    Pass described documents: texts would be shuffled with a year table too large to broadcast.
+    """
     named = documents.withColumn("filename", tx.basename(F.col("source_path")))
     return named.join(sized(years), "filename", "left")
 
 
+def described(documents: DataFrame) -> DataFrame:
+    """Everything about a document but its text: what joins and reports work on."""
+    return documents.select(
+        "doc_id", "source_path",
+        F.col("text").isNotNull().alias("extracted"),
+        tx.word_count(F.col("text")).alias("token_count"),
+    )
+
+
 def missing_years(documents: DataFrame) -> DataFrame:
     return documents.where(F.col("year").isNull()).select("filename")
 
 
 def ingest_summary(documents: DataFrame) -> DataFrame:
+    """Counts over described documents with their years."""
     return documents.agg(
         F.count(F.lit(1)).alias("total"),
-        F.count("text").alias("extracted"),
-        F.count_if(F.col("text").isNull()).alias("failed"),
+        F.count_if("extracted").alias("extracted"),
+        F.count_if(~F.col("extracted")).alias("failed"),
         F.count_if(F.col("year").isNull()).alias("missing_years"),
     )
 
@@ -93,8 +106,8 @@ def token_counts(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", tx.word_count(F.col("text")).alias("token_count"))
 
 
-def token_summary(documents: DataFrame) -> DataFrame:
-    return token_counts(documents).agg(
+def token_summary(counts: DataFrame) -> DataFrame:
+    return counts.agg(
         F.sum("token_count").alias("total_tokens"),
         F.round(F.avg("token_count"), 6).alias("mean_tokens"),
         F.min("token_count").alias("min_tokens"),

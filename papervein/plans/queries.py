@@ -68,7 +68,8 @@ def _year_table(spark, folder):
 
 
 def _dated(spark, folder):
-    return corpus.attach_year(_ingested(spark, folder), _year_table(spark, folder))
+    described = corpus.described(_ingested(spark, folder))
+    return corpus.attach_year(described, _year_table(spark, folder))
 
 
 # ---- corpus ------------------------------------------------------------------
@@ -112,7 +113,7 @@ def corpus_tokens(spark, folder):
 
 @query
 def corpus_token_summary(spark, folder):
-    return corpus.token_summary(views.documents(spark, folder))
+    return corpus.token_summary(corpus.token_counts(views.documents(spark, folder)))
 
 
 @query

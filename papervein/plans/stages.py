@@ -19,19 +19,24 @@ from papervein.sources.workspace import Workspace
 def build_corpus(
     ws: Workspace, pages: DataFrame, bibliography: DataFrame, manual: DataFrame, ingest_date: str
 ) -> DataFrame:
-    rows = corpus.canonical_rows(pages, ingest_date)
-    dated = ws.write(corpus.attach_year(rows, corpus.year_table(bibliography, manual)), "corpus")
-    ws.write(corpus.token_counts(dated), "corpus_tokens")
-    ws.write(corpus.token_summary(dated), "corpus_token_summary")
-    ws.write(corpus.ingest_summary(dated), "ingest_summary")
-    ws.write(corpus.missing_years(dated), "missing_years")
-    return dated
+    """Write the texts once, and beside them a narrow table with each document's year.
+
+    Years are joined to the narrow table only, so no text is shuffled.
+    """
+    texts = ws.write(corpus.canonical_rows(pages, ingest_date), "corpus")
+    years = ws.write(corpus.year_table(bibliography, manual), "years")
+    documents = ws.write(corpus.attach_year(corpus.described(texts), years), "documents")
+    ws.write(corpus.token_summary(documents), "corpus_token_summary")
+    ws.write(corpus.ingest_summary(documents), "ingest_summary")
+    ws.write(corpus.missing_years(documents), "missing_years")
+    return documents
 
 
 def filter_corpus(ws: Workspace, cfg: Config) -> DataFrame:
-    """Every document's tag, without its text: the texts are not copied a second time."""
-    columns = ("doc_id", "source_path", "year", "domain_term_hits", "is_relevant")
-    tagged = ws.write(relevance.tag(ws.required("corpus"), cfg).select(*columns), "relevance")
+    """Every document's tag and year, without its text."""
+    hits = relevance.tag(ws.required("corpus"), cfg).select("doc_id", "domain_term_hits", "is_relevant")
+    documents = ws.required("documents").select("doc_id", "source_path", "year")
+    tagged = ws.write(documents.join(hits, "doc_id"), "relevance")
     ws.write(relevance.summary(tagged), "relevance_summary")
     ws.write(relevance.status_list(tagged), "relevance_status")
     return tagged

@@ -47,7 +47,7 @@ def test_year_precedence(spark):
         "a.pdf": 2002, "c.pdf": 1991, "d.pdf": None, "e.pdf": None,
     }
     docs = corpus.canonical_rows(pages(spark, [("/k/a.pdf", ["t"]), ("/k/b.pdf", ["t"]), ("/k/c.pdf", None)]), "2026-01-01")
-    dated = corpus.attach_year(docs, years)
+    dated = corpus.attach_year(corpus.described(docs), years)
     assert {r["filename"]: r["year"] for r in dated.collect()} == {"a.pdf": 2002, "b.pdf": None, "c.pdf": 1991}
     assert [r[0] for r in corpus.missing_years(dated).collect()] == ["b.pdf"]
     assert tuple(corpus.ingest_summary(dated).first()) == (3, 2, 1, 1)
