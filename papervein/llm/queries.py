@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papervein.llm import decontaminate, packing, quality, token_counts
+from papervein.llm import decontaminate, near_dup, packing, quality, token_counts
 from papervein.llm.shared import shared_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -24,6 +24,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op2_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dup.classify(table(spark, folder, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     forest = quality.train(docs, table(spark, folder, "labels"))
@@ -48,5 +52,8 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op4_quality_rules, op6_decontamination, op9_best_fit_packing, op10_token_counts)
+    for f in (
+        op2_minhash_near_dedup, op4_quality_rules, op6_decontamination, op9_best_fit_packing,
+        op10_token_counts,
+    )
 }
