@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papervein.llm import decontaminate, near_dup, packing, quality, token_counts
+from papervein.llm import decontaminate, near_dup, packing, quality, suffix_dedup, token_counts
 from papervein.llm.shared import shared_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -34,6 +34,10 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(docs, forest)
 
 
+def op5_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.digest(table(spark, folder, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return decontaminate.digest(found)
@@ -53,7 +57,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op2_minhash_near_dedup, op4_quality_rules, op6_decontamination, op9_best_fit_packing,
-        op10_token_counts,
+        op2_minhash_near_dedup, op4_quality_rules, op5_suffix_array_dedup, op6_decontamination,
+        op9_best_fit_packing, op10_token_counts,
     )
 }
