@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from papervein.llm import decontaminate, packing, quality
+from papervein.llm import decontaminate, near_dup, packing, quality, suffix_dedup
 from papervein.llm.queries import table, tokenizer_path
 from papervein.llm.shared import Tables
 
@@ -19,26 +19,41 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id stays."""
+    return near_dup.keep_first(docs)
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 200 bytes that occur again are cut out of the texts."""
+    return suffix_dedup.remove(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a window of a benchmark item go."""
     return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of the remaining documents' pieces in sequences of 1024 tokens."""
     return packing.pack(docs, tokenizer_path())
 
 
 STAGES = [
     ("quality rules", quality_rules),
+    ("minhash near-dedup", minhash_near_dedup),
+    ("suffix-array dedup", suffix_array_dedup),
     ("benchmark decontamination", benchmark_decontamination),
     ("best-fit packing", best_fit_packing),
 ]
 
-# Boosted trees and token ids are beyond SQL; tests compare with a plain version.
+# Boosted trees, groups of near-duplicates and token ids are beyond SQL; the tests compare
+# every stage with a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents table."""
     tables = Tables(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES):
