@@ -1,3 +1,70 @@
 """DuckDB counterparts of the queries that SQL can express on whole tables."""
 
-ORACLE: dict[str, str] = {}
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE: dict[str, str] = {
+    "op6_decontamination": rf"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), lengths AS (SELECT DISTINCT least(10, len(w)) AS k FROM b WHERE len(w) > 0
+), windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS k, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') AS t
+  FROM b, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS u(i) WHERE len(w) > 0
+), places AS (
+  SELECT r, i, k, array_to_string(w[i : i + k - 1], ' ') AS t
+  FROM d, lengths, unnest(range(1, len(w) - k + 2)) AS u(i)
+), found AS (SELECT r, i, k, item_id FROM places JOIN windows USING (k, t)
+), hits AS (
+  SELECT r, count(DISTINCT j) AS n_hit
+  FROM (SELECT DISTINCT r, i, k FROM found), unnest(range(i, i + k)) AS u(j) GROUP BY r
+), items AS (
+  SELECT r, count(*) AS n_items, string_agg(t, ',' ORDER BY t) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS t FROM found WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (r) LEFT JOIN items USING (r)
+""",
+    "op7_warc": """
+WITH p AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n, sha1(coalesce(html, '')) AS h FROM pages
+), m AS (SELECT h, max(page_id) AS holder FROM p WHERE n >= 1000 GROUP BY h)
+SELECT page_id, n AS payload_bytes, h AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id <> holder THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id <> holder THEN holder END AS refers_to, TRUE AS valid
+FROM p LEFT JOIN m USING (h)
+""",
+    "op8_lm_scoring": rf"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS ws FROM documents
+), t AS (SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d
+), q AS (SELECT r, i, w, lag(w) OVER (PARTITION BY r ORDER BY i) AS v FROM t
+), one AS (SELECT w, count(*) AS c FROM t GROUP BY w
+), one_own AS (SELECT r, w, count(*) AS c FROM t GROUP BY r, w
+), two AS (SELECT v, w, count(*) AS c FROM q WHERE v IS NOT NULL GROUP BY v, w
+), two_own AS (SELECT r, v, w, count(*) AS c FROM q WHERE v IS NOT NULL GROUP BY r, v, w
+), n AS (SELECT count(*) AS n FROM t
+), s AS (
+  SELECT q.r, q.i, one.c - one_own.c AS single, coalesce(two.c - two_own.c, 0) AS double, b.c - b_own.c AS before,
+         greatest(n.n - len(d.ws), 1) AS others
+  FROM q JOIN d USING (r) CROSS JOIN n
+  JOIN one ON one.w = q.w JOIN one_own ON one_own.r = q.r AND one_own.w = q.w
+  LEFT JOIN two ON two.v = q.v AND two.w = q.w LEFT JOIN two_own ON two_own.r = q.r AND two_own.v = q.v AND two_own.w = q.w
+  LEFT JOIN one b ON b.w = q.v LEFT JOIN one_own b_own ON b_own.r = q.r AND b_own.w = q.v
+), l AS (
+  SELECT r, count(*) FILTER (WHERE double = 0 AND i > 1) AS n_backoff,
+         sum(ln(CASE WHEN double > 0 THEN double / CAST(before AS DOUBLE)
+                     ELSE CASE WHEN i = 1 THEN 1.0::DOUBLE ELSE 0.4::DOUBLE END
+                          * CASE WHEN single > 0 THEN CAST(single AS DOUBLE) ELSE 0.4::DOUBLE END / others END)) AS log_score
+  FROM s GROUP BY r
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_backoff, 0) AS BIGINT) AS n_backoff,
+       round(coalesce(log_score, 0.0::DOUBLE), 3) AS log_score
+FROM d LEFT JOIN l USING (r)
+""",
+}

@@ -28,7 +28,7 @@ from papervein.llm.shared import Tables
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 # Pieces whose ranks one window group counts, about.
-BLOCK_ROWS = 100_000
+BLOCK_ROWS = 4_000
 
 
 @dataclass(frozen=True)

@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papervein.llm import decontaminate, near_dup, packing, quality, suffix_dedup, token_counts
+from papervein.llm import (
+    chat, decontaminate, lm_score, near_dup, packing, quality, suffix_dedup, token_counts, url_filter, warc,
+)
 from papervein.llm.shared import shared_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -24,10 +26,27 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+URL_RULES = (
+    url_filter.Rule("allow", "org", "/"),
+    url_filter.Rule("block", "example.org", "/es/"),
+    url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"),
+    url_filter.Rule("block", "com", "/de/"),
+)
+
+
+def op1_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.render(chat.parse(table(spark, folder, "conversations")))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.classify(table(spark, folder, "documents"))
 
 
+def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(table(spark, folder, "pages"), URL_RULES)
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     forest = quality.train(docs, table(spark, folder, "labels"))
@@ -43,6 +62,15 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages"))
+
+
+def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    scores = lm_score.score(table(spark, folder, "documents"))
+    return scores.withColumn("log_score", F.round("log_score", 3))
+
+
 def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_path())
 
@@ -57,7 +85,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op2_minhash_near_dedup, op4_quality_rules, op5_suffix_array_dedup, op6_decontamination,
-        op9_best_fit_packing, op10_token_counts,
+        op1_chat_formatting, op2_minhash_near_dedup, op3_url_filter, op4_quality_rules, op5_suffix_array_dedup,
+        op6_decontamination, op7_warc, op8_lm_scoring, op9_best_fit_packing, op10_token_counts,
     )
 }
