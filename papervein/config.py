@@ -190,6 +190,8 @@ class Config:
     chunk_min_chars: int = CHUNK_MIN_CHARS
     cluster_unit: str = "chunk"
     min_topic_size: int = MIN_TOPIC_SIZE
+    min_cell_points: int = MIN_TOPIC_SIZE  # points that make a grid cell dense, at any corpus size
+    cell_width: float = 1.0                # of a grid cell, in standard deviations
     reduced_dims: int = REDUCED_DIMS
     seed: int = SEED
 

@@ -5,6 +5,8 @@ All of them stay inside the JVM.  Offsets count code points and ends are exclusi
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,29 +45,28 @@ def basename(path: Column) -> Column:
     return F.element_at(F.split(path, "/", -1), -1)
 
 
-def running_starts(lengths: Column) -> Column:
-    """Start position of each element of an array, given the elements' lengths.
+def running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Running sums, maxima or the like of an array, by doubling.
 
-    A running sum by doubling: round r adds the value 2^r places to the left, so an
-    array of n lengths takes n log n additions, where appending to an accumulator would
-    copy n^2 elements and fail on long documents.  Pass a plain column: the expression
-    is used more than once.
+    Round r combines each value with the one 2^r places to the left, so an array of n values
+    takes n log n steps, where appending to an accumulator would copy n^2 elements and fail
+    on long documents.  ``combine`` must be associative and skip NULL, or get none.  Pass a
+    plain column: the expression is used more than once.
     """
     rounds = F.sequence(
-        F.lit(0), F.ceil(F.log2(F.greatest(F.size(lengths), F.lit(1)).cast("double"))).cast("int")
+        F.lit(0), F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)).cast("double"))).cast("int")
     )
-    ends = F.aggregate(
+    return F.aggregate(
         rounds,
-        lengths,
+        values,
         lambda sums, r: F.transform(
             sums,
-            lambda value, i: value
-            + F.coalesce(F.get(sums, i - F.call_function("shiftleft", F.lit(1), r)), F.lit(0)),
+            lambda value, i: combine(value, F.get(sums, i - F.call_function("shiftleft", F.lit(1), r))),
         ),
     )
-    return F.zip_with(ends, lengths, lambda end, length: end - length)
 
 
-def joined_length(pieces: Column, count: Column) -> Column:
-    """Number of characters in the first ``count`` pieces."""
-    return F.length(F.array_join(F.slice(pieces, F.lit(1), count), ""))
+def running_starts(lengths: Column) -> Column:
+    """Start position of each element of an array, given the elements' lengths (a plain column)."""
+    ends = running(lengths, lambda total, before: total + F.coalesce(before, F.lit(0)))
+    return F.zip_with(ends, lengths, lambda end, length: end - length)

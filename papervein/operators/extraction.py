@@ -13,6 +13,7 @@ Input documents are ``(doc_id, text)`` with a unique id and cleaned whitespace
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from operator import and_, or_
 
@@ -112,6 +113,36 @@ def _matches_at(pattern: TokenPattern, position: Column) -> Column:
     return reduce(and_, each)
 
 
+# First words of a lexicon that sentences are searched for before they are cut into tokens.
+MAX_FIRST_WORDS = 200
+
+
+def _may_hold(sentence: Column, cfg: Config, first_words: list[str] | None) -> Column | None:
+    """A cheap condition that every sentence with a mention meets, or None if there is none.
+
+    Tokens are pieces of the sentence, so what a first token must hold the sentence holds too.
+    """
+    if first_words is None:
+        return None
+    tests = [sentence.contains(word) for word in sorted(first_words)]
+    cores = []
+    for test in {p.tests[0] for p in cfg.patterns}:
+        if test.regex is not None:
+            core = test.regex.removeprefix("^").removesuffix("$")
+            if re.search(r"[$^]|\\[bBAzZG]|\(\?", core):  # may depend on what is around the token
+                return None
+            cores.append(core)
+        elif test.text is not None:
+            tests.append(sentence.contains(test.text))
+        elif test.one_of is not None:
+            tests += [sentence.contains(word) for word in test.one_of]
+        else:
+            tests += [F.lower(sentence).contains(word) for word in test.lower_in]
+    if cores:
+        tests.insert(0, sentence.rlike("|".join(f"(?:{core})" for core in sorted(cores))))
+    return reduce(or_, tests, F.lit(False))
+
+
 def candidates(
     documents: DataFrame,
     cfg: Config,
@@ -121,95 +152,126 @@ def candidates(
     """Every span a pattern or phrase matches, overlaps included.
 
     ``(doc_id, sent_id, sentence, label, n_tokens, start_char, end_char, entity_text)``
+
+    A lexicon is matched in two steps: a token that begins a phrase opens one candidate for
+    each length of such phrases, and the candidate's whole token sequence is then looked up.
+    So a first word that many phrases share costs no more than one that few do.  A lexicon
+    beyond ``max_broadcast_bytes`` is joined by shuffling the candidates; only if its first
+    words alone exceed that, too, are all tokens shuffled.
     """
-    split = with_tokens(sentences(documents))
-    if lexicon is None:
-        if not cfg.patterns:
-            raise ValueError("neither patterns nor a lexicon to match")
-        return _scan(split, cfg, None)
-    phrases = lexicon_phrases(lexicon)
-    if fits_broadcast(phrases, max_broadcast_bytes):
-        return _scan(split, cfg, F.broadcast(phrases))
-    from_lexicon = _phrases_by_shuffle(split, phrases)
-    return _scan(split, cfg, None).unionByName(from_lexicon) if cfg.patterns else from_lexicon
-
-
-def _scan(split: DataFrame, cfg: Config, phrases: DataFrame | None) -> DataFrame:
-    """Patterns and a broadcast lexicon in one pass over the exploded tokens."""
-    rows = split.select(
-        "doc_id", "sent_id", "sent_start", "sentence", "pieces", "tokens",
+    if lexicon is None and not cfg.patterns:
+        raise ValueError("neither patterns nor a lexicon to match")
+    parts = sentences(documents)
+    phrases = firsts = None
+    first_words: list[str] | None = []
+    if lexicon is not None:
+        phrases = lexicon_phrases(lexicon)
+        firsts = phrases.groupBy("first_token").agg(F.collect_set("phrase_tokens").alias("phrase_lengths"))
+        some = firsts.select("first_token").limit(MAX_FIRST_WORDS + 1).collect()
+        first_words = [row[0] for row in some] if len(some) <= MAX_FIRST_WORDS else None
+        if fits_broadcast(phrases, max_broadcast_bytes):
+            phrases, firsts = F.broadcast(phrases), F.broadcast(firsts)
+        elif fits_broadcast(firsts.select("first_token", F.to_json("phrase_lengths")), max_broadcast_bytes):
+            firsts = F.broadcast(firsts)
+    hold = _may_hold(F.col("sentence"), cfg, first_words)
+    split = with_tokens(parts if hold is None else parts.where(hold))
+    sized = split.withColumn("_lengths", F.transform("pieces", lambda piece: F.length(piece)))
+    placed = sized.withColumn("starts", tx.running_starts(F.col("_lengths")))
+    return _looked_up(_opened(placed, cfg, firsts), phrases)
+
+
+def _opened(placed: DataFrame, cfg: Config, firsts: DataFrame | None) -> DataFrame:
+    """Spans of matched patterns, and spans of the lengths a phrase may have, without label."""
+    rows = placed.select(
+        "doc_id", "sent_id", "sent_start", "sentence", "pieces", "tokens", "starts",
         F.posexplode_outer("tokens").alias("pos", "token"),
     )
     pos = F.col("pos")
     # One test per token decides whether the full patterns are tried there.
-    starts = _may_start(F.col("token"), cfg.patterns)
-    found = [
-        F.when(_matches_at(p, pos), F.struct(F.lit(p.label).alias("label"),
-                                             F.lit(p.n_tokens).alias("n_tokens")))
-        for p in cfg.patterns
-    ]
-    if phrases is not None:
-        rows = rows.join(
-            phrases,
-            (F.col("token") == F.col("first_token"))
-            & (F.slice("tokens", pos + 1, F.col("phrase_tokens")) == F.col("phrase")),
-            "left",
-        )
-        phrase_found = F.col("phrase_label").isNotNull()
-        starts = starts | phrase_found
-        found.append(F.when(phrase_found, F.struct(F.col("phrase_label").alias("label"),
-                                                   F.col("phrase_tokens").alias("n_tokens"))))
-    hits = rows.where(starts).withColumn("_hit", F.explode_outer(F.array(*found)))
-    named = hits.withColumns({"label": F.col("_hit.label"), "n_tokens": F.col("_hit.n_tokens")})
-    return _spans(named.where(F.col("label").isNotNull()))
-
-
-def _phrases_by_shuffle(split: DataFrame, phrases: DataFrame) -> DataFrame:
-    """A lexicon too large to broadcast: shuffle narrow phrase keys, not sentences.
-
-    Only the found positions are joined back to their sentences.
-    """
-    lengths = [row[0] for row in phrases.select("phrase_tokens").distinct().collect()]
-    positions = split.select("doc_id", "sent_id", "tokens", F.posexplode_outer("tokens").alias("pos", "_t"))
-    keyed = positions.select(
-        "doc_id", "sent_id", "pos", "tokens", F.explode(F.array(*map(F.lit, lengths))).alias("n_tokens")
-    ).where(F.col("pos") + F.col("n_tokens") <= F.size("tokens")).select(
-        "doc_id", "sent_id", "pos", "n_tokens",
-        F.slice("tokens", F.col("pos") + 1, F.col("n_tokens")).alias("phrase"),
+    begins = _may_start(F.col("token"), cfg.patterns)
+    opened = F.array().cast("array<struct<label: string, n_tokens: int>>")
+    if cfg.patterns:
+        opened = F.filter(F.array(*[
+            F.when(_matches_at(p, pos), F.struct(F.lit(p.label).alias("label"), F.lit(p.n_tokens).alias("n_tokens")))
+            for p in cfg.patterns
+        ]), lambda hit: hit.isNotNull())
+    if firsts is not None:
+        rows = rows.join(firsts, F.col("token") == F.col("first_token"), "left")
+        begins = begins | F.col("first_token").isNotNull()
+        nothing = F.array().cast("array<int>")
+        opened = F.concat(opened, F.transform(
+            F.coalesce("phrase_lengths", nothing),
+            lambda n: F.struct(F.lit(None).cast("string").alias("label"), n.alias("n_tokens")),
+        ))
+    hits = rows.where(begins).withColumn("_hit", F.explode_outer(opened)).where(F.col("_hit").isNotNull())
+    count = F.col("_hit.n_tokens")
+    spans = hits.select(
+        "doc_id", "sent_id", "sentence",
+        F.col("_hit.label").alias("label"), count.alias("n_tokens"),
+        (F.col("sent_start") + F.get("starts", pos)).alias("start_char"),
+        F.rtrim(F.array_join(F.slice("pieces", pos + 1, count), "")).alias("entity_text"),
+        F.slice("tokens", pos + 1, count).alias("_sequence"),
     )
-    found = keyed.join(phrases, "phrase").select(
-        "doc_id", "sent_id", "pos", "n_tokens", F.col("phrase_label").alias("label")
-    )
-    return _spans(split.join(found, ["doc_id", "sent_id"]))
+    return spans.withColumn("end_char", F.col("start_char") + F.length("entity_text"))
+
+
+SPAN_COLUMNS = (
+    "doc_id", "sent_id", "sentence", "label", "n_tokens", "start_char", "end_char", "entity_text",
+)
 
 
-def _spans(hits: DataFrame) -> DataFrame:
-    pieces, pos, n_tokens = F.col("pieces"), F.col("pos"), F.col("n_tokens")
-    surface = F.rtrim(F.array_join(F.slice(pieces, pos + 1, n_tokens), ""))
-    placed = hits.select(
-        "doc_id", "sent_id", "sentence", "label", "n_tokens",
-        (F.col("sent_start") + tx.joined_length(pieces, pos)).alias("start_char"),
-        surface.alias("entity_text"),
+def _looked_up(spans: DataFrame, phrases: DataFrame | None) -> DataFrame:
+    """The spans with a label: a pattern's own, or that of the phrase they are."""
+    if phrases is None:
+        return spans.select(*SPAN_COLUMNS)
+    # Spans of patterns look up a sequence that no phrase has, another for each document.
+    unlike = F.array(F.lit(" "), F.col("doc_id").cast("string"))
+    keyed = spans.withColumn("_sequence", F.when(F.col("label").isNull(), F.col("_sequence")).otherwise(unlike))
+    joined = keyed.join(
+        phrases.select(F.col("phrase").alias("_sequence"), "phrase_label"), "_sequence", "left"
     )
-    return placed.withColumn("end_char", F.col("start_char") + F.length("entity_text"))
+    label = F.coalesce("label", "phrase_label")
+    return joined.withColumn("label", label).where(F.col("label").isNotNull()).select(*SPAN_COLUMNS)
 
 
 def resolved_sentences(spans: DataFrame) -> DataFrame:
     """One row per sentence with its surviving spans.
 
     Longest span in tokens first, then the earliest start, then the label; a span that
-    overlaps one already kept is dropped.
+    overlaps one already kept is dropped.  Spans are sorted by start and cut into islands
+    that nothing bridges; only spans of one island are compared with each other.
     """
     span = F.struct(
-        F.negative("n_tokens").alias("rank"), "start_char", "label", "end_char", "entity_text"
+        "start_char", "end_char", F.negative("n_tokens").alias("rank"), "label", "entity_text"
     )
-    ranked = spans.groupBy("doc_id", "sent_id").agg(
+    placed = spans.groupBy("doc_id", "sent_id").agg(
         F.first("sentence").alias("sentence"),
-        F.sort_array(F.collect_set(span)).alias("ranked"),
+        F.sort_array(F.collect_set(span)).alias("placed"),
     )
-    kept = F.aggregate(
-        "ranked",
-        F.slice("ranked", 1, 0),
+    ended = placed.withColumn("_ends", F.transform("placed", lambda s: s["end_char"]))
+    topped = ended.withColumn("_tops", tx.running(F.col("_ends"), F.greatest))
+    headed = topped.withColumn("_heads", F.filter(
+        F.sequence(F.lit(0), F.size("placed") - 1),
+        lambda i: (i == 0) | (F.get("placed", i)["start_char"] >= F.get("_tops", i - 1)),
+    ))
+    islands = headed.withColumn("_islands", F.transform("_heads", lambda head, k: F.slice(
+        "placed", head + 1, F.coalesce(F.get("_heads", k + 1), F.size("placed")) - head
+    )))
+    kept = F.flatten(F.transform("_islands", lambda island: F.when(
+        F.size(island) == 1, island
+    ).otherwise(_best_apart(island))))
+    return islands.select("doc_id", "sent_id", "sentence", kept.alias("kept"))
+
+
+def _best_apart(island: Column) -> Column:
+    """Of spans that overlap in a chain, the ones kept in order of rank, start and label."""
+    ranked = F.array_sort(F.transform(island, lambda s: F.struct(
+        s["rank"].alias("rank"), s["start_char"].alias("start_char"), s["label"].alias("label"),
+        s["end_char"].alias("end_char"), s["entity_text"].alias("entity_text"),
+    )))
+    best = F.aggregate(
+        ranked,
+        F.slice(ranked, 1, 0),
         lambda kept, span: F.when(
             F.exists(
                 kept,
@@ -219,7 +281,10 @@ def resolved_sentences(spans: DataFrame) -> DataFrame:
             kept,
         ).otherwise(F.concat(kept, F.array(span))),
     )
-    return ranked.select("doc_id", "sent_id", "sentence", kept.alias("kept"))
+    return F.transform(best, lambda s: F.struct(
+        s["start_char"].alias("start_char"), s["end_char"].alias("end_char"), s["rank"].alias("rank"),
+        s["label"].alias("label"), s["entity_text"].alias("entity_text"),
+    ))
 
 
 def scope(has_trigger: Column, has_competitor: Column) -> Column:

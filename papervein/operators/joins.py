@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from papervein.operators.checkpoints import cut_lineage
+
 # A broadcast side is held whole by every executor, so it must be measured first.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -56,6 +58,26 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def numbered_rows(df: DataFrame, name: str, *order: Column) -> DataFrame:
+    """Add ``name``: 0, 1, 2 ... in a total order of all rows.
+
+    The rows are range-partitioned and sorted; a row's number is its place in its partition
+    after the counts of the partitions before, one number each on the driver.
+    """
+    sorted_rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = cut_lineage(sorted_rows.select("*", F.spark_partition_id().alias("_part"), place.alias("_place")))
+    counts = sorted((row["_part"], row["count"]) for row in placed.groupBy("_part").count().collect())
+    before, offsets = 0, []
+    for part, count in counts:
+        offsets.append((part, before))
+        before += count
+    if not offsets:
+        return placed.select(*df.columns, F.col("_place").alias(name))
+    starts = literal_table(df.sparkSession, "_part INT,_before LONG", offsets)
+    return placed.join(starts, "_part").select(*df.columns, (F.col("_before") + F.col("_place")).alias(name))
+
+
 def first_rows(df: DataFrame, group: str, n: int | Column, *order: Column) -> DataFrame:
     """The first n rows of each group in a total order.
 

@@ -11,14 +11,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer
+from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer, PCAModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from papervein.config import Config
 from papervein.operators.checkpoints import cut_lineage
-from papervein.operators.joins import first_rows, sized
+from papervein.operators.joins import first_rows, numbered_rows, sized
 from papervein.operators.units import units as cut_units
 
 NOISE = -1
@@ -49,7 +49,14 @@ def reduce_by_pca(vectors: DataFrame, dims: int) -> DataFrame:
 
     The driver holds one matrix of columns by columns, whatever the number of rows.
     """
-    model = PCA(k=dims, inputCol="vector", outputCol="_pca").fit(vectors)
+    return _reduced(pca(vectors, dims), vectors)
+
+
+def pca(vectors: DataFrame, dims: int) -> PCAModel:
+    return PCA(k=dims, inputCol="vector", outputCol="_pca").fit(vectors)
+
+
+def _reduced(model: PCAModel, vectors: DataFrame) -> DataFrame:
     return model.transform(vectors).withColumn("reduced", vector_to_array("_pca")).drop("_pca")
 
 
@@ -76,24 +83,19 @@ def grid_cell(coordinates: Sequence[Column], cell_width: float) -> Column:
     return F.array(*[F.floor((c + half) / F.lit(cell_width)).cast("int") for c in coordinates])
 
 
-def dense_cells(points: DataFrame, cfg: Config, min_share: float) -> DataFrame:
+def dense_cells(points: DataFrame, cfg: Config) -> DataFrame:
     """``(cell, topic)`` of every cell that belongs to a topic, from points with a ``cell``.
 
-    A cell is dense with at least ``min_share`` of all points and no fewer than the
-    smallest topic, so there are at most 1 / min_share dense cells, whatever the data.
-    Topics are numbered by size, then by their smallest cell.
+    A cell is dense with at least ``cfg.min_cell_points`` points, however many there are
+    elsewhere, so points in one cell never change whether another is dense.  Topics are
+    numbered by size, then by their smallest cell.
     """
-    if min_share <= 0:
-        raise ValueError("min_share must be positive: it bounds the number of dense cells")
     cells = cut_lineage(points.groupBy("cell").agg(F.count(F.lit(1)).alias("n")))
-    total = cells.agg(F.sum("n").alias("n")).first()["n"] or 0
-    dense = cells.where(F.col("n") >= max(cfg.min_topic_size, min_share * total))
-    component = connected_cells(dense, cfg.reduced_dims)
+    component = connected_cells(cells.where(F.col("n") >= cfg.min_cell_points), cfg.reduced_dims)
     sizes = component.groupBy("component").agg(F.sum("n").alias("size"))
     topics = sizes.where(F.col("size") >= cfg.min_topic_size)
-    number = F.row_number().over(Window.orderBy(F.desc("size"), F.asc("component"))) - 1
-    numbered = topics.withColumn("topic", number.cast("int"))
-    return component.join(numbered, "component").select("cell", "topic")
+    numbered = numbered_rows(topics, "topic", F.desc("size"), F.asc("component"))
+    return component.join(numbered, "component").select("cell", F.col("topic").cast("int").alias("topic"))
 
 
 def attach_topic(points: DataFrame, cell_topics: DataFrame) -> DataFrame:
@@ -102,8 +104,8 @@ def attach_topic(points: DataFrame, cell_topics: DataFrame) -> DataFrame:
     return tagged.withColumn("topic", F.coalesce("topic", F.lit(NOISE)))
 
 
-def density_topics(points: DataFrame, cfg: Config, min_share: float) -> DataFrame:
-    return attach_topic(points, dense_cells(points, cfg, min_share))
+def density_topics(points: DataFrame, cfg: Config) -> DataFrame:
+    return attach_topic(points, dense_cells(points, cfg))
 
 
 def connected_cells(dense: DataFrame, dims: int) -> DataFrame:
@@ -180,26 +182,29 @@ def with_cells(reduced: DataFrame, spreads: Sequence[float], cell_width: float)
     return reduced.withColumn("cell", grid_cell(axes, cell_width))
 
 
-def clustered_units(
-    documents: DataFrame, cfg: Config, cell_width: float = 1.0, min_share: float = 0.01
-) -> DataFrame:
-    """The whole path: units, vectors, reduction, density topics, names.
+def clustered_units(documents: DataFrame, cfg: Config) -> DataFrame:
+    """The whole path from texts: units, vectors, reduction, density topics, names.
+
+    The texts are read twice, to weigh their words and to write the units.
+    """
+    return cluster(cut_lineage(unit_vectors(cut_units(documents, cfg))), cfg)
+
+
+def cluster(units: DataFrame, cfg: Config) -> DataFrame:
+    """Topics and names of ``(doc_id, unit_id, text, vector)``, an ML vector from any source.
 
-    Only the few reduced numbers of a unit are written to find the dense cells; the texts
-    are then labelled in one narrow pass, neither copied nor shuffled.
+    ``units`` is read several times: pass a written table.  Texts are not shuffled.
     """
-    vectors = unit_vectors(cut_units(documents, cfg))
-    units = reduce_by_pca(vectors, cfg.reduced_dims).select("doc_id", "unit_id", "text", "reduced")
-    points = cut_lineage(units.select("reduced"))
+    model = pca(units, cfg.reduced_dims)
+    points = cut_lineage(_reduced(model, units.select("vector")).select("reduced"))
     deviations = [
         F.stddev(F.element_at("reduced", d + 1)).alias(f"s{d}") for d in range(cfg.reduced_dims)
     ]
     spreads = [s or 1.0 for s in points.agg(*deviations).first()]
-    cell_topics = cut_lineage(dense_cells(with_cells(points, spreads, cell_width), cfg, min_share))
-    clustered = attach_topic(with_cells(units, spreads, cell_width), cell_topics)
-    names = cut_lineage(topic_names(clustered))
-    named = attach_names(clustered, names)
-    return named.select("doc_id", "unit_id", "text", "topic", "topic_name")
+    cell_topics = cut_lineage(dense_cells(with_cells(points, spreads, cfg.cell_width), cfg))
+    placed = with_cells(_reduced(model, units), spreads, cfg.cell_width)
+    labelled = attach_topic(placed, cell_topics).select("doc_id", "unit_id", "text", "topic")
+    return attach_names(labelled, cut_lineage(topic_names(labelled)))
 
 
 def attach_names(units: DataFrame, names: DataFrame) -> DataFrame:

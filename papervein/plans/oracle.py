@@ -18,7 +18,7 @@ SPACES = (
     r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 )
 MAX_PHRASE = 6
-SELECTED = "(0, 2, 5, 12)"
+SELECTED = "(1, 4, 7)"
 
 
 def text(value: str) -> str:
@@ -350,7 +350,7 @@ DENSITY = [
     f"points AS (SELECT vec_id, label, [{', '.join(_AXES)}] AS cell FROM scaled)",
     f"""dense AS (
   SELECT cell, count(*) AS n FROM points GROUP BY cell
-  HAVING count(*) >= greatest({CFG.min_topic_size}, {views.MIN_SHARE} * (SELECT count(*) FROM points)))""",
+  HAVING count(*) >= {views.MIN_CELL_POINTS})""",
     f"""reach AS (
   SELECT cell AS start, cell FROM dense
   UNION SELECT r.start, d.cell FROM reach r JOIN dense d ON {_NEAR} = 1)""",

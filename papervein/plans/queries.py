@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from papervein.sources import readers
 
 CFG = Config()
 FOCUS_LABELS = ("APPLICATION", "COMPETING_MATERIAL")
-SELECTED_TOPICS = (0, 2, 5, 12)
+SELECTED_TOPICS = (1, 4, 7)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -355,7 +356,8 @@ def topic_labels(spark, folder):
 @query
 def density_topics(spark, folder):
     celled = views.celled_vectors(spark, folder, CFG)
-    return topics.density_topics(celled, CFG, views.MIN_SHARE).select("vec_id", "label", "topic")
+    cfg = replace(CFG, min_cell_points=views.MIN_CELL_POINTS)
+    return topics.density_topics(celled, cfg).select("vec_id", "label", "topic")
 
 
 @query

@@ -14,7 +14,7 @@ from papervein.plans import fixtures
 
 INGEST_DATE = "2026-01-01"
 CELL_WIDTH = 0.8
-MIN_SHARE = 0.04
+MIN_CELL_POINTS = 20
 
 
 SCHEMAS = {

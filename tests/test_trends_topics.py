@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from papervein.config import Config
-from papervein.operators import sampling, topics, trends
+from papervein.operators import joins, sampling, topics, trends
 from papervein.operators.checkpoints import checkpoint_dir
 
 CFG = Config()
@@ -143,17 +143,40 @@ def test_connected_cells(spark, seed):
     assert got == want
 
 
-def test_density_topics_with_a_hot_cell(spark):
-    cfg = Config(reduced_dims=2)
-    spots = {(0, 0): 900, (0, 1): 60, (5, 5): 300, (9, 9): 40, (3, 3): 5, (5, 4): 45}
+def celled_points(spark, spots):
     rows = [(list(c),) for c, n in spots.items() for _ in range(n)]
-    points = spark.createDataFrame(rows, "cell ARRAY<INT>").withColumn("id", F.monotonically_increasing_id())
-    tagged = topics.density_topics(points, cfg, 0.02)
-    assert tagged.count() == len(rows)
+    return spark.createDataFrame(rows, "cell ARRAY<INT>").withColumn("id", F.monotonically_increasing_id())
+
+
+SPOTS = {(0, 0): 900, (0, 1): 60, (5, 5): 300, (9, 9): 40, (3, 3): 5, (5, 4): 45}
+
+
+def test_density_topics_with_a_hot_cell(spark):
+    points = celled_points(spark, SPOTS)
+    tagged = topics.density_topics(points, Config(reduced_dims=2))
+    assert tagged.count() == sum(SPOTS.values())
     got = {tuple(r["cell"]): (r["topic"], r["count"]) for r in tagged.groupBy("cell", "topic").count().collect()}
     assert got == {(0, 0): (0, 900), (0, 1): (0, 60), (5, 5): (1, 300), (5, 4): (1, 45), (9, 9): (2, 40), (3, 3): (-1, 5)}
-    with pytest.raises(ValueError):
-        topics.density_topics(points, cfg, 0.0)
+
+
+def test_points_elsewhere_change_no_topic(spark):
+    """A cell that grows tenfold leaves all others dense or noise as they were."""
+    cfg = Config(reduced_dims=2)
+    grown = SPOTS | {(0, 0): 9000}
+    before, after = (
+        {tuple(r["cell"]): r["topic"] for r in topics.density_topics(celled_points(spark, s), cfg).distinct().collect()}
+        for s in (SPOTS, grown)
+    )
+    assert before == after
+
+
+def test_numbered_rows(spark):
+    rows = [(i * 7919 % 1000, i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "a INT, b INT").repartition(6)
+    got = joins.numbered_rows(df, "n", F.desc("a"), F.asc("b")).collect()
+    assert [(r["a"], r["b"]) for r in sorted(got, key=lambda r: r["n"])] == sorted(rows, key=lambda r: (-r[0], r[1]))
+    assert sorted(r["n"] for r in got) == list(range(1000))
+    assert joins.numbered_rows(df.limit(0), "n", F.asc("a")).count() == 0
 
 
 def test_vectors(spark):
