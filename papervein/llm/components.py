@@ -34,12 +34,11 @@ def connected(tables: Tables, edges: DataFrame) -> DataFrame:
     ``edges`` are pairs (u, v) of longs without nulls; loops and repeats do no harm.
     """
     state = tables.write(_small_star(edges.select("u", "v").where("u <> v")), "stars")
-    before = None
-    while True:
-        seen = state.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if seen == before:
-            break
-        before = seen
+    # Done when every edge ends at the root of a star, and no id has two.
+    while not (
+        state.join(state.select(F.col("u").alias("v")), "v", "left_semi").isEmpty()
+        and state.groupBy("u").count().where("count > 1").isEmpty()
+    ):
         following = tables.write(_small_star(_large_star(state)), "stars")
         tables.drop(state)
         state = following

@@ -48,7 +48,7 @@ class Search:
     percent: int = 75
     trees: int = 8
     branches: int = 2
-    small: int = 32
+    small: int = 256
     depth: int = 8
     sketch_agreement: int = 72  # of 128; 96 expected at the threshold, 5 deviations less
 
@@ -156,36 +156,54 @@ def _branch(members: DataFrame, branches: int) -> DataFrame:
     return members.select("node", "id", "tokens").mapInArrow(branched, "node long, id long")
 
 
-def _agreeing(rows: list[tuple[int, int, bytes, int]], search: Search) -> Iterator[tuple[int, int, int]]:
-    """Pairs of a small node that may be linked: (id, smaller id, sketch agreement)."""
-    ids = np.array([r[0] for r in rows])
-    order = np.argsort(ids)
-    ids, n = ids[order], np.array([r[1] for r in rows])[order]
-    label = np.array([r[3] for r in rows])[order]
-    sketch = np.frombuffer(b"".join(rows[k][2] for k in order), np.uint8).reshape(len(rows), MINWISE)
+def _agreeing(ids, n, labels, sketch, search: Search, every: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of a small node across labels that may be linked: ids, smaller ids, agreement.
+
+    ``every``: all of them; else a spanning forest of the best, one pair fewer than ids.
+    """
+    order = np.argsort(ids, kind="stable")
+    ids, n, labels, sketch = ids[order], n[order], labels[order], sketch[order]
+    left, right, agreement = [], [], []
     for k in range(1, len(ids)):
         agree = (sketch[:k] == sketch[k]).sum(1)
         low, high = np.minimum(n[:k], n[k]), np.maximum(n[:k], n[k])
-        good = (agree >= search.sketch_agreement) & (100 * low >= search.percent * high) & (label[:k] != label[k])
-        for j in np.flatnonzero(good & (ids[:k] != ids[k])):
-            yield int(ids[k]), int(ids[j]), int(agree[j])
+        good = (agree >= search.sketch_agreement) & (100 * low >= search.percent * high) & (labels[:k] != labels[k])
+        found = np.flatnonzero(good & (ids[:k] != ids[k]))
+        left.append(np.full(len(found), k))
+        right.append(found)
+        agreement.append(agree[found])
+    left, right, agreement = (np.concatenate(x or [np.empty(0, np.int64)]) for x in (left, right, agreement))
+    if not every and len(left):
+        _, group = np.unique(labels, return_inverse=True)
+        chosen = []
+        for p in np.lexsort((right, left, -agreement)):
+            x, y = group[left[p]], group[right[p]]
+            if x != y:
+                group[group == x] = y
+                chosen.append(p)
+        left, right, agreement = left[chosen], right[chosen], agreement[chosen]
+    return ids[left], ids[right], agreement
 
 
 PAIRS = "a long, b long, agree int"
 
 
-def _small_pairs(members: DataFrame, search: Search) -> DataFrame:
+def _small_pairs(members: DataFrame, search: Search, every: bool) -> DataFrame:
     """Exhaustive comparison; ``members``: (group, id, n, sketch, label), groups of bounded size."""
 
     def compared(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
+            rows = batch.column(0)
+            cut = rows.offsets.to_numpy() - rows.offsets[0].as_py()
+            ids, n, sketches, labels = rows.flatten().flatten()
+            ids, n, labels = (x.to_numpy(zero_copy_only=False) for x in (ids, n, labels))
+            sketch = B.text_bytes(sketches)[0].reshape(-1, MINWISE)
             found = [
-                pair for rows in batch.column(0).to_pylist()
-                for pair in _agreeing([(r["id"], r["n"], r["sketch"], r["label"]) for r in rows], search)
+                _agreeing(ids[i:j], n[i:j], labels[i:j], sketch[i:j], search, every) for i, j in zip(cut, cut[1:])
             ]
+            columns = [np.concatenate([f[k] for f in found] or [np.empty(0, np.int64)]) for k in range(3)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([p[k] for p in found], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int32()))],
-                names=["a", "b", "agree"],
+                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32()))], names=["a", "b", "agree"]
             )
 
     grouped = members.groupBy("group").agg(F.collect_list(F.struct("id", "n", "sketch", "label")).alias("rows"))
@@ -225,7 +243,7 @@ def _full_pairs(members: DataFrame, search: Search) -> DataFrame:
     cut = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id", "node"), "blocks"))
     paired = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     group = F.xxhash64("node", F.least("block", "other"), F.greatest("block", "other"))
-    return _small_pairs(paired.withColumn("group", group).select("group", "id", "n", "sketch", "label"), search)
+    return _small_pairs(paired.withColumn("group", group).select("group", "id", "n", "sketch", "label"), search, True)
 
 
 def _pack(codes: np.ndarray) -> bytes:
@@ -302,7 +320,7 @@ class _Groups:
 
     def __init__(self, spark: SparkSession, tables: Tables):
         self.tables = tables
-        self.labels = spark.createDataFrame([], "id long, label long")
+        self.labels = spark.createDataFrame([], "id long, label long")  # no links yet
 
     def label(self, df: DataFrame, name: str) -> DataFrame:
         """The label of a column of ids, as ``<name>_label``."""
@@ -318,64 +336,59 @@ class _Groups:
         self.labels = components.connected(self.tables, links.union(stars))
 
 
-def _settle(pairs: DataFrame, docs: DataFrame, groups: _Groups, tables: Tables, search: Search) -> None:
-    """Confirm candidate pairs until every pair across components has been confirmed or refuted.
+def _settle(pairs: DataFrame, docs: DataFrame, groups: _Groups, tables: Tables, search: Search) -> DataFrame | None:
+    """Confirm or refute candidate pairs until none is left across components; returns the refuted.
 
-    First each class's most promising pair, twice, then all that are left: most pairs
-    within a group of copies then need no confirmation.
+    First each class's most promising pair, then all that are still across components: most
+    pairs within a group of copies then need no confirmation.
     """
     pairs = tables.write(pairs.groupBy("a", "b").agg(F.max("agree").alias("agree")), "pairs")
     ids = tables.write(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
     if ids.isEmpty():
-        return
+        return None
     # Rows that repeat an id hold the same text; one is enough.
     sets = tables.write(_full_sets(docs, ids, search).dropDuplicates(["id"]), "sets")
-    for last in (False, False, True):
-        chosen = pairs if last else (
-            pairs.groupBy("a").agg(F.max(F.struct("agree", (-F.col("b")).alias("b"))).alias("best"))
-            .select("a", (-F.col("best.b")).alias("b"), "best.agree")
-        )
-        chosen = tables.write(chosen, "chosen")
+    best = pairs.groupBy("a").agg(F.max(F.struct("agree", (-F.col("b")).alias("b"))).alias("best"))
+    chosen = tables.write(best.select("a", (-F.col("best.b")).alias("b")), "chosen")
+    for last in (False, True):
         links = tables.write(_confirmed(chosen, sets, search), "links")
         if not links.isEmpty():
             groups.link(links)
-        if last:
-            break
-        pairs = tables.write(groups.across(pairs.join(chosen.select("a", "b"), ["a", "b"], "left_anti")), "pairs")
-        if pairs.isEmpty():
-            break
+        if not last:
+            left = pairs.select("a", "b").join(chosen, ["a", "b"], "left_anti")
+            chosen = tables.write(groups.across(left), "chosen")
+            if chosen.isEmpty():
+                break
+    tables.drop(sets)
+    return groups.across(pairs.select("a", "b"))
 
 
 def _link_classes(sets: DataFrame, docs: DataFrame, tables: Tables, search: Search) -> DataFrame:
     """Labels (id, label) of linked classes; ``sets``: (id, n, sketch, tokens)."""
-    spark = docs.sparkSession
-    groups = _Groups(spark, tables)
+    groups = _Groups(docs.sparkSession, tables)
     roots = F.explode(F.array(*(F.lit(int(x)) for x in _numbers(search.trees, 5).view(np.int64)))).alias("node")
     grown = _branch(sets.select(roots, "id", "tokens"), search.branches)
     narrow = sets.select("id", "n", "sketch")
     for level in range(1, search.depth + 1):
-        members = tables.write(grown.distinct(), "members")
+        members = grown.distinct() if level > 1 else grown
+        members = tables.write(members, "members")
         # The pivot is the class that comes first in one random order of all classes.
         nodes = (
             members.groupBy("node")
             .agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("id"), "id")).alias("first"))
             .where("size > 1").select("node", "size", F.col("first.id").alias("pivot"))
         )
-        inside = groups.label(members.join(nodes, "node").join(narrow, "id"), "id").withColumnRenamed("id_label", "label")
-        inside = tables.write(inside, "inside")
-        small = inside.where(F.col("size") <= search.small).withColumnRenamed("node", "group")
+        inside = tables.write(members.join(nodes, "node"), "inside")
+        tables.drop(members)
+        # A spanning forest of each small node, then what its classes still leave across components.
+        _settle(_node_pairs(inside, narrow, groups, search, False), docs, groups, tables, search)
+        _settle(_node_pairs(_open(inside, groups), narrow, groups, search, True), docs, groups, tables, search)
         large = inside.where(F.col("size") > search.small)
-        pairs = _small_pairs(small, search).union(_pivot_pairs(large.where("id <> pivot"), narrow, search))
         if level == search.depth:
-            pairs = pairs.union(_full_pairs(large, search))
-        _settle(pairs, docs, groups, tables, search)
-        large = groups.label(large.select("node", "id"), "id")
-        open_nodes = (
-            large.groupBy("node").agg(F.min("id_label").alias("low"), F.max("id_label").alias("high"))
-            .where("low <> high").select("node")
-        )
-        large = tables.write(large.select("node", "id").join(open_nodes, "node"), "open")
-        tables.drop(members)
+            rest = _open(large, groups).join(narrow, "id").withColumnRenamed("id_label", "label")
+            _settle(_full_pairs(rest, search), docs, groups, tables, search)
+            break
+        large = tables.write(_open(large, groups).select("node", "id"), "open")
         tables.drop(inside)
         if large.isEmpty():
             break
@@ -383,6 +396,27 @@ def _link_classes(sets: DataFrame, docs: DataFrame, tables: Tables, search: Sear
     return groups.labels
 
 
+def _open(inside: DataFrame, groups: _Groups) -> DataFrame:
+    """The members of nodes whose classes are in more than one component, with their labels."""
+    labelled = groups.label(inside, "id")
+    nodes = (
+        labelled.groupBy("node").agg(F.min("id_label").alias("low"), F.max("id_label").alias("high"))
+        .where("low <> high").select("node")
+    )
+    return labelled.join(nodes, "node")
+
+
+def _node_pairs(inside: DataFrame, narrow: DataFrame, groups: _Groups, search: Search, every: bool) -> DataFrame:
+    """Candidate pairs of all nodes: within small ones, and with the pivot of large ones."""
+    labelled = inside if "id_label" in inside.columns else groups.label(inside, "id")
+    full = labelled.join(narrow, "id").withColumnRenamed("id_label", "label")
+    small = full.where(F.col("size") <= search.small).withColumnRenamed("node", "group")
+    pairs = _small_pairs(small, search, every)
+    if every:  # pairs with pivots have been settled before
+        return pairs
+    return pairs.union(_pivot_pairs(full.where((F.col("size") > search.small) & (F.col("id") != F.col("pivot"))), narrow, search))
+
+
 def classify(docs: DataFrame, search: Search = Search()) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document."""
     tables = Tables(docs.sparkSession, "near-dup")

@@ -49,7 +49,7 @@ def corpus(seed):
     return texts
 
 
-@pytest.mark.parametrize("small,depth", [(4, 8), (4, 1)])
+@pytest.mark.parametrize("small,depth", [(16, 3), (4, 1)])
 def test_against_all_pairs(spark, small, depth):
     texts = dict(enumerate(corpus(small * 10 + depth)))
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
