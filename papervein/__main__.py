@@ -8,12 +8,18 @@
     python -m papervein trends     --root OUT
     python -m papervein bridge     --root OUT
     python -m papervein evaluate   --root OUT
+
+Any stage takes --threshold, --unit, --start-year, --end-year, --period-years and the other
+parameters listed by --help.  --aliases, --bounds and --roles are CSV files with a header that
+replace the built-in tables.
 """
 
 from __future__ import annotations
 
 import argparse
 import datetime
+import sys
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
@@ -25,22 +31,54 @@ from papervein.sources.workspace import Workspace
 STAGES = ("corpus", "filter", "entities", "normalise", "topics", "trends", "bridge", "evaluate")
 
 
+# Parameters of ``Config`` that can be given, by option.
+PARAMETERS = {
+    "threshold": ("relevance_threshold", int), "unit": ("cluster_unit", str),
+    "chunk-chars": ("chunk_chars", int), "chunk-min-chars": ("chunk_min_chars", int),
+    "start-year": ("start_year", int), "end-year": ("end_year", int), "period-years": ("period_years", int),
+    "min-topic-size": ("min_topic_size", int), "min-cell-points": ("min_cell_points", int),
+    "cell-width": ("cell_width", float), "dims": ("reduced_dims", int), "seed": ("seed", int),
+    "price-constant": ("price_constant", float),
+}
+TABLES = {
+    "aliases": "label STRING, surface STRING, canonical STRING",
+    "bounds": "resolved_property STRING, low DOUBLE, high DOUBLE",
+    "roles": "label STRING, cost_role STRING",
+}
+
+
+def parser() -> argparse.ArgumentParser:
+    out = argparse.ArgumentParser(prog="papervein")
+    out.add_argument("stage", choices=STAGES)
+    out.add_argument("--root", required=True)
+    for name in ("documents", "bibliography", "manual", "lexicon", *TABLES):
+        out.add_argument(f"--{name}")
+    out.add_argument("--glob", default="*.txt", help="file names to read below --documents")
+    out.add_argument("--ingest-date", default=datetime.date.today().isoformat())
+    out.add_argument("--selected-topics", type=lambda s: tuple(map(int, s.split(","))), default=())
+    for option, (name, kind) in PARAMETERS.items():
+        out.add_argument(f"--{option}", dest=name, type=kind)
+    return out
+
+
+def config(args: argparse.Namespace) -> Config:
+    given = {name: getattr(args, name) for name, _ in PARAMETERS.values()}
+    return replace(Config(), **{name: value for name, value in given.items() if value is not None})
+
+
 def main(arguments: list[str] | None = None) -> None:
-    parser = argparse.ArgumentParser(prog="papervein")
-    parser.add_argument("stage", choices=STAGES)
-    parser.add_argument("--root", required=True)
-    parser.add_argument("--documents")
-    parser.add_argument("--bibliography")
-    parser.add_argument("--manual")
-    parser.add_argument("--lexicon")
-    parser.add_argument("--ingest-date", default=datetime.date.today().isoformat())
-    args = parser.parse_args(arguments)
+    args = parser().parse_args(arguments)
     spark = SparkSession.builder.appName(f"papervein-{args.stage}").getOrCreate()
-    ws, cfg = Workspace(spark, args.root), Config()
+    ws, cfg = Workspace(spark, args.root), config(args)
+
+    def given(name: str):
+        path = getattr(args, name)
+        return spark.read.csv(path, header=True, schema=TABLES[name]) if path else None
+
     if args.stage == "corpus":
         stages.build_corpus(
             ws,
-            readers.read_text_documents(spark, args.documents),
+            readers.read_text_documents(spark, args.documents, args.glob),
             readers.read_bibliography(spark, args.bibliography),
             readers.read_manual_years(spark, args.manual),
             args.ingest_date,
@@ -48,15 +86,18 @@ def main(arguments: list[str] | None = None) -> None:
     elif args.stage == "filter":
         stages.filter_corpus(ws, cfg)
     elif args.stage == "entities":
-        stages.extract_entities(ws, cfg, readers.read_lexicon(spark, args.lexicon))
+        report = readers.lexicon_report(spark, args.lexicon)
+        stages.extract_entities(ws, cfg, readers.read_lexicon(spark, args.lexicon), report)
+        for row in ws.required("lexicon_report").where("missing").collect():  # the expected files at most
+            print(f"warning: no lexicon file {row['file']}, so no {row['label']} terms", file=sys.stderr)
     elif args.stage == "normalise":
-        stages.normalise_entities(ws, cfg)
+        stages.normalise_entities(ws, cfg, given("aliases"), given("bounds"))
     elif args.stage == "topics":
-        stages.cluster_units(ws, cfg)
+        stages.cluster_units(ws, cfg, args.selected_topics)
     elif args.stage == "trends":
-        stages.trends_over_time(ws, cfg)
+        stages.trends_over_time(ws, cfg, args.selected_topics)
     elif args.stage == "bridge":
-        stages.bridge_costs(ws, cfg)
+        stages.bridge_costs(ws, cfg, given("roles"))
     else:
         stages.evaluate(ws, cfg)
 

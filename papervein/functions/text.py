@@ -14,11 +14,15 @@ from pyspark.sql import functions as F
 WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
 
 # Alternatives are tried in order, so the order decides how codes split:
-# "M300-35A" gives M300 - 35A, "2.3 W/kg" gives 2.3 W / kg, "50A470" stays whole.
+# "M300-35A" gives M300 - 35A, "50A470" stays whole, and a unit parts from its number
+# however many digits that has: "45MPa" gives 45 MPa, "12W/kg" gives 12 W / kg.  Two digits
+# and capitals are one token if a digit follows, as in a grade, or if the one capital ends
+# the word and is no unit (T, W).
 TOKEN = (
     r"W\d+(?:\.\d+)?/\d+k?"
     r"|(?:wt|mass)%"
-    r"|\d{2}[A-Z][A-Za-z0-9]*"
+    r"|\d{2}[A-Z]+\d[A-Za-z0-9]*"
+    r"|\d{2}[A-SUVX-Z]\b"
     r"|\d+(?:\.\d+)?"
     r"|\p{L}[\p{L}\p{N}_]*"
     r"|\S"
@@ -45,6 +49,11 @@ def basename(path: Column) -> Column:
     return F.element_at(F.split(path, "/", -1), -1)
 
 
+def stem(filename: Column) -> Column:
+    """The name without the extension of a paper or of its text, so that both meet."""
+    return F.regexp_replace(filename, r"(?i)\.(pdf|txt)$", "")
+
+
 def running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
     """Running sums, maxima or the like of an array, by doubling.
 

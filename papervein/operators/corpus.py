@@ -33,36 +33,39 @@ def canonical_rows(pages: DataFrame, ingest_date: str) -> DataFrame:
 
 
 def year_table(bibliography: DataFrame, manual: DataFrame) -> DataFrame:
-    """One year per file name.
+    """``(stem, year)``: one year per file name without its extension.
 
     ``bibliography(ordinal, attachment, year)`` rows need both values;
     ``manual(ordinal, filename, year)`` overrides it; in each, the last row wins.
     """
     listed = bibliography.dropna(subset=["attachment", "year"]).select(
-        tx.basename(F.col("attachment")).alias("filename"),
+        tx.stem(tx.basename(F.col("attachment"))).alias("stem"),
         F.col("ordinal").cast("long").alias("at"),
         _whole_year(F.col("year")).alias("year"),
     )
     corrected = manual.select(
-        "filename",
+        tx.stem(F.col("filename")).alias("stem"),
         (F.col("ordinal").cast("long") + F.lit(MANUAL_AFTER)).alias("at"),
         _whole_year(F.col("year")).alias("year"),
     )
     rows = listed.unionByName(corrected)
-    return rows.groupBy("filename").agg(F.max_by("year", "at").alias("year"))
+    return rows.groupBy("stem").agg(F.max_by("year", "at").alias("year"))
 
 
 def _whole_year(year: Column) -> Column:
-    return F.floor(year.cast("string").try_cast("double")).cast("int")
+    """The year as a whole number; NULL for what is no number, not finite, or out of range."""
+    number = year.cast("string").try_cast("double")
+    return F.when(F.abs(number) < 1e9, F.floor(number)).cast("int")
 
 
 def attach_year(documents: DataFrame, years: DataFrame) -> DataFrame:
-    """Left join on the file name; a document without an entry gets a NULL year.
+    """Left join on the file name without extension; no entry gives a NULL year.
 
     Pass described documents: texts would be shuffled with a year table too large to broadcast.
     """
     named = documents.withColumn("filename", tx.basename(F.col("source_path")))
-    return named.join(sized(years), "filename", "left")
+    stemmed = named.withColumn("stem", tx.stem(F.col("filename")))
+    return stemmed.join(sized(years), "stem", "left").drop("stem")
 
 
 def described(documents: DataFrame) -> DataFrame:
@@ -89,14 +92,15 @@ def ingest_summary(documents: DataFrame) -> DataFrame:
 
 
 def bibliography_gaps(documents: DataFrame, bibliography: DataFrame) -> DataFrame:
-    """Files without a bibliography entry, and entries without a file."""
-    files = documents.select(tx.basename(F.col("source_path")).alias("filename")).distinct()
-    entries = (
-        bibliography.where(F.col("attachment").isNotNull())
-        .select(tx.basename(F.col("attachment")).alias("filename")).distinct()
+    """Files without a bibliography entry, and entries without a file, extensions aside."""
+    listed = bibliography.where(F.col("attachment").isNotNull())
+    files, entries = (
+        table.select(tx.basename(F.col(path)).alias("filename")).distinct()
+        .withColumn("stem", tx.stem(F.col("filename")))
+        for table, path in ((documents, "source_path"), (listed, "attachment"))
     )
-    unlisted = files.join(entries, "filename", "left_anti")
-    absent = entries.join(files, "filename", "left_anti")
+    unlisted = files.join(entries, "stem", "left_anti")
+    absent = entries.join(files, "stem", "left_anti")
     return unlisted.select("filename", F.lit("not_in_bibliography").alias("gap")).unionByName(
         absent.select("filename", F.lit("file_absent").alias("gap"))
     )

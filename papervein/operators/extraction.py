@@ -166,12 +166,13 @@ def candidates(
     first_words: list[str] | None = []
     if lexicon is not None:
         phrases = lexicon_phrases(lexicon)
-        firsts = phrases.groupBy("first_token").agg(F.collect_set("phrase_tokens").alias("phrase_lengths"))
+        length = F.struct(F.lit(None).cast("string").alias("label"), F.col("phrase_tokens").alias("n_tokens"))
+        firsts = phrases.groupBy("first_token").agg(F.collect_set(length).alias("phrase_spans"))
         some = firsts.select("first_token").limit(MAX_FIRST_WORDS + 1).collect()
         first_words = [row[0] for row in some] if len(some) <= MAX_FIRST_WORDS else None
         if fits_broadcast(phrases, max_broadcast_bytes):
             phrases, firsts = F.broadcast(phrases), F.broadcast(firsts)
-        elif fits_broadcast(firsts.select("first_token", F.to_json("phrase_lengths")), max_broadcast_bytes):
+        elif fits_broadcast(firsts.select("first_token", F.to_json("phrase_spans")), max_broadcast_bytes):
             firsts = F.broadcast(firsts)
     hold = _may_hold(F.col("sentence"), cfg, first_words)
     split = with_tokens(parts if hold is None else parts.where(hold))
@@ -189,20 +190,17 @@ def _opened(placed: DataFrame, cfg: Config, firsts: DataFrame | None) -> DataFra
     pos = F.col("pos")
     # One test per token decides whether the full patterns are tried there.
     begins = _may_start(F.col("token"), cfg.patterns)
-    opened = F.array().cast("array<struct<label: string, n_tokens: int>>")
+    # No lambda from here on: it would copy the sentence's arrays for every token.
+    opened = nothing = F.array().cast("array<struct<label: string, n_tokens: int>>")
     if cfg.patterns:
-        opened = F.filter(F.array(*[
+        opened = F.array(*[
             F.when(_matches_at(p, pos), F.struct(F.lit(p.label).alias("label"), F.lit(p.n_tokens).alias("n_tokens")))
             for p in cfg.patterns
-        ]), lambda hit: hit.isNotNull())
+        ])
     if firsts is not None:
         rows = rows.join(firsts, F.col("token") == F.col("first_token"), "left")
         begins = begins | F.col("first_token").isNotNull()
-        nothing = F.array().cast("array<int>")
-        opened = F.concat(opened, F.transform(
-            F.coalesce("phrase_lengths", nothing),
-            lambda n: F.struct(F.lit(None).cast("string").alias("label"), n.alias("n_tokens")),
-        ))
+        opened = F.concat(opened, F.coalesce("phrase_spans", nothing))
     hits = rows.where(begins).withColumn("_hit", F.explode_outer(opened)).where(F.col("_hit").isNotNull())
     count = F.col("_hit.n_tokens")
     spans = hits.select(

@@ -211,6 +211,11 @@ def attach_names(units: DataFrame, names: DataFrame) -> DataFrame:
     return units.join(sized(names.select("topic", F.col("name").alias("topic_name"))), "topic", "left")
 
 
+def named_trends(matrix: DataFrame, names: DataFrame) -> DataFrame:
+    """A trend matrix by topic with the topics' names."""
+    return attach_names(matrix, names)
+
+
 def sizes(units: DataFrame) -> DataFrame:
     return units.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 

@@ -113,6 +113,14 @@ def period_shares(
     )
 
 
+def top_shares(
+    counts: DataFrame, per_period: DataFrame, category: str, cfg: Config, n: int = 8
+) -> DataFrame:
+    """Shares of the n categories with the largest totals, among those n only."""
+    best = top_categories(counts, category, cfg, n).select(category)
+    return period_shares(counts.join(F.broadcast(best), category, "left_semi"), per_period, category, cfg)
+
+
 def unitisation_comparison(
     rows: DataFrame, documents: DataFrame, category: str, cfg: Config
 ) -> DataFrame:

@@ -10,7 +10,6 @@ from __future__ import annotations
 from papervein import config
 from papervein.config import GRADE_PATTERNS, MEASUREMENT_PATTERNS, Config, TokenPattern, TokenTest
 from papervein.functions.prices import THICKNESS_PATTERNS
-from papervein.functions.text import PIECE, TOKEN
 from papervein.plans import fixtures, views
 
 CFG = Config()
@@ -18,6 +17,12 @@ SPACES = (
     r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 )
 MAX_PHRASE = 6
+# The token grammar, stated again for this engine.
+TOKEN = (
+    r"W[0-9]+(?:[.][0-9]+)?/[0-9]+k?|wt%|mass%|[0-9]{2}[A-Z]+[0-9][0-9A-Za-z]*|[0-9]{2}[A-SUVX-Z]\b"
+    r"|[0-9]+(?:[.][0-9]+)?|\p{L}[\p{L}\p{N}_]*|[^\s]"
+)
+PIECE = f"(?:{TOKEN}) ?"
 SELECTED = "(1, 4, 7)"
 
 
@@ -51,10 +56,15 @@ _POOLS = (
     fixtures.GRADE_SENTENCES, fixtures.USE_SENTENCES, fixtures.STRENGTH_SENTENCES,
     fixtures.SUBJECT_SENTENCES,
 )
+_TABLE = (
+    "'Sheet strength ' || 10 + doc_id % 85 || 'MPa' || chr(10) || 180 + doc_id % 700 || 'MPa |' || chr(9) || 200 + doc_id % 500 "
+    "|| chr(10) || 'MPa loss ' || 1 + doc_id % 97 || 'W/kg ' || 2 + doc_id % 7 || '.' || doc_id % 10 || ' W/kg at 1.' "
+    "|| doc_id % 10 || 'T and 15T code 50A' || 210 + doc_id % 790 || chr(10) || doc_id % 7 || '.' || doc_id % 10 || ' % Si'"
+)
 LITERATURE = f"""literature AS (
-  SELECT doc_id, '/corpus/' || source || '/' || doc_id || '.txt' AS source_path,
+  SELECT doc_id, '/corpus/' || source || '/' || doc_id || ' - 50% a+b.txt' AS source_path,
          CASE WHEN lang <> 'es' THEN CAST(1985 + doc_id % 41 AS INTEGER) END AS year,
-         {clean("concat_ws(' ', text, " + ", ".join(map(_pick, _POOLS)) + ")")} AS text
+         {clean("concat_ws(' ', text, " + ", ".join(map(_pick, _POOLS)) + ", " + _TABLE + ")")} AS text
   FROM documents)"""
 _HITS = " + ".join(
     f"CAST(contains(low, {text(term.lower())}) AS INTEGER)" for term in CFG.domain_terms
@@ -363,41 +373,42 @@ DENSITY = [
 
 # ---- corpus ------------------------------------------------------------------
 
-_PATH = "'/corpus/' || source || '/' || documents.doc_id || '.txt'"
+_PATH = "'/corpus/' || source || '/' || documents.doc_id || ' - 50% a+b.txt'"
+_ATTACHMENT = "'/corpus/' || source || '/' || doc_id || ' - 50% a+b' || CASE WHEN doc_id % 2 = 0 THEN '.pdf' ELSE '.txt' END"
+_STEM = "regexp_replace({}, '[.](pdf|txt)$', '', 'i')"
 INGEST = [
     f"""raw_pages AS (
-  SELECT {_PATH} AS source_path,
-         CASE WHEN lang <> 'de' THEN text END AS page_text
-  FROM documents)""",
+  SELECT {_PATH} AS source_path, text AS page_text FROM documents
+  UNION ALL SELECT '/corpus/unread/u' || item_id || '.txt', NULL FROM benchmark)""",
     f"""ingested AS (
   SELECT md5(source_path) AS doc_id, source_path,
          {clean("array_to_string(string_split(page_text, chr(10)), ' ')")} AS text
   FROM raw_pages)""",
 ]
 BIBLIOGRAPHY = f"""bibliography AS (
-  SELECT doc_id AS ordinal, {_PATH.replace('documents.', '')} AS attachment,
+  SELECT doc_id AS ordinal, {_ATTACHMENT} AS attachment,
          (1985 + doc_id % 41) || '.0' AS year FROM documents JOIN labels USING (doc_id)
   UNION ALL
-  SELECT doc_id + 1000000000, {_PATH.replace('documents.', '')},
+  SELECT doc_id + 1000000000, {_ATTACHMENT},
          CASE WHEN quality = 1 THEN (1986 + doc_id % 41)::VARCHAR END
   FROM documents JOIN labels USING (doc_id)
   UNION ALL
   SELECT item_id, '/corpus/bench/b' || item_id || '.txt', '2001' FROM benchmark)"""
 YEARS = [
     BIBLIOGRAPHY,
-    """all_years AS (
-  SELECT regexp_extract(attachment, '[^/]*$') AS filename, 0 AS source, ordinal, year
+    f"""all_years AS (
+  SELECT {_STEM.format("regexp_extract(attachment, '[^/]*$')")} AS stem, 0 AS source, ordinal, year
   FROM bibliography WHERE attachment IS NOT NULL AND year IS NOT NULL
   UNION ALL
-  SELECT doc_id || '.txt', 1, doc_id, (1990 + doc_id % 30)::VARCHAR FROM labels WHERE toxic = 1)""",
+  SELECT doc_id || ' - 50% a+b', 1, doc_id, (1990 + doc_id % 30)::VARCHAR FROM labels WHERE toxic = 1)""",
     """years AS (
-  SELECT filename, CAST(floor(TRY_CAST(year AS DOUBLE)) AS INTEGER) AS year FROM all_years
-  QUALIFY row_number() OVER (PARTITION BY filename ORDER BY source DESC, ordinal DESC) = 1)""",
+  SELECT stem, CAST(floor(TRY_CAST(year AS DOUBLE)) AS INTEGER) AS year FROM all_years
+  QUALIFY row_number() OVER (PARTITION BY stem ORDER BY source DESC, ordinal DESC) = 1)""",
 ]
 DATED_DOCS = INGEST + YEARS + [
-    """dated_documents AS (
+    f"""dated_documents AS (
   SELECT i.*, regexp_extract(source_path, '[^/]*$') AS filename, y.year
-  FROM ingested i LEFT JOIN years y ON y.filename = regexp_extract(source_path, '[^/]*$'))"""
+  FROM ingested i LEFT JOIN years y ON y.stem = {_STEM.format("regexp_extract(source_path, '[^/]*$')")})"""
 ]
 _WORDS = f"len(list_filter(string_split_regex(text, '{SPACES}'), lambda w: w <> ''))"
 TOKEN_COUNTS = f"token_counts AS (SELECT doc_id, {_WORDS} AS token_count FROM documents)"
@@ -419,6 +430,16 @@ _SENSITIVITY = ", ".join(
     for n, f in (("plus10", 1.1), ("minus10", 0.9))
 )
 
+_TOP_SHARES = f"""SELECT c.bucket_label, canonical_entity, n, total::BIGINT AS total, (running - n)::BIGINT AS "offset", n_docs,
+  CASE WHEN n / total::DOUBLE * 100 >= 1 THEN round_even(n / total::DOUBLE * 100, 0)::INTEGER END AS pct
+FROM (SELECT *, sum(n) OVER (PARTITION BY bucket) AS total,
+        sum(n) OVER (PARTITION BY bucket ORDER BY canonical_entity ROWS UNBOUNDED PRECEDING) AS running
+      FROM counts WHERE bucket_label IN ({_ON_SPINE}) AND canonical_entity IN (SELECT canonical_entity FROM best)) c
+LEFT JOIN per_period p ON p.bucket = c.bucket"""
+_TOPIC_NAMES = """SELECT topic, topic || '_' || string_agg(term, '_' ORDER BY weight DESC, term) AS name
+  FROM (SELECT * FROM weights QUALIFY row_number() OVER (PARTITION BY topic ORDER BY weight DESC, term) <= 4)
+  GROUP BY topic"""
+
 ORACLE: dict[str, str] = {
     "ingest_documents": with_(INGEST, f"""SELECT doc_id, source_path, text, 'paper' AS source_type,
       'fulltext' AS text_source, 'local_pdf_zotero' AS origin, NULL::VARCHAR AS title,
@@ -426,14 +447,15 @@ ORACLE: dict[str, str] = {
     "ingest_summary": with_(DATED_DOCS, """SELECT count(*) AS total, count(text) AS extracted,
       count(*) FILTER (text IS NULL) AS failed, count(*) FILTER (year IS NULL) AS missing_years
       FROM dated_documents"""),
-    "year_lookup": with_(YEARS, "SELECT filename, year FROM years"),
+    "year_lookup": with_(YEARS, "SELECT stem, year FROM years"),
     "documents_with_year": with_(DATED_DOCS, "SELECT doc_id, source_path, filename, year FROM dated_documents"),
     "missing_years": with_(DATED_DOCS, "SELECT filename FROM dated_documents WHERE year IS NULL"),
-    "bibliography_gaps": with_(INGEST + [BIBLIOGRAPHY, """files AS (
-      SELECT DISTINCT regexp_extract(source_path, '[^/]*$') AS filename FROM ingested)""",
-      "entries AS (SELECT DISTINCT regexp_extract(attachment, '[^/]*$') AS filename FROM bibliography)"],
-      """SELECT filename, 'not_in_bibliography' AS gap FROM files WHERE filename NOT IN (SELECT filename FROM entries)
-      UNION ALL SELECT filename, 'file_absent' FROM entries WHERE filename NOT IN (SELECT filename FROM files)"""),
+    "bibliography_gaps": with_(INGEST + [BIBLIOGRAPHY, f"""files AS (
+      SELECT DISTINCT regexp_extract(source_path, '[^/]*$') AS filename, {_STEM.format("filename")} AS stem FROM ingested)""",
+      f"""entries AS (
+      SELECT DISTINCT regexp_extract(attachment, '[^/]*$') AS filename, {_STEM.format("filename")} AS stem FROM bibliography)"""],
+      """SELECT filename, 'not_in_bibliography' AS gap FROM files WHERE stem NOT IN (SELECT stem FROM entries)
+      UNION ALL SELECT filename, 'file_absent' FROM entries WHERE stem NOT IN (SELECT stem FROM files)"""),
     "corpus_tokens": with_([TOKEN_COUNTS], "SELECT * FROM token_counts ORDER BY token_count DESC, doc_id"),
     "corpus_token_summary": with_([TOKEN_COUNTS], """SELECT sum(token_count)::BIGINT AS total_tokens,
       round(avg(token_count), 6) AS mean_tokens, min(token_count) AS min_tokens, max(token_count) AS max_tokens
@@ -469,8 +491,10 @@ ORACLE: dict[str, str] = {
       WHERE scope_tag IS NOT NULL GROUP BY scope_tag"""),
     "entities_per_document": with_(ENTITIES, """SELECT doc_id, count(*) AS entity_count FROM entities
       GROUP BY doc_id ORDER BY entity_count DESC, doc_id"""),
-    "zero_mention_documents": with_([LITERATURE, *entity_ctes("literature")], """SELECT doc_id FROM literature
-      WHERE doc_id NOT IN (SELECT doc_id FROM entities WHERE label = 'MPA_VALUE')"""),
+    "zero_mention_documents": with_([LITERATURE, CLEAN, """mixed AS (
+      SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN c.text ELSE l.text END AS text
+      FROM literature l JOIN clean_documents c USING (doc_id))""", *entity_ctes("mixed")],
+      "SELECT doc_id FROM mixed WHERE doc_id NOT IN (SELECT doc_id FROM entities)"),
     "distinct_measures": with_(ENTITIES, f"""SELECT DISTINCT label, entity_text FROM entities
       WHERE label IN ({_UNITS}) ORDER BY label, entity_text"""),
     "domain_mentions": with_(ENTITIES, f"""SELECT doc_id, start_char, label, entity_text FROM entities
@@ -537,6 +561,13 @@ ORACLE: dict[str, str] = {
               sum(n) OVER (PARTITION BY bucket ORDER BY canonical_entity ROWS UNBOUNDED PRECEDING) AS running
             FROM counts WHERE bucket_label IN ({_ON_SPINE})) c
       LEFT JOIN per_period p ON p.bucket = c.bucket"""),
+    "application_shares": with_(NORMAL + counts(SUBTYPE.format("application"), "canonical_entity", "relevant")
+      + [_PER_PERIOD.format(src="relevant"), f"best AS ({top('canonical_entity', 8)})"], _TOP_SHARES),
+    "component_shares": with_(NORMAL + counts(SUBTYPE.format("component"), "canonical_entity", "relevant")
+      + [_PER_PERIOD.format(src="relevant"), f"best AS ({top('canonical_entity', 8)})"], _TOP_SHARES),
+    "topic_named_trends": with_([LITERATURE] + WEIGHTS + counts("SELECT * FROM units", "topic", "literature")
+      + [f"trend AS ({matrix('topic')})", f"named AS ({_TOPIC_NAMES})"],
+      "SELECT trend.*, named.name AS topic_name FROM trend LEFT JOIN named USING (topic)"),
     "unitisation_comparison": with_(NORMAL + counts(COMPETITORS, "label", "relevant", "docs", "d")
       + counts(COMPETITORS, "label", "relevant", "mentions", "m"),
       f"SELECT * FROM ({matrix('label', 'd', '_docs')}) JOIN ({matrix('label', 'm', '_mentions')}) USING (label)"),

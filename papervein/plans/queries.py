@@ -235,10 +235,9 @@ def entities_per_document(spark, folder):
 
 @query
 def zero_mention_documents(spark, folder):
-    literature = views.literature(spark, folder)
-    entities = extraction.entity_table(literature, CFG, views.lexicon(spark))
-    strengths = entities.where(F.col("label") == "MPA_VALUE")
-    return extraction.without_mentions(literature, strengths)
+    mixed = views.mixed_literature(spark, folder)
+    entities = extraction.entity_table(mixed, CFG, views.lexicon(spark))
+    return extraction.without_mentions(mixed, entities)
 
 
 @query
@@ -484,6 +483,28 @@ def period_shares(spark, folder):
     return trends.period_shares(counts, per_period, "canonical_entity", CFG)
 
 
+def _top_shares(spark, folder, subtype):
+    counts = _counts(spark, folder, _subtype(spark, folder, subtype))
+    per_period = trends.documents_per_period(_relevant_years(spark, folder), CFG)
+    return trends.top_shares(counts, per_period, "canonical_entity", CFG)
+
+
+@query
+def application_shares(spark, folder):
+    return _top_shares(spark, folder, "application")
+
+
+@query
+def component_shares(spark, folder):
+    return _top_shares(spark, folder, "component")
+
+
+@query
+def topic_named_trends(spark, folder):
+    matrix = trends.trend_matrix(_topic_counts(spark, folder), "topic", CFG)
+    return topics.named_trends(matrix, topics.topic_names(views.assigned_topics(spark, folder, CFG)))
+
+
 @query
 def unitisation_comparison(spark, folder):
     return trends.unitisation_comparison(

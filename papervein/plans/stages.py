@@ -52,7 +52,11 @@ def _relevant_years(ws: Workspace) -> DataFrame:
     return ws.required("relevance").where("is_relevant").select("doc_id", "year")
 
 
-def extract_entities(ws: Workspace, cfg: Config, lexicon: DataFrame) -> DataFrame:
+def extract_entities(
+    ws: Workspace, cfg: Config, lexicon: DataFrame, lexicon_report: DataFrame | None = None
+) -> DataFrame:
+    if lexicon_report is not None:
+        ws.write(lexicon_report, "lexicon_report")
     table = extraction.entity_table(_relevant_texts(ws, cfg), cfg, lexicon)
     entities = ws.write(table, "entities", partition_by="label")
     ws.write(extraction.label_counts(entities), "label_counts")
@@ -68,12 +72,22 @@ def normalise_entities(
     aliases = normalise.default_aliases(ws.spark) if aliases is None else aliases
     bounds = normalise.default_bounds(ws.spark) if bounds is None else bounds
     table = normalise.normalise(ws.required("entities"), cfg, aliases, bounds)
-    return ws.write(table, "normalised", partition_by="label")
+    normalised = ws.write(table, "normalised", partition_by="label")
+    ws.write(normalise.alias_pairs(normalised), "alias_pairs")
+    ws.write(normalise.subtype_members(normalised), "subtype_members")
+    ws.write(sampling.label_samples(normalised), "label_samples")
+    ws.write(sampling.value_preview(normalised), "value_preview")
+    return normalised
 
 
-def cluster_units(ws: Workspace, cfg: Config) -> DataFrame:
+def cluster_units(ws: Workspace, cfg: Config, selected: tuple[int, ...] = ()) -> DataFrame:
+    """Topics of the relevant texts; names and sizes come from the written units."""
     units = ws.write(topics.clustered_units(_relevant_texts(ws, cfg), cfg), "units")
-    ws.write(topics.topic_names(units), "topics")
+    named = units.groupBy("topic").agg(
+        F.count(F.lit(1)).alias("n_units"), F.min("topic_name").alias("name")
+    )
+    ws.write(named, "topics")
+    ws.write(topics.largest(units, 12, selected), "topic_top_sizes")
     return units
 
 
@@ -84,9 +98,11 @@ def trends_over_time(ws: Workspace, cfg: Config, selected: tuple[int, ...] = ())
     units = ws.optional("units")
     if units is not None:
         counts = ws.write(trends.prevalence(units, documents, "topic", cfg), "topic_counts")
-        ws.write(trends.trend_matrix(counts, "topic", cfg), "topic_trends")
+        names = ws.required("topics")
+        ws.write(topics.named_trends(trends.trend_matrix(counts, "topic", cfg), names), "topic_trends")
         real = counts.where(F.col("topic") != topics.NOISE)
-        ws.write(trends.top_categories(real, "topic", cfg, 5), "topic_trends_top")
+        best = trends.top_categories(real, "topic", cfg, 5)
+        ws.write(topics.named_trends(best, names), "topic_trends_top")
         if selected:
             chosen = counts.where(F.col("topic").isin(*selected))
             ws.write(trends.trend_matrix(chosen, "topic", cfg), "topic_trends_selected")
@@ -102,7 +118,10 @@ def trends_over_time(ws: Workspace, cfg: Config, selected: tuple[int, ...] = ())
             found = trends.prevalence(entities.where(chosen), documents, "canonical_entity", cfg)
             counts = ws.write(found, f"{name}_counts")
             ws.write(trends.trend_matrix(counts, "canonical_entity", cfg), f"{name}_trends")
-            shares = trends.period_shares(counts, per_period, "canonical_entity", cfg)
+            if name == "competitor":
+                shares = trends.period_shares(counts, per_period, "canonical_entity", cfg)
+            else:  # shares among the eight largest
+                shares = trends.top_shares(counts, per_period, "canonical_entity", cfg)
             ws.write(shares, f"{name}_shares")
         labels = ("APPLICATION", "COMPETING_MATERIAL")
         labelled = entities.where(F.col("label").isin(*labels))
@@ -119,6 +138,8 @@ def bridge_costs(ws: Workspace, cfg: Config, roles: DataFrame | None = None) ->
     ws.write(pricing.role_counts(bridge), "cost_role_counts")
     ws.write(pricing.thickness_recall(bridge, cfg), "thickness_recall")
     ws.write(pricing.thickness_groups(bridge), "thickness_groups")
+    ws.write(pricing.thickness_histogram(bridge), "thickness_histogram")
+    ws.write(pricing.price_curve(bridge, cfg), "price_curve")
     ws.write(pricing.price_stats(bridge), "price_stats")
     ws.write(pricing.unparsed_grades(bridge, cfg), "unparsed_grades")
     return bridge

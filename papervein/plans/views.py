@@ -42,11 +42,27 @@ def _pick(sentences: tuple[str, ...]) -> F.Column:
     return F.element_at(F.array(*[F.lit(s) for s in sentences]), position)
 
 
+def _measured_table() -> F.Column:
+    """A table run together, as extraction leaves them: no full stops, line breaks inside,
+    units with and without a space, numbers that differ from document to document."""
+    n = F.col("doc_id")
+
+    def number(low: int, range_: int) -> F.Column:
+        return (F.lit(low) + n % range_).cast("string")
+
+    return F.concat(
+        F.lit("Sheet strength "), number(10, 85), F.lit("MPa\n"), number(180, 700), F.lit("MPa |\t"),
+        number(200, 500), F.lit("\nMPa loss "), number(1, 97), F.lit("W/kg "), number(2, 7), F.lit("."), number(0, 10),
+        F.lit(" W/kg at 1."), number(0, 10), F.lit("T and 15T code 50A"), number(210, 790), F.lit("\n"),
+        number(0, 7), F.lit("."), number(0, 10), F.lit(" % Si"),
+    )
+
+
 def literature(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document's whole text with four subject sentences and a year."""
+    """Every document's whole text with four subject sentences, a table and a year."""
     text = F.concat_ws(
         " ", "text", _pick(fixtures.GRADE_SENTENCES), _pick(fixtures.USE_SENTENCES),
-        _pick(fixtures.STRENGTH_SENTENCES), _pick(fixtures.SUBJECT_SENTENCES),
+        _pick(fixtures.STRENGTH_SENTENCES), _pick(fixtures.SUBJECT_SENTENCES), _measured_table(),
     )
     year = F.when(F.col("lang") != "es", (F.lit(1985) + F.col("doc_id") % 41).cast("int"))
     return documents(spark, folder).select(
@@ -55,14 +71,37 @@ def literature(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _path() -> F.Column:
-    return F.concat(F.lit("/corpus/"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
+def mixed_literature(spark: SparkSession, folder: str) -> DataFrame:
+    """Literature in which every fifth document has its own text only."""
+    plain = documents(spark, folder).where(F.col("doc_id") % 5 == 0).select(
+        "doc_id", tx.clean_whitespace(F.col("text")).alias("text")
+    )
+    return literature(spark, folder).where(F.col("doc_id") % 5 != 0).select("doc_id", "text").unionByName(plain)
+
+
+def _path(extension: F.Column | None = None) -> F.Column:
+    """A name as people give them, with spaces and signs."""
+    return F.concat(
+        F.lit("/corpus/"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string"),
+        F.lit(" - 50% a+b"), F.lit(".txt") if extension is None else extension,
+    )
+
+
+def _attachment() -> F.Column:
+    return _path(F.when(F.col("doc_id") % 2 == 0, ".pdf").otherwise(".txt"))
 
 
 def raw_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as page lists, one page per line; German ones count as unreadable."""
-    pages = F.when(F.col("lang") != "de", F.split("text", "\n", -1))
-    return documents(spark, folder).select(_path().alias("source_path"), pages.alias("pages"))
+    """Documents as page lists, one page per line, and a file that could not be read for
+    every benchmark item."""
+    read = documents(spark, folder).select(
+        _path().alias("source_path"), F.split("text", "\n", -1).alias("pages")
+    )
+    unread = table(spark, folder, "benchmark").select(
+        F.concat(F.lit("/corpus/unread/u"), F.col("item_id").cast("string"), F.lit(".txt")).alias("source_path"),
+        F.lit(None).cast("array<string>").alias("pages"),
+    )
+    return read.unionByName(unread)
 
 
 def bibliography(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,11 +110,11 @@ def bibliography(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "labels"), "doc_id"
     )
     first = known.select(
-        F.col("doc_id").alias("ordinal"), _path().alias("attachment"),
+        F.col("doc_id").alias("ordinal"), _attachment().alias("attachment"),
         F.format_string("%d.0", F.lit(1985) + F.col("doc_id") % 41).alias("year"),
     )
     later = known.select(
-        (F.col("doc_id") + 1_000_000_000).alias("ordinal"), _path().alias("attachment"),
+        (F.col("doc_id") + 1_000_000_000).alias("ordinal"), _attachment().alias("attachment"),
         F.when(F.col("quality") == 1, F.format_string("%d", F.lit(1986) + F.col("doc_id") % 41)).alias("year"),
     )
     absent = table(spark, folder, "benchmark").select(
@@ -90,7 +129,7 @@ def manual_years(spark: SparkSession, folder: str) -> DataFrame:
     toxic = table(spark, folder, "labels").where("toxic = 1")
     return toxic.select(
         F.col("doc_id").alias("ordinal"),
-        F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("filename"),
+        F.concat(F.col("doc_id").cast("string"), F.lit(" - 50% a+b.PDF")).alias("filename"),
         F.format_string("%d", F.lit(1990) + F.col("doc_id") % 30).alias("year"),
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from papervein.config import LEXICON_FILES
@@ -13,12 +13,26 @@ PAGE_BREAK = "\f"
 
 
 def read_text_documents(spark: SparkSession, folder: str, glob: str = "*.txt") -> DataFrame:
-    """``(source_path, pages)`` of a folder of extracted texts, pages parted by form feeds."""
-    files = spark.read.option("pathGlobFilter", glob).text(folder, wholetext=True)
-    return files.select(
-        F.col("_metadata.file_path").alias("source_path"),
+    """``(source_path, pages)`` of a folder of extracted texts, pages parted by form feeds.
+
+    Paths are as they are on disk.  A file that cannot be read (a damaged archive, say) has
+    NULL pages; the others are read all the same.
+    """
+    named = spark.read.option("pathGlobFilter", glob)
+    texts = named.option("ignoreCorruptFiles", True).text(folder, wholetext=True).select(
+        file_path(F.col("_metadata.file_path")).alias("source_path"),
         F.split("value", PAGE_BREAK, -1).alias("pages"),
     )
+    files = named.format("binaryFile").load(folder).select(
+        file_path(F.col("_metadata.file_path")).alias("source_path")
+    )
+    unread = files.join(texts.select("source_path"), "source_path", "left_anti")
+    return texts.unionByName(unread.withColumn("pages", F.lit(None).cast("array<string>")))
+
+
+def file_path(encoded: Column) -> Column:
+    """The path behind Spark's URL-encoded one; a plus sign stands for itself there."""
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -66,10 +80,28 @@ def read_lexicon(
     """Lexicon files of a folder, one term per line; files missing there are skipped."""
     labels = file_labels or LEXICON_FILES
     lines = spark.read.option("pathGlobFilter", "*.txt").text(folder).select(
-        tx.basename(F.col("_metadata.file_path")).alias("file"), F.col("value").alias("line")
+        tx.basename(file_path(F.col("_metadata.file_path"))).alias("file"), F.col("value").alias("line")
+    )
+    return lexicon_from_lines(lines, file_label_table(spark, labels))
+
+
+def file_label_table(spark: SparkSession, file_labels: dict[str, str] | None = None) -> DataFrame:
+    return literal_table(spark, "file STRING,label STRING", list((file_labels or LEXICON_FILES).items()))
+
+
+def lexicon_report(
+    spark: SparkSession, folder: str, file_labels: dict[str, str] | None = None
+) -> DataFrame:
+    """``(file, label, n_terms, missing)`` of every expected lexicon file."""
+    lines = spark.read.option("pathGlobFilter", "*.txt").text(folder).select(
+        tx.basename(file_path(F.col("_metadata.file_path"))).alias("file"),
+        tx.clean_whitespace(F.col("value")).alias("term"),
     )
-    return lexicon_from_lines(
-        lines, literal_table(spark, "file STRING,label STRING", list(labels.items()))
+    terms = lines.groupBy("file").agg(F.count_if(F.col("term") != "").alias("n_terms"))
+    found = file_label_table(spark, file_labels).join(terms, "file", "left")
+    return found.select(
+        "file", "label", F.coalesce("n_terms", F.lit(0)).alias("n_terms"),
+        F.col("n_terms").isNull().alias("missing"),
     )
 
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from papervein.config import Config
+from papervein.functions import text as tx
 from papervein.operators import extraction, relevance
 
 DOCUMENT_SCHEMA = "doc_id STRING, text STRING, year INT"
@@ -23,7 +25,7 @@ def mine_arrivals(
 ) -> StreamingQuery:
     """Append the mentions of new relevant documents; ends when all files are read.
 
-    Extraction needs one document at a time, so no state is kept between batches.  Each
+    Texts are cleaned first; offsets are places in the cleaned text.  Extraction needs one document at a time, so no state is kept between batches.  Each
     batch overwrites its own folder, so a batch repeated after a failure counts once.
     """
     arrivals = (
@@ -31,7 +33,8 @@ def mine_arrivals(
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        entities = extraction.entity_table(relevance.relevant(batch, cfg), cfg, lexicon)
+        cleaned = batch.withColumn("text", tx.clean_whitespace(F.col("text")))
+        entities = extraction.entity_table(relevance.relevant(cleaned, cfg), cfg, lexicon)
         entities.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
     return (

@@ -44,7 +44,7 @@ def test_year_precedence(spark):
     )
     years = corpus.year_table(listed, manual)
     assert {r[0]: r[1] for r in years.collect()} == {
-        "a.pdf": 2002, "c.pdf": 1991, "d.pdf": None, "e.pdf": None,
+        "a": 2002, "c": 1991, "d": None, "e": None,
     }
     docs = corpus.canonical_rows(pages(spark, [("/k/a.pdf", ["t"]), ("/k/b.pdf", ["t"]), ("/k/c.pdf", None)]), "2026-01-01")
     dated = corpus.attach_year(corpus.described(docs), years)
@@ -85,7 +85,40 @@ def test_csv_years_keep_row_order(spark, tmp_path):
     bib.write_text('Key,File Attachments,Publication Year\n1,"C:/x/a.pdf",1999\n2,"/x/a.pdf",2000\n3,,2001\n')
     man.write_text("filename,year\nb.pdf,2010\nb.pdf,2011\n")
     years = corpus.year_table(readers.read_bibliography(spark, str(bib)), readers.read_manual_years(spark, str(man)))
-    assert {r[0]: r[1] for r in years.collect()} == {"a.pdf": 2000, "b.pdf": 2011}
+    assert {r[0]: r[1] for r in years.collect()} == {"a": 2000, "b": 2011}
+
+
+def test_years_that_are_none(spark):
+    odd = [("a", "NaN"), ("b", "inf"), ("c", "99999999999"), ("d", "1999.7"), ("e", "x"), ("f", "-Infinity"), ("g", None)]
+    manual = spark.createDataFrame([(i, f"{n}.pdf", y) for i, (n, y) in enumerate(odd)], "ordinal LONG, filename STRING, year STRING")
+    empty = spark.createDataFrame([], "ordinal LONG, attachment STRING, year STRING")
+    got = {r[0]: r[1] for r in corpus.year_table(empty, manual).collect()}
+    assert got == {n: 1999 if n == "d" else None for n, _ in odd}
+
+
+NAMES = ("Bohn et al. - 2020 - Steel.txt", "50% +x (1).txt", "a+b%20c.TXT", "é ü.txt", "plain.txt")
+
+
+def test_real_file_names_and_a_damaged_file(spark, tmp_path):
+    for name in NAMES:
+        (tmp_path / name).write_text(f"text of {name}\fpage two", encoding="utf-8")
+    (tmp_path / "damaged.txt.gz").write_bytes(b"\x1f\x8bnot an archive")
+    pages = readers.read_text_documents(spark, str(tmp_path), "*.{txt,TXT,gz}")
+    got = {r["source_path"].rsplit("/", 1)[1]: r["pages"] for r in pages.collect()}
+    assert got == {n: [f"text of {n}", "page two"] for n in NAMES} | {"damaged.txt.gz": None}
+    listed = [(i, f"/lib/{n.rsplit('.', 1)[0]}.pdf", str(2000 + i)) for i, n in enumerate(NAMES)]
+    bib = spark.createDataFrame(listed, "ordinal LONG, attachment STRING, year STRING")
+    none = spark.createDataFrame([], "ordinal LONG, filename STRING, year STRING")
+    described = corpus.described(corpus.canonical_rows(pages, "2026-01-01"))
+    dated = corpus.attach_year(described, corpus.year_table(bib, none)).collect()
+    assert {r["filename"]: r["year"] for r in dated} == {n: 2000 + i for i, n in enumerate(NAMES)} | {"damaged.txt.gz": None}
+    assert [r["filename"] for r in dated if not r["extracted"]] == ["damaged.txt.gz"]
+
+
+def test_lexicon_report(spark, tmp_path):
+    (tmp_path / "standards.txt").write_text("A 1\n\nB 2\n")
+    report = {r["file"]: (r["n_terms"], r["missing"]) for r in readers.lexicon_report(spark, str(tmp_path)).collect()}
+    assert report["standards.txt"] == (2, False) and report["producers.txt"] == (0, True) and len(report) == 8
 
 
 def test_chunks(spark):
@@ -150,11 +183,17 @@ def test_all_stages(spark, tmp_path):
     assert ws.required("label_counts").agg(F.sum("n")).first()[0] == entities.count()
     normal = stages.normalise_entities(ws, cfg)
     assert normal.count() == entities.count()
-    stages.cluster_units(ws, Config(relevance_threshold=5, chunk_min_chars=10))
+    for name in ("alias_pairs", "subtype_members", "label_samples", "value_preview"):
+        assert ws.required(name).count()
+    stages.cluster_units(ws, Config(relevance_threshold=5, chunk_min_chars=10, min_topic_size=2, min_cell_points=2))
+    assert ws.required("topic_top_sizes").count() <= 12
     stages.trends_over_time(ws, cfg, (0, 1))
-    shares = ws.required("competitor_shares")
-    for row in shares.groupBy("bucket_label").agg(F.sum("n").alias("n"), F.max("total").alias("t")).collect():
-        assert row["n"] == row["t"]
+    assert ws.required("topic_trends").where("topic_name IS NULL").isEmpty()
+    for name in ("competitor", "application", "component"):
+        shares = ws.required(f"{name}_shares")
+        for row in shares.groupBy("bucket_label").agg(F.sum("n").alias("n"), F.max("total").alias("t")).collect():
+            assert row["n"] == row["t"]
+        assert name == "competitor" or shares.select("canonical_entity").distinct().count() <= 8
     stages.bridge_costs(ws, cfg)
     stages.evaluate(ws, cfg)
     names = {r[0] for r in ws.required("grade_prices").select("entity_text").collect()}
@@ -163,14 +202,42 @@ def test_all_stages(spark, tmp_path):
     assert list((tmp_path / "out/csv/price_sensitivity").glob("*.csv"))
 
 
+def test_command_line(spark, tmp_path, capsys):
+    from papervein import __main__ as cli
+
+    raw, lex = tmp_path / "raw", tmp_path / "lex"
+    raw.mkdir(), lex.mkdir()
+    for i, text in enumerate(corpus_texts()):
+        (raw / f"p {i}.txt").write_text(text, encoding="utf-8")
+    (raw / "bib.csv").write_text("File Attachments,Publication Year\n" + "".join(f"/lib/p {i}.pdf,{1990 + i}\n" for i in range(40)))
+    (raw / "man.csv").write_text("filename,year\n")
+    (lex / "applications.txt").write_text("traction motor\n")
+    (raw / "roles.csv").write_text("label,cost_role\nGRADE,other\n")
+    root = str(tmp_path / "out")
+    cli.main(["corpus", "--root", root, "--documents", str(raw), "--bibliography", str(raw / "bib.csv"), "--manual", str(raw / "man.csv")])
+    assert spark.read.parquet(f"{root}/missing_years").count() == 0
+    cli.main(["filter", "--root", root, "--threshold", "0"])
+    assert spark.read.parquet(f"{root}/relevance").where("is_relevant").count() == 40
+    cli.main(["entities", "--root", root, "--threshold", "0", "--lexicon", str(lex)])
+    assert "producers.txt" in capsys.readouterr().err
+    cli.main(["normalise", "--root", root])
+    cli.main(["bridge", "--root", root, "--roles", str(raw / "roles.csv")])
+    assert [r[0] for r in spark.read.parquet(f"{root}/cost_role_counts").select("cost_role").collect()] == ["other"]
+    cfg = cli.config(cli.parser().parse_args(["trends", "--root", "x", "--period-years", "10", "--cell-width", "0.5"]))
+    assert (cfg.period_years, cfg.cell_width, cfg.seed) == (10, 0.5, 42)
+
+
 def test_arrivals_match_batch(spark, tmp_path):
     from papervein.operators import extraction
 
     cfg = Config(relevance_threshold=5)
-    rows = [(str(i), t, 2000) for i, t in enumerate(corpus_texts())]
-    docs = spark.createDataFrame(rows, "doc_id STRING, text STRING, year INT")
+    broken = [t.replace(" of ", "\n of\t").replace(" MPa", "\n\nMPa") for t in corpus_texts()]
+    docs, raw = (
+        spark.createDataFrame([(str(i), t, 2000) for i, t in enumerate(texts)], "doc_id STRING, text STRING, year INT")
+        for texts in (corpus_texts(), broken)
+    )
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
-    docs.repartition(3).write.parquet(source)
+    raw.repartition(3).write.parquet(source)
     lexicon = literal_table(spark, "label STRING,term STRING", fixtures.LEXICON)
     for _ in range(2):  # a second run finds nothing new
         stream = mine_arrivals(spark, source, target, str(tmp_path / "cp"), cfg, lexicon, files_per_batch=1)

@@ -1,6 +1,8 @@
 """Patterns, phrases, offsets, overlaps and scopes on small texts."""
 
+import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,7 +64,7 @@ def test_every_grade_code_is_found_whole(spark):
         ("With 3.2% Si and 6 wt% silicon.", [("SI_CONTENT", "3.2% Si"), ("SI_CONTENT", "6 wt% silicon")]),
         ("With 7.5% Si inside.", []),
         ("Up to 690 MPa and 690MPa.", [("MPA_VALUE", "690 MPa"), ("MPA_VALUE", "690MPa")]),
-        ("Up to 45MPa and 15T.", []),
+        ("Up to 45MPa and 15T.", [("MPA_VALUE", "45MPa")]),
         ("At 1.7 T or B50 but not B7.", [("FLUX_DENSITY", "1.7 T"), ("FLUX_DENSITY", "B50")]),
         ("At 3 T nothing.", []),
     ],
@@ -149,6 +151,66 @@ def test_large_lexicon_path_gives_the_same_mentions(spark):
         assert [r["entity_text"] for r in table.collect()] == ["ferrite"]
 
 
+def plain_resolution(spans):
+    """Longest first, then start, then label; none that overlaps a kept one."""
+    kept = []
+    for n, start, label, end, text in sorted({(-n, s, l, e, t) for n, s, e, l, t in spans}):
+        if all(end <= s or e <= start for _, s, _, e, _ in kept):
+            kept.append((n, start, label, end, text))
+    return sorted((start, end, label) for _, start, label, end, _ in kept)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_resolution_of_random_spans(spark, seed):
+    rng = random.Random(seed)
+    rows, want = [], {}
+    for sent in range(30):
+        spans = []
+        for _ in range(rng.randrange(1, 40)):
+            start, length = rng.randrange(60), rng.randrange(1, 8)
+            spans.append((rng.randrange(1, 5), start, start + length, rng.choice("ABC"), "x" * length))
+        want[sent] = plain_resolution(spans)
+        rows += [(0, sent, "s", l, n, s, e, t) for n, s, e, l, t in spans]
+    table = spark.createDataFrame(rows, "doc_id INT, sent_id INT, sentence STRING, label STRING, n_tokens INT, start_char INT, end_char INT, entity_text STRING")
+    got = {
+        r["sent_id"]: sorted((k["start_char"], k["end_char"], k["label"]) for k in r["kept"])
+        for r in extraction.resolved_sentences(table).collect()
+    }
+    assert got == want
+
+
+COUNT = 1000
+
+
+def test_a_sentence_of_many_mentions(spark):
+    """A table without full stops, with ten thousand mentions, takes seconds."""
+    text = " ".join(f"W{i}/50 ferrite 690 MPa" for i in range(COUNT))
+    began = time.perf_counter()
+    rows = mine(spark, text)
+    assert len(rows) == 3 * COUNT
+    assert all(text[r["start_char"]:r["end_char"]] == r["entity_text"] for r in rows)
+    assert time.perf_counter() - began < 60
+
+
+def test_units_part_from_their_numbers(spark):
+    rows = mine(spark, "Found 45MPa, 690MPa, 690 MPa, 12W/kg, 2.3W/kg, 15T no, 1.5T and 1.5 T in 50A470 or M300-35A.")
+    assert sorted(r["entity_text"] for r in rows) == sorted([
+        "45MPa", "690MPa", "690 MPa", "12W/kg", "2.3W/kg", "1.5T", "1.5 T", "50A470", "M300-35A",
+    ])
+
+
+def test_many_phrases_with_one_first_word(spark):
+    """A first word that all phrases share opens one candidate a length, not one a phrase."""
+    shared = [("PRODUCER", f"the maker{i}") for i in range(3000)] + [("PRODUCER", "the big maker7")]
+    table = spark.createDataFrame(shared, "label STRING, term STRING")
+    text = "Both the maker5 and the big maker7 but not the other."
+    for size in (0, 200, 64 << 20):
+        found = extraction.entity_table(docs(spark, text), Config(patterns=()), table, size).collect()
+        assert sorted(r["entity_text"] for r in found) == ["the big maker7", "the maker5"]
+    opened = extraction.candidates(docs(spark, text), Config(patterns=()), table)
+    assert "BroadcastHashJoin" in opened._jdf.queryExecution().executedPlan().toString()
+
+
 def test_running_starts(spark):
     rows = spark.createDataFrame([([],), ([3],), ([1, 2, 3, 4, 5, 6, 7],)], "a ARRAY<INT>")
     got = [r[0] for r in rows.select(tx.running_starts(F.col("a"))).collect()]
