@@ -3,9 +3,12 @@
 import itertools
 import math
 import random
+import re
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from papervein.config import Config
@@ -193,6 +196,68 @@ def test_vectors(spark):
     assert [r[0] for r in unit.select(topics.normalise_vector(F.col("v"))).collect()] == [[0.6, 0.8], [0.0, 0.0]]
 
 
+def test_unit_vectors_by_hand(spark):
+    from pyspark.ml.feature import HashingTF
+
+    texts = ["iron loss iron", "loss of steel", "Market price, price!", "a", "iron 12 steel"]
+    words = [[w for w in re.findall(r"\w{2,}", t.lower())] for t in texts]
+    place = HashingTF(numFeatures=32).indexOf
+    docs_with = Counter(p for w in words for p in {place(x) for x in w})
+    want = {}
+    for i, w in enumerate(words):
+        raw = np.zeros(32)
+        for x in w:
+            raw[place(x)] += math.log((len(texts) + 1) / (docs_with[place(x)] + 1))
+        want[i] = raw / (np.linalg.norm(raw) or 1)
+    units = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    for r in topics.unit_vectors(units, 32).collect():
+        assert np.allclose(r["vector"].toArray(), want[r["doc_id"]])
+
+
+def planted(spark, centres, each, width=8):
+    rng = np.random.default_rng(5)
+    rows = []
+    for c in range(centres):
+        for _ in range(each):
+            v = rng.normal(scale=0.05, size=width)
+            v[c] += 1
+            rows.append((len(rows), c, Vectors.dense(v / np.linalg.norm(v))))
+    return spark.createDataFrame(rows, ["vec_id", "planted", "vector"])
+
+
+def purity(rows):
+    found = Counter((r["topic"], r["planted"]) for r in rows)
+    best = {t: max(n for (u, _), n in found.items() if u == t) for t, _ in found}
+    return sum(best.values()) / sum(found.values())
+
+
+def test_principal_components_up_to_sign(spark):
+    vectors = planted(spark, 4, 30)
+    rows = vectors.orderBy("vec_id").collect()
+    x = np.array([r["vector"].toArray() for r in rows])
+    _, axes = np.linalg.eigh(np.cov(x.T))
+    want = np.abs(x @ axes[:, ::-1][:, :3])
+    got = np.abs([r["reduced"] for r in topics.reduce_by_pca(vectors, 3).orderBy("vec_id").collect()])
+    assert np.allclose(got, want, atol=1e-6)
+
+
+def test_kmeans_finds_planted_groups(spark):
+    assert purity(topics.kmeans_topics(planted(spark, 4, 40), 4, CFG).collect()) > 0.95
+
+
+def test_planted_subjects_from_callers_vectors(spark):
+    """Groups planted in given vectors come out as topics, with few units left as noise."""
+    units = planted(spark, 3, 120).selectExpr(
+        "vec_id AS doc_id", "concat(vec_id, '_0') AS unit_id", "concat('subject', planted, ' text') AS text", "planted", "vector"
+    ).cache()
+    cfg = Config(reduced_dims=2, cell_width=0.5, min_cell_points=4)
+    rows = topics.cluster(units, cfg).join(units.select("unit_id", "planted"), "unit_id").collect()
+    real = [r for r in rows if r["topic"] != topics.NOISE]
+    assert len(rows) == 360 and len(real) > 0.7 * 360
+    assert purity(real) > 0.95 and len({r["topic"] for r in real}) == 3
+    assert all("subject" in r["topic_name"] for r in real)
+
+
 def test_largest_topics(spark):
     units = spark.createDataFrame([(t,) for t in [-1] * 9 + [0] * 5 + [1] * 5 + [2]], "topic INT")
     rows = topics.largest(units, 2, (1,)).collect()
