@@ -248,13 +248,16 @@ def resolved_sentences(spans: DataFrame) -> DataFrame:
     )
     ended = placed.withColumn("_ends", F.transform("placed", lambda s: s["end_char"]))
     topped = ended.withColumn("_tops", tx.running(F.col("_ends"), F.greatest))
+    # Arrays meet by zipping: one that a lambda looked into could be computed for each element.
+    before = F.concat(F.array(F.lit(0)), F.slice("_tops", F.lit(1), F.size("placed") - 1))
+    apart = F.zip_with("placed", before, lambda s, top: s["start_char"] >= top)
     headed = topped.withColumn("_heads", F.filter(
-        F.sequence(F.lit(0), F.size("placed") - 1),
-        lambda i: (i == 0) | (F.get("placed", i)["start_char"] >= F.get("_tops", i - 1)),
+        F.transform(apart, lambda free, i: F.when(free, i)), lambda head: head.isNotNull()
+    ))
+    ends = F.concat(F.slice("_heads", F.lit(2), F.size("_heads")), F.array(F.size("placed")))
+    islands = headed.withColumn("_islands", F.zip_with(
+        "_heads", ends, lambda head, end: F.slice("placed", head + 1, end - head)
     ))
-    islands = headed.withColumn("_islands", F.transform("_heads", lambda head, k: F.slice(
-        "placed", head + 1, F.coalesce(F.get("_heads", k + 1), F.size("placed")) - head
-    )))
     kept = F.flatten(F.transform("_islands", lambda island: F.when(
         F.size(island) == 1, island
     ).otherwise(_best_apart(island))))

@@ -179,17 +179,17 @@ def test_resolution_of_random_spans(spark, seed):
     assert got == want
 
 
-COUNT = 1000
-
-
 def test_a_sentence_of_many_mentions(spark):
     """A table without full stops, with ten thousand mentions, takes seconds."""
-    text = " ".join(f"W{i}/50 ferrite 690 MPa" for i in range(COUNT))
+    count = 3400
+    text = " ".join(f"W{i}/50 ferrite 690 MPa" for i in range(count))
     began = time.perf_counter()
-    rows = mine(spark, text)
-    assert len(rows) == 3 * COUNT
+    # Without the context: that is the whole sentence for every mention.
+    table = extraction.entity_table(docs(spark, text), CFG, lexicon(spark))
+    rows = table.select("entity_text", "start_char", "end_char").collect()
+    assert len(rows) == 3 * count
     assert all(text[r["start_char"]:r["end_char"]] == r["entity_text"] for r in rows)
-    assert time.perf_counter() - began < 60
+    assert time.perf_counter() - began < 120
 
 
 def test_units_part_from_their_numbers(spark):
