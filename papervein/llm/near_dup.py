@@ -15,7 +15,9 @@ compared in full, block by block.
 
 Comparison: pairs whose sketches (a byte of each of 128 minwise tokens) agree far below the
 threshold are dropped (a linked pair is lost with probability under 1e-5); all others are
-confirmed on the full sets.  Pairs within a component already found need no confirmation.
+confirmed on the full sets.  Pairs within a component already found need no confirmation, so a
+small node first offers a spanning forest of its best pairs, and then only what is left across
+components.
 
 Nulls and texts without words have an empty set and are linked with nothing.  A row without
 id is linked with nothing, has a null component and is kept.  Rows that repeat an id and its
@@ -320,7 +322,7 @@ class _Groups:
 
     def __init__(self, spark: SparkSession, tables: Tables):
         self.tables = tables
-        self.labels = spark.createDataFrame([], "id long, label long")  # no links yet
+        self.labels = spark.createDataFrame([], "id long, label long")
 
     def label(self, df: DataFrame, name: str) -> DataFrame:
         """The label of a column of ids, as ``<name>_label``."""
@@ -336,8 +338,8 @@ class _Groups:
         self.labels = components.connected(self.tables, links.union(stars))
 
 
-def _settle(pairs: DataFrame, docs: DataFrame, groups: _Groups, tables: Tables, search: Search) -> DataFrame | None:
-    """Confirm or refute candidate pairs until none is left across components; returns the refuted.
+def _settle(pairs: DataFrame, docs: DataFrame, groups: _Groups, tables: Tables, search: Search) -> None:
+    """Confirm or refute candidate pairs until none is left across components.
 
     First each class's most promising pair, then all that are still across components: most
     pairs within a group of copies then need no confirmation.
@@ -345,7 +347,7 @@ def _settle(pairs: DataFrame, docs: DataFrame, groups: _Groups, tables: Tables,
     pairs = tables.write(pairs.groupBy("a", "b").agg(F.max("agree").alias("agree")), "pairs")
     ids = tables.write(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
     if ids.isEmpty():
-        return None
+        return
     # Rows that repeat an id hold the same text; one is enough.
     sets = tables.write(_full_sets(docs, ids, search).dropDuplicates(["id"]), "sets")
     best = pairs.groupBy("a").agg(F.max(F.struct("agree", (-F.col("b")).alias("b"))).alias("best"))
@@ -360,7 +362,6 @@ def _settle(pairs: DataFrame, docs: DataFrame, groups: _Groups, tables: Tables,
             if chosen.isEmpty():
                 break
     tables.drop(sets)
-    return groups.across(pairs.select("a", "b"))
 
 
 def _link_classes(sets: DataFrame, docs: DataFrame, tables: Tables, search: Search) -> DataFrame:
