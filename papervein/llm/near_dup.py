@@ -16,8 +16,8 @@ compared in full, block by block.
 Comparison: pairs whose sketches (a byte of each of 128 minwise tokens) agree far below the
 threshold are dropped (a linked pair is lost with probability under 1e-5); all others are
 confirmed on the full sets.  Pairs within a component already found need no confirmation, so a
-small node first offers a spanning forest of its best pairs, and then only what is left across
-components.
+small node first offers a spanning forest of its best pairs; at the end, the members that still
+have a promising partner in another component are compared in full.
 
 Nulls and texts without words have an empty set and are linked with nothing.  A row without
 id is linked with nothing, has a null component and is kept.  Rows that repeat an id and its
@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -158,13 +159,8 @@ def _branch(members: DataFrame, branches: int) -> DataFrame:
     return members.select("node", "id", "tokens").mapInArrow(branched, "node long, id long")
 
 
-def _agreeing(ids, n, labels, sketch, search: Search, every: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of a small node across labels that may be linked: ids, smaller ids, agreement.
-
-    ``every``: all of them; else a spanning forest of the best, one pair fewer than ids.
-    """
-    order = np.argsort(ids, kind="stable")
-    ids, n, labels, sketch = ids[order], n[order], labels[order], sketch[order]
+def _agreeing(ids, n, labels, sketch, search: Search) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of a node's rows, across labels, that may be linked: larger row, smaller row, agreement."""
     left, right, agreement = [], [], []
     for k in range(1, len(ids)):
         agree = (sketch[:k] == sketch[k]).sum(1)
@@ -175,41 +171,116 @@ def _agreeing(ids, n, labels, sketch, search: Search, every: bool) -> tuple[np.n
         right.append(found)
         agreement.append(agree[found])
     left, right, agreement = (np.concatenate(x or [np.empty(0, np.int64)]) for x in (left, right, agreement))
-    if not every and len(left):
-        _, group = np.unique(labels, return_inverse=True)
-        chosen = []
-        for p in np.lexsort((right, left, -agreement)):
-            x, y = group[left[p]], group[right[p]]
-            if x != y:
-                group[group == x] = y
-                chosen.append(p)
-        left, right, agreement = left[chosen], right[chosen], agreement[chosen]
-    return ids[left], ids[right], agreement
+    return left, right, agreement
+
+
+def _forest(ids, labels, left, right, agreement) -> list[int]:
+    """Of a node's pairs a spanning forest of the best, one pair fewer than rows at most."""
+    _, group = np.unique(labels, return_inverse=True)
+    chosen = []
+    for p in np.lexsort((ids[right], ids[left], -agreement)):
+        x, y = group[left[p]], group[right[p]]
+        if x != y:
+            group[group == x] = y
+            chosen.append(p)
+    return chosen
 
 
 PAIRS = "a long, b long, agree int"
 
 
-def _small_pairs(members: DataFrame, search: Search, every: bool) -> DataFrame:
-    """Exhaustive comparison; ``members``: (group, id, n, sketch, label), groups of bounded size."""
+def _nodes_of(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(group, ids, sizes, labels, sketches) of each collected node, by id."""
+    rows = batch.column(1)
+    cut = rows.offsets.to_numpy() - rows.offsets[0].as_py()
+    ids, n, sketches, labels = rows.flatten().flatten()
+    ids, n, labels = (x.to_numpy(zero_copy_only=False) for x in (ids, n, labels))
+    sketch = B.text_bytes(sketches)[0].reshape(-1, MINWISE)
+    for group, i, j in zip(batch.column(0).to_pylist(), cut, cut[1:]):
+        order = i + np.argsort(ids[i:j], kind="stable")
+        yield group, ids[order], n[order], labels[order], sketch[order]
+
+
+def _collected(members: DataFrame) -> DataFrame:
+    """Nodes of bounded size as one row each; ``members``: (group, id, n, sketch, label)."""
+    grouped = members.groupBy("group").agg(F.collect_list(F.struct("id", "n", "sketch", "label")).alias("rows"))
+    return grouped.where(F.size("rows") > 1).select("group", "rows")
+
+
+def _small_pairs(members: DataFrame, search: Search) -> DataFrame:
+    """The best spanning forest of each small node's promising pairs."""
 
     def compared(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
-            rows = batch.column(0)
-            cut = rows.offsets.to_numpy() - rows.offsets[0].as_py()
-            ids, n, sketches, labels = rows.flatten().flatten()
-            ids, n, labels = (x.to_numpy(zero_copy_only=False) for x in (ids, n, labels))
-            sketch = B.text_bytes(sketches)[0].reshape(-1, MINWISE)
-            found = [
-                _agreeing(ids[i:j], n[i:j], labels[i:j], sketch[i:j], search, every) for i, j in zip(cut, cut[1:])
-            ]
+            found = []
+            for _, ids, n, labels, sketch in _nodes_of(batch):
+                left, right, agreement = _agreeing(ids, n, labels, sketch, search)
+                chosen = _forest(ids, labels, left, right, agreement)
+                found.append((ids[left[chosen]], ids[right[chosen]], agreement[chosen]))
             columns = [np.concatenate([f[k] for f in found] or [np.empty(0, np.int64)]) for k in range(3)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32()))], names=["a", "b", "agree"]
             )
 
-    grouped = members.groupBy("group").agg(F.collect_list(F.struct("id", "n", "sketch", "label")).alias("rows"))
-    return grouped.where(F.size("rows") > 1).select("rows").mapInArrow(compared, PAIRS)
+    return _collected(members).mapInArrow(compared, PAIRS)
+
+
+def _undecided(members: DataFrame, search: Search) -> DataFrame:
+    """(group, id, label) of the members with any promising partner across components."""
+
+    def promising(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            out: list[tuple[np.ndarray, ...]] = []
+            for group, ids, n, labels, sketch in _nodes_of(batch):
+                left, right, _ = _agreeing(ids, n, labels, sketch, search)
+                some = np.union1d(left, right).astype(np.int64)
+                out.append((np.full(len(some), group), ids[some], labels[some]))
+            columns = [np.concatenate([o[k] for o in out] or [np.empty(0, np.int64)]) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["group", "id", "label"])
+
+    return _collected(members).mapInArrow(promising, "group long, id long, label long")
+
+
+def _exhaustive(members: DataFrame, sets: DataFrame, search: Search) -> DataFrame:
+    """Links (u, v) across components of small nodes, by comparing all their full sets.
+
+    ``members``: (group, id, label).  Sets of a node stream in one after the other; of the
+    links only a spanning forest is given.
+    """
+
+    def links(ids: list, labels: list, packed: list) -> Iterator[tuple[int, int]]:
+        codes = [_unpack(p) for p in packed]
+        _, group = np.unique(labels, return_inverse=True)
+        for k in range(1, len(ids)):
+            for j in range(k):
+                low, high = sorted((len(codes[j]), len(codes[k])))
+                if group[j] == group[k] or 100 * low < search.percent * high:
+                    continue
+                common = len(np.intersect1d(codes[j], codes[k], assume_unique=True))
+                if 100 * common >= search.percent * (low + high - common):
+                    group[group == group[j]] = group[k]
+                    yield ids[k], ids[j]
+
+    def compared(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, ids, labels, packed = None, [], [], []
+        for batch in parts:
+            found: list[tuple[int, int]] = []
+            for group, id_, label, code in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                if group != current:
+                    found += links(ids, labels, packed)
+                    current, ids, labels, packed = group, [], [], []
+                ids.append(id_)
+                labels.append(label)
+                packed.append(code)
+            yield _link_batch(found)
+        yield _link_batch(list(links(ids, labels, packed)))
+
+    rows = members.join(sets, "id").select("group", "id", "label", "packed")
+    return rows.repartition("group").sortWithinPartitions("group", "id").mapInArrow(compared, "u long, v long")
+
+
+def _link_batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in range(2)], names=["u", "v"])
 
 
 def _pivot_pairs(members: DataFrame, sets: DataFrame, search: Search) -> DataFrame:
@@ -236,8 +307,8 @@ def _pivot_pairs(members: DataFrame, sets: DataFrame, search: Search) -> DataFra
     )
 
 
-def _full_pairs(members: DataFrame, search: Search) -> DataFrame:
-    """Nodes that stay large, compared in full: all pairs of blocks of members.
+def _block_pairs(members: DataFrame, search: Search) -> DataFrame:
+    """Nodes that stay large, cut for a comparison in full: all pairs of blocks of members.
 
     ``members``: (node, id, n, sketch, label, size).  A block holds about ``small`` members.
     """
@@ -245,7 +316,7 @@ def _full_pairs(members: DataFrame, search: Search) -> DataFrame:
     cut = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id", "node"), "blocks"))
     paired = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     group = F.xxhash64("node", F.least("block", "other"), F.greatest("block", "other"))
-    return _small_pairs(paired.withColumn("group", group).select("group", "id", "n", "sketch", "label"), search, True)
+    return paired.withColumn("group", group).select("group", "id", "n", "sketch", "label")
 
 
 def _pack(codes: np.ndarray) -> bytes:
@@ -309,9 +380,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, search: Search) -> DataFrame:
                 common = len(np.intersect1d(pivot, codes, assume_unique=True))
                 if 100 * common >= search.percent * (len(pivot) + len(codes) - common):
                     found.append((a, b))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([p[k] for p in found], pa.int64()) for k in range(2)], names=["u", "v"]
-            )
+            yield _link_batch(found)
 
     rows = own.union(ahead).repartition("block").sortWithinPartitions("block", "b", "turn")
     return rows.mapInArrow(checked, "u long, v long")
@@ -370,6 +439,7 @@ def _link_classes(sets: DataFrame, docs: DataFrame, tables: Tables, search: Sear
     roots = F.explode(F.array(*(F.lit(int(x)) for x in _numbers(search.trees, 5).view(np.int64)))).alias("node")
     grown = _branch(sets.select(roots, "id", "tokens"), search.branches)
     narrow = sets.select("id", "n", "sketch")
+    levels: list[DataFrame] = []
     for level in range(1, search.depth + 1):
         members = grown.distinct() if level > 1 else grown
         members = tables.write(members, "members")
@@ -381,22 +451,37 @@ def _link_classes(sets: DataFrame, docs: DataFrame, tables: Tables, search: Sear
         )
         inside = tables.write(members.join(nodes, "node"), "inside")
         tables.drop(members)
-        # A spanning forest of each small node, then what its classes still leave across components.
-        _settle(_node_pairs(inside, narrow, groups, search, False), docs, groups, tables, search)
-        _settle(_node_pairs(_open(inside, groups), narrow, groups, search, True), docs, groups, tables, search)
+        levels.append(inside.where(F.col("size") <= search.small))
+        # A spanning forest of each small node.
+        _settle(_node_pairs(inside, narrow, groups, search), docs, groups, tables, search)
         large = inside.where(F.col("size") > search.small)
         if level == search.depth:
             rest = _open(large, groups).join(narrow, "id").withColumnRenamed("id_label", "label")
-            _settle(_full_pairs(rest, search), docs, groups, tables, search)
+            _compare_fully(_block_pairs(rest, search), docs, groups, tables, search)
             break
         large = tables.write(_open(large, groups).select("node", "id"), "open")
-        tables.drop(inside)
         if large.isEmpty():
             break
         grown = _branch(large.join(sets.select("id", "tokens"), "id"), search.branches)
+    # All that the small nodes of all levels still leave across components.
+    left = _open(reduce(DataFrame.union, levels), groups).join(narrow, "id")
+    left = left.select(F.col("node").alias("group"), "id", "n", "sketch", F.col("id_label").alias("label"))
+    _compare_fully(left, docs, groups, tables, search)
     return groups.labels
 
 
+def _compare_fully(members: DataFrame, docs: DataFrame, groups: _Groups, tables: Tables, search: Search) -> None:
+    """Link what the members of each group link across components; (group, id, n, sketch, label)."""
+    members = tables.write(_undecided(members, search), "undecided")
+    if members.isEmpty():
+        return
+    sets = tables.write(_full_sets(docs, members.select("id").distinct(), search).dropDuplicates(["id"]), "sets")
+    links = tables.write(_exhaustive(members, sets, search), "links")
+    tables.drop(sets)
+    if not links.isEmpty():
+        groups.link(links)
+
+
 def _open(inside: DataFrame, groups: _Groups) -> DataFrame:
     """The members of nodes whose classes are in more than one component, with their labels."""
     labelled = groups.label(inside, "id")
@@ -407,15 +492,12 @@ def _open(inside: DataFrame, groups: _Groups) -> DataFrame:
     return labelled.join(nodes, "node")
 
 
-def _node_pairs(inside: DataFrame, narrow: DataFrame, groups: _Groups, search: Search, every: bool) -> DataFrame:
+def _node_pairs(inside: DataFrame, narrow: DataFrame, groups: _Groups, search: Search) -> DataFrame:
     """Candidate pairs of all nodes: within small ones, and with the pivot of large ones."""
-    labelled = inside if "id_label" in inside.columns else groups.label(inside, "id")
-    full = labelled.join(narrow, "id").withColumnRenamed("id_label", "label")
+    full = groups.label(inside, "id").join(narrow, "id").withColumnRenamed("id_label", "label")
     small = full.where(F.col("size") <= search.small).withColumnRenamed("node", "group")
-    pairs = _small_pairs(small, search, every)
-    if every:  # pairs with pivots have been settled before
-        return pairs
-    return pairs.union(_pivot_pairs(full.where((F.col("size") > search.small) & (F.col("id") != F.col("pivot"))), narrow, search))
+    large = full.where((F.col("size") > search.small) & (F.col("id") != F.col("pivot")))
+    return _small_pairs(small, search).union(_pivot_pairs(large, narrow, search))
 
 
 def classify(docs: DataFrame, search: Search = Search()) -> DataFrame:
