@@ -32,7 +32,7 @@ from papervein.llm import batches as B
 from papervein.llm.shared import Tables
 
 ALPHA = 0.4
-BLOCK_BYTES = 8 << 20       # of text in one block
+BLOCK_BYTES = 2 << 20       # of text in one block; a worker needs about 40 times that
 PARTITION_CODES = 1 << 21   # of requests in one partition of the count table, about
 
 
