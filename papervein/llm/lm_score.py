@@ -32,12 +32,12 @@ from papervein.llm import batches as B
 from papervein.llm.shared import Tables
 
 ALPHA = 0.4
-BLOCK_BYTES = 2 << 20       # of text in one block; a worker needs about 40 times that
+BLOCK_BYTES = 1 << 20       # of text in one block; a worker needs about 40 times that
 PARTITION_CODES = 1 << 21   # of requests in one partition of the count table, about
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
-    """One row for about ``BLOCK_BYTES`` of whole texts: their ids, bytes and offsets."""
+    """One row for about ``BLOCK_BYTES`` of whole texts: their ids, bytes, offsets and words."""
 
     def blocked(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -47,10 +47,12 @@ def _blocks(docs: DataFrame) -> DataFrame:
 
         def block() -> pa.RecordBatch:
             offsets = np.cumsum([0, *map(len, texts)])
+            data = b"".join(texts)
+            words = len(B.words(~B.SPACE[np.frombuffer(data, np.uint8)], offsets)[0])
             return pa.RecordBatch.from_arrays(
                 [pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
-                 pa.array([offsets.tolist()], pa.list_(pa.int64())), pa.array([b"".join(texts)], pa.binary())],
-                names=["block", "ids", "offsets", "data"],
+                 pa.array([offsets.tolist()], pa.list_(pa.int64())), pa.array([data], pa.binary()), pa.array([words], pa.int64())],
+                names=["block", "ids", "offsets", "data", "words"],
             )
 
         for batch in parts:
@@ -67,7 +69,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
             yield block()
 
     return docs.select("doc_id", "text").mapInArrow(
-        blocked, "block long, ids array<long>, offsets array<long>, data binary"
+        blocked, "block long, ids array<long>, offsets array<long>, data binary, words long"
     )
 
 
@@ -161,21 +163,11 @@ def score(docs: DataFrame, alpha: float = ALPHA) -> DataFrame:
     """doc_id, n_words, n_backoff and log_score of every document."""
     tables = Tables(docs.sparkSession, "lm-score")
     blocks = tables.write(_blocks(docs), "blocks")
-    size = blocks.agg(F.sum(F.length("data"))).first()[0] or 0
+    size, corpus = (x or 0 for x in blocks.agg(F.sum(F.element_at("offsets", -1)), F.sum("words")).first())
     # About a third as many distinct codes as bytes; a partition more than needed does no harm.
     bits = min(16, max(0, math.ceil(math.log2(max(1, size / 3 / PARTITION_CODES)))))
     sums = tables.write(_sums(_requests(blocks, bits)), "sums")
 
-    def counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts:
-            data, offsets = batch.column(0), batch.column(1)
-            n = [
-                len(B.words(~B.SPACE[np.frombuffer(d.as_py(), np.uint8)], np.array(o.as_py()))[0])
-                for d, o in zip(data, offsets)
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64())], names=["n"])
-
-    corpus = blocks.select("data", "offsets").mapInArrow(counted, "n long").agg(F.sum("n")).first()[0] or 0
     answers = sums.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("part", "total"))).alias("answers"))
 
     def scored(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -30,7 +30,7 @@ def rows_of(docs):
     return sorted((str(r.doc_id), r.n_words, r.n_backoff, round(r.log_score, 6) + 0.0) for r in lm_score.score(docs).collect())
 
 
-@pytest.mark.parametrize("block,codes", [(2 << 20, 1 << 21), (200, 50)])
+@pytest.mark.parametrize("block,codes", [(1 << 20, 1 << 21), (200, 50)])
 def test_odd_documents(spark, odd_documents, no_documents, monkeypatch, block, codes):
     monkeypatch.setattr(lm_score, "BLOCK_BYTES", block)
     monkeypatch.setattr(lm_score, "PARTITION_CODES", codes)
