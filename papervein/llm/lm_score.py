@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from papervein.llm import batches as B
-from papervein.llm.shared import Tables
+from papervein.llm.shared import Tables, sweep
 
 ALPHA = 0.4
 BLOCK_BYTES = 1 << 20       # of text in one block; a worker needs about 40 times that
@@ -167,6 +167,7 @@ def score(docs: DataFrame, alpha: float = ALPHA) -> DataFrame:
     # About a third as many distinct codes as bytes; a partition more than needed does no harm.
     bits = min(16, max(0, math.ceil(math.log2(max(1, size / 3 / PARTITION_CODES)))))
     sums = tables.write(_sums(_requests(blocks, bits)), "sums")
+    sweep(docs.sparkSession)
 
     answers = sums.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("part", "total"))).alias("answers"))
 

@@ -6,6 +6,7 @@ back, which cuts the lineage and survives lost executors.
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -45,6 +46,12 @@ class Tables:
         drop_path(self.spark, written.shared_path)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps whose results are written."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)

@@ -23,7 +23,6 @@ other; texts shorter than ``length`` have nothing to remove.  Ids may be null or
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -34,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from papervein.llm import batches as B
-from papervein.llm.shared import Tables
+from papervein.llm.shared import Tables, sweep
 from papervein.llm.suffix_order import suffix_order
 
 LENGTH = 200
@@ -283,12 +282,6 @@ def _solve(contexts: DataFrame, tables: Tables, length: int, gram: int) -> DataF
     return cold.union(back)
 
 
-def _sweep(docs: DataFrame) -> None:
-    """Let Spark delete the shuffle files of steps whose results are written."""
-    gc.collect()
-    docs.sparkSession.sparkContext._jvm.System.gc()
-
-
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(id, text_key, intervals): the repeated windows of each text that has any."""
     tables = Tables(docs.sparkSession, "suffix-dedup")
@@ -296,7 +289,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     again = runs.groupBy("seed").agg(F.count("*").alias("n"), F.max("again").alias("again")).where("n > 1 OR again")
     found = tables.write(runs.join(again.select("seed"), "seed", "left_semi"), "candidates")
     tables.drop(runs)
-    _sweep(docs)
+    sweep(docs.sparkSession)
     classes = tables.write(
         found.groupBy("seed", "context").agg(
             F.count("*").alias("n"), F.max("windows").alias("windows"), F.max("again").alias("again"),
@@ -305,7 +298,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
         "classes",
     )
     contexts = tables.write(_cut_contexts(docs, _undecided(classes), length), "contexts")
-    _sweep(docs)
+    sweep(docs.sparkSession)
     intervals = tables.write(_all(classes.where("n > 1")).union(_solve(contexts, tables, length, gram)), "intervals")
     marked = found.join(intervals, ["seed", "context"]).select(
         "id", "text_key", F.struct((F.col("first") + F.col("low")).alias("low"), (F.col("first") + F.col("high")).alias("high")).alias("i")
@@ -313,7 +306,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     marks = tables.write(marked.groupBy("id", "text_key").agg(F.collect_list("i").alias("intervals")), "marks")
     tables.drop(found)
     tables.drop(contexts)
-    _sweep(docs)
+    sweep(docs.sparkSession)
     return marks
 
 
