@@ -1,12 +1,19 @@
 """Chat formatting: a hidden Markov model recovers who speaks, then turns are rendered alike.
 
 The lines of a conversation, in the order of its rows, are the observations, the roles the
-hidden states.  A line shows a speaker marker or none (the row's role on its first line, or a
-name at the line's start: ``Human:``, ``**Assistant**:``, ``<|user|>``), whether it asks, how
-long it is, and whether it is an item or code.  Turns begin at rows and at names; speakers
-change there with high probability and hardly elsewhere.  Emissions of the line features are
-counted over all lines whose row names a known role; a marker is believed in most cases, so a
-missing or unknown one is filled in from its neighbours and its line.
+hidden states.  A line shows its row's role, if that is known, a name at its start or none
+(``Human:``, ``**Assistant**:``, ``<|user|>``), whether it asks, how long it is, and whether it
+is an item or code.  Turns begin at rows; speakers change there with high probability and
+hardly elsewhere.  Emissions of the line features are counted over all lines whose row names a
+known role; a role is believed in most cases, so a missing or unknown one is filled in from
+its neighbours and its lines.
+
+A name may mark a turn or belong to the text (``A: Paris`` in a list); texts hold words such
+as ``Answer:`` often, speakers' names seldom and tokens in brackets hardly ever.  Whether a
+turn begins there is part of the path: likely in a row of unknown role, unlikely in one whose
+role is known, until a first turn has begun within it.  From there on the row's role says no
+more and its names alone tell who speaks, so each role has a second state for such lines.  A
+name is cut off only where the path begins a turn of the role it names; others stay.
 
 Conversations are decoded along a range partitioning by conversation and turn.  One that
 crosses partitions, however long, is joined by the scores of the best paths through each
@@ -23,6 +30,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -49,10 +57,16 @@ _BUCKETS = (2, 5, 2)  # asks, length, item
 
 # Chances that do not depend on the data: who begins, who follows whom where a turn begins,
 # and how often a marker is right.
-_START = np.log([0.3, 0.6, 0.1])
+_START = np.append(np.log([0.3, 0.6, 0.1]), np.full(3, -np.inf))  # second states: no row begins there
 _NEXT = np.log([[0.05, 0.85, 0.10], [0.02, 0.08, 0.90], [0.02, 0.88, 0.10]])
 _WITHIN = np.log(np.full((3, 3), 0.005) + np.eye(3) * 0.985)
 _RIGHT, _WRONG = np.log(0.97), np.log(0.015)
+# Words that texts begin lines with, too, and how often a name of each kind is one of the
+# text: such words, other names, tokens in brackets.
+_WORDS = {"instruction", "instructions", "customer", "question", "q", "model", "answer", "a"}
+_AS_TEXT = (0.8, 0.05, 0.001)
+# How often a name marks a turn: within and at the start of a row of known role, elsewhere.
+_INNER, _FIRST, _FREE = 0.02, 0.5, 0.9
 
 
 @dataclass(frozen=True)
@@ -62,11 +76,14 @@ class Model:
 
 @dataclass(frozen=True)
 class Line:
-    text: str
-    begins: bool
-    marker: int  # index of the role, or -1
+    text: str  # without the name
+    begins: bool  # a row
+    marker: int  # index of the role that the name stands for, or -1
     buckets: tuple[int, int, int]
     tie: int = 0
+    name: str = ""  # as written
+    kind: int = 1  # of the name: index into _AS_TEXT
+    given: int = -1  # index of the row's role, or -1
 
 
 def name_of(role: str | None) -> int:
@@ -76,16 +93,19 @@ def name_of(role: str | None) -> int:
 
 
 def lines_of(role: str | None, text: str | None, turn: object = None) -> list[Line]:
-    """The lines of a row; a name at a line's start is cut off."""
+    """The lines of a row; a name at a line's start is kept beside the rest."""
     out = []
+    given = name_of(role)
     for k, line in enumerate((text or "").split("\n")):
-        marker, begins = (name_of(role), True) if k == 0 else (-1, False)
+        marker, kind, name = -1, 1, ""
         named = _MARKER.match(line)
         if named:
-            line, begins, marker = line[named.end() :], True, ROLES.index(NAMES[named[named.lastindex].lower()])
+            word = named[named.lastindex].lower()
+            marker, kind = ROLES.index(NAMES[word]), 2 if named.lastindex > 1 else int(word not in _WORDS)
+            name, line = named[0], line[named.end() :]
         length = int(np.searchsorted(_LENGTHS, len(line), side="right"))
         buckets = (int(line.rstrip().endswith("?")), length, int(bool(_ITEM.match(line))))
-        out.append(Line(line, begins, marker, buckets, zlib.crc32(f"{turn} {k}".encode())))
+        out.append(Line(line, k == 0, marker, buckets, zlib.crc32(f"{turn} {k}".encode()), name, kind, given))
     return out
 
 
@@ -114,22 +134,72 @@ def fit(rows: DataFrame) -> Model:
     return Model(tuple(np.log(t / t.sum(1, keepdims=True)) for t in tables))
 
 
+_ROLE = np.arange(len(ROLES))
+_TIES = np.arange(3, 3 + len(_START))
+
+
+@lru_cache(None)
+def _first(marker: int, kind: int, known: bool) -> np.ndarray:
+    """Log chance of a name at a row's start, as marker or text, by role."""
+    marks = _FIRST if known else _FREE
+    return np.maximum(np.log(marks) + np.where(_ROLE == marker, _RIGHT, _WRONG), np.log((1 - marks) * _AS_TEXT[kind]))
+
+
 def _emission(model: Model, line: Line) -> np.ndarray:
+    role = sum(table[:, bucket] for table, bucket in zip(model.features, line.buckets))
+    later = role
+    if line.given >= 0:
+        # After a turn begun within the row, names alone tell who speaks.
+        later = np.full(len(ROLES), role[line.given])
+        role = role + np.where(_ROLE == line.given, 0, _WRONG - _RIGHT)
+    if line.begins and line.marker >= 0:
+        role = role + _first(line.marker, line.kind, line.given >= 0)
     # A trace of the turn's number settles ties between paths alike, wherever partitions begin.
-    score = line.tie * np.arange(3, 6) % 1009 * 1e-9
-    score = score + sum(table[:, bucket] for table, bucket in zip(model.features, line.buckets))
-    if line.marker >= 0:
-        score = score + np.where(np.arange(len(ROLES)) == line.marker, _RIGHT, _WRONG)
-    return score
+    return np.concatenate([role, later]) + line.tie * _TIES % 1009 * 1e-9
+
+
+@lru_cache(None)
+def _options(begins: bool, marker: int, kind: int, known: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log chances from each state to each where the turn goes on, where one begins, and the larger."""
+    on, new = np.full((2, 2, len(ROLES), 2, len(ROLES)), -np.inf)
+    if begins:
+        new[:, :, 0] = _NEXT
+    else:
+        on[0, :, 0] = on[1, :, 1] = _WITHIN
+        if marker >= 0:
+            named = _NEXT + np.where(_ROLE == marker, _RIGHT, _WRONG)
+            for later, marks in enumerate((_INNER if known else _FREE, _FREE)):
+                on[later, :, later] += np.log((1 - marks) * _AS_TEXT[kind])
+                new[later, :, int(known or later)] = np.log(marks) + named
+    on, new = on.reshape(len(_START), -1), new.reshape(len(_START), -1)
+    return on, new, np.maximum(on, new)
 
 
 def _step(line: Line) -> np.ndarray:
-    return _NEXT if line.begins else _WITHIN
+    return _options(line.begins, line.marker, line.kind, line.given >= 0)[2]
+
+
+def starts(line: Line, before: int, state: int) -> bool:
+    """Whether the best way from one state to the other begins a turn at the line."""
+    on, new, _ = _options(line.begins, line.marker, line.kind, line.given >= 0)
+    return bool(new[before, state] > on[before, state])
+
+
+def pieces(row: list[Line], states: list[int]) -> list[tuple[int, str]]:
+    """The turns of a row: role and text, without the names that mark a turn's beginning."""
+    out: list[tuple[int, list[str]]] = []
+    for k, (line, state) in enumerate(zip(row, states)):
+        role = state % len(ROLES)
+        new = k == 0 or starts(line, states[k - 1], state)
+        if new or out[-1][0] != role:
+            out.append((role, []))
+        out[-1][1].append(line.text if new and role == line.marker else line.name + line.text)
+    return [(role, "\n".join(lines)) for role, lines in out]
 
 
 def through(model: Model, lines: list[Line]) -> np.ndarray:
     """Best score through the lines from each state before them to each state at their end."""
-    best = np.where(np.eye(len(ROLES)) > 0, 0.0, -np.inf)
+    best = np.where(np.eye(len(_START)) > 0, 0.0, -np.inf)
     for line in lines:
         best = (best[:, :, None] + _step(line)).max(1) + _emission(model, line)
     return best
@@ -236,7 +306,7 @@ def _joints(summaries: list) -> dict[int, tuple[int | None, int | None]]:
                 break
         score, back = np.array(chain[0].tail), []
         for link in chain[1:]:
-            options = score[:, None] + np.array(link.head).reshape(len(ROLES), -1)
+            options = score[:, None] + np.array(link.head).reshape(len(_START), -1)
             back.append(options.argmax(0))
             score = options.max(0)
         state = int(score.argmax())
@@ -273,13 +343,8 @@ def parse(rows: DataFrame) -> DataFrame:
                 model, flat, before if k == 0 else None, end if k == len(stretches) - 1 else None
             ))
             for conv, turn, given, row in zip(own["conv_id"], own["turn"], own["role"], lines):
-                pieces: list[tuple[int, list[str]]] = []
-                for line in row:
-                    state = next(states)
-                    if not pieces or line.begins or pieces[-1][0] != state:
-                        pieces.append((state, []))
-                    pieces[-1][1].append(line.text)
-                out += [(_number(conv), _number(turn), n, given, ROLES[s], "\n".join(x)) for n, (s, x) in enumerate(pieces)]
+                own_states = [next(states) for _ in row]
+                out += [(_number(conv), _number(turn), n, given, ROLES[s], x) for n, (s, x) in enumerate(pieces(row, own_states))]
         columns = dict(zip(("conv_id", "turn", "piece", "given_role", "role", "content"), zip(*out)))
         return pd.DataFrame(columns | {n: pd.array(columns[n], "Int64") for n in ("conv_id", "turn")})
 

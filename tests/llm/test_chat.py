@@ -127,3 +127,46 @@ def test_query(spark):
     assert {(r.conv_id, r.turn) for r in rows} == {(r.conv_id, r.turn) for r in given.collect()}
     assert np.mean([r.role == r.given_role for r in rows]) > 0.99
     assert all(r.chat.startswith(f"<|im_start|>{r.role}\n") for r in rows)
+
+
+def parsed(spark, rows):
+    df = spark.createDataFrame([(1, n, *r) for n, r in enumerate(rows)], "conv_id long, turn long, role string, text string")
+    got = chat.parse(df).orderBy("turn", "piece").collect()
+    return [(r.turn, r.role, r.content) for r in got]
+
+
+LISTS = ["Which is right?\nA: Paris\nB: London", "Model: X5", "Q: 1+1?\nA: 2\nQ: 2+2?\nA: 4\nQ: 3+3?", "My setup\nUser: root\nSystem: 11"]
+
+
+@pytest.mark.parametrize("text", [*LISTS, "A: Paris\nB: London\n" + "Answer: a rather long line of text. \n" * 30])
+def test_names_in_a_text_of_known_role_stay(spark, text):
+    asked = text.removeprefix("Q: ")  # names the row's own role at its beginning
+    assert parsed(spark, [("user", text), ("assistant", "Right is this.")])[:-1] == [(0, "user", asked)]
+    assert parsed(spark, [("user", text)]) == [(0, "user", asked)]
+
+
+def test_names_that_mark_turns(spark):
+    # Within a row of known role: speakers' names in turn, or tokens; a row's start; no role.
+    assert parsed(spark, [("user", "Human: hi\nAssistant: hello\nthere\nHuman: thanks")]) == [
+        (0, "user", "hi"), (0, "assistant", "hello\nthere"), (0, "user", "thanks"),
+    ]
+    assert parsed(spark, [("user", "hi\n<|assistant|>hello\nthere")]) == [(0, "user", "hi"), (0, "assistant", "hello\nthere")]
+    assert parsed(spark, [("user", "what?"), ("assistant", "Answer: that")]) == [(0, "user", "what?"), (1, "assistant", "that")]
+    assert parsed(spark, [(None, "Q: why?\nA: so")]) == [(0, "user", "why?"), (0, "assistant", "so")]
+
+
+def test_partitions_do_not_change_names(spark):
+    rng = random.Random(4)
+    words = ["A: x", "Human: y", "<|assistant|>z", "plain", "**Answer:** w", "Assistant: v?"]
+    rows = [(7, t, rng.choice([None, "user", "assistant"]), "\n".join(rng.choices(words, k=rng.randrange(1, 6)))) for t in range(120)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        results = []
+        for parts in (1, 13):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            results.append(order(chat.parse(df).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert results[0] == results[1]
