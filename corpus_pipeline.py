@@ -8,6 +8,7 @@ the next stage's documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from papervein.llm import decontaminate, near_dup, packing, quality, suffix_dedup
 from papervein.llm.queries import table, tokenizer_path
@@ -35,8 +36,11 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places of the remaining documents' pieces in sequences of 1024 tokens."""
-    return packing.pack(docs, tokenizer_path())
+    """The remaining documents' pieces with their ids and places in sequences of 1024 tokens."""
+    packed = packing.pack(docs, tokenizer_path())
+    return packed.select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset", "ids"
+    )
 
 
 STAGES = [

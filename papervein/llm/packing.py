@@ -14,7 +14,6 @@ which of equal pieces takes which place is arbitrary.  No documents: no sequence
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,9 +25,10 @@ from pyspark.sql import functions as F
 from papervein.llm import tokens
 from papervein.llm.shared import Tables
 
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECES = "doc_id long, piece int, start long, length long, ids binary"  # ids: 4 bytes each, little-endian
 # Pieces whose ranks one window group counts, about.
 BLOCK_ROWS = 4_000
+BATCH_BYTES = 1 << 22  # of ids in one batch, about
 
 
 @dataclass(frozen=True)
@@ -43,28 +43,35 @@ class Run:
     offset: int
 
 
+def _piece_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * 5
+    types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(columns, types)], names=["doc_id", "piece", "start", "length", "ids"]
+    )
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2) -> DataFrame:
-    """The pieces of every document with the checksum of their ids."""
+    """The pieces of every document with their ids."""
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokens.encoder(tokenizer)
         for batch in parts:
-            rows = []
+            rows, size = [], 0
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ids = memoryview(encoder.ids(text.as_py() or "") + end)
                 count = len(ids) // 4
                 stop = (count - 1) % capacity + 1
                 start = piece = 0
                 while start < count:
-                    rows.append((doc, piece, start, stop - start, zlib.crc32(ids[4 * start : 4 * stop])))
+                    rows.append((doc, piece, start, stop - start, bytes(ids[4 * start : 4 * stop])))
+                    size += 4 * (stop - start)
                     start, stop, piece = stop, stop + capacity, piece + 1
-            columns = list(zip(*rows)) or [()] * 5
-            types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)],
-                names=["doc_id", "piece", "start", "length", "ids_crc32"],
-            )
+                    if size > BATCH_BYTES:
+                        yield _piece_batch(rows)
+                        rows, size = [], 0
+            yield _piece_batch(rows)
 
     return docs.select("doc_id", "text").mapInArrow(cut, PIECES)
 
@@ -227,7 +234,7 @@ def place(found: DataFrame, capacity: int = 1024) -> DataFrame:
     ranked = (
         blocked.withColumn("rank", F.row_number().over(order) - 1)
         .join(before, ["length", "block"])
-        .select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("before")).alias("rank"))
+        .select("doc_id", "piece", "start", "length", "ids", (F.col("rank") + F.col("before")).alias("rank"))
     )
 
     def placed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,13 +245,19 @@ def place(found: DataFrame, capacity: int = 1024) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:5], pa.array(sequence + (rank - first) // each),
                  pa.array(offset + (rank - first) % each * length)],
-                names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
+                names=["doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"],
             )
 
     return ranked.mapInArrow(placed, f"{PIECES}, sequence_id long, offset long")
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2) -> DataFrame:
-    """Every piece with its sequence and its offset there."""
+    """Every piece with its ids, its sequence and its offset there."""
     tables = Tables(docs.sparkSession, "packing")
     return place(tables.write(pieces(docs, tokenizer, capacity, end_id), "pieces"), capacity)
+
+
+def sequences(packed: DataFrame) -> DataFrame:
+    """(sequence_id, ids): the ids of each sequence's pieces in their order."""
+    own = packed.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("own"))
+    return own.select("sequence_id", F.aggregate("own", F.lit(bytearray()), lambda a, x: F.concat(a, x["ids"])).alias("ids"))

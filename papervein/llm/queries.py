@@ -72,7 +72,9 @@ def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(table(spark, folder, "documents"), tokenizer_path())
+    """The ids as their checksum."""
+    packed = packing.pack(table(spark, folder, "documents"), tokenizer_path())
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:

@@ -156,3 +156,30 @@ def test_best_fit_is_the_plain_one(lengths):
             rooms.append(30 - length)
     got = sorted(30 - sum(n for _, n in own) for own in unpacked(plan.runs).values())
     assert got == sorted(rooms)
+
+
+def test_ids_are_packed_whole(spark, odd_documents, library):
+    docs = odd_documents.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    packed = packing.pack(docs, tokenizer_path(), 16)
+    rows = packed.collect()
+    by = {}
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.piece)):
+        ids = np.frombuffer(r.ids, "<u4").tolist()
+        assert len(ids) == r.length and len(by.setdefault(r.doc_id, [])) == r.start
+        by[r.doc_id] += ids
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    assert by == {i: [*library.encode(t, add_special_tokens=False).ids, 2] for i, t in texts.items()}
+    whole = {r.sequence_id: bytes(r.ids) for r in packing.sequences(packed).collect()}
+    assert len(whole) == len({r.sequence_id for r in rows})
+    assert sum(map(len, whole.values())) == 4 * sum(r.length for r in rows)
+    # Pieces of equal length may change places between two runs, so the ids are compared in all.
+    assert sorted(x for w in whole.values() for x in np.frombuffer(w, "<u4")) == sorted(x for own in by.values() for x in own)
+
+
+def test_pipeline_returns_the_ids(spark, odd_documents):
+    import zlib
+
+    import corpus_pipeline
+
+    rows = corpus_pipeline.best_fit_packing(spark, odd_documents, SF).collect()
+    assert rows and all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in rows)
