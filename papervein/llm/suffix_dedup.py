@@ -321,13 +321,18 @@ def _gone(size: int, intervals: list[dict] | None, length: int) -> np.ndarray:
 
 
 def _with_marks(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """The documents with a column ``_intervals``, null where nothing is repeated."""
+    """The documents with their intervals as the last column, null where nothing is repeated."""
+    # Names that no column of the documents has, in any case.
+    prefix = "_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    key, text_key, found = f"{prefix}id", f"{prefix}text_key", f"{prefix}intervals"
     marks = repeats(docs, length, gram).select(
-        F.col("id").alias("_id"), F.col("text_key").alias("_text_key"), F.col("intervals").alias("_intervals")
+        F.col("id").alias(key), F.col("text_key").alias(text_key), F.col("intervals").alias(found)
     )
     text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.withColumns({"_id": F.coalesce("doc_id", F.xxhash64(text)), "_text_key": F.xxhash64(text)})
-    return keyed.join(marks.hint("shuffle_hash"), ["_id", "_text_key"], "left").select(*docs.columns, "_intervals")
+    keyed = docs.withColumns({key: F.coalesce("doc_id", F.xxhash64(text)), text_key: F.xxhash64(text)})
+    return keyed.join(marks.hint("shuffle_hash"), [key, text_key], "left").select(*docs.columns, found)
 
 
 def digest(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:

@@ -135,3 +135,13 @@ def test_remove_keeps_characters_whole(spark):
     rows = {r.doc_id: (r.text, r.n_chars) for r in suffix_dedup.remove(docs, 20, 8).collect()}
     assert rows[3] == (texts[2][1], 30)
     assert rows[1] == ("start ", 6) and rows[2] == ("other ", 6) and 4 not in rows
+
+
+def test_remove_leaves_columns_named_like_helpers(spark, odd_documents):
+    own = odd_documents.selectExpr("*", "concat('n', hits) AS _id", "1.5D AS _Text_key", "array(doc_id) AS _intervals", "true AS __id")
+    left = suffix_dedup.remove(own, 30, 10)
+    assert left.schema == own.schema
+    plain = suffix_dedup.remove(odd_documents, 30, 10).collect()
+    assert sorted(map(repr, plain)) == sorted(repr(r) for r in left.select(*odd_documents.columns).collect())
+    assert {(r._id, r._Text_key, r["__id"]) for r in left.collect()} == {("nx", 1.5, True)}
+    assert all(r._intervals == [r.doc_id] for r in left.collect())
