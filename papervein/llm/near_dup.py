@@ -500,10 +500,8 @@ def _node_pairs(inside: DataFrame, narrow: DataFrame, groups: _Groups, search: S
     return _small_pairs(small, search).union(_pivot_pairs(large, narrow, search))
 
 
-def classify(docs: DataFrame, search: Search = Search()) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every document."""
-    tables = Tables(docs.sparkSession, "near-dup")
-    found = tables.write(profiles(docs, search), "profiles")
+def _classified(found: DataFrame, docs: DataFrame, tables: Tables, search: Search) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept; ``found``: profiles of documents with own ids."""
     sets = tables.write(
         found.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("code1", "code2")
         .agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"),
@@ -523,12 +521,77 @@ def classify(docs: DataFrame, search: Search = Search()) -> DataFrame:
     )
 
 
+def _of_two_texts(found: DataFrame, tables: Tables) -> DataFrame | None:
+    """The ids that rows with different sets of shingles share; None if there are none."""
+    code = F.struct("code1", "code2")
+    sets = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(code).alias("low"), F.max(code).alias("high"))
+    shared = tables.write(sets.where("low <> high").select("doc_id"), "shared")
+    return None if shared.isEmpty() else shared
+
+
+def _own_ids(docs: DataFrame, shared: DataFrame) -> DataFrame:
+    """(doc_id, text, given, row): another id for each text of a shared id, the given id, the row."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(F.col("doc_id").alias("given"), "text", F.struct(*docs.columns).alias("row"))
+    marks = shared.select(F.col("doc_id").alias("given"), F.lit(True).alias("mark"))
+    own = F.when(F.col("mark"), F.xxhash64("given", text)).otherwise(F.col("given"))
+    return rows.join(marks, "given", "left").select(own.alias("doc_id"), "text", "given", "row")
+
+
+def _decided(docs: DataFrame, search: Search) -> tuple[DataFrame, DataFrame | None]:
+    """The classified documents; where ids are shared, also their rows by own ids.
+
+    Then doc_id, component_id and kept are by own ids, and ``given`` and ``first`` are the
+    given ids of the document and of its component.
+    """
+    tables = Tables(docs.sparkSession, "near-dup")
+    found = tables.write(profiles(docs, search), "profiles")
+    shared = _of_two_texts(found, tables)
+    if shared is None:
+        return _classified(found, docs, tables, search), None
+    own = _own_ids(docs, shared)
+    found = tables.write(profiles(own, search), "profiles")
+    rows = tables.write(_classified(found, own.select("doc_id", "text"), tables, search), "classified")
+    # The first of a component is the document with the smallest given id.
+    given = own.select("doc_id", "given").where("doc_id IS NOT NULL").distinct()
+    named = rows.join(given, "doc_id", "left")
+    first = (
+        named.where("component_id IS NOT NULL").groupBy("component_id")
+        .agg(F.min(F.struct("given", "doc_id")).alias("first"))
+    )
+    rows = named.join(first, "component_id", "left").select(
+        "doc_id", "given", "n_shingles", F.col("first.given").alias("first"),
+        F.coalesce(F.col("doc_id") == F.col("first.doc_id"), F.lit(True)).alias("kept"),
+    )
+    return rows, own
+
+
+def classify(docs: DataFrame, search: Search = Search()) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every document.
+
+    Different texts under one id are documents of their own; a component is named by the
+    smallest id in it, so two components can have one name.
+    """
+    rows, own = _decided(docs, search)
+    if own is None:
+        return rows
+    return rows.select(F.col("given").alias("doc_id"), "n_shingles", F.col("first").alias("component_id"), "kept")
+
+
 def keep_first(docs: DataFrame, search: Search = Search()) -> DataFrame:
-    """One document of each group, with all its columns."""
-    kept = classify(docs, search).where("kept").select("doc_id")
-    kept = Tables(docs.sparkSession, "near-dup-kept").write(kept, "kept")
+    """One document of each group, with all its columns.
+
+    Of rows that repeat both id and text one stays.
+    """
+    rows, own = _decided(docs, search)
+    kept = Tables(docs.sparkSession, "near-dup-kept").write(rows.where("kept").select("doc_id"), "kept")
     ids = kept.where("doc_id IS NOT NULL")
-    out = docs.join(ids.distinct().hint("shuffle_hash"), "doc_id", "left_semi")
+    if own is None:
+        out = docs.join(ids.distinct().hint("shuffle_hash"), "doc_id", "left_semi")
+    else:
+        out = own.join(ids.distinct().hint("shuffle_hash"), "doc_id", "left_semi")
     if not ids.groupBy("doc_id").count().where("count > 1").isEmpty():
         out = out.dropDuplicates(["doc_id"])
-    return out.union(docs.where("doc_id IS NULL")).select(*docs.columns)
+    if own is not None:
+        out = out.select("row.*")
+    return out.select(*docs.columns).union(docs.where("doc_id IS NULL").select(*docs.columns))

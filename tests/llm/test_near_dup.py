@@ -90,3 +90,27 @@ def test_components(spark, edges):
         x, y = root(a), root(b)
         parent[max(x, y)] = min(x, y)
     assert got == {i: root(i) for i in list(parent) if root(i) != i}
+
+
+def test_one_id_with_two_texts(spark):
+    rng = random.Random(6)
+    base = [[f"{g}{k}" for k in range(80)] for g in "abcd"]
+    texts = [" ".join(b) for b in base]
+    rows = [
+        (5, texts[0]), (5, texts[1]), (5, texts[1]),  # one id, two texts, one of them repeated
+        (3, varied(rng, base[0], 1)),                 # near the first only
+        (9, texts[2]), (9, varied(rng, base[2], 1)),  # one id, two near texts
+        (7, texts[3]), (None, texts[0]), (8, ""), (8, texts[3].upper()),
+    ]
+    docs = spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], "doc_id long, text string, row int").repartition(3)
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in near_dup.classify(docs).collect())
+    assert len(got) == len(rows)
+    assert sorted(g[2:] for g in got if g[0] == "5") == [("3", False), ("5", True), ("5", True)]
+    assert sorted(g[3] for g in got if g[0] == "9") == [False, True]
+    kept = near_dup.keep_first(docs)
+    assert kept.schema == docs.schema
+    out = kept.collect()
+    assert sorted((str(r.doc_id), r.text) for r in out if r.doc_id != 9) == sorted(
+        [("3", rows[3][1]), ("5", texts[1]), ("7", texts[3]), ("8", ""), ("None", texts[0])]
+    )
+    assert [r.text in (rows[4][1], rows[5][1]) for r in out if r.doc_id == 9] == [True]
