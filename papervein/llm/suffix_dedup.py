@@ -1,17 +1,17 @@
-"""Removal of byte strings that occur more than once, by distributed suffix sorting.
+"""Removal of byte strings that occur more than once: grouping by fingerprints, then sorting.
 
 Every byte covered by a string of ``length`` bytes that also starts anywhere else goes.
 
 1. Each window of ``length`` bytes has a seed: its ``gram``-byte piece with the least hash.
    Equal windows have equal seeds, so only runs of windows whose seed occurs again need a
    comparison, and only with runs of the same seed.
-2. A run's context (the bytes its windows cover) that occurs unchanged elsewhere is sorted
-   once and carries its count.
+2. A run's context (the bytes its windows cover) that occurs unchanged elsewhere is marked by
+   its fingerprint alone.  It is sorted, once, only if its seed has other contexts, too.
 3. The contexts go to tasks by seed, each task sorts the suffixes of its contexts with the
    difference cover (``suffix_order``), and adjacent suffixes are compared over ``length``
    bytes.
 4. A seed whose contexts are too many for one task is split by longer pieces of its windows,
-   at last by whole windows, where all windows of a group are equal.
+   at last by whole windows, where all windows of a group are equal by fingerprint.
 
 Shuffled are fingerprints, the contexts, and each text twice (to cut out contexts, and to
 cut out what is removed).  Fingerprints have 64 bits; contexts are equal if those of seed and
