@@ -9,21 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from papervein.llm import (
-    chat, decontaminate, lm_score, near_dup, packing, quality, suffix_dedup, token_counts, url_filter, warc,
+    chat, conversation_repair, decontaminate, lm_score, near_dup, packing, pieces, quality, spelling, suffix_dedup,
+    token_counts, url_filter, warc,
 )
 from papervein.llm.shared import shared_folder
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 URL_RULES = (
@@ -84,10 +86,29 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows are damaged first, so that there is something to repair."""
+    conversations = table(spark, folder, "conversations")
+    repaired = conversation_repair.repair(conversation_repair.damage(conversations))
+    return conversation_repair.digest(conversations, repaired)
+
+
+def op13_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of whole texts, and the texts that these give again."""
+    model = tokenizer_path(PIECES)
+    encoded = pieces.encode(table(spark, folder, "documents"), model)
+    return pieces.digest(pieces.decode(encoded, model))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_chat_formatting, op2_minhash_near_dedup, op3_url_filter, op4_quality_rules, op5_suffix_array_dedup,
-        op6_decontamination, op7_warc, op8_lm_scoring, op9_best_fit_packing, op10_token_counts,
+        op6_decontamination, op7_warc, op8_lm_scoring, op9_best_fit_packing, op10_token_counts, op11_spelling_variants,
+        op12_conversation_repair, op13_sentencepiece,
     )
 }
