@@ -36,7 +36,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from papervein.llm.shared import Tables
@@ -351,7 +351,16 @@ def parse(rows: DataFrame) -> DataFrame:
     return ordered.groupBy("part").applyInPandas(turns, TURNS)
 
 
+def escaped(content: Column) -> Column:
+    """Text in which a turn mark gets a backslash, so that no reader takes it for one.
+
+    ``<|im_end|>`` becomes ``<\\|im_end|>``; a mark that has backslashes already gets one more,
+    so taking one away from each gives the text again.
+    """
+    return F.regexp_replace(content, r"<(\\*)\|im_(start|end)\|>", r"<$1\\\\|im_$2|>")
+
+
 def render(turns: DataFrame) -> DataFrame:
-    """Each turn in one canonical form."""
-    chat = F.concat(F.lit("<|im_start|>"), "role", F.lit("\n"), F.trim("content"), F.lit("<|im_end|>\n"))
+    """Each turn in one canonical form; turn marks inside its text are escaped."""
+    chat = F.concat(F.lit("<|im_start|>"), "role", F.lit("\n"), F.trim(escaped(F.col("content"))), F.lit("<|im_end|>\n"))
     return turns.withColumn("chat", chat)

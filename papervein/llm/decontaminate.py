@@ -11,7 +11,8 @@ The patterns are sent to the tasks in blocks of at most ``BLOCK_BYTES`` of item
 more than one block the texts pass once for each, hits being carried along.
 
 A null text has no words and no hits; a null or wordless item has no window.  Repeated rows
-are judged each by itself.  Items with equal texts all count; a null item id is left out.
+are judged each by itself.  Items with equal texts all count.  The windows of an item without
+id are searched like any other; only the list of items found leaves it out.
 """
 
 from __future__ import annotations
@@ -59,13 +60,13 @@ def _split(text: str | None) -> list[bytes]:
     return [data[s:e].tobytes() for s, e in zip(starts, ends)]
 
 
-def compile_patterns(items: list[tuple[int, str | None]], size: int = 10) -> list[Patterns]:
+def compile_patterns(items: list[tuple[int | None, str | None]], size: int = 10) -> list[Patterns]:
     windows: dict[tuple[bytes, ...], set[int]] = defaultdict(set)
     for item, text in items:
         found = _split(text)
-        if item is not None and found:
+        if found:
             for k in range(max(1, len(found) - size + 1)):
-                windows[tuple(found[k : k + size])].add(item)
+                windows[tuple(found[k : k + size])].update(() if item is None else (item,))
     by_length = defaultdict(list)
     for window in windows:
         by_length[len(window)].append(window)
@@ -149,9 +150,9 @@ def _matches(patterns: list[Patterns], column: pa.Array) -> Iterator[tuple[int,
             yield int(first[row + 1] - first[row]), hit[first[row] : first[row + 1]], items.get(row, set())
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
+def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str]]]:
     """The items in blocks of about ``BLOCK_BYTES``, each small enough for the driver."""
-    items = benchmark.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL")
+    items = benchmark.select("item_id", "text").where("text IS NOT NULL")
     size = items.agg(F.sum(F.octet_length("text") + 16).alias("s")).first()["s"] or 0
     blocks = int(size // BLOCK_BYTES) + 1
     for k in range(blocks):
@@ -159,7 +160,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield [tuple(row) for row in part.collect()]
 
 
-def _pass(docs: DataFrame, block: list[tuple[int, str]], size: int, last: bool) -> DataFrame:
+def _pass(docs: DataFrame, block: list[tuple[int | None, str]], size: int, last: bool) -> DataFrame:
     """Search one block of items; columns: doc_id, text, hits and items so far."""
     shared = docs.sparkSession.sparkContext.broadcast(compile_patterns(block, size))
 
@@ -172,7 +173,7 @@ def _pass(docs: DataFrame, block: list[tuple[int, str]], size: int, last: bool)
                     mask = mask | np.unpackbits(np.frombuffer(before[0][row], np.uint8), count=count).astype(bool)
                     found = found.union(before[1][row])
                 counts.append(count)
-                hits.append(np.packbits(mask).tobytes() if found else None)
+                hits.append(np.packbits(mask).tobytes() if mask.any() else None)
                 items.append(sorted(found))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *([] if last else [batch.column(1)]), pa.array(hits, pa.binary()),
@@ -225,12 +226,12 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFra
     return docs
 
 
-def _without(docs: DataFrame, text: int, block: list[tuple[int, str]], size: int) -> DataFrame:
+def _without(docs: DataFrame, text: int, block: list[tuple[int | None, str]], size: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(compile_patterns(block, size))
 
     def clean(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
-            mask = [not found for _, _, found in _matches(shared.value, batch.column(text))]
+            mask = [not hit.any() for _, hit, _ in _matches(shared.value, batch.column(text))]
             yield batch.filter(pa.array(mask, pa.bool_()))
 
     return docs.mapInArrow(clean, docs.schema)

@@ -24,18 +24,23 @@ other columns of the input are not read.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
-# Stretches and pairs remembered by one Python worker, and the longest such stretch.
-REMEMBERED = 400_000
+# Stretches and pairs remembered by one Python worker, about 130 MB, and the longest such stretch.
+REMEMBERED = 600_000
 LONGEST_REMEMBERED = 48
+# A code in one word with another, or with a length.
+CODE_BITS = 22
+CODE_MASK = (1 << CODE_BITS) - 1
 # Texts encoded before their ids are handed on.
 OUT_IDS = 1 << 20
 
@@ -63,17 +68,33 @@ class Codec:
         self.surface: list[str] = [
             {NORMAL: p.piece.replace(SPACE, " "), UNKNOWN: unknown}.get(p.type, "") for p in model.pieces
         ]
-        self.byte_of = {i: b for b, i in self.bytes.items()}
+        # A byte below 0x80 is a character of its own, whatever is around it.
+        for byte, i in self.bytes.items():
+            if byte < 0x80:
+                self.surface[i] = chr(byte)
+        self.byte_of = {i: b for b, i in self.bytes.items() if b >= 0x80}
         self.silent = {i for i, p in enumerate(model.pieces) if p.type == CONTROL}
+        self.spaced = {i for piece, i in self.ids.items() if piece.startswith(SPACE)}
+        # Codes of pieces: their ids, and behind all ids the characters that are no piece.
+        self.first_char = len(model.pieces)
+        self.text_of = [p.piece for p in model.pieces]
+        self.length_of = [len(p.piece) for p in model.pieces]
         self.automaton = ahocorasick.Automaton()
-        for piece in self.ids:
-            self.automaton.add_word(piece, len(piece))
+        for piece, i in self.ids.items():
+            self.automaton.add_word(piece, len(piece) << CODE_BITS | i)
         self.automaton.make_automaton()
         crossing = any(SPACE in piece.lstrip(SPACE) for piece in self.ids)
         self.stretches = re.compile("(?s).+" if crossing else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-        self.shorter: dict[str, str | None] = {}
-        self.fits: dict[tuple[str, str], bool] = {}
-        self.known: dict[str, tuple[int, ...]] = {}
+        # The longest piece that begins another, at last its first character; 0 for none.
+        self.shorter = [0] * self.first_char
+        for piece, i in self.ids.items():
+            if len(piece) > 1:
+                begins = (self.ids.get(piece[:n]) for n in range(len(piece) - 1, 0, -1))
+                self.shorter[i] = next((c for c in begins if c is not None), self.first_char + ord(piece[0]))
+        self.fits: dict[int, bool] = {}
+        # Stretches seen lately, and those of the time before: frequent ones move on.
+        self.known: dict[str, bytes] = {}
+        self.known_before: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
         """Plain merging from single characters: the best score first, then the leftmost."""
@@ -89,73 +110,77 @@ class Codec:
             symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
         return symbols
 
-    def compatible(self, before: str, piece: str) -> bool:
-        """Whether the two stand side by side in an encoding; ``before`` may be empty."""
-        fit = self.fits.get((before, piece))
-        if fit is None:
-            if len(self.fits) > REMEMBERED:
-                self.fits.clear()
-            fit = self.fits[before, piece] = self.merged(before + piece) == ([before, piece] if before else [piece])
-        return fit
+    def piece(self, code: int) -> str:
+        return self.text_of[code] if code < self.first_char else chr(code - self.first_char)
 
-    def next_shorter(self, piece: str) -> str | None:
-        """The longest piece that begins ``piece``, at last its first character."""
-        if piece not in self.shorter:
-            self.shorter[piece] = next(
-                (piece[:n] for n in range(len(piece) - 1, 0, -1) if n == 1 or piece[:n] in self.ids), None
-            )
-        return self.shorter[piece]
+    def compatible(self, before: int, code: int) -> bool:
+        """Whether two pieces stand side by side in an encoding; ``before`` is 0 at the front."""
+        own = [self.piece(c) for c in (before, code) if c]
+        if len(self.fits) > REMEMBERED:
+            self.fits.clear()
+        fit = self.fits[before << CODE_BITS | code] = self.merged("".join(own)) == own
+        return fit
 
-    def pieces(self, text: str) -> list[str]:
-        """The pieces of normalised text; a character without a piece stands for itself."""
-        size = len(text)
-        longest = [1] * size
-        for end, length in self.automaton.iter(text):
-            start = end + 1 - length
-            if length > longest[start]:
-                longest[start] = length
-        failed = bytearray(size // 8 + 1)
-        taken: list[str] = []
-        at = 0
+    def codes(self, text: str) -> list[int]:
+        """The codes of the pieces of normalised text; a character without a piece has its own."""
+        size, fits, shorter, length_of, first_char = len(text), self.fits, self.shorter, self.length_of, self.first_char
+        matches = self.automaton.iter_long(text)
+        # The next match, leftmost and longest, and where the search behind it goes on.
+        start, found, following = -1, 0, 0
+        failed, any_failed = bytearray(size // 8 + 1), False
+        taken: list[int] = []
+        at = last = 0
         while at < size:
-            piece: str | None = text[at : at + longest[at]]
+            if start < at:
+                if following != at:
+                    matches = self.automaton.iter_long(text, at)
+                stop, match = next(matches, (size, 0))
+                start, found, following = stop + 1 - (match >> CODE_BITS), match & CODE_MASK, stop + 1
+            code = found if start == at else first_char + ord(text[at])
             while True:
-                end = at + len(piece)
-                if not failed[end >> 3] >> (end & 7) & 1 and self.compatible(taken[-1] if taken else "", piece):
-                    taken.append(piece)
-                    at = end
-                    break
-                piece = self.next_shorter(piece)
-                while piece is None:
+                fit = fits.get(last << CODE_BITS | code)
+                if fit or fit is None and self.compatible(last, code):
+                    end = at + (length_of[code] if code < first_char else 1)
+                    if not (any_failed and failed[end >> 3] >> (end & 7) & 1):
+                        taken.append(code)
+                        at, last = end, code
+                        break
+                code = shorter[code] if code < first_char else 0
+                while not code:
                     failed[at >> 3] |= 1 << (at & 7)
+                    any_failed = True
+                    start = following = -1
                     given_up = taken.pop()
-                    at -= len(given_up)
-                    piece = self.next_shorter(given_up)
+                    last = taken[-1] if taken else 0
+                    at -= length_of[given_up] if given_up < first_char else 1
+                    code = shorter[given_up] if given_up < first_char else 0
         return taken
 
-    def _stretch_ids(self, stretch: str) -> tuple[int, ...]:
+    def pieces(self, text: str) -> list[str]:
+        return [self.piece(code) for code in self.codes(text)]
+
+    def _ids(self, stretch: str) -> bytes:
         out: list[int] = []
-        for piece in self.pieces(stretch):
-            known = self.ids.get(piece)
-            if known is None:
-                out.extend(self.bytes[b] for b in piece.encode())
+        for code in self.codes(stretch):
+            if code < self.first_char:
+                out.append(code)
             else:
-                out.append(known)
-        return tuple(out)
+                out.extend(self.bytes[b] for b in self.piece(code).encode())
+        return array("i", out).tobytes()
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         """The ids of a text, without begin or end ids."""
         known, out = self.known, []
         for stretch in self.stretches.findall(self.normalise(text)):
             ids = known.get(stretch)
             if ids is None:
-                ids = self._stretch_ids(stretch)
+                ids = self.known_before.get(stretch) or self._ids(stretch)
                 if len(stretch) <= LONGEST_REMEMBERED:
-                    if len(known) > REMEMBERED:
-                        known.clear()
                     known[stretch] = ids
-            out += ids
-        return out
+            out.append(ids)
+        if len(known) > REMEMBERED:
+            self.known, self.known_before = {}, known
+        return np.frombuffer(b"".join(out), np.int32)
 
     def decode(self, ids: list[int]) -> str:
         """The text of any ids: byte pieces in a row are read as UTF-8, a bad byte as U+FFFD.
@@ -163,7 +188,7 @@ class Codec:
         The space that normalisation puts in front is taken off the first piece again.
         """
         byte_of, surface = self.byte_of, self.surface
-        if not self.byte_of.keys() & set(ids):
+        if byte_of.keys().isdisjoint(ids):
             out = "".join([surface[i] for i in ids])
         else:
             parts: list[str] = []
@@ -178,10 +203,8 @@ class Codec:
                 parts.append(surface[i])
             parts.append(_utf8(run))
             out = "".join(parts)
-        if self.dummy:
-            first = next((i for i in ids if i not in self.silent), None)
-            if first is not None and first not in byte_of and surface[first].startswith(" ") and out.startswith(" ") and first in self.ids.values():
-                out = out[1:]
+        if self.dummy and next((i for i in ids if i not in self.silent), None) in self.spaced:
+            return out[1:]
         return out
 
 
@@ -212,8 +235,16 @@ def codec(path: str) -> Codec:
     return _CODECS[path]
 
 
-def encode(docs: DataFrame, model: str) -> DataFrame:
-    """``doc_id`` and ``ids ARRAY<INT>`` of every document's whole text."""
+def _id_lists(parts: list[np.ndarray]) -> pa.Array:
+    offsets = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts)))
+
+
+def encode(docs: DataFrame, model: str, with_text: bool = False) -> DataFrame:
+    """``doc_id`` and ``ids ARRAY<INT>`` of every document's whole text.
+
+    ``with_text`` adds ``decoded``, the text that the ids give again.
+    """
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
@@ -223,14 +254,15 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
                 ids.append(own.encode(batch.column(1)[row].as_py()))
                 size += len(ids[-1])
                 if size > OUT_IDS or row + 1 == batch.num_rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(start, len(ids)), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"]
-                    )
+                    columns = {"doc_id": batch.column(0).slice(start, len(ids)), "ids": _id_lists(ids)}
+                    if with_text:
+                        columns["decoded"] = pa.array([own.decode(i.tolist()) for i in ids], pa.string())
+                    yield pa.RecordBatch.from_pydict(columns)
                     start, ids, size = row + 1, [], 0
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
-        encoded, f"doc_id {kind}, ids array<int>"
+        encoded, f"doc_id {kind}, ids array<int>" + (", decoded string" if with_text else "")
     )
 
 
@@ -240,10 +272,10 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
         for batch in batches:
-            texts, at = [], batch.column(1)
-            for row in range(batch.num_rows):
-                texts.append(own.decode(at[row].values.to_pylist()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), at, pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"])
+            texts = [own.decode(row.values.to_pylist()) for row in batch.column(1)]
+            yield pa.RecordBatch.from_pydict(
+                {"doc_id": batch.column(0), "ids": batch.column(1), "decoded": pa.array(texts, pa.string())}
+            )
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.select("doc_id", "ids").mapInArrow(decoded, f"doc_id {kind}, ids array<int>, decoded string")

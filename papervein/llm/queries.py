@@ -100,8 +100,7 @@ def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
 def op13_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of whole texts, and the texts that these give again."""
     model = tokenizer_path(PIECES)
-    encoded = pieces.encode(table(spark, folder, "documents"), model)
-    return pieces.digest(pieces.decode(encoded, model))
+    return pieces.digest(pieces.encode(table(spark, folder, "documents"), model, with_text=True))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -30,6 +30,21 @@ def read_cache(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([], CACHE)
 
 
+def count_once(encoder: tokens.Encoder, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of (digest, text) rows; of rows with one digest the first is encoded."""
+    done: set[bytes] = set()
+    for batch in parts:
+        digests, counts = [], []
+        for digest, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if digest not in done:
+                done.add(digest)
+                digests.append(digest)
+                counts.append(len(encoder.ids(text.as_py())) // 4)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(digests, pa.binary()), pa.array(counts, pa.int64())], names=["digest", "n_tokens"]
+        )
+
+
 def count_tokens(docs: DataFrame, tokenizer: str, cache_path: str) -> DataFrame:
     """doc_id, n_bytes and n_tokens of every document."""
     spark = docs.sparkSession
@@ -47,15 +62,13 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache_path: str) -> DataFrame:
         keys.groupBy("digest").agg(F.min("row_key").alias("row_key"))
         .join(stored.select("digest").distinct(), "digest", "left_anti")
     )
+    # The rows of one text that are chosen have one key, so they are in one partition.
     chosen = texts.select("row_key", "digest", "text").join(
         missing.hint("shuffle_hash"), ["row_key", "digest"], "left_semi"
     )
 
     def counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokens.encoder(tokenizer)
-        for batch in parts:
-            counts = [len(encoder.ids(text.as_py())) // 4 for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], names=["digest", "n_tokens"])
+        return count_once(tokens.encoder(tokenizer), parts)
 
     fresh = (
         chosen.select("digest", "text").mapInArrow(counted, "digest binary, n_tokens long")

@@ -71,3 +71,15 @@ def test_random(docs, items, size):
         expected = brute.benchmark_hits(doc, items, size)
         assert (n, hit, len(found)) == expected[:3]
     assert len(got) == len(docs)
+
+
+def test_items_without_id(spark):
+    """Their windows count as hits and contaminate; only the list of items leaves them out."""
+    words = "one two three four five six seven eight nine ten eleven twelve"
+    docs = spark.createDataFrame([(1, f"before {words} after"), (2, "clean text"), (3, f"{words} and more of item five")], "doc_id long, text string")
+    items = [(None, words), (None, None), (5, "more of item five"), (None, "")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: tuple(r)[1:] for r in decontaminate.digest(decontaminate.search(docs, benchmark)).collect()}
+    assert got == {r.doc_id: brute.benchmark_hits(r.text, items) for r in docs.collect()}
+    assert got[1][1:3] == (12, 0) and got[1][4]
+    assert [r.doc_id for r in decontaminate.keep_clean(docs, benchmark).collect()] == [2]

@@ -1,5 +1,6 @@
 import uuid
 
+import pyarrow as pa
 import pytest
 
 from papervein.llm import token_counts, tokens
@@ -70,3 +71,23 @@ def test_only_misses_are_encoded(spark, cache):
 
 def test_empty(spark, no_documents, cache):
     assert token_counts.count_tokens(no_documents, tokenizer_path(), cache).count() == 0
+
+
+def test_repeated_rows_are_encoded_once(spark, cache):
+    """Rows that repeat an id and its text, and rows without id, give one stored count a text."""
+    rows = [(7, "the same text")] * 300 + [(None, "without id")] * 200 + [(8, "another"), (None, "another")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    counts = token_counts.count_tokens(docs, tokenizer_path(), cache).collect()
+    assert len(counts) == len(rows) and spark.read.parquet(cache).count() == 3
+
+    class Counting:
+        calls = 0
+
+        def ids(self, text):
+            self.calls += 1
+            return bytes(4 * len(text))
+
+    encoder = Counting()
+    batches = [pa.RecordBatch.from_pydict({"digest": [b"a", b"b", b"a"], "text": ["x", "yy", "x"]})] * 5
+    out = pa.Table.from_batches(token_counts.count_once(encoder, iter(batches)))
+    assert encoder.calls == 2 and out.to_pydict() == {"digest": [b"a", b"b"], "n_tokens": [1, 2]}
