@@ -10,7 +10,9 @@
     python -m papervein evaluate   --root OUT
 
 Any stage takes --threshold, --unit, --start-year, --end-year, --period-years and the other
-parameters listed by --help.  --aliases, --bounds and --roles are CSV files with a header that
+parameters listed by --help.  --terms is a text file with one relevance term a line, of any
+length; give it to filter, entities and topics alike.  --learn-sentences lets the entities
+stage learn abbreviations from the corpus.  --aliases, --bounds and --roles are CSV files with a header that
 replace the built-in tables.
 """
 
@@ -36,8 +38,9 @@ PARAMETERS = {
     "threshold": ("relevance_threshold", int), "unit": ("cluster_unit", str),
     "chunk-chars": ("chunk_chars", int), "chunk-min-chars": ("chunk_min_chars", int),
     "start-year": ("start_year", int), "end-year": ("end_year", int), "period-years": ("period_years", int),
-    "min-topic-size": ("min_topic_size", int), "min-cell-points": ("min_cell_points", int),
-    "cell-width": ("cell_width", float), "dims": ("reduced_dims", int), "seed": ("seed", int),
+    "min-topic-size": ("min_topic_size", int), "min-points": ("min_points", int),
+    "radius": ("radius", float), "dims": ("reduced_dims", int),
+    "reduction": ("reduction", str), "seed": ("seed", int),
     "price-constant": ("price_constant", float),
 }
 TABLES = {
@@ -53,6 +56,8 @@ def parser() -> argparse.ArgumentParser:
     out.add_argument("--root", required=True)
     for name in ("documents", "bibliography", "manual", "lexicon", *TABLES):
         out.add_argument(f"--{name}")
+    out.add_argument("--terms", help="text file of relevance terms in place of the built-in ones")
+    out.add_argument("--learn-sentences", action="store_true", help="learn abbreviations from the corpus")
     out.add_argument("--glob", default="*.txt", help="file names to read below --documents")
     out.add_argument("--ingest-date", default=datetime.date.today().isoformat())
     out.add_argument("--selected-topics", type=lambda s: tuple(map(int, s.split(","))), default=())
@@ -84,16 +89,17 @@ def main(arguments: list[str] | None = None) -> None:
             args.ingest_date,
         )
     elif args.stage == "filter":
-        stages.filter_corpus(ws, cfg)
+        stages.filter_corpus(ws, cfg, readers.read_terms(spark, args.terms) if args.terms else None)
     elif args.stage == "entities":
         report = readers.lexicon_report(spark, args.lexicon)
-        stages.extract_entities(ws, cfg, readers.read_lexicon(spark, args.lexicon), report)
+        stages.extract_entities(ws, cfg, readers.read_lexicon(spark, args.lexicon), report,
+                                args.learn_sentences, bool(args.terms))
         for row in ws.required("lexicon_report").where("missing").collect():  # the expected files at most
             print(f"warning: no lexicon file {row['file']}, so no {row['label']} terms", file=sys.stderr)
     elif args.stage == "normalise":
         stages.normalise_entities(ws, cfg, given("aliases"), given("bounds"))
     elif args.stage == "topics":
-        stages.cluster_units(ws, cfg, args.selected_topics)
+        stages.cluster_units(ws, cfg, args.selected_topics, bool(args.terms))
     elif args.stage == "trends":
         stages.trends_over_time(ws, cfg, args.selected_topics)
     elif args.stage == "bridge":

@@ -190,9 +190,10 @@ class Config:
     chunk_min_chars: int = CHUNK_MIN_CHARS
     cluster_unit: str = "chunk"
     min_topic_size: int = MIN_TOPIC_SIZE
-    min_cell_points: int = MIN_TOPIC_SIZE  # points that make a grid cell dense, at any corpus size
-    cell_width: float = 1.0                # of a grid cell, in standard deviations
+    min_points: int = MIN_TOPIC_SIZE       # points around a core point of a topic, itself included
+    radius: float = 0.5                    # of what is around a point, in standard deviations
     reduced_dims: int = REDUCED_DIMS
+    reduction: str = "pca"                 # of 256 dimensions; "svd": of 2^18, texts are shuffled once
     seed: int = SEED
 
     @property

@@ -13,6 +13,7 @@ Input documents are ``(doc_id, text)`` with a unique id and cleaned whitespace
 
 from __future__ import annotations
 
+import math
 import re
 from functools import reduce
 from operator import and_, or_
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 
 from papervein.config import Config, TokenPattern, TokenTest
 from papervein.functions import text as tx
+from papervein.operators.abbreviations import Bounds, sentence_parts
 from papervein.operators.joins import BROADCAST_BYTES, fits_broadcast
 
 ENTITY_COLUMNS = (
@@ -30,9 +32,15 @@ ENTITY_COLUMNS = (
 SCOPED_COLUMNS = ("doc_id", "entity_text", "label", "scope_tag", "context")
 
 
-def sentences(documents: DataFrame) -> DataFrame:
-    """``(doc_id, sent_id, sent_start, sentence)``; the sentences join back to the text."""
-    parts = documents.select("doc_id", F.split("text", tx.SENTENCE_BREAK, -1).alias("_parts"))
+def sentences(documents: DataFrame, bounds: Bounds | None = None) -> DataFrame:
+    """``(doc_id, sent_id, sent_start, sentence)``; the sentences join back to the text.
+
+    With ``bounds`` learnt from the corpus, a stop after an abbreviation ends none.
+    """
+    if bounds is None:
+        parts = documents.select("doc_id", F.split("text", tx.SENTENCE_BREAK, -1).alias("_parts"))
+    else:
+        parts = sentence_parts(F.col("text"), bounds, documents)
     lengths = parts.withColumn("_lengths", F.transform("_parts", lambda part: F.length(part)))
     placed = lengths.withColumn("_starts", tx.running_starts(F.col("_lengths")))
     return placed.select(
@@ -44,11 +52,13 @@ def sentences(documents: DataFrame) -> DataFrame:
     ).where(F.col("sentence") != "")
 
 
+def _pieces() -> Column:
+    return F.regexp_extract_all("sentence", F.lit(tx.PIECE), F.lit(0))
+
+
 def with_tokens(sentence_table: DataFrame) -> DataFrame:
     """Add the token array, and the pieces (token and space) that offsets are read from."""
-    pieces = sentence_table.withColumn(
-        "pieces", F.regexp_extract_all("sentence", F.lit(tx.PIECE), F.lit(0))
-    )
+    pieces = sentence_table.withColumn("pieces", _pieces())
     return pieces.withColumn("tokens", F.transform("pieces", lambda piece: F.rtrim(piece)))
 
 
@@ -77,7 +87,8 @@ def lexicon_phrases(lexicon: DataFrame) -> DataFrame:
             tx.clean_whitespace(F.col("term")), F.lit(tx.TOKEN), F.lit(0)
         ).alias("phrase"),
     )
-    return cut.where(F.size("phrase") > 0).select(
+    # Terms that differ in spaces only are one sequence.
+    return cut.where(F.size("phrase") > 0).distinct().select(
         "phrase_label", "phrase",
         F.element_at("phrase", 1).alias("first_token"),
         F.size("phrase").alias("phrase_tokens"),
@@ -109,21 +120,22 @@ def _may_start(token: Column, patterns: tuple[TokenPattern, ...]) -> Column:
 
 
 def _matches_at(pattern: TokenPattern, position: Column) -> Column:
-    each = [_passes(F.get("tokens", position + i), t) for i, t in enumerate(pattern.tests)]
+    each = [_passes(F.rtrim(F.get("pieces", position + i)), t) for i, t in enumerate(pattern.tests)]
     return reduce(and_, each)
 
 
-# First words of a lexicon that sentences are searched for before they are cut into tokens.
-MAX_FIRST_WORDS = 200
+# Up to so many first words of a lexicon, sentences are searched for each before they are cut
+# into tokens.  More are tested token by token against a bitmap, at a cost that does not grow.
+MAX_FIRST_WORDS = 40
+# Bits of that bitmap for each first word, and the most in all (8 MB).
+BITS_PER_WORD, MAX_BITS = 16, 1 << 26
 
 
-def _may_hold(sentence: Column, cfg: Config, first_words: list[str] | None) -> Column | None:
+def _may_hold(sentence: Column, cfg: Config, first_words: list[str]) -> Column | None:
     """A cheap condition that every sentence with a mention meets, or None if there is none.
 
     Tokens are pieces of the sentence, so what a first token must hold the sentence holds too.
     """
-    if first_words is None:
-        return None
     tests = [sentence.contains(word) for word in sorted(first_words)]
     cores = []
     for test in {p.tests[0] for p in cfg.patterns}:
@@ -143,11 +155,34 @@ def _may_hold(sentence: Column, cfg: Config, first_words: list[str] | None) -> C
     return reduce(or_, tests, F.lit(False))
 
 
+def first_word_bitmap(firsts: DataFrame, count: int) -> Column:
+    """An array of 64-bit words with a bit set for the hash of every ``first_token``.
+
+    Built by one aggregation; the array is a scalar of the plan, so the test below runs inside
+    the scan's stage whatever the size of the lexicon.  Beyond ``MAX_BITS`` more tokens pass
+    that begin nothing; the rows found are the same.
+    """
+    bits = 1 << max(10, math.ceil(math.log2(min(MAX_BITS, max(1, count) * BITS_PER_WORD))))
+    at = F.pmod(F.xxhash64("first_token"), F.lit(bits))
+    words = firsts.select(at.alias("_at")).groupBy(F.floor(F.col("_at") / 64).alias("id")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("_at") % 64).cast("int"))).alias("bits")
+    )
+    every = firsts.sparkSession.range(bits // 64).join(words, "id", "left")
+    ordered = F.sort_array(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))))
+    return every.agg(ordered.alias("_all")).select(F.col("_all.bits")).scalar()
+
+
+def _in_bitmap(token: Column, bitmap: Column) -> Column:
+    at = F.pmod(F.xxhash64(token), F.size(bitmap).cast("long") * 64)
+    return F.getbit(F.get(bitmap, F.floor(at / 64).cast("int")), (at % 64).cast("int")) == 1
+
+
 def candidates(
     documents: DataFrame,
     cfg: Config,
     lexicon: DataFrame | None = None,
     max_broadcast_bytes: int = BROADCAST_BYTES,
+    bounds: Bounds | None = None,
 ) -> DataFrame:
     """Every span a pattern or phrase matches, overlaps included.
 
@@ -156,41 +191,62 @@ def candidates(
     A lexicon is matched in two steps: a token that begins a phrase opens one candidate for
     each length of such phrases, and the candidate's whole token sequence is then looked up.
     So a first word that many phrases share costs no more than one that few do.  A lexicon
-    beyond ``max_broadcast_bytes`` is joined by shuffling the candidates; only if its first
-    words alone exceed that, too, are all tokens shuffled.
+    beyond ``max_broadcast_bytes`` is joined by shuffling the candidates; if its first words
+    alone exceed that, too, the tokens that pass the bitmap of first words are shuffled.
     """
     if lexicon is None and not cfg.patterns:
         raise ValueError("neither patterns nor a lexicon to match")
-    parts = sentences(documents)
-    phrases = firsts = None
-    first_words: list[str] | None = []
+    parts = sentences(documents, bounds)
+    phrases = firsts = bitmap = None
+    first_words: list[str] = []
     if lexicon is not None:
         phrases = lexicon_phrases(lexicon)
         length = F.struct(F.lit(None).cast("string").alias("label"), F.col("phrase_tokens").alias("n_tokens"))
         firsts = phrases.groupBy("first_token").agg(F.collect_set(length).alias("phrase_spans"))
         some = firsts.select("first_token").limit(MAX_FIRST_WORDS + 1).collect()
-        first_words = [row[0] for row in some] if len(some) <= MAX_FIRST_WORDS else None
+        if len(some) <= MAX_FIRST_WORDS:
+            first_words = [row[0] for row in some]
+        else:
+            bitmap = first_word_bitmap(firsts, firsts.count())
         if fits_broadcast(phrases, max_broadcast_bytes):
             phrases, firsts = F.broadcast(phrases), F.broadcast(firsts)
         elif fits_broadcast(firsts.select("first_token", F.to_json("phrase_spans")), max_broadcast_bytes):
             firsts = F.broadcast(firsts)
-    hold = _may_hold(F.col("sentence"), cfg, first_words)
-    split = with_tokens(parts if hold is None else parts.where(hold))
-    sized = split.withColumn("_lengths", F.transform("pieces", lambda piece: F.length(piece)))
+    # One test per token decides whether the full patterns are tried there.
+    begins = _may_start(F.col("token"), cfg.patterns)
+    if bitmap is None:
+        hold = _may_hold(F.col("sentence"), cfg, first_words)
+        rows = _placed_tokens(parts if hold is None else parts.where(hold))
+    else:
+        begins = begins | _in_bitmap(F.col("token"), bitmap)
+        rows = _kept_tokens(parts, begins)
+    return _looked_up(_opened(rows, cfg, firsts, begins), phrases)
+
+
+def _placed_tokens(parts: DataFrame) -> DataFrame:
+    """Every token ``(doc_id, sent_id, sentence, pieces, pos, token, start)``; offsets are summed once a sentence."""
+    sized = with_tokens(parts).withColumn("_lengths", F.transform("pieces", lambda piece: F.length(piece)))
     placed = sized.withColumn("starts", tx.running_starts(F.col("_lengths")))
-    return _looked_up(_opened(placed, cfg, firsts), phrases)
+    return placed.select(
+        "doc_id", "sent_id", "sent_start", "sentence", "pieces", "starts",
+        F.posexplode_outer("tokens").alias("pos", "token"),
+    ).withColumn("start", F.col("sent_start") + F.get("starts", F.col("pos")))
 
 
-def _opened(placed: DataFrame, cfg: Config, firsts: DataFrame | None) -> DataFrame:
+def _kept_tokens(parts: DataFrame, begins: Column) -> DataFrame:
+    """The same rows of the tokens that may begin something; only these get an offset."""
+    # A generated column: what is made of it does not cut the sentence again.
+    cut = parts.select("doc_id", "sent_id", "sent_start", "sentence", F.inline(F.array(F.struct(_pieces().alias("pieces")))))
+    tokens_of = cut.select("*", F.posexplode_outer("pieces").alias("pos", "_piece"))
+    kept = tokens_of.withColumn("token", F.rtrim("_piece")).where(begins)
+    before = F.array_join(F.slice("pieces", F.lit(1), F.col("pos")), "")
+    return kept.withColumn("start", F.col("sent_start") + F.length(before))
+
+
+def _opened(rows: DataFrame, cfg: Config, firsts: DataFrame | None, begins: Column) -> DataFrame:
     """Spans of matched patterns, and spans of the lengths a phrase may have, without label."""
-    rows = placed.select(
-        "doc_id", "sent_id", "sent_start", "sentence", "pieces", "tokens", "starts",
-        F.posexplode_outer("tokens").alias("pos", "token"),
-    )
     pos = F.col("pos")
-    # One test per token decides whether the full patterns are tried there.
-    begins = _may_start(F.col("token"), cfg.patterns)
-    # No lambda from here on: it would copy the sentence's arrays for every token.
+    # No lambda over the sentence from here on: it would copy its arrays for every token.
     opened = nothing = F.array().cast("array<struct<label: string, n_tokens: int>>")
     if cfg.patterns:
         opened = F.array(*[
@@ -203,12 +259,13 @@ def _opened(placed: DataFrame, cfg: Config, firsts: DataFrame | None) -> DataFra
         opened = F.concat(opened, F.coalesce("phrase_spans", nothing))
     hits = rows.where(begins).withColumn("_hit", F.explode_outer(opened)).where(F.col("_hit").isNotNull())
     count = F.col("_hit.n_tokens")
+    # Near the end of a sentence fewer tokens may be left than a phrase of that length has.
+    hits = hits.where(pos + count <= F.size("pieces"))
     spans = hits.select(
         "doc_id", "sent_id", "sentence",
-        F.col("_hit.label").alias("label"), count.alias("n_tokens"),
-        (F.col("sent_start") + F.get("starts", pos)).alias("start_char"),
+        F.col("_hit.label").alias("label"), count.alias("n_tokens"), F.col("start").alias("start_char"),
         F.rtrim(F.array_join(F.slice("pieces", pos + 1, count), "")).alias("entity_text"),
-        F.slice("tokens", pos + 1, count).alias("_sequence"),
+        F.transform(F.slice("pieces", pos + 1, count), lambda piece: F.rtrim(piece)).alias("_sequence"),
     )
     return spans.withColumn("end_char", F.col("start_char") + F.length("entity_text"))
 
@@ -302,9 +359,10 @@ def entity_table(
     cfg: Config,
     lexicon: DataFrame,
     max_broadcast_bytes: int = BROADCAST_BYTES,
+    bounds: Bounds | None = None,
 ) -> DataFrame:
     """Every resolved mention with its sentence and, for target labels, its scope."""
-    resolved = resolved_sentences(candidates(documents, cfg, lexicon, max_broadcast_bytes))
+    resolved = resolved_sentences(candidates(documents, cfg, lexicon, max_broadcast_bytes, bounds))
     has_trigger = F.lower("sentence").rlike("|".join(cfg.scope_triggers))
     has_competitor = F.exists("kept", lambda span: span["label"].isin(*cfg.competitor_labels))
     judged = resolved.select(

@@ -5,11 +5,13 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from papervein.config import Config
 from papervein.functions import text as tx
+from papervein.operators.checkpoints import cut_lineage
+from papervein.operators.joins import BROADCAST_BYTES
 
 
 def with_hits(documents: DataFrame, cfg: Config) -> DataFrame:
@@ -52,3 +54,76 @@ def status_list(tagged: DataFrame) -> DataFrame:
         "domain_term_hits",
         name.alias("document"),
     )
+
+
+# ---- term lists of any size ----------------------------------------------------
+
+# Texts are searched in blocks of this many characters, each with the start of the next one.
+BLOCK_CHARS = 256
+GRAM_CHARS = 3
+
+
+def term_postings(terms: DataFrame) -> DataFrame:
+    """``(gram, term, times)``: each lower-cased term under its rarest run of three characters.
+
+    Rarest among the terms, then the smallest.  A shorter term stands under itself.  Blank
+    terms are skipped; ``times`` is how often the list holds the term in any case.
+    """
+    lowered = terms.select(F.lower("term").alias("term")).where(F.trim("term") != "")
+    counted = lowered.groupBy("term").agg(F.count(F.lit(1)).alias("times"))
+    grams = F.when(F.length("term") <= GRAM_CHARS, F.array("term")).otherwise(F.array_distinct(_grams(F.col("term"), GRAM_CHARS)))
+    each = counted.select("term", "times", F.explode(grams).alias("gram"))
+    common = each.groupBy("gram").agg(F.count(F.lit(1)).alias("_n"))
+    best = each.join(common, "gram").groupBy("term", "times").agg(F.min(F.struct("_n", "gram")).alias("_best"))
+    return best.select(F.col("_best.gram").alias("gram"), "term", "times")
+
+
+def _grams(text: Column, size: int) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))."), F.lit(1))
+
+
+def listed_terms(documents: DataFrame, terms: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``(doc_id, term, times)``: every term of a list ``(term)`` that a text contains, once.
+
+    Substrings in any case, as in :func:`with_hits`, without an expression for each term: the
+    runs of three characters of a block of text are looked up among the terms' rarest ones,
+    and what is found is proved by ``contains``.  Blocks overlap by the longest term, so no
+    term is lost at a cut.  Only proved terms are shuffled, never text.  A list beyond
+    ``max_broadcast_bytes`` is taken in parts of at most that size, one reading each.
+    """
+    postings = cut_lineage(term_postings(terms))
+    facts = postings.agg(
+        F.max(F.length("term")).alias("longest"), F.collect_set(F.length("gram")).alias("sizes"),
+        F.sum(F.octet_length("term") + F.octet_length("gram") + F.lit(96)).alias("bytes"),
+    ).first()
+    if facts["longest"] is None:
+        return documents.select("doc_id", F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("times")).limit(0)
+    step = max(BLOCK_CHARS, facts["longest"])
+    cut = f"(?s)(?=(.{{1,{step + facts['longest'] - 1}}})).{{1,{step}}}"
+    blocks = documents.select(
+        "doc_id", F.explode_outer(F.regexp_extract_all(F.lower("text"), F.lit(cut), F.lit(1))).alias("_block")
+    )
+    grams = reduce(F.concat, [_grams(F.col("_block"), size) for size in sorted(facts["sizes"])])
+    looked = blocks.select("doc_id", "_block", F.explode_outer(F.array_distinct(grams)).alias("gram"))
+    parts = -(-facts["bytes"] // max_broadcast_bytes)
+    found = []
+    for part in range(parts):
+        own = postings if parts == 1 else postings.where(F.pmod(F.hash("term"), F.lit(parts)) == part)
+        proved = looked.join(F.broadcast(own), "gram").where(F.contains("_block", "term"))
+        found.append(proved.select("doc_id", "term", "times").distinct())
+    return reduce(DataFrame.union, found)
+
+
+def hits_of_list(documents: DataFrame, terms: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``(doc_id, domain_term_hits)`` of every document for a list ``(term)`` of any size."""
+    counted = listed_terms(documents, terms, max_broadcast_bytes).groupBy("doc_id").agg(F.sum("times").alias("_hits"))
+    return documents.select("doc_id").join(counted, "doc_id", "left").select(
+        "doc_id", F.coalesce("_hits", F.lit(0)).cast("int").alias("domain_term_hits")
+    )
+
+
+def tag_by_list(documents: DataFrame, terms: DataFrame, cfg: Config) -> DataFrame:
+    """``(doc_id, domain_term_hits, is_relevant)`` of every document, by a list of any size."""
+    return hits_of_list(documents, terms).withColumn(
+        "is_relevant", F.col("domain_term_hits") >= cfg.relevance_threshold
+    )

@@ -53,6 +53,21 @@ def label_samples(entities: DataFrame, n: int = 2) -> DataFrame:
     return picked.select("doc_id", "start_char", "label", "entity_text", "canonical_form")
 
 
+def unit_preview(chunks: DataFrame, n: int = 2) -> DataFrame:
+    """The first n chunks in document order."""
+    return chunks.orderBy("doc_id", "chunk_start").limit(n).select("unit_id", "text")
+
+
+def price_preview(grades: DataFrame, n: int = 5) -> DataFrame:
+    """The first n distinct grades with thickness and price."""
+    return grades.orderBy("entity_text").limit(n)
+
+
+def sensitivity_preview(table: DataFrame, n: int = 10) -> DataFrame:
+    """The first n grades of the sensitivity table."""
+    return table.orderBy("entity_text").limit(n)
+
+
 def value_preview(normalised: DataFrame, n: int = 10) -> DataFrame:
     valued = normalised.where(F.col("value_numeric").isNotNull())
     ordered = valued.orderBy("doc_id", "start_char").limit(n)

@@ -1,9 +1,7 @@
 """Topics: unit vectors, reduced vectors, density or k-means clusters, names.
 
-Density clustering works on a grid over the reduced vectors.  Points are counted per
-cell, cells with enough points are dense, dense cells sharing a face form a topic, and
-everything else is noise (-1).  Only cells are joined, never pairs of points, so any
-number of equal or close points costs one row.
+Density topics come from ``density.py``: points with enough others within a radius, and
+whatever of those lies within the radius of each other; everything else is noise (-1).
 """
 
 from __future__ import annotations
@@ -18,10 +16,11 @@ from pyspark.sql import functions as F
 
 from papervein.config import Config
 from papervein.operators.checkpoints import cut_lineage
-from papervein.operators.joins import first_rows, numbered_rows, sized
+from papervein.operators.density import NOISE, Density, attach_topics
+from papervein.operators.joins import first_rows, sized
+from papervein.operators import vectors as sparse
 from papervein.operators.units import units as cut_units
 
-NOISE = -1
 WORD = r"[\p{L}\p{N}_]{2,}"
 
 
@@ -77,70 +76,6 @@ def signed_sums(vector: Column, width: int, dims: int) -> list[Column]:
     return sums
 
 
-def grid_cell(coordinates: Sequence[Column], cell_width: float) -> Column:
-    """Grid cell as an array of whole numbers; cell 0 is centred on the origin."""
-    half = F.lit(cell_width / 2)
-    return F.array(*[F.floor((c + half) / F.lit(cell_width)).cast("int") for c in coordinates])
-
-
-def dense_cells(points: DataFrame, cfg: Config) -> DataFrame:
-    """``(cell, topic)`` of every cell that belongs to a topic, from points with a ``cell``.
-
-    A cell is dense with at least ``cfg.min_cell_points`` points, however many there are
-    elsewhere, so points in one cell never change whether another is dense.  Topics are
-    numbered by size, then by their smallest cell.
-    """
-    cells = cut_lineage(points.groupBy("cell").agg(F.count(F.lit(1)).alias("n")))
-    component = connected_cells(cells.where(F.col("n") >= cfg.min_cell_points), cfg.reduced_dims)
-    sizes = component.groupBy("component").agg(F.sum("n").alias("size"))
-    topics = sizes.where(F.col("size") >= cfg.min_topic_size)
-    numbered = numbered_rows(topics, "topic", F.desc("size"), F.asc("component"))
-    return component.join(numbered, "component").select("cell", F.col("topic").cast("int").alias("topic"))
-
-
-def attach_topic(points: DataFrame, cell_topics: DataFrame) -> DataFrame:
-    """Add ``topic`` by cell; other cells are noise."""
-    tagged = points.join(sized(cell_topics), "cell", "left")
-    return tagged.withColumn("topic", F.coalesce("topic", F.lit(NOISE)))
-
-
-def density_topics(points: DataFrame, cfg: Config) -> DataFrame:
-    return attach_topic(points, dense_cells(points, cfg))
-
-
-def connected_cells(dense: DataFrame, dims: int) -> DataFrame:
-    """``(cell, n, component)``: the smallest cell reachable through shared faces.
-
-    Each round takes the smallest label among the neighbours, then the label's own label,
-    so long chains close in few rounds.  A cell has at most two neighbours per dimension.
-    """
-    steps = []
-    for d in range(dims):
-        for step in (-1, 1):
-            steps.append(F.array(*[
-                F.element_at("cell", i + 1) + F.lit(step if i == d else 0) for i in range(dims)
-            ]))
-    faces = dense.select("cell", F.explode(F.array(*steps)).alias("neighbour"))
-    edges = cut_lineage(faces.join(
-        dense.select(F.col("cell").alias("neighbour")), "neighbour", "left_semi"
-    ))
-    labels = dense.select("cell", "n", F.col("cell").alias("component"))
-    while True:
-        seen = labels.select(F.col("cell").alias("neighbour"), F.col("component").alias("_seen"))
-        best = edges.join(seen, "neighbour").groupBy("cell").agg(F.min("_seen").alias("_best"))
-        stepped = labels.join(best, "cell", "left").select(
-            "cell", "n", F.col("component").alias("_old"),
-            F.least("component", F.coalesce("_best", "component")).alias("component"),
-        )
-        jump = stepped.select(F.col("cell").alias("component"), F.col("component").alias("_jump"))
-        moved = cut_lineage(stepped.join(jump, "component").select(
-            "cell", "n", "_old", F.col("_jump").alias("component")
-        ))
-        labels = moved.select("cell", "n", "component")
-        if moved.where(F.col("component") != F.col("_old")).isEmpty():
-            return labels
-
-
 def kmeans_topics(vectors: DataFrame, k: int, cfg: Config) -> DataFrame:
     """Add ``topic`` by k-means on the ML ``vector``."""
     model = KMeans(k=k, seed=cfg.seed, featuresCol="vector", predictionCol="topic").fit(vectors)
@@ -176,10 +111,9 @@ def topic_names(units: DataFrame, n_terms: int = 4) -> DataFrame:
     )
 
 
-def with_cells(reduced: DataFrame, spreads: Sequence[float], cell_width: float) -> DataFrame:
-    """Add ``cell``, its width measured in the given spread of each dimension."""
-    axes = [F.element_at("reduced", d + 1) / F.lit(s) for d, s in enumerate(spreads)]
-    return reduced.withColumn("cell", grid_cell(axes, cell_width))
+def scaled_position(vector: Column, spreads: Sequence[float]) -> Column:
+    """The vector measured in the given spread of each dimension."""
+    return F.array(*[F.element_at(vector, d + 1) / F.lit(s) for d, s in enumerate(spreads)])
 
 
 def clustered_units(documents: DataFrame, cfg: Config) -> DataFrame:
@@ -187,9 +121,38 @@ def clustered_units(documents: DataFrame, cfg: Config) -> DataFrame:
 
     The texts are read twice, to weigh their words and to write the units.
     """
+    if cfg.reduction == "svd":
+        return _clustered_by_svd(cut_lineage(cut_units(documents, cfg)), cfg)
+    if cfg.reduction != "pca":
+        raise ValueError(f"reduction must be 'pca' or 'svd', not {cfg.reduction!r}")
     return cluster(cut_lineage(unit_vectors(cut_units(documents, cfg))), cfg)
 
 
+def _clustered_by_svd(units: DataFrame, cfg: Config) -> DataFrame:
+    """The same from vectors of many dimensions, joined to the units at the end."""
+    weights = cut_lineage(sparse.unit_weights(units))
+    reduced = cut_lineage(sparse.decompose(weights, cfg.reduced_dims, seed=cfg.seed).reduced)
+    density, cells, alone, spreads = _density_of(reduced.select("reduced"), cfg)
+    position = scaled_position(F.col("reduced"), spreads)
+    placed = attach_topics(reduced.withColumn("position", position), "position", density, cells, alone)
+    topic = F.coalesce("_topic", F.lit(NOISE))
+    tagged = units.join(sized(placed.select("unit_id", F.col("topic").alias("_topic"))), "unit_id", "left")
+    labelled = cut_lineage(tagged.select("doc_id", "unit_id", "text", topic.alias("topic")))
+    return attach_names(labelled, cut_lineage(topic_names(labelled)))
+
+
+def _density_of(points: DataFrame, cfg: Config) -> tuple[Density, DataFrame, DataFrame, list[float]]:
+    """The topics' places among written points ``(reduced)``, and the spread of each dimension."""
+    deviations = [
+        F.stddev(F.element_at("reduced", d + 1)).alias(f"s{d}") for d in range(cfg.reduced_dims)
+    ]
+    spreads = [s or 1.0 for s in points.agg(*deviations).first()]
+    position = scaled_position(F.col("reduced"), spreads).alias("position")
+    density = Density(cfg.reduced_dims, cfg.radius, cfg.min_points)
+    cells, alone = density.topics(density.positions(points.select(position), "position"), cfg.min_topic_size)
+    return density, cut_lineage(cells), cut_lineage(alone), spreads
+
+
 def cluster(units: DataFrame, cfg: Config) -> DataFrame:
     """Topics and names of ``(doc_id, unit_id, text, vector)``, an ML vector from any source.
 
@@ -197,13 +160,10 @@ def cluster(units: DataFrame, cfg: Config) -> DataFrame:
     """
     model = pca(units, cfg.reduced_dims)
     points = cut_lineage(_reduced(model, units.select("vector")).select("reduced"))
-    deviations = [
-        F.stddev(F.element_at("reduced", d + 1)).alias(f"s{d}") for d in range(cfg.reduced_dims)
-    ]
-    spreads = [s or 1.0 for s in points.agg(*deviations).first()]
-    cell_topics = cut_lineage(dense_cells(with_cells(points, spreads, cfg.cell_width), cfg))
-    placed = with_cells(_reduced(model, units), spreads, cfg.cell_width)
-    labelled = attach_topic(placed, cell_topics).select("doc_id", "unit_id", "text", "topic")
+    density, cells, alone, spreads = _density_of(points, cfg)
+    placed = _reduced(model, units).withColumn("position", scaled_position(F.col("reduced"), spreads))
+    tagged = attach_topics(placed, "position", density, cells, alone)
+    labelled = tagged.select("doc_id", "unit_id", "text", "topic")
     return attach_names(labelled, cut_lineage(topic_names(labelled)))
 
 

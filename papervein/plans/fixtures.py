@@ -103,3 +103,11 @@ STRENGTH_SENTENCES = (
     "The table spans 12345678 MPa and 0.0005 MPa, a grain of texture in a motor alloy.",
     "Values of 45MPa and 15T are written without a space.",
 )
+
+# Sentences with abbreviations in them, and a following one that begins with a common word.
+ABBREVIATED_SENTENCES = (
+    "The loss fell in Fig. 3 at approx. 20 MPa as Smith et al. 2020 report for NO30 sheets. The curve is flat there.",
+    "Values of e.g. M330-35A steel are given in Fig. 12 and in Tab. 4 of Miller et al. 2018 as well. In most cases they agree.",
+    "Annealing at approx. 800 degrees (cf. Fig. 5) helps the traction motor core. The cost is small, see Eq. 7 and Eq. 9 for it.",
+    "Is it approx. 95 percent? In Tab. 2 it is! The alloy of Brown et al. Comes close to it.",
+)

@@ -2,7 +2,7 @@
 
 The statements are put together from named common table expressions, written against the
 given tables with their own means: window functions for offsets, joins on joined tokens
-for phrases, a recursive query for connected cells.
+for phrases, a recursive query for connected points.
 """
 
 from __future__ import annotations
@@ -76,6 +76,83 @@ RELEVANT = "relevant AS (SELECT doc_id, year, text, hits FROM tagged WHERE is_re
 CLEAN = f"clean_documents AS (SELECT doc_id, {clean('text')} AS text FROM documents)"
 
 
+_HEAD = "'^([^ ]+)'", "'^([^ ]+ [^ ]+)'"
+LARGE_LIST = [
+    f"""heads AS (
+  SELECT DISTINCT unnest([{", ".join(f"regexp_extract(line, {h}, 1)" for h in _HEAD)}]) AS term
+  FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents))""",
+    "large_terms AS (SELECT lower(term) AS term, count(*) AS times FROM heads WHERE trim(term) <> '' GROUP BY lower(term))",
+    "large_hits AS (SELECT doc_id, sum(times) AS n FROM documents JOIN large_terms ON contains(lower(text), term) GROUP BY doc_id)",
+]
+
+
+# ---- learnt sentence bounds ----------------------------------------------------
+
+ABBREVIATED = f"""abbreviated AS (
+  SELECT doc_id, {clean("concat_ws(' ', " + _pick(fixtures.ABBREVIATED_SENTENCES) + ", text, "
+                        + _pick(fixtures.ABBREVIATED_SENTENCES[1:]) + ")")} AS text FROM documents)"""
+_WORD_PIECE = r"""'^[(\["'']*(\p{L}[\p{L}.''-]*?)(\.?)[,;:)\]"''!?]*$'"""
+
+
+def _n_log(n: str, p: str) -> str:
+    return f"(CASE WHEN {n} = 0 THEN 0.0::DOUBLE ELSE ({n}) * ln({p}) END)"
+
+
+def _ratio(parts, bound) -> str:
+    return f"-2.0::DOUBLE * (({' + '.join(_n_log(*x) for x in parts)}) - ({' + '.join(_n_log(*x) for x in bound)}))"
+
+
+_BREAK_COUNTS = ("ab", "a - ab", "b - ab", "n - a - b + ab")
+LEARNT = [
+    ABBREVIATED,
+    f"""word_rows AS (
+  SELECT lower(regexp_extract(p, {_WORD_PIECE}, 1)) AS word, CASE WHEN regexp_extract(p, {_WORD_PIECE}, 2) = '.' THEN 1 ELSE 0 END AS kind
+  FROM (SELECT unnest(string_split(text, ' ')) AS p FROM abbreviated)
+  UNION ALL
+  SELECT lower(unnest(regexp_extract_all(text, '[.!?] (\\p{{Lu}}[\\p{{L}}-]*)', 1))), 2 FROM abbreviated)""",
+    """word_sums AS (
+  SELECT word, count(*) FILTER (kind = 1) AS n_stop, count(*) FILTER (kind = 0) AS n_plain, count(*) FILTER (kind = 2) AS n_open
+  FROM word_rows WHERE word <> '' GROUP BY word)""",
+    """word_totals AS (
+  SELECT sum(n_stop)::DOUBLE AS s, sum(n_stop + n_plain)::DOUBLE AS n, sum(n_open)::DOUBLE AS a FROM word_sums)""",
+    f"""abbreviation_rows AS (
+  SELECT word, n_stop, n_plain, round({_ratio((("ns", "share"), ("np", "(1 - share)")), (("ns", "0.99::DOUBLE"), ("np", "(1 - 0.99::DOUBLE)")))}
+           * exp(-letters) * (length(word) - letters + 1) * pow(letters, -np), 6) AS score
+  FROM (SELECT *, n_stop::DOUBLE AS ns, n_plain::DOUBLE AS np, length(replace(word, '.', ''))::DOUBLE AS letters,
+               (SELECT s / n FROM word_totals) AS share FROM word_sums WHERE n_stop >= 5))""",
+    "known_abbreviations AS (SELECT * FROM abbreviation_rows WHERE score >= 0.3)",
+    f"""opener_rows AS (
+  SELECT word, n_open, b::BIGINT AS n_all, round({_ratio(
+      tuple(zip(_BREAK_COUNTS, ("b / n", "(1 - b / n)", "b / n", "(1 - b / n)"))),
+      tuple(zip(_BREAK_COUNTS, ("ab / a", "(1 - ab / a)", "((b - ab) / (n - a))", "(1 - (b - ab) / (n - a))"))))}, 4) AS score
+  FROM (SELECT word, n_open, n_open::DOUBLE AS ab, (n_stop + n_plain)::DOUBLE AS b, n, a FROM word_sums, word_totals)
+  WHERE ab >= 5 AND ab <= b AND b < n AND n > a AND n / a > b / ab)""",
+    "known_openers AS (SELECT * FROM opener_rows WHERE score >= 30)",
+]
+
+
+def learnt_sentence_ctes() -> list[str]:
+    raw = sentence_ctes("abbreviated")[:2]
+    return LEARNT + raw + [
+        r"""ended AS (
+  SELECT *, lower(regexp_extract(sentence, '(?:^|[ (\["''])(\p{L}[\p{L}.''-]*)\. $', 1)) AS last_word,
+         lower(regexp_extract(lead(sentence) OVER (PARTITION BY doc_id ORDER BY sent_id), '^(\p{Lu}[\p{L}-]*)', 1)) AS next_word
+  FROM cut)""",
+        """held AS (
+  SELECT *, last_word IN (SELECT word FROM known_abbreviations)
+            AND coalesce(next_word, '') NOT IN (SELECT word FROM known_openers) AS goes_on FROM ended)""",
+        """numbered_parts AS (
+  SELECT doc_id, sent_id, sentence, sum(CASE WHEN goes_on THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY sent_id)
+           - CASE WHEN goes_on THEN 0 ELSE 1 END AS sentence_no FROM held)""",
+        """learnt_parts AS (
+  SELECT doc_id, sentence_no AS sent_id, string_agg(sentence, '' ORDER BY sent_id) AS sentence FROM numbered_parts GROUP BY doc_id, sentence_no)""",
+        """sentence_rows AS (
+  SELECT doc_id, sent_id, sentence,
+         sum(length(sentence)) OVER (PARTITION BY doc_id ORDER BY sent_id) - length(sentence) AS sent_start
+  FROM learnt_parts WHERE sentence <> '')""",
+    ]
+
+
 # ---- tokens and mentions -----------------------------------------------------
 
 
@@ -92,8 +169,9 @@ def sentence_ctes(source: str) -> list[str]:
     ]
 
 
-def token_ctes(source: str) -> list[str]:
-    return sentence_ctes(source) + [
+def token_ctes(source: str, cut: list[str] | None = None) -> list[str]:
+    """Tokens of the sentences of ``source``, or of those that ``cut`` gives."""
+    return (cut or sentence_ctes(source)) + [
         f"""pieces AS (
   SELECT doc_id, sent_id, sentence, sent_start, unnest(p) AS piece, unnest(range(len(p))) AS token_id
   FROM (SELECT *, regexp_extract_all(sentence, '{PIECE}') AS p FROM sentence_rows))""",
@@ -146,12 +224,12 @@ PHRASES = f"""phrases AS (
         FROM ({values(fixtures.LEXICON)}) lexicon(label, term)))"""
 
 
-def span_ctes(source: str, patterns, lexicon: bool) -> list[str]:
+def span_ctes(source: str, patterns, lexicon: bool, cut: list[str] | None = None) -> list[str]:
     selects = [_pattern_select(p) for p in patterns]
     if lexicon:
         selects += [_phrase_select(n) for n in range(1, MAX_PHRASE + 1)]
     return [
-        *token_ctes(source), _WINDOW, *([PHRASES] if lexicon else []),
+        *token_ctes(source, cut), _WINDOW, *([PHRASES] if lexicon else []),
         "spans AS (" + " UNION ALL ".join(selects) + ")",
     ]
 
@@ -159,9 +237,9 @@ def span_ctes(source: str, patterns, lexicon: bool) -> list[str]:
 _TRIGGER = r"(^|[^\p{L}\p{N}_])(non-oriented|non-grain-oriented|ngo)($|[^\p{L}\p{N}_])"
 
 
-def entity_ctes(source: str) -> list[str]:
+def entity_ctes(source: str, cut: list[str] | None = None) -> list[str]:
     kind = "STRUCT(r INTEGER, s BIGINT, l VARCHAR, e BIGINT, t VARCHAR)"
-    return span_ctes(source, CFG.patterns, True) + [
+    return span_ctes(source, CFG.patterns, True, cut) + [
         f"""grouped AS (
   SELECT doc_id, sent_id, any_value(sentence) AS sentence,
          list_sort(list(DISTINCT CAST({{'r': -n_tokens, 's': start_char, 'l': label, 'e': end_char,
@@ -347,8 +425,9 @@ WEIGHTS = TOPICS + [
 _AXES = []
 for d in range(CFG.reduced_dims):
     signs = [f"{'-' if i % 2 else '+'} v[{i + 1}]" for i in range(64) if (i // 2) % CFG.reduced_dims == d]
-    _AXES.append(f"floor((0.0::DOUBLE {' '.join(signs)} + {views.CELL_WIDTH / 2}::DOUBLE) / {views.CELL_WIDTH}::DOUBLE)::INTEGER")
-_NEAR = " + ".join(f"abs(d.cell[{i + 1}] - r.cell[{i + 1}])" for i in range(CFG.reduced_dims))
+    _AXES.append(f"(0.0::DOUBLE {' '.join(signs)})")
+_APART = " + ".join(f"(a.v[{i + 1}] - b.v[{i + 1}]) * (a.v[{i + 1}] - b.v[{i + 1}])" for i in range(CFG.reduced_dims))
+# All pairs of points within the radius; nothing here knows of cells.
 DENSITY = [
     """pushed AS (
   SELECT vec_id, label, list_transform(embedding, lambda x, i: x::DOUBLE
@@ -357,18 +436,20 @@ DENSITY = [
     """scaled AS (
   SELECT vec_id, label, list_transform(p, lambda x: x / len_p) AS v
   FROM (SELECT *, sqrt(list_reduce(p, lambda a, x: a + x * x, 0.0::DOUBLE)) AS len_p FROM pushed))""",
-    f"points AS (SELECT vec_id, label, [{', '.join(_AXES)}] AS cell FROM scaled)",
-    f"""dense AS (
-  SELECT cell, count(*) AS n FROM points GROUP BY cell
-  HAVING count(*) >= {views.MIN_CELL_POINTS})""",
-    f"""reach AS (
-  SELECT cell AS start, cell FROM dense
-  UNION SELECT r.start, d.cell FROM reach r JOIN dense d ON {_NEAR} = 1)""",
-    "component AS (SELECT start AS cell, min(cell) AS root FROM reach GROUP BY start)",
-    """sized AS (
-  SELECT root, sum(n) AS size FROM component JOIN dense USING (cell) GROUP BY root
-  HAVING sum(n) >= 10)""",
-    "numbered AS (SELECT root, row_number() OVER (ORDER BY size DESC, root) - 1 AS topic FROM sized)",
+    f"points AS (SELECT vec_id, label, [{', '.join(_AXES)}] AS v FROM scaled)",
+    f"""close AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM points a JOIN points b
+  ON {_APART} <= {views.RADIUS}::DOUBLE * {views.RADIUS}::DOUBLE)""",
+    f"core AS (SELECT a AS vec_id FROM close GROUP BY a HAVING count(*) >= {views.MIN_POINTS})",
+    "links AS (SELECT a, b FROM close WHERE a IN (SELECT vec_id FROM core) AND b IN (SELECT vec_id FROM core))",
+    """reach AS (
+  SELECT vec_id AS start, vec_id FROM core
+  UNION SELECT r.start, l.b FROM reach r JOIN links l ON l.a = r.vec_id)""",
+    "component AS (SELECT start AS vec_id, min(vec_id) AS root FROM reach GROUP BY start)",
+    f"""sized AS (
+  SELECT root, count(*) AS size, min(v) AS first FROM component JOIN points USING (vec_id) GROUP BY root
+  HAVING count(*) >= {CFG.min_topic_size})""",
+    "numbered AS (SELECT root, row_number() OVER (ORDER BY size DESC, first) - 1 AS topic FROM sized)",
 ]
 
 # ---- corpus ------------------------------------------------------------------
@@ -385,6 +466,10 @@ INGEST = [
          {clean("array_to_string(string_split(page_text, chr(10)), ' ')")} AS text
   FROM raw_pages)""",
 ]
+DECODED = """decoded AS (
+  SELECT '/web/' || page_id || '.html' AS source_path, CASE WHEN html LIKE '%</html>' THEN regexp_extract_all(html, '<p>([^<]*)', 1) END AS pages,
+         CASE WHEN html IS NULL THEN 'ValueError: no content' WHEN html NOT LIKE '%</html>' THEN 'ValueError: the page is cut off' END AS error
+  FROM pages UNION ALL SELECT '/web/none/' || doc_id || '.html', NULL, 'ValueError: no content' FROM labels WHERE toxic = 1)"""
 BIBLIOGRAPHY = f"""bibliography AS (
   SELECT doc_id AS ordinal, {_ATTACHMENT} AS attachment,
          (1985 + doc_id % 41) || '.0' AS year FROM documents JOIN labels USING (doc_id)
@@ -473,6 +558,26 @@ ORACLE: dict[str, str] = {
     "tokens": with_([CLEAN, *token_ctes("clean_documents")], """SELECT doc_id, sent_id::INTEGER AS sent_id,
       token_id::INTEGER AS token_id, token, start_char::INTEGER AS start_char, end_char::INTEGER AS end_char
       FROM token_rows"""),
+    "relevance_hits_large": with_(LARGE_LIST, """SELECT doc_id, coalesce(n, 0)::INTEGER AS domain_term_hits
+      FROM documents LEFT JOIN large_hits USING (doc_id)"""),
+    "abbreviation_words": with_(LEARNT, "SELECT * FROM known_abbreviations"),
+    "sentence_openers": with_(LEARNT, "SELECT word, n_open, n_all AS n, score FROM known_openers"),
+    "sentences_learnt": with_(learnt_sentence_ctes(), """SELECT doc_id, sent_id::INTEGER AS sent_id,
+      sent_start::INTEGER AS sent_start, sentence FROM sentence_rows"""),
+    "scope_tags_learnt": with_(entity_ctes("abbreviated", learnt_sentence_ctes()),
+      "SELECT doc_id, start_char, label, scope_tag, context FROM entities WHERE scope_tag IS NOT NULL"),
+    "lexicon_term_counts": with_([CLEAN, *token_ctes("clean_documents"), LARGE_LIST[0], f"""long_phrases AS (
+      SELECT DISTINCT len(p) AS n, array_to_string(p, chr(1)) AS key FROM (
+        SELECT regexp_extract_all({clean("term")}, '{TOKEN}') AS p FROM heads WHERE trim(term) <> '') WHERE len(p) > 0)""",
+      """told AS (
+      SELECT doc_id, sent_id, any_value(sentence) AS sentence, any_value(sent_start) AS sent_start, list(token ORDER BY token_id) AS t,
+             list(start_char ORDER BY token_id) AS s, list(end_char ORDER BY token_id) AS e FROM token_rows GROUP BY doc_id, sent_id)""",
+      """runs AS (
+      SELECT doc_id, sentence, s[i] - sent_start AS a, e[i + n - 1] - s[i] AS size, array_to_string(t[i : i + n - 1], chr(1)) AS key, n
+      FROM told, unnest(range(1, len(t) + 1)) AS u(i), (SELECT DISTINCT n FROM long_phrases) AS k(n) WHERE i + n - 1 <= len(t))""",
+      """met AS (
+      SELECT doc_id, substring(sentence, a::BIGINT + 1, size::BIGINT) AS entity_text FROM runs JOIN long_phrases USING (n, key))"""],
+      "SELECT entity_text, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM met GROUP BY entity_text"),
     "sentences": with_([CLEAN, *sentence_ctes("clean_documents")], """SELECT doc_id, sent_id::INTEGER AS sent_id,
       sent_start::INTEGER AS sent_start, sentence FROM sentence_rows"""),
     "grade_mentions": with_([LITERATURE, *span_ctes("literature", GRADE_PATTERNS, False)], _SPAN_OUT),
@@ -518,6 +623,19 @@ ORACLE: dict[str, str] = {
       FROM normalised WHERE value_numeric IS NOT NULL ORDER BY doc_id, start_char LIMIT 10"""),
     "document_units": with_(BASE, "SELECT doc_id, doc_id::VARCHAR AS unit_id, text FROM relevant"),
     "chunk_units": with_(BASE + [chunk_cte("relevant")], "SELECT doc_id, unit_id, text FROM chunks"),
+    "unit_preview": with_(BASE + [chunk_cte("relevant")], "SELECT unit_id, text FROM chunks ORDER BY doc_id, chunk_start LIMIT 2"),
+    "decoded_documents": with_([DECODED], f"""SELECT source_path, len(pages)::INTEGER AS n_pages,
+      {clean("array_to_string(pages, ' ')")} AS text, error FROM decoded"""),
+    "decode_summary": with_([DECODED], "SELECT error, count(*) AS n FROM decoded GROUP BY error"),
+    "unit_vectors": with_(BASE + [chunk_cte("relevant"), r"""indexed AS (
+      SELECT unit_id, CAST('0x' || substr(md5(term), 1, 8) AS BIGINT) % 262144 AS "index", count(*) AS tf
+      FROM (SELECT unit_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')) AS term FROM chunks) GROUP BY ALL)""",
+      """raw_weights AS (
+      SELECT unit_id, "index", tf * idf AS raw FROM indexed JOIN (
+        SELECT "index", ln(((SELECT count(*) FROM chunks) + 1.0::DOUBLE) / (count(*) + 1)) AS idf FROM indexed GROUP BY "index")
+      USING ("index"))"""],
+      """SELECT unit_id, "index", round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY unit_id)), 6) AS weight
+      FROM raw_weights WHERE raw <> 0"""),
     "chunk_summary": with_([CLEAN, chunk_cte("clean_documents")],
       "SELECT count(DISTINCT doc_id) AS n_docs, count(*) AS n_units FROM chunks"),
     "topic_sizes": with_(TOPICS, "SELECT topic, count(*) AS n FROM units GROUP BY topic"),
@@ -530,7 +648,7 @@ ORACLE: dict[str, str] = {
        GROUP BY topic)
       JOIN (SELECT topic, count(*) AS n_units FROM units GROUP BY topic) USING (topic)"""),
     "density_topics": with_(DENSITY, """SELECT p.vec_id, p.label, coalesce(n.topic, -1)::INTEGER AS topic
-      FROM points p LEFT JOIN component c ON c.cell = p.cell LEFT JOIN numbered n ON n.root = c.root"""),
+      FROM points p LEFT JOIN component c ON c.vec_id = p.vec_id LEFT JOIN numbered n ON n.root = c.root"""),
     "period_spine": with_([LITERATURE, _PER_PERIOD.format(src="literature")], f"""SELECT s.bucket, {label_of('s.bucket')} AS bucket_label,
       s.bucket + {CFG.period_years - 1} > {CFG.end_year} AS is_partial, coalesce(n_docs, 0) AS n_docs
       FROM (SELECT unnest(range({CFG.start_year}, {CFG.end_year + 1}, {CFG.period_years}))::INTEGER AS bucket) s
@@ -596,6 +714,11 @@ ORACLE: dict[str, str] = {
       FROM (SELECT point::INTEGER AS point, low + point * ((high - low) / 199.0::DOUBLE) AS thickness_mm
             FROM (SELECT min(thickness_mm) * 0.9::DOUBLE AS low, max(thickness_mm) * 1.1::DOUBLE AS high,
                          unnest(range(200)) AS point FROM parsed))"""),
+    "price_preview": with_(BRIDGE, """SELECT DISTINCT entity_text, thickness_mm, relative_price_eur_kg FROM parsed
+      ORDER BY entity_text LIMIT 5"""),
+    "sensitivity_preview": with_(BRIDGE, f"""SELECT entity_text, thickness_mm,
+      {CFG.price_constant}::DOUBLE / thickness_mm AS price_baseline, {_SENSITIVITY}
+      FROM (SELECT DISTINCT entity_text, thickness_mm FROM parsed) ORDER BY entity_text LIMIT 10"""),
     "price_sensitivity": with_(BRIDGE, f"""SELECT entity_text, thickness_mm,
       {CFG.price_constant}::DOUBLE / thickness_mm AS price_baseline, {_SENSITIVITY}
       FROM (SELECT DISTINCT entity_text, thickness_mm FROM parsed)"""),

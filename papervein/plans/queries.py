@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from papervein.config import GRADE_PATTERNS, MEASUREMENT_PATTERNS, Config
 from papervein.functions import text as tx
 from papervein.operators import (
-    corpus, extraction, normalise, pricing, relevance, sampling, topics, trends, units,
+    abbreviations, corpus, density, extraction, normalise, pricing, relevance, sampling, topics, trends, units,
+    vectors,
 )
 from papervein.plans import views
 from papervein.sources import readers
@@ -81,6 +81,19 @@ def ingest_documents(spark, folder):
     return _ingested(spark, folder).withColumn("ingest_date", F.col("ingest_date").cast("string"))
 
 
+@query
+def decoded_documents(spark, folder):
+    """Web pages through a caller's decoder; those it refuses have an error and no text."""
+    decoded = readers.decode_documents(views.page_files(spark, folder), views.paragraphs)
+    text = tx.clean_whitespace(F.array_join("pages", " "))
+    return decoded.select("source_path", F.size("pages").alias("n_pages"), text.alias("text"), "error")
+
+
+@query
+def decode_summary(spark, folder):
+    return readers.decode_summary(readers.decode_documents(views.page_files(spark, folder), views.paragraphs))
+
+
 @query
 def ingest_summary(spark, folder):
     return corpus.ingest_summary(_dated(spark, folder))
@@ -133,6 +146,12 @@ def relevance_hits(spark, folder):
     return relevance.with_hits(views.literature(spark, folder), CFG).select("doc_id", "domain_term_hits")
 
 
+@query
+def relevance_hits_large(spark, folder):
+    """A list of many thousand terms, looked up by runs of three characters."""
+    return relevance.hits_of_list(views.documents(spark, folder), views.line_heads(spark, folder))
+
+
 @query
 def relevance_tag(spark, folder):
     tagged = relevance.tag(views.literature(spark, folder), CFG)
@@ -169,6 +188,44 @@ def sentences(spark, folder):
     return extraction.sentences(_clean_documents(spark, folder))
 
 
+def _abbreviated(spark, folder):
+    texts = views.abbreviated_literature(spark, folder)
+    return texts, abbreviations.learn(texts)
+
+
+@query
+def abbreviation_words(spark, folder):
+    return abbreviations.abbreviations(abbreviations.word_counts(views.abbreviated_literature(spark, folder)))
+
+
+@query
+def sentence_openers(spark, folder):
+    return abbreviations.openers(abbreviations.word_counts(views.abbreviated_literature(spark, folder)))
+
+
+@query
+def sentences_learnt(spark, folder):
+    texts, bounds = _abbreviated(spark, folder)
+    return extraction.sentences(texts, bounds)
+
+
+@query
+def scope_tags_learnt(spark, folder):
+    """Mentions whose sentence an abbreviation would have cut."""
+    texts, bounds = _abbreviated(spark, folder)
+    found = extraction.entity_table(texts, CFG, views.lexicon(spark), bounds=bounds)
+    return found.where(F.col("scope_tag").isNotNull()).select("doc_id", "start_char", "label", "scope_tag", "context")
+
+
+@query
+def lexicon_term_counts(spark, folder):
+    """A lexicon of many thousand terms: how often each occurs, and in how many documents."""
+    lexicon = views.line_heads(spark, folder).select(F.lit("HEAD").alias("label"), "term")
+    found = extraction.candidates(_clean_documents(spark, folder), Config(patterns=()), lexicon)
+    per_document = found.groupBy("entity_text", "doc_id").agg(F.count(F.lit(1)).alias("_n"))
+    return per_document.groupBy("entity_text").agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("n_docs"))
+
+
 def _spans(spark, folder, patterns, lexicon=None):
     spans = extraction.candidates(
         views.literature(spark, folder), Config(patterns=patterns), lexicon
@@ -314,6 +371,11 @@ def value_preview(spark, folder):
     return sampling.value_preview(_normalised(spark, folder))
 
 
+@query
+def unit_preview(spark, folder):
+    return sampling.unit_preview(units.chunk_units(_relevant(spark, folder), CFG))
+
+
 # ---- units and topics --------------------------------------------------------
 
 
@@ -354,15 +416,18 @@ def topic_labels(spark, folder):
 
 @query
 def density_topics(spark, folder):
-    celled = views.celled_vectors(spark, folder, CFG)
-    cfg = replace(CFG, min_cell_points=views.MIN_CELL_POINTS)
-    return topics.density_topics(celled, cfg).select("vec_id", "label", "topic")
+    points = views.hashed_vectors(spark, folder, CFG)
+    tagged = density.density_topics(
+        points, "position", CFG.reduced_dims, views.RADIUS, views.MIN_POINTS, CFG.min_topic_size
+    )
+    return tagged.select("vec_id", "label", "topic")
 
 
 @query
 def unit_vectors(spark, folder):
-    vectors = topics.unit_vectors(units.units(_relevant(spark, folder), CFG))
-    return vectors.select("doc_id", "unit_id", vector_to_array("vector").alias("vector"))
+    """Sparse TF-IDF vectors of 2^18 dimensions, one row for each weight."""
+    weights = vectors.unit_weights(units.units(_relevant(spark, folder), CFG))
+    return weights.select("unit_id", "index", F.round("weight", 6).alias("weight"))
 
 
 def _ml_vectors(spark, folder):
@@ -587,6 +652,16 @@ def price_sensitivity(spark, folder):
     return pricing.price_sensitivity(_bridge(spark, folder), CFG)
 
 
+@query
+def price_preview(spark, folder):
+    return sampling.price_preview(pricing.grade_prices(_bridge(spark, folder)))
+
+
+@query
+def sensitivity_preview(spark, folder):
+    return sampling.sensitivity_preview(pricing.price_sensitivity(_bridge(spark, folder), CFG))
+
+
 # ---- samples -----------------------------------------------------------------
 
 

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from papervein.config import Config
 from papervein.operators import (
-    corpus, extraction, normalise, pricing, relevance, sampling, topics, trends,
+    abbreviations, corpus, extraction, normalise, pricing, relevance, sampling, topics, trends,
 )
+from papervein.operators.joins import sized
 from papervein.sources.workspace import Workspace
 
 
@@ -32,9 +33,13 @@ def build_corpus(
     return documents
 
 
-def filter_corpus(ws: Workspace, cfg: Config) -> DataFrame:
-    """Every document's tag and year, without its text."""
-    hits = relevance.tag(ws.required("corpus"), cfg).select("doc_id", "domain_term_hits", "is_relevant")
+def filter_corpus(ws: Workspace, cfg: Config, terms: DataFrame | None = None) -> DataFrame:
+    """Every document's tag and year, without its text; ``terms (term)`` replaces the built-in list."""
+    corpus_texts = ws.required("corpus")
+    if terms is None:
+        hits = relevance.tag(corpus_texts, cfg).select("doc_id", "domain_term_hits", "is_relevant")
+    else:
+        hits = relevance.tag_by_list(corpus_texts, ws.write(terms, "relevance_terms"), cfg)
     documents = ws.required("documents").select("doc_id", "source_path", "year")
     tagged = ws.write(documents.join(hits, "doc_id"), "relevance")
     ws.write(relevance.summary(tagged), "relevance_summary")
@@ -42,9 +47,13 @@ def filter_corpus(ws: Workspace, cfg: Config) -> DataFrame:
     return tagged
 
 
-def _relevant_texts(ws: Workspace, cfg: Config) -> DataFrame:
-    """Texts of relevant documents.  Counting the terms again while the text is read is
-    cheaper than joining it with the tags, which would shuffle it."""
+def _relevant_texts(ws: Workspace, cfg: Config, by_list: bool = False) -> DataFrame:
+    """Texts of relevant documents.  Counting the built-in terms again while the text is read
+    is cheaper than joining it with the tags, which would shuffle it; tags by a list of terms
+    (``by_list``) are joined."""
+    if by_list:
+        kept = ws.required("relevance").where("is_relevant").select("doc_id")
+        return ws.required("corpus").select("doc_id", "text").join(sized(kept), "doc_id", "left_semi")
     return relevance.relevant(ws.required("corpus"), cfg).select("doc_id", "text")
 
 
@@ -53,11 +62,18 @@ def _relevant_years(ws: Workspace) -> DataFrame:
 
 
 def extract_entities(
-    ws: Workspace, cfg: Config, lexicon: DataFrame, lexicon_report: DataFrame | None = None
+    ws: Workspace, cfg: Config, lexicon: DataFrame, lexicon_report: DataFrame | None = None,
+    learn_sentences: bool = False, by_list: bool = False,
 ) -> DataFrame:
+    """Mentions of the relevant texts; sentence bounds may be learnt from the whole corpus."""
     if lexicon_report is not None:
         ws.write(lexicon_report, "lexicon_report")
-    table = extraction.entity_table(_relevant_texts(ws, cfg), cfg, lexicon)
+    bounds = None
+    if learn_sentences:
+        bounds = abbreviations.learn(ws.required("corpus").select("doc_id", "text"))
+        ws.write(bounds.abbreviations, "abbreviations")
+        ws.write(bounds.openers, "sentence_openers")
+    table = extraction.entity_table(_relevant_texts(ws, cfg, by_list), cfg, lexicon, bounds=bounds)
     entities = ws.write(table, "entities", partition_by="label")
     ws.write(extraction.label_counts(entities), "label_counts")
     ws.write(extraction.scope_counts(entities), "scope_counts")
@@ -80,9 +96,11 @@ def normalise_entities(
     return normalised
 
 
-def cluster_units(ws: Workspace, cfg: Config, selected: tuple[int, ...] = ()) -> DataFrame:
+def cluster_units(
+    ws: Workspace, cfg: Config, selected: tuple[int, ...] = (), by_list: bool = False
+) -> DataFrame:
     """Topics of the relevant texts; names and sizes come from the written units."""
-    units = ws.write(topics.clustered_units(_relevant_texts(ws, cfg), cfg), "units")
+    units = ws.write(topics.clustered_units(_relevant_texts(ws, cfg, by_list), cfg), "units")
     named = units.groupBy("topic").agg(
         F.count(F.lit(1)).alias("n_units"), F.min("topic_name").alias("name")
     )
@@ -105,7 +123,7 @@ def trends_over_time(ws: Workspace, cfg: Config, selected: tuple[int, ...] = ())
         ws.write(topics.named_trends(best, names), "topic_trends_top")
         if selected:
             chosen = counts.where(F.col("topic").isin(*selected))
-            ws.write(trends.trend_matrix(chosen, "topic", cfg), "topic_trends_selected")
+            ws.write(topics.named_trends(trends.trend_matrix(chosen, "topic", cfg), names), "topic_trends_selected")
     entities = ws.optional("normalised")
     if entities is not None:
         is_application = F.col("label") == "APPLICATION"

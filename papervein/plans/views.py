@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,11 +15,12 @@ from papervein.operators.units import chunk_units
 from papervein.plans import fixtures
 
 INGEST_DATE = "2026-01-01"
-CELL_WIDTH = 0.8
-MIN_CELL_POINTS = 20
+RADIUS = 0.3
+MIN_POINTS = 8
 
 
 SCHEMAS = {
+    "pages": "page_id LONG, url STRING, html STRING",
     "documents": "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG",
     "embeddings": "vec_id LONG, embedding ARRAY<FLOAT>, label INT",
     "labels": "doc_id LONG, quality INT, toxic INT",
@@ -71,6 +74,21 @@ def literature(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def abbreviated_literature(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's whole text between sentences with abbreviations."""
+    text = F.concat_ws(" ", _pick(fixtures.ABBREVIATED_SENTENCES), "text", _pick(fixtures.ABBREVIATED_SENTENCES[1:]))
+    return documents(spark, folder).select("doc_id", tx.clean_whitespace(text).alias("text"))
+
+
+def line_heads(spark: SparkSession, folder: str) -> DataFrame:
+    """A long list of terms: the first word, and the first two, of every line there is."""
+    lines = documents(spark, folder).select(F.explode(F.split("text", "\n", -1)).alias("_line"))
+    heads = lines.select(F.explode(F.array(
+        F.regexp_extract("_line", "^([^ ]+)", 1), F.regexp_extract("_line", "^([^ ]+ [^ ]+)", 1)
+    )).alias("term"))
+    return heads.where(F.trim("term") != "").distinct()
+
+
 def mixed_literature(spark: SparkSession, folder: str) -> DataFrame:
     """Literature in which every fifth document has its own text only."""
     plain = documents(spark, folder).where(F.col("doc_id") % 5 == 0).select(
@@ -104,6 +122,25 @@ def raw_pages(spark: SparkSession, folder: str) -> DataFrame:
     return read.unionByName(unread)
 
 
+def page_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw pages as files, and an empty one for every labelled toxic document."""
+    files = table(spark, folder, "pages").select(
+        F.concat(F.lit("/web/"), "page_id", F.lit(".html")).alias("source_path"), F.encode("html", "UTF-8").alias("content")
+    )
+    empty = table(spark, folder, "labels").where("toxic = 1").select(
+        F.concat(F.lit("/web/none/"), "doc_id", F.lit(".html")).alias("source_path"), F.lit(None).cast("binary").alias("content")
+    )
+    return files.unionByName(empty)
+
+
+def paragraphs(content: bytes) -> list[str]:
+    """A decoder of web pages: the beginnings of the paragraphs, of pages that end as they should."""
+    text = content.decode()
+    if not text.endswith("</html>"):
+        raise ValueError("the page is cut off")
+    return re.findall("<p>([^<]*)", text)
+
+
 def bibliography(spark: SparkSession, folder: str) -> DataFrame:
     """Two rows per labelled document, the later one with another year or none."""
     known = table(spark, folder, "documents").select("doc_id", "source").join(
@@ -167,7 +204,6 @@ def planted_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("vec_id", "label", topics.normalise_vector(F.col("_pushed")).alias("vector"))
 
 
-def celled_vectors(spark: SparkSession, folder: str, cfg: Config) -> DataFrame:
+def hashed_vectors(spark: SparkSession, folder: str, cfg: Config) -> DataFrame:
     sums = topics.signed_sums(F.col("vector"), 64, cfg.reduced_dims)
-    vectors = planted_vectors(spark, folder)
-    return vectors.withColumn("cell", topics.grid_cell(sums, CELL_WIDTH))
+    return planted_vectors(spark, folder).withColumn("position", F.array(*sums))

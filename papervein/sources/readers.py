@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,50 @@ def read_text_documents(spark: SparkSession, folder: str, glob: str = "*.txt") -
     return texts.unionByName(unread.withColumn("pages", F.lit(None).cast("array<string>")))
 
 
+def decode_documents(files: DataFrame, decode: Callable[[bytes], list[str]]) -> DataFrame:
+    """``(source_path, pages, error)`` of files ``(source_path, content)``, by a caller's decoder.
+
+    ``decode`` turns the bytes of one file into its page texts and is the one piece of Python
+    here: it runs in the tasks, a file at a time.  Where it raises, the row gets NULL pages and
+    the error's name and text, and the run goes on; so does a file without content.
+    """
+
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                content, pages, error = batch.column(1)[row].as_py(), None, None
+                try:
+                    if content is None:
+                        raise ValueError("no content")
+                    pages = [None if page is None else str(page) for page in decode(content)]
+                except Exception as problem:  # whatever a decoder may raise concerns its file only
+                    error = f"{type(problem).__name__}: {problem}"
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(row, 1), pa.array([pages], pa.list_(pa.string())), pa.array([error], pa.string())],
+                    names=["source_path", "pages", "error"],
+                )
+
+    return files.select("source_path", F.col("content").cast("binary").alias("content")).mapInArrow(
+        decoded, "source_path string, pages array<string>, error string"
+    )
+
+
+def read_decoded(
+    spark: SparkSession, folder: str, decode: Callable[[bytes], list[str]], glob: str = "*"
+) -> DataFrame:
+    """``(source_path, pages, error)`` of a folder of files of any format.
+
+    Files of no bytes are passed over, as all of Spark's file readers do.
+    """
+    files = spark.read.option("pathGlobFilter", glob).format("binaryFile").load(folder)
+    return decode_documents(files.select(file_path(F.col("_metadata.file_path")).alias("source_path"), "content"), decode)
+
+
+def decode_summary(decoded: DataFrame) -> DataFrame:
+    """Files, how many were read, and how many failed with each error."""
+    return decoded.groupBy("error").agg(F.count(F.lit(1)).alias("n"))
+
+
 def file_path(encoded: Column) -> Column:
     """The path behind Spark's URL-encoded one; a plus sign stands for itself there."""
     return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
@@ -85,6 +132,12 @@ def read_lexicon(
     return lexicon_from_lines(lines, file_label_table(spark, labels))
 
 
+def read_terms(spark: SparkSession, path: str) -> DataFrame:
+    """``(term)``: one a line, trimmed, blanks skipped, each once."""
+    lines = spark.read.text(path).select(tx.clean_whitespace(F.col("value")).alias("term"))
+    return lines.where(F.col("term") != "").distinct()
+
+
 def file_label_table(spark: SparkSession, file_labels: dict[str, str] | None = None) -> DataFrame:
     return literal_table(spark, "file STRING,label STRING", list((file_labels or LEXICON_FILES).items()))
 

@@ -185,7 +185,7 @@ def test_all_stages(spark, tmp_path):
     assert normal.count() == entities.count()
     for name in ("alias_pairs", "subtype_members", "label_samples", "value_preview"):
         assert ws.required(name).count()
-    stages.cluster_units(ws, Config(relevance_threshold=5, chunk_min_chars=10, min_topic_size=2, min_cell_points=2))
+    stages.cluster_units(ws, Config(relevance_threshold=5, chunk_min_chars=10, min_topic_size=2, min_points=2))
     assert ws.required("topic_top_sizes").count() <= 12
     stages.trends_over_time(ws, cfg, (0, 1))
     assert ws.required("topic_trends").where("topic_name IS NULL").isEmpty()
@@ -218,13 +218,21 @@ def test_command_line(spark, tmp_path, capsys):
     assert spark.read.parquet(f"{root}/missing_years").count() == 0
     cli.main(["filter", "--root", root, "--threshold", "0"])
     assert spark.read.parquet(f"{root}/relevance").where("is_relevant").count() == 40
+    (raw / "terms.lst").write_text("Traction Motor\n\nno such term at all\n")
+    cli.main(["filter", "--root", root, "--threshold", "1", "--terms", str(raw / "terms.lst")])
+    held = {i for i, t in enumerate(corpus_texts()) if "traction motor" in t.lower()}
+    assert spark.read.parquet(f"{root}/relevance").where("is_relevant").count() == len(held)
+    cli.main(["entities", "--root", root, "--threshold", "1", "--lexicon", str(lex), "--terms", str(raw / "terms.lst"), "--learn-sentences"])
+    assert spark.read.parquet(f"{root}/entities").select("doc_id").distinct().count() == len(held)
+    assert "word" in spark.read.parquet(f"{root}/abbreviations").columns
+    cli.main(["filter", "--root", root, "--threshold", "0"])
     cli.main(["entities", "--root", root, "--threshold", "0", "--lexicon", str(lex)])
     assert "producers.txt" in capsys.readouterr().err
     cli.main(["normalise", "--root", root])
     cli.main(["bridge", "--root", root, "--roles", str(raw / "roles.csv")])
     assert [r[0] for r in spark.read.parquet(f"{root}/cost_role_counts").select("cost_role").collect()] == ["other"]
-    cfg = cli.config(cli.parser().parse_args(["trends", "--root", "x", "--period-years", "10", "--cell-width", "0.5"]))
-    assert (cfg.period_years, cfg.cell_width, cfg.seed) == (10, 0.5, 42)
+    cfg = cli.config(cli.parser().parse_args(["trends", "--root", "x", "--period-years", "10", "--radius", "0.25"]))
+    assert (cfg.period_years, cfg.radius, cfg.seed) == (10, 0.25, 42)
 
 
 def test_arrivals_match_batch(spark, tmp_path):
@@ -246,3 +254,28 @@ def test_arrivals_match_batch(spark, tmp_path):
         want = extraction.entity_table(relevance.relevant(docs, cfg), cfg, lexicon)
         key = ["doc_id", "start_char", "end_char", "label", "scope_tag", "entity_text", "context"]
         assert sorted(map(str, got.select(key).collect())) == sorted(map(str, want.select(key).collect()))
+
+
+def test_a_callers_decoder(spark, tmp_path):
+    """One bad file is one row with its error; the others are read."""
+    from papervein.operators import corpus
+    from papervein.sources import readers
+
+    folder = tmp_path / "files"
+    folder.mkdir()
+    for name, content in {"a b.bin": b"one\x00two", "c+d.bin": b"\xff\xfe", "e.bin": b"?", "f.other": b"x"}.items():
+        (folder / name).write_bytes(content)
+
+    def decode(content):
+        if content == b"?":
+            raise KeyError("nothing in it")
+        return [*content.decode().split("\x00"), None]
+
+    rows = {r["source_path"].rsplit("/", 1)[1]: r for r in readers.read_decoded(spark, str(folder), decode, "*.bin").collect()}
+    assert rows["a b.bin"]["pages"] == ["one", "two", None] and rows["a b.bin"]["error"] is None
+    assert rows["c+d.bin"]["pages"] is None and rows["c+d.bin"]["error"].startswith("UnicodeDecodeError: ")
+    assert rows["e.bin"]["error"] == "KeyError: 'nothing in it'" and len(rows) == 3
+    decoded = readers.decode_documents(spark.createDataFrame([("x", None), ("y", b"z")], "source_path STRING, content BINARY"), decode)
+    assert {r["error"]: r["n"] for r in readers.decode_summary(decoded).collect()} == {None: 1, "ValueError: no content": 1}
+    texts = corpus.canonical_rows(decoded.select("source_path", "pages"), "2026-01-01").select("text").collect()
+    assert sorted(r["text"] or "" for r in texts) == ["", "z"]

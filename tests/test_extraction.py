@@ -230,3 +230,37 @@ def test_reports(spark):
 def test_no_matcher_is_an_error(spark):
     with pytest.raises(ValueError):
         extraction.candidates(docs(spark, "x"), Config(patterns=()))
+
+
+def test_large_lexicons_are_tested_by_bitmap(spark, monkeypatch):
+    """The same mentions whichever way first words are looked up, and however large the lexicon."""
+    want = mine(spark, *TEXTS)
+    monkeypatch.setattr(extraction, "MAX_FIRST_WORDS", 0)
+    assert mine(spark, *TEXTS) == want
+    assert mine(spark, *TEXTS, max_broadcast_bytes=0) == want
+    monkeypatch.setattr(extraction, "MAX_BITS", 1)  # the smallest bitmap: many tokens pass in vain
+    assert mine(spark, *TEXTS, max_broadcast_bytes=0) == want
+
+
+def test_a_million_terms(spark):
+    """No token that begins nothing is shuffled, and what is found is what is there."""
+    docs = spark.createDataFrame(
+        [(i, f"Plain words here and term{i} of line{i} in it. Other words only, none of them known.") for i in range(200)],
+        "doc_id LONG, text STRING",
+    )
+    lexicon = spark.range(1_000_000).select(
+        F.lit("TERM").alias("label"), F.concat(F.lit("term"), "id", F.lit(" of line"), "id").alias("term")
+    )
+    found = extraction.candidates(docs, Config(patterns=()), lexicon, max_broadcast_bytes=0)
+    assert {(r["doc_id"], r["entity_text"]) for r in found.collect()} == {(i, f"term{i} of line{i}") for i in range(200)}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("getbit") >= 2 and "BroadcastHashJoin" not in plan.split("Subquery")[0]
+
+
+@pytest.mark.parametrize("first_words", [0, 40])
+def test_a_phrase_at_the_end_of_a_sentence_counts_once(spark, monkeypatch, first_words):
+    """A longer phrase with the same first word does not open it a second time."""
+    monkeypatch.setattr(extraction, "MAX_FIRST_WORDS", first_words)
+    terms = spark.createDataFrame([("X", "motor core"), ("X", "motor core of great size"), ("X", "motor  core")], "label STRING, term STRING")
+    found = extraction.candidates(docs(spark, "It is a motor core", "A motor core of great"), Config(patterns=()), terms)
+    assert [(r["entity_text"], r["n_tokens"]) for r in found.collect()] == [("motor core", 2)] * 2

@@ -119,60 +119,6 @@ def test_keyword_weights(spark):
     assert names[-1] == "-1_12_price" and names[0].startswith("0_")
 
 
-def components(cells):
-    left, groups = set(cells), []
-    while left:
-        todo, group = [left.pop()], set()
-        while todo:
-            cell = todo.pop()
-            group.add(cell)
-            for d in range(len(cell)):
-                for step in (-1, 1):
-                    near = cell[:d] + (cell[d] + step,) + cell[d + 1:]
-                    if near in left:
-                        left.discard(near)
-                        todo.append(near)
-        groups.append(group)
-    return groups
-
-
-@pytest.mark.parametrize("seed", [1, 2])
-def test_connected_cells(spark, seed):
-    rng = random.Random(seed)
-    cells = {(rng.randrange(9), rng.randrange(9)) for _ in range(45)} | {(20 + i, 0) for i in range(30)}
-    dense = spark.createDataFrame([(list(c), 1) for c in cells], "cell ARRAY<INT>, n LONG")
-    got = {tuple(r["cell"]): tuple(r["component"]) for r in topics.connected_cells(dense, 2).collect()}
-    want = {c: min(g) for g in components(cells) for c in g}
-    assert got == want
-
-
-def celled_points(spark, spots):
-    rows = [(list(c),) for c, n in spots.items() for _ in range(n)]
-    return spark.createDataFrame(rows, "cell ARRAY<INT>").withColumn("id", F.monotonically_increasing_id())
-
-
-SPOTS = {(0, 0): 900, (0, 1): 60, (5, 5): 300, (9, 9): 40, (3, 3): 5, (5, 4): 45}
-
-
-def test_density_topics_with_a_hot_cell(spark):
-    points = celled_points(spark, SPOTS)
-    tagged = topics.density_topics(points, Config(reduced_dims=2))
-    assert tagged.count() == sum(SPOTS.values())
-    got = {tuple(r["cell"]): (r["topic"], r["count"]) for r in tagged.groupBy("cell", "topic").count().collect()}
-    assert got == {(0, 0): (0, 900), (0, 1): (0, 60), (5, 5): (1, 300), (5, 4): (1, 45), (9, 9): (2, 40), (3, 3): (-1, 5)}
-
-
-def test_points_elsewhere_change_no_topic(spark):
-    """A cell that grows tenfold leaves all others dense or noise as they were."""
-    cfg = Config(reduced_dims=2)
-    grown = SPOTS | {(0, 0): 9000}
-    before, after = (
-        {tuple(r["cell"]): r["topic"] for r in topics.density_topics(celled_points(spark, s), cfg).distinct().collect()}
-        for s in (SPOTS, grown)
-    )
-    assert before == after
-
-
 def test_numbered_rows(spark):
     rows = [(i * 7919 % 1000, i) for i in range(1000)]
     df = spark.createDataFrame(rows, "a INT, b INT").repartition(6)
@@ -250,7 +196,7 @@ def test_planted_subjects_from_callers_vectors(spark):
     units = planted(spark, 3, 120).selectExpr(
         "vec_id AS doc_id", "concat(vec_id, '_0') AS unit_id", "concat('subject', planted, ' text') AS text", "planted", "vector"
     ).cache()
-    cfg = Config(reduced_dims=2, cell_width=0.5, min_cell_points=4)
+    cfg = Config(reduced_dims=2, radius=0.3, min_points=4)
     rows = topics.cluster(units, cfg).join(units.select("unit_id", "planted"), "unit_id").collect()
     real = [r for r in rows if r["topic"] != topics.NOISE]
     assert len(rows) == 360 and len(real) > 0.7 * 360
