@@ -357,7 +357,7 @@ def escaped(content: Column) -> Column:
     ``<|im_end|>`` becomes ``<\\|im_end|>``; a mark that has backslashes already gets one more,
     so taking one away from each gives the text again.
     """
-    return F.regexp_replace(content, r"<(\\*)\|im_(start|end)\|>", r"<$1\\\\|im_$2|>")
+    return F.regexp_replace(content, r"<(\\*)\|im_(start|end)\|>", r"<$1\\|im_$2|>")
 
 
 def render(turns: DataFrame) -> DataFrame:

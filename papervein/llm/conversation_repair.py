@@ -86,8 +86,9 @@ def with_faults(rows: DataFrame) -> DataFrame:
         F.when(shown == "", "blank").when(F.col("_nth") > 1, "duplicate")
         .when(~F.right(shown, F.lit(1)).isin(".", "!", "?"), "truncated")
     )
-    marked = dealt.withColumn("_nth", F.row_number().over(same)).select("conv", "turn", "role", "text", fault.alias("fault"))
-    return marked.sortWithinPartitions("conv", F.asc_nulls_first("turn"), "role", "text")
+    marked = dealt.withColumn("_nth", F.row_number().over(same)).select("conv", "turn", "role", "text", fault.alias("fault"), "_nth")
+    # Of equal rows the first to count is the first in order, and the others repeat it.
+    return marked.sortWithinPartitions("conv", F.asc_nulls_first("turn"), "role", "text", "_nth").drop("_nth")
 
 
 class Programme:

@@ -142,10 +142,10 @@ WITH RECURSIVE {_CRC_TABLE}, runs AS (
          CASE WHEN other_n >= 2 * n THEN other_n END AS form_n
   FROM words LEFT JOIN ranked ON ranked.word = words.word AND r = 1
 ), chain AS (
-  SELECT word, form AS at FROM formed WHERE form IS NOT NULL
-  UNION ALL SELECT chain.word, f.form FROM chain JOIN formed f ON f.word = chain.at WHERE f.form IS NOT NULL
-), ends AS (SELECT chain.word, at FROM chain JOIN formed f ON f.word = chain.at WHERE f.form IS NULL)
-SELECT formed.word, form, coalesce(at, formed.word) AS root, n, CAST(n_near AS BIGINT) AS n_near, form_n
+  SELECT word, form AS later FROM formed WHERE form IS NOT NULL
+  UNION ALL SELECT chain.word, f.form FROM chain JOIN formed f ON f.word = chain.later WHERE f.form IS NOT NULL
+), ends AS (SELECT chain.word, chain.later FROM chain JOIN formed f ON f.word = chain.later WHERE f.form IS NULL)
+SELECT formed.word, form, coalesce(later, formed.word) AS root, n, CAST(n_near AS BIGINT) AS n_near, form_n
 FROM formed LEFT JOIN ends ON ends.word = formed.word
 """,
     "op12_conversation_repair": rf"""
@@ -157,10 +157,11 @@ WITH RECURSIVE {_CRC_TABLE}, filled AS (
   SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
          CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS txt
   FROM filled, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS u(copy)
+), told AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, txt ORDER BY turn NULLS FIRST) AS nth FROM damaged
 ), placed AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, encode(role), encode(txt)) AS i,
-         row_number() OVER (PARTITION BY conv_id, role, txt ORDER BY turn NULLS FIRST) AS nth,
-         rtrim(txt, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS shown FROM damaged
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, encode(role), encode(txt), nth) AS i,
+         rtrim(txt, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS shown FROM told
 ), faulty AS (
   SELECT *, left(role, 1) AS initial, CASE WHEN shown = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate'
            WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
