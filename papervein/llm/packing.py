@@ -3,7 +3,11 @@
 Documents become pieces of at most ``capacity`` tokens (only longer ones are cut; the first
 piece takes the remainder).  How many pieces have each length is all the packing depends on:
 a histogram of at most ``capacity`` rows, so the plan is made on the driver at any size of
-the corpus, and each piece finds its place by its rank among the pieces of its length.
+the corpus, and each piece finds its place by its rank among the pieces of its length.  A piece is
+ranked within its partition while it is cut; the partitions' counts by length, a small table,
+turn that into its rank among all, so the ids are written once and not shuffled while that
+table fits ``OFFSETS_BROADCAST_BYTES``.  They are stored in two bytes where the vocabulary
+allows.
 
 ``reduce`` fixes sets of one, two or three pieces that dominate every other set with the
 largest of them (Martello and Toth); ``best_fit`` places what is left, longest first.
@@ -19,16 +23,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from papervein.llm import batches as B
 from papervein.llm import tokens
 from papervein.llm.shared import Tables
+from papervein.operators.joins import sized
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"  # ids: 4 bytes each, little-endian
-# Pieces whose ranks one window group counts, about.
-BLOCK_ROWS = 4_000
+CUT = f"{PIECES}, part long, rank long"  # here the ids have ``id_type``
 BATCH_BYTES = 1 << 22  # of ids in one batch, about
+OFFSETS_BROADCAST_BYTES = 32 << 20
 
 
 @dataclass(frozen=True)
@@ -44,36 +51,46 @@ class Run:
 
 
 def _piece_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [()] * 5
-    types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+    columns = list(zip(*rows)) or [()] * 7
+    types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(columns, types)], names=["doc_id", "piece", "start", "length", "ids"]
+        [pa.array(c, t) for c, t in zip(columns, types)],
+        names=["doc_id", "piece", "start", "length", "ids", "part", "rank"],
     )
 
 
+def id_type(tokenizer: str, end_id: int) -> str:
+    """Two bytes an id if every id of the vocabulary fits, else four."""
+    return "<u2" if max(tokens.encoder(tokenizer).size() - 1, end_id) < 1 << 16 else "<u4"
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2) -> DataFrame:
-    """The pieces of every document with their ids."""
-    end = np.array([end_id], "<u4").tobytes()
+    """The pieces of every document with their ids, and the rank of each among those of its
+    partition that are as long."""
+    kind = id_type(tokenizer, end_id)
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokens.encoder(tokenizer)
+        part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in parts:
             rows, size = [], 0
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = memoryview(encoder.ids(text.as_py() or "") + end)
-                count = len(ids) // 4
+                ids = np.append(np.frombuffer(encoder.ids(text.as_py() or ""), "<u4"), np.uint32(end_id)).astype(kind)
+                count = len(ids)
                 stop = (count - 1) % capacity + 1
                 start = piece = 0
                 while start < count:
-                    rows.append((doc, piece, start, stop - start, bytes(ids[4 * start : 4 * stop])))
-                    size += 4 * (stop - start)
+                    length = stop - start
+                    rows.append((doc, piece, start, length, ids[start:stop].tobytes(), part, int(seen[length])))
+                    seen[length] += 1
+                    size += 4 * length
                     start, stop, piece = stop, stop + capacity, piece + 1
                     if size > BATCH_BYTES:
                         yield _piece_batch(rows)
                         rows, size = [], 0
             yield _piece_batch(rows)
 
-    return docs.select("doc_id", "text").mapInArrow(cut, PIECES)
+    return docs.select("doc_id", "text").mapInArrow(cut, CUT)
 
 
 class _Plan:
@@ -208,10 +225,11 @@ def make_plan(counts: np.ndarray, capacity: int = 1024) -> tuple[list[Run], int]
     return plan.runs, plan.sequences
 
 
-def place(found: DataFrame, capacity: int = 1024) -> DataFrame:
+def place(found: DataFrame, capacity: int = 1024, kind: str = "<u4") -> DataFrame:
     """Sequence and offset of every piece.  ``found`` is read twice: pass a written table."""
+    held = found.groupBy("part", "length").count()
     counts = np.zeros(capacity + 1, np.int64)
-    for length, count in found.groupBy("length").count().collect():  # at most ``capacity`` rows
+    for length, count in held.groupBy("length").agg(F.sum("count")).collect():  # at most ``capacity`` rows
         counts[length] = count
     runs, _ = make_plan(counts, capacity)
     runs.sort(key=lambda r: (r.length, r.first))
@@ -219,22 +237,12 @@ def place(found: DataFrame, capacity: int = 1024) -> DataFrame:
     keys = np.array([(r.length << shift) + r.first for r in runs], np.int64)
     table = np.array([(r.first, r.each, r.sequence, r.offset) for r in runs], np.int64).reshape(-1, 4)
 
-    # Ranks within a length: counted in blocks of ids, so that a frequent length is shared
-    # among tasks, then shifted by the counts of the blocks before.
-    blocks = int(counts.sum() // BLOCK_ROWS) + 1
-    blocked = found.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)))
-    before = (
-        blocked.groupBy("length", "block").count()
-        .withColumn("before", F.sum("count").over(
-            Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-        ))
-        .select("length", "block", F.coalesce("before", F.lit(0)).alias("before"))
-    )
-    order = Window.partitionBy("length", "block").orderBy("doc_id", "piece")
-    ranked = (
-        blocked.withColumn("rank", F.row_number().over(order) - 1)
-        .join(before, ["length", "block"])
-        .select("doc_id", "piece", "start", "length", "ids", (F.col("rank") + F.col("before")).alias("rank"))
+    # Pieces of one length are counted through the partitions in their order.
+    before = held.withColumn("_after", F.sum("count").over(
+        Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )).select("part", "length", (F.col("_after") - F.col("count")).alias("before"))
+    ranked = found.join(sized(before, OFFSETS_BROADCAST_BYTES), ["part", "length"]).select(
+        "doc_id", "piece", "start", "length", "ids", (F.col("rank") + F.col("before")).alias("rank")
     )
 
     def placed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,7 +251,7 @@ def place(found: DataFrame, capacity: int = 1024) -> DataFrame:
             rank = batch.column(5).to_numpy()
             first, each, sequence, offset = table[np.searchsorted(keys, (length << shift) + rank, side="right") - 1].T
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:5], pa.array(sequence + (rank - first) // each),
+                [*batch.columns[:4], _widened(batch.column(4), kind), pa.array(sequence + (rank - first) // each),
                  pa.array(offset + (rank - first) % each * length)],
                 names=["doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"],
             )
@@ -251,10 +259,22 @@ def place(found: DataFrame, capacity: int = 1024) -> DataFrame:
     return ranked.mapInArrow(placed, f"{PIECES}, sequence_id long, offset long")
 
 
+def _widened(ids: pa.Array, kind: str) -> pa.Array:
+    """Ids in four bytes each."""
+    if kind == "<u4":
+        return ids
+    data, offsets = B.text_bytes(ids)
+    wide = data.view(kind).astype("<u4")
+    return pa.Array.from_buffers(
+        pa.binary(), len(ids), [None, pa.py_buffer((offsets * 2).astype(np.int32)), pa.py_buffer(wide)]
+    )
+
+
 def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2) -> DataFrame:
     """Every piece with its ids, its sequence and its offset there."""
     tables = Tables(docs.sparkSession, "packing")
-    return place(tables.write(pieces(docs, tokenizer, capacity, end_id), "pieces"), capacity)
+    found = tables.write(pieces(docs, tokenizer, capacity, end_id), "pieces")
+    return place(found, capacity, id_type(tokenizer, end_id))
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -16,11 +16,12 @@ import hashlib
 import json
 import os
 import re
+from array import array
 
 import numpy as np
 
-# Pre-tokens remembered by one Python worker, about 100 MB.
-REMEMBERED = 500_000
+# Pre-tokens remembered by one Python worker, twice as many at most, about 120 MB.
+REMEMBERED = 300_000
 
 # Letters whose class no version of Unicode disputes, and the characters that may stand
 # beside them.
@@ -44,7 +45,9 @@ def version_digest(path: str) -> str:
 
 class Encoder:
     def __init__(self, path: str):
+        # Pre-tokens seen lately, and those of the time before: frequent ones move on.
         self.remembered: dict[str, bytes] = {}
+        self.remembered_before: dict[str, bytes] = {}
         self.plain_split = False
         self.special: list[str] = []
         if path.endswith(".json"):
@@ -68,6 +71,10 @@ class Encoder:
 
             self.library = sentencepiece.SentencePieceProcessor(model_file=path)
 
+    def size(self) -> int:
+        """How many ids there are, added tokens included."""
+        return self.library.get_vocab_size() if hasattr(self.library, "get_vocab_size") else self.library.get_piece_size()
+
     def _library_ids(self, texts: list[str]) -> list[list[int]]:
         if hasattr(self.library, "encode_batch"):
             return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -84,9 +91,16 @@ class Encoder:
         except KeyError:
             pass
         if len(known) > REMEMBERED:
-            known.clear()
-        missing = list(set(pieces).difference(known))
-        known.update((p, np.array(x, "<u4").tobytes()) for p, x in zip(missing, self._library_ids(missing)))
+            self.remembered, self.remembered_before = known, before = {}, known
+        else:
+            before = self.remembered_before
+        missing = []
+        for p in set(pieces).difference(known):
+            if p in before:
+                known[p] = before[p]
+            else:
+                missing.append(p)
+        known.update((p, array("I", x).tobytes()) for p, x in zip(missing, self._library_ids(missing)))
         return b"".join(map(known.__getitem__, pieces))
 
 

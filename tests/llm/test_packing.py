@@ -69,7 +69,9 @@ def test_odd_documents(spark, odd_documents, no_documents):
 
 
 def test_many_blocks(spark, odd_documents, monkeypatch):
-    monkeypatch.setattr(packing, "BLOCK_ROWS", 20)
+    """Ranks run through many partitions, also if the partitions' counts are joined by a shuffle."""
+    monkeypatch.setattr(packing, "OFFSETS_BROADCAST_BYTES", 0)
+    odd_documents = odd_documents.repartition(7)
     rows = packing.pack(odd_documents, tokenizer_path(), 16).collect()
     check_layout(rows, 16)
 
@@ -183,3 +185,21 @@ def test_pipeline_returns_the_ids(spark, odd_documents):
 
     rows = corpus_pipeline.best_fit_packing(spark, odd_documents, SF).collect()
     assert rows and all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in rows)
+
+
+def test_ids_of_two_and_four_bytes(spark):
+    """A vocabulary beyond 65,536 ids keeps four bytes; the packed ids are the same."""
+    docs = spark.createDataFrame([(1, "some text"), (2, None), (3, "more text " * 900)], "doc_id long, text string")
+    narrow = packing.pack(docs, tokenizer_path()).collect()
+    assert packing.id_type(tokenizer_path(), 2) == "<u2"
+    assert packing.id_type(tokenizer_path(), 70_000) == "<u4"
+    wide = packing.pack(docs, tokenizer_path(), end_id=70_000).collect()
+    for a, b in zip(sorted(narrow), sorted(wide)):
+        x, y = np.frombuffer(a.ids, "<u4"), np.frombuffer(b.ids, "<u4")
+        assert len(x) == len(y) == a.length and (x[:-1] == y[:-1]).all() and (x[-1] == y[-1] or (x[-1], y[-1]) == (2, 70_000))
+
+
+def test_no_shuffle_of_ids(spark):
+    docs = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
+    plan = packing.pack(docs, tokenizer_path())._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and all("ids" not in line for line in plan.splitlines() if "Exchange hash" in line)
