@@ -20,8 +20,8 @@ from array import array
 
 import numpy as np
 
-# Pre-tokens remembered by one Python worker, twice as many at most, about 120 MB.
-REMEMBERED = 300_000
+# Pre-tokens remembered by one Python worker, twice as many at most, about 240 MB.
+REMEMBERED = 600_000
 
 # Letters whose class no version of Unicode disputes, and the characters that may stand
 # beside them.
