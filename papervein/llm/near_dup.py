@@ -4,20 +4,27 @@ A document's set is its distinct shingles of five words (fewer words: the whole
 documents with at least ``percent`` Jaccard similarity are linked, and groups of linked
 documents share the smallest id.  Documents with equal sets are one class from the start.
 
-Search: ``trees`` independent trees branch the classes.  A node chooses ``branches`` of the
-minwise coordinates at random; a class goes to the child that its own minwise token names.
-Two sets of similarity s stay together along a branch with probability s, so with two
-branches at each node a pair at 0.75 is lost in one branch of a root with probability 1/3 at
-most, at any depth, and in all 16 with 2e-8.  A node of at most ``small`` classes is compared
-exhaustively; in a larger one every class is compared with one pivot, and the node branches
-on while its classes are not yet one component.  What is still large at ``depth`` levels is
-compared in full, block by block.
+Search: ``trees`` independent trees branch the classes.  A node chooses minwise coordinates at
+random; a class goes to the child that its own minwise token names.  The first ``first``
+levels have one branch, so that the nodes that are formed at all are small already: two sets
+of similarity s stay together through them with probability s^first.  A node of at most
+``small`` classes is compared exhaustively; a larger one branches on, into ``branches``
+children a class, while its classes are not yet one component.  With two branches a pair at
+0.75 is together in some child with probability 0.89 or more at any depth, so with 28 trees
+it is lost in all with 2e-6.
+
+Before that, classes that go the same way for ``deep`` levels, far below where unlike texts
+part, are compared with one pivot of their node.  This makes one component of most groups of
+copies, whatever their size, and a node whose classes are one component needs no comparing.
 
 Comparison: pairs whose sketches (a byte of each of 128 minwise tokens) agree far below the
 threshold are dropped (a linked pair is lost with probability under 1e-5); all others are
-confirmed on the full sets.  Pairs within a component already found need no confirmation, so a
-small node first offers a spanning forest of its best pairs; at the end, the members that still
-have a promising partner in another component are compared in full.
+confirmed on the full sets, 64 bits a shingle, which are made once for every class that shares
+a node.  Pairs within a component already found need no confirmation, so a small node first
+offers a spanning forest of its best pairs; at the end, the members that still have a
+promising partner in another component are compared in full, the sizes of all intersections
+of a node being one product of matrices.  What is still large at ``depth`` levels is compared
+that way, too, block by block.
 
 Nulls and texts without words have an empty set and are linked with nothing.  A row without
 id is linked with nothing, has a null component and is kept.  Rows that repeat an id and its
@@ -43,16 +50,20 @@ from papervein.operators.joins import sized
 MINWISE = 128
 PIVOT_BLOCK = 256  # sets confirmed against one copy of a pivot's set
 IDS_BROADCAST_BYTES = 8 << 20
+MATRIX_COLUMNS = 4096  # of a node's shingles multiplied at once
 
 
 @dataclass(frozen=True)
 class Search:
     shingle: int = 5
     percent: int = 75
-    trees: int = 8
+    trees: int = 28
+    first: int = 3
     branches: int = 2
     small: int = 256
-    depth: int = 8
+    depth: int = 12
+    deep: int = 9
+    deep_trees: int = 8
     sketch_agreement: int = 72  # of 128; 96 expected at the threshold, 5 deviations less
 
 
@@ -144,6 +155,45 @@ def _children(node: np.ndarray, tokens: np.ndarray, branches: int) -> list[np.nd
     return out
 
 
+def _start(sets: DataFrame, search: Search) -> DataFrame:
+    """(kind, node, id) of every class: its node after ``first`` levels of each tree (kind 0),
+    and after ``deep`` levels of some (kind 1)."""
+    roots = _numbers(search.trees, 5)
+
+    def started(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            if not len(batch):
+                continue
+            ids = batch.column(0)
+            tokens = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, MINWISE)
+            for tree, root in enumerate(roots):
+                node = np.full(len(ids), root)
+                levels = search.deep if tree < search.deep_trees else search.first
+                for level in range(1, max(levels, search.first) + 1):
+                    node = _children(node, tokens, 1)[0]
+                    for kind, at in ((0, search.first), (1, search.deep)):
+                        if level == at and (kind == 0 or tree < search.deep_trees):
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(np.full(len(ids), kind, np.int32)), pa.array(node.view(np.int64)), ids],
+                                names=["kind", "node", "id"],
+                            )
+
+    return sets.select("id", "tokens").mapInArrow(started, "kind int, node long, id long")
+
+
+def _sized_nodes(members: DataFrame) -> DataFrame:
+    """The members of nodes of two classes and more, with the node's size and pivot.
+
+    The pivot is the class that comes first in one random order of all classes.
+    """
+    keys = [c for c in ("kind", "node") if c in members.columns]
+    nodes = (
+        members.groupBy(*keys).agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("id"), "id")).alias("first"))
+        .where("size > 1").select(*keys, "size", F.col("first.id").alias("pivot"))
+    )
+    return members.join(nodes, keys)
+
+
 def _branch(members: DataFrame, branches: int) -> DataFrame:
     """(node, id, tokens) to (child, id)."""
 
@@ -241,6 +291,31 @@ def _undecided(members: DataFrame, search: Search) -> DataFrame:
     return _collected(members).mapInArrow(promising, "group long, id long, label long")
 
 
+def _intersections(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes of the sets of distinct codes, and of all their intersections."""
+    sizes = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    flat = np.concatenate(sets)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    new = np.ones(len(flat), bool)
+    new[1:] = flat[1:] != flat[:-1]
+    column = np.cumsum(new) - 1
+    shared = np.bincount(column)[column] > 1 if len(column) else np.zeros(0, bool)
+    owner, column = owner[shared], column[shared]
+    common = np.diag(sizes).astype(np.float64)
+    np.fill_diagonal(common, 0)
+    if len(column):
+        column = np.cumsum(np.append(True, column[1:] != column[:-1])) - 1
+        for low in range(0, int(column[-1]) + 1, MATRIX_COLUMNS):
+            i, j = np.searchsorted(column, (low, low + MATRIX_COLUMNS))
+            matrix = np.zeros((len(sets), min(MATRIX_COLUMNS, int(column[-1]) + 1 - low)), np.float32)
+            matrix[owner[i:j], column[i:j] - low] = 1
+            common += matrix @ matrix.T
+    np.fill_diagonal(common, sizes)
+    return sizes, np.rint(common).astype(np.int64)
+
+
 def _exhaustive(members: DataFrame, sets: DataFrame, search: Search) -> DataFrame:
     """Links (u, v) across components of small nodes, by comparing all their full sets.
 
@@ -249,17 +324,15 @@ def _exhaustive(members: DataFrame, sets: DataFrame, search: Search) -> DataFram
     """
 
     def links(ids: list, labels: list, packed: list) -> Iterator[tuple[int, int]]:
-        codes = [_unpack(p) for p in packed]
+        if len(ids) < 2:
+            return
+        sizes, common = _intersections([np.frombuffer(p, "<u8") for p in packed])
+        linked = 100 * common >= search.percent * (sizes[:, None] + sizes[None, :] - common)
         _, group = np.unique(labels, return_inverse=True)
-        for k in range(1, len(ids)):
-            for j in range(k):
-                low, high = sorted((len(codes[j]), len(codes[k])))
-                if group[j] == group[k] or 100 * low < search.percent * high:
-                    continue
-                common = len(np.intersect1d(codes[j], codes[k], assume_unique=True))
-                if 100 * common >= search.percent * (low + high - common):
-                    group[group == group[j]] = group[k]
-                    yield ids[k], ids[j]
+        for k, j in np.argwhere(np.tril(linked & (group[:, None] != group[None, :]), -1)):
+            if group[j] != group[k]:
+                group[group == group[j]] = group[k]
+                yield ids[k], ids[j]
 
     def compared(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, ids, labels, packed = None, [], [], []
@@ -319,30 +392,25 @@ def _block_pairs(members: DataFrame, search: Search) -> DataFrame:
     return paired.withColumn("group", group).select("group", "id", "n", "sketch", "label")
 
 
-def _pack(codes: np.ndarray) -> bytes:
-    """40 bits of each code: 32 bits of all, then 8 more of all."""
-    top = codes >> np.uint64(24)
-    return (top & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() + (top >> np.uint64(32)).astype(np.uint8).tobytes()
-
-
-def _unpack(packed: bytes) -> np.ndarray:
-    count = len(packed) // 5
-    low = np.frombuffer(packed, "<u4", count).astype(np.uint64)
-    return low | np.frombuffer(packed, np.uint8, count, 4 * count).astype(np.uint64) << np.uint64(32)
-
-
 def _full_sets(docs: DataFrame, ids: DataFrame, search: Search) -> DataFrame:
-    """(id, packed) of the documents with the given ids."""
+    """(id, packed): the sorted codes of the documents with the given ids, once a task.
+
+    Rows that repeat an id hold the same text.
+    """
 
     def packed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in parts:
+            ids = batch.column(0).to_pylist()
+            new = [i not in seen and not seen.add(i) for i in ids]
+            batch = batch.filter(pa.array(new, pa.bool_()))
             for first, end, data, offsets in B.text_slices(batch.column(1)):
                 codes, owner = _shingles(data, offsets, search.shingle)
                 codes, owner = _distinct(codes, owner)
                 cut = np.searchsorted(owner, np.arange(end - first + 1))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, end - first),
-                     pa.array([_pack(codes[cut[k] : cut[k + 1]]) for k in range(end - first)], pa.binary())],
+                     pa.array([codes[cut[k] : cut[k + 1]].astype("<u8").tobytes() for k in range(end - first)], pa.binary())],
                     names=["id", "packed"],
                 )
 
@@ -373,10 +441,10 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, search: Search) -> DataFrame:
             rows = zip(*(batch.column(k).to_pylist() for k in range(5)))
             for block, b, a, packed, turn in rows:
                 if turn == 0:
-                    current, pivot = (block, b), _unpack(packed)
+                    current, pivot = (block, b), np.frombuffer(packed, "<u8")
                     continue
                 assert current == (block, b)
-                codes = _unpack(packed)
+                codes = np.frombuffer(packed, "<u8")
                 common = len(np.intersect1d(pivot, codes, assume_unique=True))
                 if 100 * common >= search.percent * (len(pivot) + len(codes) - common):
                     found.append((a, b))
@@ -407,84 +475,86 @@ class _Groups:
         self.labels = components.connected(self.tables, links.union(stars))
 
 
-def _settle(pairs: DataFrame, docs: DataFrame, groups: _Groups, tables: Tables, search: Search) -> None:
+def _settle(pairs: DataFrame, sets: DataFrame, groups: _Groups, tables: Tables, search: Search) -> None:
     """Confirm or refute candidate pairs until none is left across components.
 
     First each class's most promising pair, then all that are still across components: most
     pairs within a group of copies then need no confirmation.
     """
     pairs = tables.write(pairs.groupBy("a", "b").agg(F.max("agree").alias("agree")), "pairs")
-    ids = tables.write(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
-    if ids.isEmpty():
+    if pairs.isEmpty():
         return
-    # Rows that repeat an id hold the same text; one is enough.
-    sets = tables.write(_full_sets(docs, ids, search).dropDuplicates(["id"]), "sets")
     best = pairs.groupBy("a").agg(F.max(F.struct("agree", (-F.col("b")).alias("b"))).alias("best"))
-    chosen = tables.write(best.select("a", (-F.col("best.b")).alias("b")), "chosen")
+    chosen = best.select("a", (-F.col("best.b")).alias("b"))
     for last in (False, True):
         links = tables.write(_confirmed(chosen, sets, search), "links")
         if not links.isEmpty():
             groups.link(links)
+        tables.drop(links)
         if not last:
             left = pairs.select("a", "b").join(chosen, ["a", "b"], "left_anti")
             chosen = tables.write(groups.across(left), "chosen")
             if chosen.isEmpty():
                 break
-    tables.drop(sets)
+    tables.drop(pairs)
 
 
 def _link_classes(sets: DataFrame, docs: DataFrame, tables: Tables, search: Search) -> DataFrame:
     """Labels (id, label) of linked classes; ``sets``: (id, n, sketch, tokens)."""
     groups = _Groups(docs.sparkSession, tables)
-    roots = F.explode(F.array(*(F.lit(int(x)) for x in _numbers(search.trees, 5).view(np.int64)))).alias("node")
-    grown = _branch(sets.select(roots, "id", "tokens"), search.branches)
+    start = tables.write(_start(sets, search), "start")
+    inside = tables.write(_sized_nodes(start), "inside")
+    tables.drop(start)
+    if inside.isEmpty():
+        return groups.labels
     narrow = sets.select("id", "n", "sketch")
+    full = tables.write(_full_sets(docs, inside.select("id").distinct(), search), "full")
+    if not full.groupBy("id").count().where("count > 1").isEmpty():
+        full = tables.write(full.dropDuplicates(["id"]), "full")
+    # Groups of copies: everything that went the same long way, against its pivot.
+    deep = inside.where("kind = 1 AND id <> pivot").select("id", "pivot").distinct().join(narrow, "id")
+    _settle(_pivot_pairs(deep, narrow, search), full, groups, tables, search)
+    inside = inside.where("kind = 0").drop("kind")
     levels: list[DataFrame] = []
-    for level in range(1, search.depth + 1):
-        members = grown.distinct() if level > 1 else grown
-        members = tables.write(members, "members")
-        # The pivot is the class that comes first in one random order of all classes.
-        nodes = (
-            members.groupBy("node")
-            .agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("id"), "id")).alias("first"))
-            .where("size > 1").select("node", "size", F.col("first.id").alias("pivot"))
-        )
-        inside = tables.write(members.join(nodes, "node"), "inside")
-        tables.drop(members)
-        levels.append(inside.where(F.col("size") <= search.small))
-        # A spanning forest of each small node.
-        _settle(_node_pairs(inside, narrow, groups, search), docs, groups, tables, search)
-        large = inside.where(F.col("size") > search.small)
-        if level == search.depth:
+    last = max(search.first, search.depth)
+    for level in range(search.first, last + 1):
+        current = tables.write(_open(inside, groups), "open")
+        if current.isEmpty():
+            break
+        levels.append(current.where(F.col("size") <= search.small))
+        _settle(_node_pairs(current, narrow, search), full, groups, tables, search)
+        large = current.where(F.col("size") > search.small).select("node", "id", "size")
+        if level == last:
             rest = _open(large, groups).join(narrow, "id").withColumnRenamed("id_label", "label")
-            _compare_fully(_block_pairs(rest, search), docs, groups, tables, search)
+            _compare_fully(_block_pairs(rest, search), full, groups, tables, search)
             break
-        large = tables.write(_open(large, groups).select("node", "id"), "open")
+        large = tables.write(_open(large, groups).select("node", "id"), "large")
         if large.isEmpty():
             break
         grown = _branch(large.join(sets.select("id", "tokens"), "id"), search.branches)
+        inside = tables.write(_sized_nodes(grown.distinct()), "inside")
     # All that the small nodes of all levels still leave across components.
-    left = _open(reduce(DataFrame.union, levels), groups).join(narrow, "id")
-    left = left.select(F.col("node").alias("group"), "id", "n", "sketch", F.col("id_label").alias("label"))
-    _compare_fully(left, docs, groups, tables, search)
+    if levels:
+        left = _open(reduce(DataFrame.union, levels).select("node", "id"), groups).join(narrow, "id")
+        left = left.select(F.col("node").alias("group"), "id", "n", "sketch", F.col("id_label").alias("label"))
+        _compare_fully(left, full, groups, tables, search)
+    tables.drop(full)
     return groups.labels
 
 
-def _compare_fully(members: DataFrame, docs: DataFrame, groups: _Groups, tables: Tables, search: Search) -> None:
+def _compare_fully(members: DataFrame, sets: DataFrame, groups: _Groups, tables: Tables, search: Search) -> None:
     """Link what the members of each group link across components; (group, id, n, sketch, label)."""
     members = tables.write(_undecided(members, search), "undecided")
     if members.isEmpty():
         return
-    sets = tables.write(_full_sets(docs, members.select("id").distinct(), search).dropDuplicates(["id"]), "sets")
     links = tables.write(_exhaustive(members, sets, search), "links")
-    tables.drop(sets)
     if not links.isEmpty():
         groups.link(links)
 
 
 def _open(inside: DataFrame, groups: _Groups) -> DataFrame:
     """The members of nodes whose classes are in more than one component, with their labels."""
-    labelled = groups.label(inside, "id")
+    labelled = groups.label(inside.drop("id_label"), "id")
     nodes = (
         labelled.groupBy("node").agg(F.min("id_label").alias("low"), F.max("id_label").alias("high"))
         .where("low <> high").select("node")
@@ -492,11 +562,11 @@ def _open(inside: DataFrame, groups: _Groups) -> DataFrame:
     return labelled.join(nodes, "node")
 
 
-def _node_pairs(inside: DataFrame, narrow: DataFrame, groups: _Groups, search: Search) -> DataFrame:
-    """Candidate pairs of all nodes: within small ones, and with the pivot of large ones."""
-    full = groups.label(inside, "id").join(narrow, "id").withColumnRenamed("id_label", "label")
-    small = full.where(F.col("size") <= search.small).withColumnRenamed("node", "group")
-    large = full.where((F.col("size") > search.small) & (F.col("id") != F.col("pivot")))
+def _node_pairs(current: DataFrame, narrow: DataFrame, search: Search) -> DataFrame:
+    """Candidate pairs of open nodes: within small ones, and with the pivot of large ones."""
+    rows = current.join(narrow, "id").withColumnRenamed("id_label", "label")
+    small = rows.where(F.col("size") <= search.small).withColumnRenamed("node", "group")
+    large = rows.where((F.col("size") > search.small) & (F.col("id") != F.col("pivot")))
     return _small_pairs(small, search).union(_pivot_pairs(large, narrow, search))
 
 

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from papervein.llm import components, near_dup
@@ -114,3 +115,49 @@ def test_one_id_with_two_texts(spark):
         [("3", rows[3][1]), ("5", texts[1]), ("7", texts[3]), ("8", ""), ("None", texts[0])]
     )
     assert [r.text in (rows[4][1], rows[5][1]) for r in out if r.doc_id == 9] == [True]
+
+
+def test_intersections():
+    rng = np.random.default_rng(3)
+    for count, most in ((1, 5), (7, 0), (40, 30), (60, 9000)):
+        sets = [np.unique(rng.integers(0, 12_000, rng.integers(0, most + 1)).astype(np.uint64)) for _ in range(count)]
+        sizes, common = near_dup._intersections(sets)
+        assert sizes.tolist() == [len(s) for s in sets]
+        for i in range(count):
+            for j in range(count):
+                assert common[i, j] == len(np.intersect1d(sets[i], sets[j]))
+
+
+def test_a_hub_and_its_copies(spark):
+    """Copies near to one text, but not to each other, of which there are more than a node takes."""
+    rng = random.Random(11)
+    base = [f"h{k}" for k in range(200)]
+    texts = {0: " ".join(base)} | {i: varied(rng, base, 4) for i in range(1, 120)}
+    texts |= {i: varied(rng, base, 60) for i in range(120, 200)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    found = near_dup.classify(docs, near_dup.Search(small=16, depth=5))
+    assert sorted(tuple(r) for r in found.collect()) == expected_of(texts)
+
+
+def test_one_id_repeated_by_many_rows(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(4, text)] * 300 + [(2, text + " more"), (9, "something else altogether, of its own")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = near_dup.classify(docs).collect()
+    assert len(got) == 302 and {(r.doc_id, r.component_id) for r in got} == {(4, 2), (2, 2), (9, 9)}
+    assert near_dup.keep_first(docs).select("doc_id").distinct().count() == 2
+
+
+def test_recall_at_the_threshold(spark):
+    """Pairs of texts just above 0.75 that have no other link: 0.9 and more are to be found."""
+    rng = random.Random(12)
+    texts, linked = {}, set()
+    for g in range(150):
+        base = [f"g{g}w{k}" for k in range(110)]
+        texts[2 * g], texts[2 * g + 1] = " ".join(base), varied(rng, base, 3)
+        a, b = brute.shingles(texts[2 * g]), brute.shingles(texts[2 * g + 1])
+        if 75 * len(a | b) <= 100 * len(a & b):
+            linked.add(2 * g + 1)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    found = {r.doc_id for r in near_dup.classify(docs).collect() if not r.kept}
+    assert found == linked and len(linked) > 100
