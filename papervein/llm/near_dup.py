@@ -5,17 +5,18 @@ documents with at least ``percent`` Jaccard similarity are linked, and groups of
 documents share the smallest id.  Documents with equal sets are one class from the start.
 
 Search: ``trees`` independent trees branch the classes.  A node chooses minwise coordinates at
-random; a class goes to the child that its own minwise token names.  The first ``first``
+random; a class goes to the child that its own minwise tokens there name.  The first ``first``
 levels have one branch, so that the nodes that are formed at all are small already: two sets
 of similarity s stay together through them with probability s^first.  A node of at most
-``small`` classes is compared exhaustively; a larger one branches on, into ``branches``
-children a class, while its classes are not yet one component.  With two branches a pair at
-0.75 is together in some child with probability 0.89 or more at any depth, so with 28 trees
-it is lost in all with 2e-6.
+``small`` classes is compared exhaustively.  A larger one, while its classes are not yet one
+component, is compared with its hub and branches on, each class into ``branches`` children by
+``step`` tokens at a time.  With four branches of three tokens a pair at 0.75 is together in
+some child with probability 0.81 or more at any depth, so with 28 trees it is lost in all with
+1e-5, while classes below 0.63 are spread over ever fewer nodes.
 
-Before that, classes that go the same way for ``deep`` levels, far below where unlike texts
-part, are compared with one pivot of their node.  This makes one component of most groups of
-copies, whatever their size, and a node whose classes are one component needs no comparing.
+The hub is the class that agrees most with the node's consensus, the commonest token of each
+coordinate in a sample of the node: of a text and its many copies that have little but the
+text in common, it is the text.
 
 Comparison: pairs whose sketches (a byte of each of 128 minwise tokens) agree far below the
 threshold are dropped (a linked pair is lost with probability under 1e-5); all others are
@@ -45,12 +46,13 @@ from pyspark.sql import functions as F
 from papervein.llm import batches as B
 from papervein.llm import components
 from papervein.llm.shared import Tables
-from papervein.operators.joins import sized
+from papervein.operators.joins import first_rows, sized
 
 MINWISE = 128
 PIVOT_BLOCK = 256  # sets confirmed against one copy of a pivot's set
 IDS_BROADCAST_BYTES = 8 << 20
 MATRIX_COLUMNS = 4096  # of a node's shingles multiplied at once
+CONSENSUS_ROWS = 128   # of a large node's classes that its consensus is taken from
 
 
 @dataclass(frozen=True)
@@ -59,11 +61,10 @@ class Search:
     percent: int = 75
     trees: int = 28
     first: int = 3
-    branches: int = 2
+    step: int = 3
+    branches: int = 4
     small: int = 256
-    depth: int = 12
-    deep: int = 9
-    deep_trees: int = 8
+    depth: int = 15
     sketch_agreement: int = 72  # of 128; 96 expected at the threshold, 5 deviations less
 
 
@@ -145,56 +146,39 @@ def profiles(docs: DataFrame, search: Search = Search()) -> DataFrame:
     )
 
 
-def _children(node: np.ndarray, tokens: np.ndarray, branches: int) -> list[np.ndarray]:
-    """The children of each row's node, by the minwise tokens that the node chooses."""
-    out, rows = [], np.arange(len(node))
-    for b in range(branches):
-        chosen = B.mix(node + np.uint64(0x632BE59BD9B4E019 + b))
+def _descend(node: np.ndarray, tokens: np.ndarray, levels: int, branch: int = 0) -> np.ndarray:
+    """The node each row comes to after some levels, by the tokens that the nodes on the way choose."""
+    rows = np.arange(len(node))
+    for level in range(levels):
+        chosen = B.mix(node + np.uint64(0x632BE59BD9B4E019 + (branch if level == 0 else 0)))
         coordinate = (chosen % np.uint64(MINWISE)).astype(np.int64)
-        out.append(B.mix(chosen ^ (tokens[rows, coordinate].astype(np.uint64) + np.uint64(1))))
-    return out
+        node = B.mix(chosen ^ (tokens[rows, coordinate].astype(np.uint64) + np.uint64(1)))
+    return node
 
 
 def _start(sets: DataFrame, search: Search) -> DataFrame:
-    """(kind, node, id) of every class: its node after ``first`` levels of each tree (kind 0),
-    and after ``deep`` levels of some (kind 1)."""
+    """(node, id) of every class after the ``first`` levels of each tree."""
     roots = _numbers(search.trees, 5)
 
     def started(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
             if not len(batch):
                 continue
-            ids = batch.column(0)
             tokens = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, MINWISE)
-            for tree, root in enumerate(roots):
-                node = np.full(len(ids), root)
-                levels = search.deep if tree < search.deep_trees else search.first
-                for level in range(1, max(levels, search.first) + 1):
-                    node = _children(node, tokens, 1)[0]
-                    for kind, at in ((0, search.first), (1, search.deep)):
-                        if level == at and (kind == 0 or tree < search.deep_trees):
-                            yield pa.RecordBatch.from_arrays(
-                                [pa.array(np.full(len(ids), kind, np.int32)), pa.array(node.view(np.int64)), ids],
-                                names=["kind", "node", "id"],
-                            )
+            for root in roots:
+                node = _descend(np.full(len(batch), root), tokens, search.first)
+                yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), batch.column(0)], names=["node", "id"])
 
-    return sets.select("id", "tokens").mapInArrow(started, "kind int, node long, id long")
+    return sets.select("id", "tokens").mapInArrow(started, "node long, id long")
 
 
 def _sized_nodes(members: DataFrame) -> DataFrame:
-    """The members of nodes of two classes and more, with the node's size and pivot.
+    """The members of nodes of two classes and more, with the node's size."""
+    nodes = members.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
+    return members.join(nodes, "node")
 
-    The pivot is the class that comes first in one random order of all classes.
-    """
-    keys = [c for c in ("kind", "node") if c in members.columns]
-    nodes = (
-        members.groupBy(*keys).agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("id"), "id")).alias("first"))
-        .where("size > 1").select(*keys, "size", F.col("first.id").alias("pivot"))
-    )
-    return members.join(nodes, keys)
 
-
-def _branch(members: DataFrame, branches: int) -> DataFrame:
+def _branch(members: DataFrame, search: Search) -> DataFrame:
     """(node, id, tokens) to (child, id)."""
 
     def branched(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,12 +187,41 @@ def _branch(members: DataFrame, branches: int) -> DataFrame:
                 continue
             node = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             tokens = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint32).reshape(-1, MINWISE)
-            for child in _children(node, tokens, branches):
+            for branch in range(search.branches):
+                child = _descend(node, tokens, search.step, branch)
                 yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), batch.column(1)], names=["node", "id"])
 
     return members.select("node", "id", "tokens").mapInArrow(branched, "node long, id long")
 
 
+def _hubs(members: DataFrame) -> DataFrame:
+    """(node, pivot): the member of each node that agrees most with its consensus; (node, id, sketch)."""
+
+    def consensus(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            common = []
+            for rows in batch.column(1):
+                matrix = np.frombuffer(b"".join(rows.as_py()), np.uint8).reshape(-1, MINWISE)
+                flat = matrix.astype(np.int64) + 256 * np.arange(MINWISE)
+                times = np.bincount(flat.ravel(), minlength=256 * MINWISE).reshape(MINWISE, 256)
+                common.append(times.argmax(1).astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(common, pa.binary())], names=["node", "consensus"])
+
+    def agreeing(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            left, right = (B.text_bytes(batch.column(k))[0].reshape(-1, MINWISE) for k in (2, 3))
+            agree = (left == right).sum(1).astype(np.int32) if len(batch) else np.empty(0, np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(agree, pa.int32())], names=["node", "id", "agree"]
+            )
+
+    some = first_rows(members.select("node", "id", "sketch"), "node", CONSENSUS_ROWS, F.xxhash64("id"), F.asc("id"))
+    common = some.groupBy("node").agg(F.collect_list("sketch").alias("rows")).mapInArrow(consensus, "node long, consensus binary")
+    scored = members.join(common, "node").select("node", "id", "sketch", "consensus").mapInArrow(agreeing, "node long, id long, agree int")
+    best = scored.groupBy("node").agg(F.max(F.struct("agree", F.negative("id").alias("id"))).alias("best"))
+    return best.select("node", F.negative("best.id").alias("pivot"))
+
+
 def _agreeing(ids, n, labels, sketch, search: Search) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs of a node's rows, across labels, that may be linked: larger row, smaller row, agreement."""
     left, right, agreement = [], [], []
@@ -476,27 +489,14 @@ class _Groups:
 
 
 def _settle(pairs: DataFrame, sets: DataFrame, groups: _Groups, tables: Tables, search: Search) -> None:
-    """Confirm or refute candidate pairs until none is left across components.
-
-    First each class's most promising pair, then all that are still across components: most
-    pairs within a group of copies then need no confirmation.
-    """
-    pairs = tables.write(pairs.groupBy("a", "b").agg(F.max("agree").alias("agree")), "pairs")
+    """Confirm or refute candidate pairs, each once however many nodes offer it."""
+    pairs = tables.write(pairs.select("a", "b").distinct(), "pairs")
     if pairs.isEmpty():
         return
-    best = pairs.groupBy("a").agg(F.max(F.struct("agree", (-F.col("b")).alias("b"))).alias("best"))
-    chosen = best.select("a", (-F.col("best.b")).alias("b"))
-    for last in (False, True):
-        links = tables.write(_confirmed(chosen, sets, search), "links")
-        if not links.isEmpty():
-            groups.link(links)
-        tables.drop(links)
-        if not last:
-            left = pairs.select("a", "b").join(chosen, ["a", "b"], "left_anti")
-            chosen = tables.write(groups.across(left), "chosen")
-            if chosen.isEmpty():
-                break
+    links = tables.write(_confirmed(pairs, sets, search), "links")
     tables.drop(pairs)
+    if not links.isEmpty():
+        groups.link(links)
 
 
 def _link_classes(sets: DataFrame, docs: DataFrame, tables: Tables, search: Search) -> DataFrame:
@@ -511,37 +511,40 @@ def _link_classes(sets: DataFrame, docs: DataFrame, tables: Tables, search: Sear
     full = tables.write(_full_sets(docs, inside.select("id").distinct(), search), "full")
     if not full.groupBy("id").count().where("count > 1").isEmpty():
         full = tables.write(full.dropDuplicates(["id"]), "full")
-    # Groups of copies: everything that went the same long way, against its pivot.
-    deep = inside.where("kind = 1 AND id <> pivot").select("id", "pivot").distinct().join(narrow, "id")
-    _settle(_pivot_pairs(deep, narrow, search), full, groups, tables, search)
-    inside = inside.where("kind = 0").drop("kind")
     levels: list[DataFrame] = []
-    last = max(search.first, search.depth)
-    for level in range(search.first, last + 1):
-        current = tables.write(_open(inside, groups), "open")
-        if current.isEmpty():
-            break
-        levels.append(current.where(F.col("size") <= search.small))
-        _settle(_node_pairs(current, narrow, search), full, groups, tables, search)
-        large = current.where(F.col("size") > search.small).select("node", "id", "size")
-        if level == last:
-            rest = _open(large, groups).join(narrow, "id").withColumnRenamed("id_label", "label")
-            _compare_fully(_block_pairs(rest, search), full, groups, tables, search)
+    current, depth = inside.withColumn("id_label", F.col("id")), search.first
+    while True:
+        small = current.where(F.col("size") <= search.small)
+        large = current.where(F.col("size") > search.small)
+        levels.append(small)
+        some_large = not large.isEmpty()
+        pairs = _small_pairs(_ready(small, narrow).withColumnRenamed("node", "group"), search)
+        if some_large:
+            pairs = pairs.union(_hub_pairs(_ready(large, narrow), narrow, search))
+        _settle(pairs, full, groups, tables, search)
+        if not some_large:
             break
-        large = tables.write(_open(large, groups).select("node", "id"), "large")
+        large = tables.write(_open(large, groups), "large")
         if large.isEmpty():
             break
-        grown = _branch(large.join(sets.select("id", "tokens"), "id"), search.branches)
-        inside = tables.write(_sized_nodes(grown.distinct()), "inside")
+        if depth + search.step > search.depth:
+            _compare_fully(_block_pairs(_ready(large, narrow), search), full, groups, tables, search)
+            break
+        grown = _branch(large.select("node", "id").join(sets.select("id", "tokens"), "id"), search)
+        current = tables.write(_open(_sized_nodes(grown.distinct()), groups), "inside")
+        depth += search.step
     # All that the small nodes of all levels still leave across components.
-    if levels:
-        left = _open(reduce(DataFrame.union, levels).select("node", "id"), groups).join(narrow, "id")
-        left = left.select(F.col("node").alias("group"), "id", "n", "sketch", F.col("id_label").alias("label"))
-        _compare_fully(left, full, groups, tables, search)
+    left = _open(reduce(DataFrame.union, (level.select("node", "id") for level in levels)), groups)
+    _compare_fully(_ready(left, narrow).withColumnRenamed("node", "group"), full, groups, tables, search)
     tables.drop(full)
     return groups.labels
 
 
+def _ready(members: DataFrame, narrow: DataFrame) -> DataFrame:
+    """Labelled members with size and sketch of their sets."""
+    return members.join(narrow, "id").withColumnRenamed("id_label", "label")
+
+
 def _compare_fully(members: DataFrame, sets: DataFrame, groups: _Groups, tables: Tables, search: Search) -> None:
     """Link what the members of each group link across components; (group, id, n, sketch, label)."""
     members = tables.write(_undecided(members, search), "undecided")
@@ -562,12 +565,9 @@ def _open(inside: DataFrame, groups: _Groups) -> DataFrame:
     return labelled.join(nodes, "node")
 
 
-def _node_pairs(current: DataFrame, narrow: DataFrame, search: Search) -> DataFrame:
-    """Candidate pairs of open nodes: within small ones, and with the pivot of large ones."""
-    rows = current.join(narrow, "id").withColumnRenamed("id_label", "label")
-    small = rows.where(F.col("size") <= search.small).withColumnRenamed("node", "group")
-    large = rows.where((F.col("size") > search.small) & (F.col("id") != F.col("pivot")))
-    return _small_pairs(small, search).union(_pivot_pairs(large, narrow, search))
+def _hub_pairs(members: DataFrame, narrow: DataFrame, search: Search) -> DataFrame:
+    """Candidate pairs of large nodes: every member with the node's hub."""
+    return _pivot_pairs(members.join(_hubs(members), "node").where(F.col("id") != F.col("pivot")), narrow, search)
 
 
 def _classified(found: DataFrame, docs: DataFrame, tables: Tables, search: Search) -> DataFrame:
