@@ -1,188 +1,225 @@
 """Stupid-backoff scores of documents under the language model of all other documents.
 
-A word scores count(previous, word) / count(previous) if another document has the pair, else
-``alpha`` times count(word) / total, else ``alpha`` once more times 1 / total; a document's
-first word starts at the second step.  Counts and total leave the document itself out.  The
-document's score is the sum of the logarithms.
-
-The join: documents are written in blocks.  Each block's distinct words and pairs go, with
-their counts, to the hash partition of their code, as packed columns; a partition adds up
-the counts of each code over all blocks, which is its part of the count table, and joins the
-sums to the blocks' requests; each block gets its sums back in the order it sent the codes,
-and sums the scores of its documents.  An n-gram is sent once a block, however frequent.
+A word scores count(context, word) / count(context) for the longest context of at most
+``order`` - 1 words with which another document has it; each word by which the context is
+shortened costs a factor ``alpha``.  A word no other document has counts ``alpha`` times.  Words
+at a document's beginning start with what context there is.  Counts and totals leave the
+document itself out.  The document's score is the sum of the logarithms.
+
+The work is relational.  Documents are exploded into n-grams: a row for every distinct n-gram of
+a document with the number of times it is there.  Count tables sum these by the n-gram's code
+and are written; n-grams that occur once in all are left out, since no other document has them.
+The exploded n-grams are joined to the count table of their order, those not found go on to the
+next lower one, those found to the count of their context, and the logarithms are summed for
+each document.  Everything is partitioned by the hash of the code.  The n-grams of the highest
+order, by far the most rows, are taken in ``rounds`` ranges of their codes, so that only a part of
+them is shuffled at a time; every round reads the texts again.
 
 Words are runs of non-space characters, A-Z in lower case.  A null or wordless text scores 0
 over no words.  Repeated rows are separate documents, so each knows the other's n-grams.
-Ids may be null or repeated.  Codes have 48 bits besides those of the partition.
+Ids may be null or repeated.  Codes have 64 bits.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from papervein.llm import batches as B
 from papervein.llm.shared import Tables, sweep
 
-ALPHA = 0.4
-BLOCK_BYTES = 1 << 20       # of text in one block; a worker needs about 40 times that
-PARTITION_CODES = 1 << 21   # of requests in one partition of the count table, about
+ALPHA, ORDER, ROUNDS = 0.4, 2, 4
 
 
-def _blocks(docs: DataFrame) -> DataFrame:
-    """One row for about ``BLOCK_BYTES`` of whole texts: their ids, bytes, offsets and words."""
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(r, doc_id, text): ``r`` names a row by its id and text; rows equal in both share it."""
+    text = F.coalesce("text", F.lit(""))
+    return docs.select(F.xxhash64("doc_id", F.sha2(F.encode(text, "UTF-8"), 256)).alias("r"), "doc_id", text.alias("text"))
 
-    def blocked(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        ids: list = []
-        texts: list[bytes] = []
-        size = 0
 
-        def block() -> pa.RecordBatch:
-            offsets = np.cumsum([0, *map(len, texts)])
-            data = b"".join(texts)
-            words = len(B.words(~B.SPACE[np.frombuffer(data, np.uint8)], offsets)[0])
-            return pa.RecordBatch.from_arrays(
-                [pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
-                 pa.array([offsets.tolist()], pa.list_(pa.int64())), pa.array([data], pa.binary()), pa.array([words], pa.int64())],
-                names=["block", "ids", "offsets", "data", "words"],
-            )
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of all words, the row of each, and the place of each in its row."""
+    data = B.LOWER[data]
+    starts, ends, first = B.words(~B.SPACE[data], offsets)
+    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    return B.codes_of(data, starts, ends), owner, np.arange(len(starts)) - first[owner]
 
-        for batch in parts:
-            data, offsets = B.text_bytes(batch.column(1))
-            for row, doc in enumerate(batch.column(0).to_pylist()):
-                own = data[offsets[row] : offsets[row + 1]]
-                if texts and size + len(own) > BLOCK_BYTES:
-                    yield block()
-                    number, ids, texts, size = number + 1, [], [], 0
-                ids.append(doc)
-                texts.append(own.tobytes())
-                size += len(own)
-        if texts:
-            yield block()
-
-    return docs.select("doc_id", "text").mapInArrow(
-        blocked, "block long, ids array<long>, offsets array<long>, data binary, words long"
-    )
 
+def _grams(codes: np.ndarray, order: int) -> np.ndarray:
+    """The code of the ``order`` words that end at each word; meaningless where a row has fewer before."""
+    out = np.zeros(len(codes), np.uint64)
+    if len(codes) >= order:
+        salt = B.mix(np.array([order], np.uint64))[0] if order > 1 else np.uint64(0)
+        out[order - 1 :] = (B.window_codes(codes, order) if order > 1 else codes) ^ salt
+    return out
 
-class _Grams:
-    """The words and pairs of a block: codes by word, and the distinct codes in order."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, bits: int):
-        data = B.LOWER[data]
-        starts, ends, self.first = B.words(~B.SPACE[data], offsets)
-        self.count = np.diff(self.first)
-        self.owner = np.repeat(np.arange(len(self.count)), self.count)
-        one = B.codes_of(data, starts, ends)
-        two = B.window_codes(one, 2) ^ np.uint64(0x5851F42D4C957F2D)
-        self.paired = np.flatnonzero(self.owner[:-1] == self.owner[1:])  # first words of pairs
-        keep = np.uint64(64 - 48 - bits)
-        codes = np.concatenate([one, two[self.paired]]) >> keep
-        self.codes, self.which, self.times = np.unique(codes, return_inverse=True, return_counts=True)
-        self.part = (self.codes >> np.uint64(48)).astype(np.int64)
+def _times(owner: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each element, how often its row has its code; and the first element of each (row, code)."""
+    order = np.lexsort((codes, owner))
+    new = np.ones(len(order), bool)
+    new[1:] = (codes[order][1:] != codes[order][:-1]) | (owner[order][1:] != owner[order][:-1])
+    group = np.cumsum(new) - 1
+    out = np.empty(len(order), np.int64)
+    out[order] = np.bincount(group)[group] if len(order) else 0
+    return out, order[new]
 
-    def own(self) -> np.ndarray:
-        """For every word and pair in order, its count within its own document."""
-        owner = np.concatenate([self.owner, self.owner[self.paired]])
-        key = owner.astype(np.int64) * len(self.codes) + self.which
-        _, which, times = np.unique(key, return_inverse=True, return_counts=True)
-        return times[which]
 
+def _sizes(keyed: DataFrame) -> DataFrame:
+    """(r, doc_id, n_words) of every row."""
 
-def _grams(row: dict, bits: int) -> _Grams:
-    return _Grams(np.frombuffer(row["data"], np.uint8), np.array(row["offsets"], np.int64), bits)
+    def counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            counts = [np.empty(0, np.int64)]
+            for _, _, data, offsets in B.text_slices(batch.column(2)):
+                counts.append(np.diff(B.words(~B.SPACE[data], offsets)[2]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(np.concatenate(counts))], names=["r", "doc_id", "n_words"]
+            )
 
+    return keyed.mapInArrow(counted, "r long, doc_id long, n_words long")
 
-def _requests(blocks: DataFrame, bits: int) -> DataFrame:
-    def requested(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _exploded(keyed: DataFrame, order: int, range_: int = 0, ranges: int = 1) -> DataFrame:
+    """A row for every distinct n-gram of a document: (code, times)."""
+
+    def exploded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
-            for k in range(len(batch)):
-                row = batch.slice(k, 1).to_pylist()[0]
-                g = _grams(row, bits)
-                cut = np.searchsorted(g.part, np.arange((1 << bits) + 1))
-                sent = np.flatnonzero(np.diff(cut))
-                low, high = (g.codes & np.uint64(0xFFFFFFFF)).astype("<u4"), (g.codes >> np.uint64(32)).astype("<u2")
-                times = g.times.astype("<u4")
-                slices = [[a[cut[p] : cut[p + 1]].tobytes() for p in sent] for a in (low, high, times)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(sent), pa.array(np.full(len(sent), row["block"])), *(pa.array(s, pa.binary()) for s in slices)],
-                    names=["part", "block", "low", "high", "times"],
-                )
-
-    return blocks.mapInArrow(requested, "part long, block long, low binary, high binary, times binary")
-
-
-def _sums(requests: DataFrame) -> DataFrame:
-    """The count of every requested code over all blocks, in the order of the request."""
-
-    def summed(rows: pd.DataFrame) -> pd.DataFrame:
-        low = np.frombuffer(b"".join(rows["low"]), "<u4").astype(np.uint64)
-        high = np.frombuffer(b"".join(rows["high"]), "<u2").astype(np.uint64)
-        times = np.frombuffer(b"".join(rows["times"]), "<u4")
-        _, which = np.unique(low | high << np.uint64(32), return_inverse=True)
-        total = np.bincount(which, times).astype("<u8")[which]
-        ends = np.cumsum([len(x) // 4 for x in rows["low"]])
-        return pd.DataFrame({
-            "block": rows["block"], "part": rows["part"],
-            "total": [total[e - len(x) // 4 : e].tobytes() for e, x in zip(ends, rows["low"])],
-        })
-
-    return requests.groupBy("part").applyInPandas(summed, "block long, part long, total binary")
-
-
-def _scored(g: _Grams, total: np.ndarray, corpus: int, alpha: float) -> tuple[np.ndarray, np.ndarray]:
-    """Sum of log scores, and number of words that backed off, of each document of a block."""
-    words = len(g.owner)
-    other = (total[g.which] - g.own()).astype(np.float64)
-    single, double = other[:words], np.zeros(words)
-    double[g.paired + 1] = other[words:]
-    before = np.zeros(words)
-    before[1:] = single[:-1]
-    everything = np.maximum(corpus - g.count[g.owner], 1).astype(np.float64)
-    word = np.where(single > 0, single, alpha) / everything
-    seen = double > 0
-    starts = np.zeros(words, bool)
-    starts[g.first[:-1][g.count > 0]] = True
-    value = np.where(seen, double / np.where(seen, before, 1), np.where(starts, 1, alpha) * word)
-    logs = np.log(value)
-    return (
-        np.bincount(g.owner, logs, len(g.count)).astype(float),
-        np.bincount(g.owner[~seen & ~starts], minlength=len(g.count)),
-    )
+            for _, _, data, offsets in B.text_slices(batch.column(2)):
+                words, owner, place = _words(data, offsets)
+                grams = _grams(words, order)
+                mine = (place >= order - 1) & (_range(grams, ranges) == range_)
+                # One row a slice of texts: the first step of the sum.
+                codes, times = np.unique(grams[mine], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), pa.array(times)], names=["code", "times"])
 
+    return keyed.mapInArrow(exploded, "code long, times long")
 
-def score(docs: DataFrame, alpha: float = ALPHA) -> DataFrame:
-    """doc_id, n_words, n_backoff and log_score of every document."""
-    tables = Tables(docs.sparkSession, "lm-score")
-    blocks = tables.write(_blocks(docs), "blocks")
-    size, corpus = (x or 0 for x in blocks.agg(F.sum(F.element_at("offsets", -1)), F.sum("words")).first())
-    # About a third as many distinct codes as bytes; a partition more than needed does no harm.
-    bits = min(16, max(0, math.ceil(math.log2(max(1, size / 3 / PARTITION_CODES)))))
-    sums = tables.write(_sums(_requests(blocks, bits)), "sums")
-    sweep(docs.sparkSession)
 
-    answers = sums.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("part", "total"))).alias("answers"))
+def _range(codes: np.ndarray, ranges: int) -> np.ndarray:
+    return (B.mix(codes.copy()) >> np.uint64(40)).astype(np.int64) % ranges
 
-    def scored(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _counts(grams: DataFrame) -> DataFrame:
+    """(code, total) of the n-grams that occur more than once."""
+    return grams.groupBy("code").agg(F.sum("times").alias("total")).where("total > 1")
+
+
+def _columns(order: int) -> list[str]:
+    """Of each order n below the highest: the n-gram g and its own count o; of each above the
+    lowest: its context c and that one's own count p."""
+    return [f"{name}{n}" for n in range(order, 0, -1) for name in (("g", "o", "c", "p") if n > 1 else ("g", "o"))]
+
+
+def _asked(keyed: DataFrame, order: int, range_: int, ranges: int) -> DataFrame:
+    """A row for every distinct n-gram of the highest order that a place in a document allows:
+    (r, k times, highest order m, and the codes and own counts of all that the scores may need)."""
+    names = _columns(order)
+
+    def asked(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
-            for k in range(len(batch)):
-                row = batch.slice(k, 1).to_pylist()[0]
-                g = _grams(row, bits)
-                total = np.frombuffer(b"".join(a["total"] for a in row["answers"] or []), "<u8").astype(np.int64)
-                logs, backoff = _scored(g, total, corpus, alpha)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["ids"], pa.int64()), pa.array(g.count), pa.array(backoff.astype(np.int64)), pa.array(logs)],
-                    names=["doc_id", "n_words", "n_backoff", "log_score"],
-                )
-
-    return blocks.join(answers, "block", "left").mapInArrow(
-        scored, "doc_id long, n_words long, n_backoff long, log_score double"
+            keys = batch.column(0).to_numpy()
+            for first, _, data, offsets in B.text_slices(batch.column(2)):
+                words, owner, place = _words(data, offsets)
+                grams = {n: _grams(words, n) for n in range(1, order + 1)}
+                own, some = {}, {}
+                for n in range(1, order + 1):
+                    at = np.flatnonzero(place >= n - 1)
+                    own[n] = np.zeros(len(words), np.int64)
+                    own[n][at], head = _times(owner[at], grams[n][at])
+                    some[n] = at[head]
+                for m in range(1, order + 1):
+                    # Below the highest order only the places that have no more words before them.
+                    at = some[m] if m == order else np.flatnonzero(place == m - 1)
+                    at = at[_range(grams[m][at], ranges) == range_]
+                    times = own[m][at] if m == order else np.ones(len(at), np.int64)
+                    columns = [pa.array(keys[first + owner[at]]), pa.array(times), pa.array(np.full(len(at), m, np.int32))]
+                    for name in names:
+                        kind, n = name[0], int(name[1:])
+                        if n > m:
+                            columns.append(pa.nulls(len(at), pa.int64()))
+                        elif kind == "g":
+                            columns.append(pa.array(grams[n][at].view(np.int64)))
+                        elif kind == "o":
+                            columns.append(pa.array(own[n][at]))
+                        else:  # the context: the n - 1 words before
+                            values = grams[n - 1].view(np.int64) if kind == "c" else own[n - 1]
+                            columns.append(pa.array(values[at - 1]))
+                    yield pa.RecordBatch.from_arrays(columns, names=["r", "k", "m", *names])
+
+    return keyed.mapInArrow(asked, "r long, k long, m int, " + ", ".join(f"{c} long" for c in names))
+
+
+def _scored(rows: DataFrame, counts: dict[int, DataFrame], order: int, alpha: float) -> DataFrame:
+    """(r, logs, single, backoff): per document the sum of logarithms but for the total of words,
+    how many words are divided by that total, and how many had their context shortened."""
+    # ``found``: the count to be divided by that of the context, which is looked up next.  A row
+    # whose highest order is lower waits; until then it looks up a code that no n-gram has.
+    starts = F.col("m") == order
+    state = rows.withColumns({
+        "found": F.lit(None).cast("double"), "cut": F.lit(0), "log": F.lit(None).cast("double"),
+        "key": F.when(starts, F.col(f"g{order}")).otherwise(F.col("r")),
+        "own": F.when(starts, F.col(f"o{order}")).otherwise(F.lit(0)),
+    })
+    shortened = F.col("cut") * F.log(F.lit(alpha))
+    for n in range(order, 0, -1):
+        known = counts[n].select(F.col("code").alias("key"), "total")
+        active = F.col("m") >= n
+        other = F.when(active & F.col("total").isNotNull(), F.col("total") - F.col("own")).otherwise(0).cast("double")
+        joined = state.join(known, "key", "left").withColumn("other", other)
+        divided = F.log(F.col("found") / F.col("other")) + shortened
+        if n == 1:
+            alone = F.log(F.when(F.col("other") > 0, F.col("other")).otherwise(F.lit(alpha))) + shortened
+            scored = joined.select(
+                "r", "k", "cut", F.coalesce("log", F.when(F.col("found").isNotNull(), divided).otherwise(alone)).alias("log"),
+                (F.col("log").isNull() & F.col("found").isNull()).cast("int").alias("single"),
+            )
+            return scored.groupBy("r").agg(
+                F.sum(F.col("k") * F.col("log")).alias("logs"), F.sum(F.col("k") * F.col("single")).alias("single"),
+                F.sum(F.when(F.col("cut") > 0, F.col("k")).otherwise(0)).alias("backoff"),
+            )
+        over = F.col("log").isNotNull() | F.col("found").isNotNull()  # scored here or before
+        seen = F.col("other") > 0
+        waits = ~active & (F.col("m") < n - 1)
+        lower = [c for c in _columns(order) if int(c[1:]) < n]
+        state = joined.select(
+            "r", "k", "m", *lower,
+            F.coalesce("log", F.when(F.col("found").isNotNull(), divided)).alias("log"),
+            F.when(~over & seen, F.col("other")).alias("found"),
+            F.when(over | waits, F.col("r")).when(seen, F.col(f"c{n}")).otherwise(F.col(f"g{n - 1}")).alias("key"),
+            F.when(over | waits, 0).when(seen, F.col(f"p{n}")).otherwise(F.col(f"o{n - 1}")).alias("own"),
+            (F.col("cut") + F.when(active & ~over & ~seen, 1).otherwise(0)).alias("cut"),
+        )
+
+
+def score(docs: DataFrame, alpha: float = ALPHA, order: int = ORDER, rounds: int = ROUNDS) -> DataFrame:
+    """doc_id, n_words, n_backoff and log_score of every document."""
+    tables = Tables(docs.sparkSession, "lm-score")
+    keyed = _keyed(docs)
+    sizes = tables.write(_sizes(keyed), "sizes")
+    corpus = sizes.agg(F.sum("n_words")).first()[0] or 0
+    counts = {n: tables.write(_counts(_exploded(keyed, n)), f"counts{n}") for n in range(1, order)}
+    sums = []
+    for range_ in range(rounds):
+        top = tables.write(_counts(_exploded(keyed, order, range_, rounds)), f"counts{order}")
+        asked = _asked(keyed, order, range_, rounds)
+        sums.append(tables.write(_scored(asked, {**counts, order: top}, order, alpha), "sums"))
+        tables.drop(top)
+        sweep(docs.sparkSession)
+    every = sums[0]
+    for part in sums[1:]:
+        every = every.union(part)
+    # Rows that share id and text have been summed together and are equal: each gets its share.
+    copies = sizes.groupBy("r").agg(F.count(F.lit(1)).alias("copies"))
+    whole = every.groupBy("r").agg(F.sum("logs").alias("logs"), F.sum("single").alias("single"), F.sum("backoff").alias("backoff"))
+    joined = sizes.join(copies, "r").join(whole, "r", "left")
+    others = F.greatest(F.lit(corpus) - F.col("n_words"), F.lit(1)).cast("double")
+    logs = (F.col("logs") - F.col("single") * F.log(others)) / F.col("copies")
+    return joined.select(
+        "doc_id", "n_words", F.coalesce((F.col("backoff") / F.col("copies")).cast("long"), F.lit(0).cast("long")).alias("n_backoff"),
+        F.coalesce(logs, F.lit(0.0)).alias("log_score"),
     )

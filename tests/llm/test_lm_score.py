@@ -7,43 +7,62 @@ from papervein.llm import lm_score
 from tests.llm import brute
 
 
-def expected_of(texts, alpha=0.4):
-    words = [brute.SPACED.findall(brute.lower(t)) for t in texts]
-    pairs = [list(zip(w, w[1:])) for w in words]
-    one, two = Counter(x for w in words for x in w), Counter(x for p in pairs for x in p)
-    total, out = sum(one.values()), []
-    for w, p in zip(words, pairs):
-        own1, own2, n = Counter(w), Counter(p), max(1, total - len(w))
+def expected_of(texts, alpha=0.4, order=2):
+    """Counts of all n-grams by hand; each word by the longest context that another text has."""
+    words = [tuple(brute.SPACED.findall(brute.lower(t))) for t in texts]
+
+    def grams(w):
+        return Counter(w[i : i + n] for n in range(1, order + 1) for i in range(len(w) - n + 1))
+
+    every = sum(map(grams, words), Counter())
+    total, out = sum(map(len, words)), []
+    for w in words:
+        own, others = grams(w), max(1, total - len(w))
         score, backoff = 0.0, 0
-        for k, x in enumerate(w):
-            if k and two[w[k - 1], x] > own2[w[k - 1], x]:
-                pair = w[k - 1], x
-                score += math.log((two[pair] - own2[pair]) / (one[pair[0]] - own1[pair[0]]))
-                continue
-            backoff += k > 0
-            score += math.log((alpha if k else 1) * ((one[x] - own1[x]) or alpha) / n)
+        for i in range(len(w)):
+            most = min(order, i + 1)
+            for n in range(most, 0, -1):
+                gram = w[i - n + 1 : i + 1]
+                seen = every[gram] - own[gram]
+                if seen and n > 1:
+                    score += math.log(alpha ** (most - n) * seen / (every[gram[:-1]] - own[gram[:-1]]))
+                elif n == 1:
+                    score += math.log(alpha ** (most - 1) * (seen or alpha) / others)
+                if seen or n == 1:
+                    backoff += n < most
+                    break
         out.append((len(w), backoff, round(score, 6)))
     return out
 
 
-def rows_of(docs):
-    return sorted((str(r.doc_id), r.n_words, r.n_backoff, round(r.log_score, 6) + 0.0) for r in lm_score.score(docs).collect())
+def rows_of(docs, **options):
+    return sorted((str(r.doc_id), r.n_words, r.n_backoff, round(r.log_score, 6) + 0.0) for r in lm_score.score(docs, **options).collect())
+
+
+def alike(got, expected):
+    assert [g[:3] for g in got] == [e[:3] for e in expected]
+    assert all(abs(g[3] - e[3]) < 1e-5 for g, e in zip(got, expected))
 
 
-@pytest.mark.parametrize("block,codes", [(1 << 20, 1 << 21), (200, 50)])
-def test_odd_documents(spark, odd_documents, no_documents, monkeypatch, block, codes):
-    monkeypatch.setattr(lm_score, "BLOCK_BYTES", block)
-    monkeypatch.setattr(lm_score, "PARTITION_CODES", codes)
+@pytest.mark.parametrize("order,rounds", [(1, 1), (2, 1), (2, 3), (3, 2), (4, 1)])
+def test_odd_documents(spark, odd_documents, no_documents, order, rounds):
     own = odd_documents.select("doc_id", "text").collect()
-    expected = sorted((str(r.doc_id), *e) for r, e in zip(own, expected_of([r.text for r in own])))
-    assert rows_of(odd_documents.repartition(3)) == expected
-    assert rows_of(no_documents) == []
+    expected = sorted((str(r.doc_id), *e) for r, e in zip(own, expected_of([r.text for r in own], order=order)))
+    alike(rows_of(odd_documents.repartition(3), order=order, rounds=rounds), expected)
+    assert rows_of(no_documents, order=order, rounds=rounds) == []
 
 
-def test_against_plain_scores(spark):
+@pytest.mark.parametrize("order", [2, 3])
+def test_against_plain_scores(spark, order):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     own = docs.select("doc_id", "text").collect()
+    expected = sorted((str(r.doc_id), *e) for r, e in zip(own, expected_of([r.text for r in own], order=order)))
+    alike(rows_of(docs.repartition(5), order=order), expected)
+
+
+def test_repeated_rows_know_each_other(spark):
+    text = "one two three two one"
+    docs = spark.createDataFrame([(1, text)] * 5 + [(2, text), (None, text), (None, text), (3, "four")], "doc_id long, text string")
+    own = docs.collect()
     expected = sorted((str(r.doc_id), *e) for r, e in zip(own, expected_of([r.text for r in own])))
-    got = rows_of(docs.repartition(5))
-    assert [g[:3] for g in got] == [e[:3] for e in expected]
-    assert all(abs(g[3] - e[3]) < 1e-5 for g, e in zip(got, expected))
+    alike(rows_of(docs.repartition(4)), expected)
