@@ -20,11 +20,13 @@ text in common, it is the text.
 
 Comparison: pairs whose sketches (a byte of each of 128 minwise tokens) agree far below the
 threshold are dropped (a linked pair is lost with probability under 1e-5); all others are
-confirmed on the full sets, 64 bits a shingle, which are made once for every class that shares
-a node.  Pairs within a component already found need no confirmation, so a small node first
+confirmed on the full sets, which are made once for every class that shares a node.  Sets travel
+with 32 bits a shingle; a pair whose verdict could hang on two sets' chance repeats is confirmed
+again on 64.  Pairs within a component already found need no confirmation, so a small node first
 offers a spanning forest of its best pairs; at the end, the members that still have a
 promising partner in another component are compared in full, the sizes of all intersections
-of a node being one product of matrices.  What is still large at ``depth`` levels is compared
+of a node being one product of matrices.  A large node with few classes outside its largest
+component is left to that, too: these few are set against the others block by block.  What is still large at ``depth`` levels is compared
 that way, too, block by block.
 
 Nulls and texts without words have an empty set and are linked with nothing.  A row without
@@ -336,37 +338,44 @@ def _exhaustive(members: DataFrame, sets: DataFrame, search: Search) -> DataFram
     links only a spanning forest is given.
     """
 
-    def links(ids: list, labels: list, packed: list) -> Iterator[tuple[int, int]]:
+    def links(ids: list, labels: list, sizes: list, packed: list) -> Iterator[tuple[int, int, bool]]:
         if len(ids) < 2:
             return
-        sizes, common = _intersections([np.frombuffer(p, "<u8") for p in packed])
-        linked = 100 * common >= search.percent * (sizes[:, None] + sizes[None, :] - common)
+        brief, common = _intersections([np.frombuffer(p, "<u4") for p in packed])
+        n = np.array(sizes)
+        sure, may = _verdicts(common, n[:, None], n[None, :], brief[:, None], brief[None, :], search.percent)
         _, group = np.unique(labels, return_inverse=True)
-        for k, j in np.argwhere(np.tril(linked & (group[:, None] != group[None, :]), -1)):
+        across = np.tril(may & (group[:, None] != group[None, :]), -1)
+        for k, j in np.argwhere(across & sure):
             if group[j] != group[k]:
                 group[group == group[j]] = group[k]
-                yield ids[k], ids[j]
+                yield ids[k], ids[j], True
+        for k, j in np.argwhere(across & ~sure):
+            if group[j] != group[k]:
+                yield ids[k], ids[j], False
 
     def compared(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, ids, labels, packed = None, [], [], []
+        current, held = None, ([], [], [], [])
         for batch in parts:
-            found: list[tuple[int, int]] = []
-            for group, id_, label, code in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            found: list[tuple[int, int, bool]] = []
+            for group, *row in zip(*(batch.column(k).to_pylist() for k in range(5))):
                 if group != current:
-                    found += links(ids, labels, packed)
-                    current, ids, labels, packed = group, [], [], []
-                ids.append(id_)
-                labels.append(label)
-                packed.append(code)
+                    found += links(*held)
+                    current, held = group, ([], [], [], [])
+                for column, value in zip(held, row):
+                    column.append(value)
             yield _link_batch(found)
-        yield _link_batch(list(links(ids, labels, packed)))
+        yield _link_batch(list(links(*held)))
 
-    rows = members.join(sets, "id").select("group", "id", "label", "packed")
-    return rows.repartition("group").sortWithinPartitions("group", "id").mapInArrow(compared, "u long, v long")
+    rows = members.join(sets.select("id", "n", "brief"), "id").select("group", "id", "label", "n", "brief")
+    return rows.repartition("group").sortWithinPartitions("group", "id").mapInArrow(compared, LINKS)
 
 
-def _link_batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in range(2)], names=["u", "v"])
+def _link_batch(found: list[tuple[int, int, bool]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([p[k] for p in found], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.bool_()))],
+        names=["u", "v", "sure"],
+    )
 
 
 def _pivot_pairs(members: DataFrame, sets: DataFrame, search: Search) -> DataFrame:
@@ -406,7 +415,8 @@ def _block_pairs(members: DataFrame, search: Search) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, ids: DataFrame, search: Search) -> DataFrame:
-    """(id, packed): the sorted codes of the documents with the given ids, once a task.
+    """(id, n, packed, brief) of the documents with the given ids, once a task: the set's size,
+    its sorted codes of 64 bits, and the distinct upper halves of these.
 
     Rows that repeat an id hold the same text.
     """
@@ -421,50 +431,83 @@ def _full_sets(docs: DataFrame, ids: DataFrame, search: Search) -> DataFrame:
                 codes, owner = _shingles(data, offsets, search.shingle)
                 codes, owner = _distinct(codes, owner)
                 cut = np.searchsorted(owner, np.arange(end - first + 1))
+                own = [codes[cut[k] : cut[k + 1]] for k in range(end - first)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, end - first),
-                     pa.array([codes[cut[k] : cut[k + 1]].astype("<u8").tobytes() for k in range(end - first)], pa.binary())],
-                    names=["id", "packed"],
+                    [batch.column(0).slice(first, end - first), pa.array(np.diff(cut)),
+                     pa.array([c.astype("<u8").tobytes() for c in own], pa.binary()),
+                     pa.array([np.unique(c >> np.uint64(32)).astype("<u4").tobytes() for c in own], pa.binary())],
+                    names=["id", "n", "packed", "brief"],
                 )
 
     chosen = docs.select("doc_id", "text").join(
         sized(ids.select(F.col("id").alias("doc_id")), IDS_BROADCAST_BYTES), "doc_id", "left_semi"
     )
-    return chosen.mapInArrow(packed, "id long, packed binary")
+    return chosen.mapInArrow(packed, "id long, n long, packed binary, brief binary")
+
 
+def _verdicts(common, n, other, brief, other_brief, percent: int):
+    """Whether sets of ``n`` and ``other`` shingles are linked for sure, and whether they may be.
+
+    ``common`` counts equal upper halves.  Shingles of one set that share a half are known by
+    number; chance repeats across two sets are few: two, and far more than are to be expected.
+    """
+    chance = brief * (other_brief / 2.0**32)
+    least = common - (2 + 2 * chance + 8 * np.sqrt(chance))
+    most = common + np.maximum(n - brief, other - other_brief)
+    return 100 * least >= percent * (n + other - least), 100 * most >= percent * (n + other - most)
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, search: Search) -> DataFrame:
-    """The pairs (a, b) that are linked on their full sets.
+
+LINKS = "u long, v long, sure boolean"
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, search: Search, brief: bool = True) -> DataFrame:
+    """The pairs (a, b) that are linked on their full sets, for sure or perhaps.
 
     All a's of one b are confirmed against it in blocks of about ``PIVOT_BLOCK``: each block
     gets one copy of b's set ahead of the sets of its a's, which stream past it.
     """
     many = pairs.groupBy("b").agg(F.ceil(F.count("*") / PIVOT_BLOCK).cast("long").alias("blocks"))
     blocked = pairs.join(many, "b").select("a", "b", F.xxhash64("b", F.pmod(F.xxhash64("a"), "blocks")).alias("block"))
-    own = blocked.join(sets, F.col("a") == F.col("id")).select("block", "b", "a", "packed", F.lit(1).alias("turn"))
+    held = sets.select("id", "n", F.col("brief" if brief else "packed").alias("codes"))
+    own = blocked.join(held, F.col("a") == F.col("id")).select("block", "b", "a", "n", "codes", F.lit(1).alias("turn"))
     ahead = (
-        blocked.select("block", "b").distinct().join(sets, F.col("b") == F.col("id"))
-        .select("block", "b", F.col("b").alias("a"), "packed", F.lit(0).alias("turn"))
+        blocked.select("block", "b").distinct().join(held, F.col("b") == F.col("id"))
+        .select("block", "b", F.col("b").alias("a"), "n", "codes", F.lit(0).alias("turn"))
     )
+    kind = "<u4" if brief else "<u8"
 
     def checked(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, pivot = None, None
+        current, pivot, pivot_n = None, None, 0
         for batch in parts:
             found = []
-            rows = zip(*(batch.column(k).to_pylist() for k in range(5)))
-            for block, b, a, packed, turn in rows:
+            rows = zip(*(batch.column(k).to_pylist() for k in range(6)))
+            for block, b, a, n, packed, turn in rows:
+                codes = np.frombuffer(packed, kind)
                 if turn == 0:
-                    current, pivot = (block, b), np.frombuffer(packed, "<u8")
+                    current, pivot, pivot_n = (block, b), codes, n
                     continue
                 assert current == (block, b)
-                codes = np.frombuffer(packed, "<u8")
                 common = len(np.intersect1d(pivot, codes, assume_unique=True))
-                if 100 * common >= search.percent * (len(pivot) + len(codes) - common):
-                    found.append((a, b))
+                if brief:
+                    sure, may = _verdicts(common, n, pivot_n, len(codes), len(pivot), search.percent)
+                else:
+                    sure = may = 100 * common >= search.percent * (n + pivot_n - common)
+                if may:
+                    found.append((a, b, bool(sure)))
             yield _link_batch(found)
 
     rows = own.union(ahead).repartition("block").sortWithinPartitions("block", "b", "turn")
-    return rows.mapInArrow(checked, "u long, v long")
+    return rows.mapInArrow(checked, LINKS)
+
+
+def _settled(found: DataFrame, sets: DataFrame, groups: _Groups, tables: Tables, search: Search) -> None:
+    """Take over links that are sure, and of the others those that 64 bits confirm."""
+    links = tables.write(found, "links")
+    unsure = links.where("NOT sure").select(F.col("u").alias("a"), F.col("v").alias("b")).distinct()
+    if not unsure.isEmpty():
+        links = tables.write(links.where("sure").union(_confirmed(unsure, sets, search, brief=False)), "links")
+    if not links.isEmpty():
+        groups.link(links.select("u", "v"))
 
 
 class _Groups:
@@ -493,10 +536,8 @@ def _settle(pairs: DataFrame, sets: DataFrame, groups: _Groups, tables: Tables,
     pairs = tables.write(pairs.select("a", "b").distinct(), "pairs")
     if pairs.isEmpty():
         return
-    links = tables.write(_confirmed(pairs, sets, search), "links")
+    _settled(_confirmed(pairs, sets, search), sets, groups, tables, search)
     tables.drop(pairs)
-    if not links.isEmpty():
-        groups.link(links)
 
 
 def _link_classes(sets: DataFrame, docs: DataFrame, tables: Tables, search: Search) -> DataFrame:
@@ -524,7 +565,9 @@ def _link_classes(sets: DataFrame, docs: DataFrame, tables: Tables, search: Sear
         _settle(pairs, full, groups, tables, search)
         if not some_large:
             break
-        large = tables.write(_open(large, groups), "large")
+        few, large = _lopsided(tables.write(_open(large, groups), "large"), search)
+        levels.append(few)
+        large = tables.write(large, "large")
         if large.isEmpty():
             break
         if depth + search.step > search.depth:
@@ -540,6 +583,22 @@ def _link_classes(sets: DataFrame, docs: DataFrame, tables: Tables, search: Sear
     return groups.labels
 
 
+def _lopsided(large: DataFrame, search: Search) -> tuple[DataFrame, DataFrame]:
+    """Of open large nodes those with at most ``small`` classes outside their largest component,
+    as nodes of these few and a block of the others each; and the rest."""
+    parts = large.groupBy("node", "id_label").agg(F.count("*").alias("n"))
+    tops = parts.groupBy("node").agg(F.max(F.struct("n", F.col("id_label").alias("label"))).alias("top"))
+    told = large.join(tops, "node").withColumn("few", F.col("size") - F.col("top.n"))
+    blocks = F.ceil(F.col("top.n") / search.small).cast("long")
+    own = F.pmod(F.xxhash64("id", "node"), blocks)
+    block = F.when(F.col("id_label") == F.col("top.label"), F.array(own)).otherwise(F.sequence(F.lit(0).cast("long"), blocks - 1))
+    few = told.where(F.col("few") <= search.small).withColumn("block", F.explode(block))
+    return (
+        few.select(F.xxhash64("node", "block").alias("node"), "id", "size", "id_label"),
+        told.where(F.col("few") > search.small).select("node", "id", "size", "id_label"),
+    )
+
+
 def _ready(members: DataFrame, narrow: DataFrame) -> DataFrame:
     """Labelled members with size and sketch of their sets."""
     return members.join(narrow, "id").withColumnRenamed("id_label", "label")
@@ -550,9 +609,7 @@ def _compare_fully(members: DataFrame, sets: DataFrame, groups: _Groups, tables:
     members = tables.write(_undecided(members, search), "undecided")
     if members.isEmpty():
         return
-    links = tables.write(_exhaustive(members, sets, search), "links")
-    if not links.isEmpty():
-        groups.link(links)
+    _settled(_exhaustive(members, sets, search), sets, groups, tables, search)
 
 
 def _open(inside: DataFrame, groups: _Groups) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from papervein.llm import boosting
+from papervein.llm.shared import Tables, first_by_hash
 
 SAMPLE_URLS = 20_000
 SMOOTHING = 5.0
@@ -153,9 +154,8 @@ def labelled_sample(pages: DataFrame, rules: Rules, most: int = SAMPLE_URLS) ->
             yield pa.RecordBatch.from_arrays([pa.array(urls, pa.string()), pa.array(labels, pa.int32())], names=["url", "label"])
 
     urls = pages.select("url").where("url IS NOT NULL").distinct()
-    rows = (
-        urls.mapInArrow(labelled, "url string, label int").orderBy(F.xxhash64("url"), "url").limit(most).collect()
-    )
+    found = Tables(pages.sparkSession, "url-filter").write(urls.mapInArrow(labelled, "url string, label int"), "labelled")
+    rows = first_by_hash(found, "url", most).collect()
     return [r.url for r in rows], [r.label for r in rows]
 
 

@@ -1,6 +1,7 @@
 """Plain versions of the operators, one text or one pair of texts at a time."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -9,6 +10,16 @@ SPACED = re.compile(r"[^\x20\x09-\x0D]+")
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
+def walked(forest, row):
+    """A forest's probability for one row, node by node."""
+    total = forest.base
+    for at in forest.roots:
+        while forest.left[at] != at:
+            at = forest.left[at] if row[forest.feature[at]] <= forest.threshold[at] else forest.right[at]
+        total += forest.value[at]
+    return 1 / (1 + math.exp(-total))
+
+
 def lower(text):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
 

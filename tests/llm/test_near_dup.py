@@ -161,3 +161,33 @@ def test_recall_at_the_threshold(spark):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
     found = {r.doc_id for r in near_dup.classify(docs).collect() if not r.kept}
     assert found == linked and len(linked) > 100
+
+
+def test_verdicts_of_halves():
+    """What 32 bits cannot tell is never called sure, and nothing that is linked is missed."""
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        union, share = int(rng.integers(4, 400)), rng.uniform(0.7, 0.8)
+        common = min(union, round(share * union))
+        a = common + int(rng.integers(0, union - common + 1))
+        b = union - a + common
+        sure, may = near_dup._verdicts(common, a, b, a, b, 75)
+        linked = 100 * common >= 75 * union
+        assert may >= linked >= sure
+        # Halves that are shared within a set hide common shingles; chance repeats feign some.
+        sure, may = near_dup._verdicts(common - 1, a, b, a - 1, b - 2, 75)
+        assert may >= linked >= sure
+        sure, _ = near_dup._verdicts(common + 2, a, b, a, b, 75)
+        assert linked >= sure
+
+
+def test_large_nodes_with_few_outsiders(spark):
+    """A group that is one component but for some texts, and these among themselves."""
+    rng = random.Random(13)
+    base = [f"h{k}" for k in range(120)]
+    texts = {i: varied(rng, base, rng.randrange(3)) for i in range(90)}
+    texts |= {i: varied(rng, base, 14) for i in range(90, 100)}
+    texts |= {i: texts[95] + f" x{i}" for i in range(100, 104)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    found = near_dup.classify(docs, near_dup.Search(small=20, depth=3))
+    assert sorted(tuple(r) for r in found.collect()) == expected_of(texts)

@@ -43,6 +43,14 @@ def test_query_counts(spark):
         assert tuple(r[1:6]) == counts
         assert r.base_failed == (counts[0] < 10 or 100 * counts[4] > 20 * counts[0])
         assert not (r.base_failed and r.kept)
+    # The verdict of the trees, walked node by node.
+    forest = quality.train(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"))
+    ids = sorted(texts)
+    features = quality.matrix(quality.measure(pa.array([texts[i] for i in ids], pa.string())))
+    walked = {i: brute.walked(forest, row) for i, row in zip(ids, features)}
+    for r in rows:
+        assert abs(walked[r.doc_id] - r.quality_score) < 1e-9
+        assert r.kept == (not r.base_failed and walked[r.doc_id] >= quality.Rules().keep_from)
 
 
 def test_held_out_accuracy(spark):

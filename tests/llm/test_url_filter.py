@@ -2,9 +2,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from papervein.llm import url_filter
 from papervein.llm.queries import URL_RULES, op3_url_filter
+from tests.llm import brute
 
 SF = "/root/testdata/sf0.001"
 ODD = [
@@ -42,8 +44,16 @@ def check(rows, urls):
 
 
 def test_query(spark):
-    urls = {r.page_id: r.url for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
-    check(op3_url_filter(spark, SF).collect(), urls)
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    urls = {r.page_id: r.url for r in pages.collect()}
+    rows = op3_url_filter(spark, SF).collect()
+    check(rows, urls)
+    # The verdict of the trees, walked node by node on each URL's own features.
+    model = url_filter.fit(*url_filter.labelled_sample(pages, url_filter.Rules(URL_RULES)))
+    for r in rows:
+        score = brute.walked(model.forest, model.features([urls[r.page_id]])[0])
+        assert abs(score - r.block_score) < 1e-9
+        assert r.rule or r.verdict == ("block" if score > 0.5 else "allow")
 
 
 def test_odd_urls(spark):
@@ -58,6 +68,12 @@ def test_sample_bound(spark):
     pages = spark.range(50).selectExpr("id AS page_id", "concat('http://a.org/', id % 40) AS url")
     urls, labels = url_filter.labelled_sample(pages, url_filter.Rules(URL_RULES), 30)
     assert len(set(urls)) == 30 and labels == [0] * 30
+    # The few that are ordered hold the same first ones.
+    assert sorted(urls) == sorted(
+        r.url for r in pages.select("url").distinct().orderBy(F.xxhash64("url")).limit(30).collect()
+    )
+    few, _ = url_filter.labelled_sample(pages, url_filter.Rules(URL_RULES), 3)
+    assert sorted(few) == sorted(r.url for r in pages.select("url").distinct().orderBy(F.xxhash64("url")).limit(3).collect())
 
 
 def test_longest_rule_wins():
