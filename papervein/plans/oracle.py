@@ -452,6 +452,57 @@ DENSITY = [
     "numbered AS (SELECT root, row_number() OVER (ORDER BY size DESC, first) - 1 AS topic FROM sized)",
 ]
 
+# All pairs of distinct vectors.
+NEIGHBOURS = DENSITY[:2] + [
+    "distinct_vectors AS (SELECT v, min(vec_id) AS id FROM scaled GROUP BY v)",
+    f"""ranked_pairs AS (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY similarity DESC, neighbour) AS rank FROM (
+    SELECT a.id, b.id AS neighbour, {" + ".join(f"a.v[{i}] * b.v[{i}]" for i in range(1, 65))} AS similarity
+    FROM distinct_vectors a JOIN distinct_vectors b ON a.id <> b.id))""",
+    f"neighbour_rows AS (SELECT * FROM ranked_pairs WHERE rank <= {views.NEIGHBOURS})",
+]
+# Kruskal's way: the edges in order, with a list of the component of every point.
+FOREST = NEIGHBOURS + [
+    "apart AS (SELECT id, neighbour, round(sqrt(greatest(0.0::DOUBLE, 2.0::DOUBLE - 2.0::DOUBLE * similarity)), 9) AS d FROM neighbour_rows)",
+    f"""core_of AS (
+  SELECT id, max(d) AS core FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d, neighbour) AS r FROM apart)
+  WHERE r <= {views.CORE_NEIGHBOURS} GROUP BY id)""",
+    """mutual AS (
+  SELECT least(apart.id, neighbour) AS u, greatest(apart.id, neighbour) AS v, min(greatest(d, a.core, coalesce(b.core, a.core))) AS w
+  FROM apart JOIN core_of a ON a.id = apart.id LEFT JOIN core_of b ON b.id = neighbour GROUP BY ALL)""",
+    "place_of AS (SELECT id, row_number() OVER (ORDER BY id) AS p FROM (SELECT u AS id FROM mutual UNION SELECT v FROM mutual))",
+    """in_order AS (
+  SELECT u, v, w, a.p AS a, b.p AS b, row_number() OVER (ORDER BY w, u, v) AS i
+  FROM mutual JOIN place_of a ON a.id = u JOIN place_of b ON b.id = v)""",
+    """grown AS (
+  SELECT 0::BIGINT AS i, (SELECT list(p ORDER BY p) FROM place_of) AS comp, FALSE AS kept
+  UNION ALL
+  SELECT o.i, CASE WHEN comp[a] = comp[b] THEN comp
+                   ELSE list_transform(comp, lambda x: CASE WHEN x = comp[b] THEN comp[a] ELSE x END) END, comp[a] <> comp[b]
+  FROM grown JOIN in_order o ON o.i = grown.i + 1)""",
+    "forest AS (SELECT u, v, w FROM grown JOIN in_order USING (i) WHERE kept)",
+]
+FOREST_TOPICS = FOREST + [
+    "ends AS (SELECT u AS x, v AS y, w FROM forest UNION ALL SELECT v, u, w FROM forest)",
+    # For each edge and side: the edges within two steps that do not lead over the edge itself.
+    """one_side AS (
+  SELECT e.x, e.y, avg(n.w) AS scale FROM ends e JOIN (
+    SELECT x AS here, y AS first, w FROM ends
+    UNION ALL SELECT a.x, a.y, b.w FROM ends a JOIN ends b ON b.x = a.y AND b.y <> a.x) n ON n.here = e.x AND n.first <> e.y
+  GROUP BY e.x, e.y)""",
+    f"""held_edges AS (
+  SELECT f.u, f.v FROM forest f LEFT JOIN one_side a ON a.x = f.u AND a.y = f.v LEFT JOIN one_side b ON b.x = f.v AND b.y = f.u
+  WHERE coalesce(greatest(a.scale, b.scale), a.scale, b.scale) IS NULL
+     OR w <= {views.CUT_FACTOR}::DOUBLE * coalesce(greatest(a.scale, b.scale), a.scale, b.scale))""",
+    """steps AS (SELECT u AS a, v AS b FROM held_edges UNION ALL SELECT v, u FROM held_edges)""",
+    """wander AS (
+  SELECT id AS start, id FROM distinct_vectors UNION SELECT w.start, s.b FROM wander w JOIN steps s ON s.a = w.id)""",
+    "part AS (SELECT start AS id, min(id) AS root FROM wander GROUP BY start)",
+    f"""numbered_parts AS (
+  SELECT root, row_number() OVER (ORDER BY count(*) DESC, root) - 1 AS topic FROM part GROUP BY root
+  HAVING count(*) >= {CFG.min_topic_size})""",
+]
+
 # ---- corpus ------------------------------------------------------------------
 
 _PATH = "'/corpus/' || source || '/' || documents.doc_id || ' - 50% a+b.txt'"
@@ -623,6 +674,11 @@ ORACLE: dict[str, str] = {
       FROM normalised WHERE value_numeric IS NOT NULL ORDER BY doc_id, start_char LIMIT 10"""),
     "document_units": with_(BASE, "SELECT doc_id, doc_id::VARCHAR AS unit_id, text FROM relevant"),
     "chunk_units": with_(BASE + [chunk_cte("relevant")], "SELECT doc_id, unit_id, text FROM chunks"),
+    "neighbour_graph": with_(NEIGHBOURS, """SELECT s.vec_id AS id, d.id AS point, rank::INTEGER AS rank, neighbour, round(similarity, 6) AS similarity
+      FROM scaled s JOIN distinct_vectors d ON d.v = s.v JOIN neighbour_rows n ON n.id = d.id"""),
+    "spanning_forest": with_(FOREST, "SELECT * FROM forest"),
+    "forest_topics": with_(FOREST_TOPICS, """SELECT s.vec_id, s.label, coalesce(topic, -1)::INTEGER AS topic
+      FROM scaled s JOIN distinct_vectors d ON d.v = s.v JOIN part ON part.id = d.id LEFT JOIN numbered_parts USING (root)"""),
     "unit_preview": with_(BASE + [chunk_cte("relevant")], "SELECT unit_id, text FROM chunks ORDER BY doc_id, chunk_start LIMIT 2"),
     "decoded_documents": with_([DECODED], f"""SELECT source_path, len(pages)::INTEGER AS n_pages,
       {clean("array_to_string(pages, ' ')")} AS text, error FROM decoded"""),

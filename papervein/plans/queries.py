@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from papervein.config import GRADE_PATTERNS, MEASUREMENT_PATTERNS, Config
 from papervein.functions import text as tx
 from papervein.operators import (
-    abbreviations, corpus, density, extraction, normalise, pricing, relevance, sampling, topics, trends, units,
+    abbreviations, corpus, density, extraction, forest, neighbours, normalise, pricing, relevance, sampling, topics, trends, units,
     vectors,
 )
 from papervein.plans import views
@@ -423,6 +423,36 @@ def density_topics(spark, folder):
     return tagged.select("vec_id", "label", "topic")
 
 
+def _neighbours(spark, folder):
+    given = views.planted_vectors(spark, folder).select(F.col("vec_id").alias("id"), "vector", "label")
+    distinct, members = neighbours.points(given)
+    edges = neighbours.nearest(distinct, views.NEIGHBOURS, bucket=views.BUCKET)
+    return given, distinct, members, edges
+
+
+@query
+def neighbour_graph(spark, folder):
+    """The nearest vectors of each vector by cosine."""
+    given = views.planted_vectors(spark, folder).select(F.col("vec_id").alias("id"), "vector")
+    graph = neighbours.neighbour_graph(given, views.NEIGHBOURS, bucket=views.BUCKET)
+    return graph.withColumn("similarity", F.round("similarity", 6))
+
+
+@query
+def spanning_forest(spark, folder):
+    _, _, _, edges = _neighbours(spark, folder)
+    return forest.minimum_forest(forest.mutual_edges(edges, views.CORE_NEIGHBOURS))
+
+
+@query
+def forest_topics(spark, folder):
+    """Topics of varying density: the forest cut where an edge is long for its surroundings."""
+    given, distinct, members, edges = _neighbours(spark, folder)
+    found = forest.topics(distinct, edges, views.CORE_NEIGHBOURS, views.CUT_FACTOR, CFG.min_topic_size)
+    named = members.join(found, "id").select(F.col("member").alias("id"), "topic")
+    return given.join(named, "id").select(F.col("id").alias("vec_id"), "label", "topic")
+
+
 @query
 def unit_vectors(spark, folder):
     """Sparse TF-IDF vectors of 2^18 dimensions, one row for each weight."""

@@ -17,6 +17,8 @@ from papervein.plans import fixtures
 INGEST_DATE = "2026-01-01"
 RADIUS = 0.3
 MIN_POINTS = 8
+NEIGHBOURS, CORE_NEIGHBOURS, CUT_FACTOR = 15, 5, 1.2
+BUCKET = 1024  # a table of at most so many vectors is compared in full, so its neighbours are exact
 
 
 SCHEMAS = {

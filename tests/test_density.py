@@ -48,14 +48,15 @@ def topics_of(spark, points, radius, min_points, min_topic_size=2, few=64):
     return [r["topic"] for r in tagged.orderBy("id").select("topic").collect()]
 
 
-@pytest.mark.parametrize("place", [0.0, 0.5, 0.25, -7.75, 1e6 + 0.1])
-def test_a_blob_is_one_topic_wherever_it_lies(spark, place):
+def test_a_blob_is_one_topic_wherever_it_lies(spark):
+    """Blobs at corners, on faces and inside of cells, however the grid may lie."""
     cfg = Config()
     rng = np.random.default_rng(1)
-    for n in (200, 300):
-        blob = place + rng.uniform(-0.02, 0.02, (n, cfg.reduced_dims))
-        got = topics_of(spark, blob, cfg.radius, cfg.min_points, cfg.min_topic_size)
-        assert Counter(got) == {0: n}
+    places = [0.0, 0.5, 0.25, -7.75, 1e6 + 0.1, 3 / 7, 100 * 0.5 / 5**0.5]
+    sizes = [300 - 10 * k for k in range(len(places))]
+    blobs = [place + 50 * k + rng.uniform(-0.02, 0.02, (n, cfg.reduced_dims)) for k, (place, n) in enumerate(zip(places, sizes))]
+    got = topics_of(spark, np.concatenate(blobs), cfg.radius, cfg.min_points, cfg.min_topic_size)
+    assert got == [k for k, n in enumerate(sizes) for _ in range(n)]
 
 
 def scattered(rng, dims, n):
@@ -67,7 +68,7 @@ def scattered(rng, dims, n):
     return np.round(np.concatenate(parts), 3)
 
 
-@pytest.mark.parametrize("dims, seed, few", [(1, 1, 64), (2, 2, 64), (2, 3, 1), (3, 4, 2), (5, 5, 64), (5, 6, 1)])
+@pytest.mark.parametrize("dims, seed, few", [(1, 1, 64), (2, 3, 1), (3, 4, 2), (5, 5, 64)])
 def test_all_pairs(spark, dims, seed, few):
     """``few`` = 1 opens every box to the end."""
     rng = np.random.default_rng(seed)
@@ -79,7 +80,7 @@ def test_all_pairs(spark, dims, seed, few):
 def test_distances_at_the_radius_itself(spark):
     """A lattice whose steps are the radius, on coordinates that are exact."""
     points = np.array([(x, y) for x in range(8) for y in range(8) if (x + y) % 7]) * 0.5
-    for min_points in (3, 4, 5):
+    for min_points in (3, 5):
         assert topics_of(spark, points, 0.5, min_points, 1, 1) == plain(points, 0.5, min_points, 1)
 
 
