@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +28,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The table written to the checkpoint folder and read back.
+
+    A checkpoint keeps what the optimizer has inferred about its columns.  Where one round's
+    table is joined into the next one's that grows with every round; a written table starts afresh.
+    """
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from papervein.operators.checkpoints import cut_lineage
+from papervein.operators.checkpoints import cut_lineage, written
 from papervein.operators.density import NOISE, components
 from papervein.operators.joins import numbered_rows
 
@@ -43,20 +43,20 @@ def mutual_edges(edges: DataFrame, min_points: int = 5) -> DataFrame:
 
 def minimum_forest(edges: DataFrame) -> DataFrame:
     """The edges ``(u, v, w)`` of the minimum spanning forest; equal weights in order of the ends."""
-    current = cut_lineage(edges.where("u <> v").select("u", "v", "w", F.col("u").alias("a"), F.col("v").alias("b")))
+    current = written(edges.where("u <> v").select("u", "v", "w", F.col("u").alias("a"), F.col("v").alias("b")))
     forest = None
     while True:
         out = current.select(F.col("a").alias("c"), F.struct("w", "u", "v", F.col("b").alias("other")).alias("e")).union(
             current.select(F.col("b").alias("c"), F.struct("w", "u", "v", F.col("a").alias("other")).alias("e"))
         )
-        best = cut_lineage(out.groupBy("c").agg(F.min("e").alias("e")))
+        best = written(out.groupBy("c").agg(F.min("e").alias("e")))
         chosen = best.select("e.u", "e.v", "e.w").distinct()
-        forest = cut_lineage(chosen if forest is None else forest.union(chosen))
+        forest = written(chosen if forest is None else forest.union(chosen))
         links = best.select(F.col("c").alias("a"), F.col("e.other").alias("b"))
-        merged = components(best.select(F.col("c").alias("id")), links.union(links.select("b", "a")))
+        merged = written(components(best.select(F.col("c").alias("id")), links.union(links.select("b", "a"))))
         first = merged.select(F.col("id").alias("a"), F.col("component").alias("_a"))
         second = merged.select(F.col("id").alias("b"), F.col("component").alias("_b"))
-        current = cut_lineage(
+        current = written(
             current.join(first, "a").join(second, "b").where("_a <> _b")
             .select("u", "v", "w", F.col("_a").alias("a"), F.col("_b").alias("b"))
         )

@@ -33,11 +33,12 @@ def points(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Null, empty and zero vectors, and those with a null, NaN or infinite part, have no point.
     """
+    # Generated columns: the expressions behind the vector and its length are evaluated once.
     v = F.col("vector").cast("array<double>")
-    squares = F.aggregate(v, F.lit(0.0), lambda total, x: total + x * x)
-    usable = vectors.select(F.col("id").cast("long").alias("member"), v.alias("vector"), F.sqrt(squares).alias("_length")).where(
-        (F.col("_length") > 0) & ~F.isnan("_length") & (F.col("_length") < float("inf"))
-    )
+    given = vectors.select(F.col("id").cast("long").alias("member"), F.inline(F.array(F.struct(v.alias("vector")))))
+    squares = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
+    measured = given.select("member", "vector", F.inline(F.array(F.struct(F.sqrt(squares).alias("_length")))))
+    usable = measured.where((F.col("_length") > 0) & ~F.isnan("_length") & (F.col("_length") < float("inf")))
     scaled = usable.select("member", F.transform("vector", lambda x: x / F.col("_length")).alias("v"))
     distinct = cut_lineage(scaled.groupBy("v").agg(F.min("member").alias("id")).select("id", "v"))
     return distinct, scaled.join(distinct, "v").select("member", "id")
