@@ -7,8 +7,8 @@ at a document's beginning start with what context there is.  Counts and totals l
 document itself out.  The document's score is the sum of the logarithms.
 
 The work is relational.  Documents are exploded into n-grams: a row for every distinct n-gram of
-a document with the number of times it is there.  Count tables sum these by the n-gram's code
-and are written; n-grams that occur once in all are left out, since no other document has them.
+a document with the number of times it is there.  Count tables sum these by the n-gram's code;
+n-grams that occur once in all are left out, since no other document has them.
 The exploded n-grams are joined to the count table of their order, those not found go on to the
 next lower one, those found to the count of their context, and the logarithms are summed for
 each document.  Everything is partitioned by the hash of the code.  The n-grams of the highest
@@ -84,7 +84,7 @@ def _sizes(keyed: DataFrame) -> DataFrame:
     return keyed.mapInArrow(counted, "r long, doc_id long, n_words long")
 
 
-def _exploded(keyed: DataFrame, order: int, range_: int = 0, ranges: int = 1) -> DataFrame:
+def _exploded(keyed: DataFrame, order: int) -> DataFrame:
     """A row for every distinct n-gram of a document: (code, times)."""
 
     def exploded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,9 +92,8 @@ def _exploded(keyed: DataFrame, order: int, range_: int = 0, ranges: int = 1) ->
             for _, _, data, offsets in B.text_slices(batch.column(2)):
                 words, owner, place = _words(data, offsets)
                 grams = _grams(words, order)
-                mine = (place >= order - 1) & (_range(grams, ranges) == range_)
                 # One row a slice of texts: the first step of the sum.
-                codes, times = np.unique(grams[mine], return_counts=True)
+                codes, times = np.unique(grams[place >= order - 1], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), pa.array(times)], names=["code", "times"])
 
     return keyed.mapInArrow(exploded, "code long, times long")
@@ -166,8 +165,11 @@ def _scored(rows: DataFrame, counts: dict[int, DataFrame], order: int, alpha: fl
         "own": F.when(starts, F.col(f"o{order}")).otherwise(F.lit(0)),
     })
     shortened = F.col("cut") * F.log(F.lit(alpha))
+    # The highest order is dealt by its code once, for the sums and for the join with them.
+    state = state.repartition("key")
+    summed = state.where(starts).groupBy("key").agg(F.sum("k").alias("total")).where("total > 1")
     for n in range(order, 0, -1):
-        known = counts[n].select(F.col("code").alias("key"), "total")
+        known = summed if n == order else counts[n].select(F.col("code").alias("key"), "total")
         active = F.col("m") >= n
         other = F.when(active & F.col("total").isNotNull(), F.col("total") - F.col("own")).otherwise(0).cast("double")
         joined = state.join(known, "key", "left").withColumn("other", other)
@@ -205,10 +207,8 @@ def score(docs: DataFrame, alpha: float = ALPHA, order: int = ORDER, rounds: int
     counts = {n: tables.write(_counts(_exploded(keyed, n)), f"counts{n}") for n in range(1, order)}
     sums = []
     for range_ in range(rounds):
-        top = tables.write(_counts(_exploded(keyed, order, range_, rounds)), f"counts{order}")
         asked = _asked(keyed, order, range_, rounds)
-        sums.append(tables.write(_scored(asked, {**counts, order: top}, order, alpha), "sums"))
-        tables.drop(top)
+        sums.append(tables.write(_scored(asked, counts, order, alpha), "sums"))
         sweep(docs.sparkSession)
     every = sums[0]
     for part in sums[1:]:

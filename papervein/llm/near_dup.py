@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from papervein.llm import batches as B
 from papervein.llm import components
-from papervein.llm.shared import Tables
+from papervein.llm.shared import Tables, forget
 from papervein.operators.joins import first_rows, sized
 
 MINWISE = 128
@@ -132,6 +132,7 @@ def profiles(docs: DataFrame, search: Search = Search()) -> DataFrame:
     """doc_id, n_shingles, the set's code, its minwise tokens and their sketch."""
 
     def profiled(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in parts:
             for first, end, data, offsets in B.text_slices(batch.column(1)):
                 n, code, tokens = _profile(data, offsets, search.shingle)

@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from papervein.llm.shared import CACHES
+
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 # Stretches and pairs remembered by one Python worker, about 130 MB, and the longest such stretch.
@@ -226,6 +228,7 @@ def _utf8(run: bytearray) -> str:
 
 
 _CODECS: dict[str, Codec] = {}
+CACHES.append(_CODECS)
 
 
 def codec(path: str) -> Codec:

@@ -26,6 +26,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+# What Python workers remember from task to task: encoders with their memos.
+CACHES: list[dict] = []
+
+
+def forget() -> None:
+    """Let a worker's memos go, where work begins that needs the memory and not them."""
+    for cache in CACHES:
+        cache.clear()
+
+
 class Tables:
     """The intermediate tables of one run, in a folder of their own."""
 

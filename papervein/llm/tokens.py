@@ -20,6 +20,8 @@ from array import array
 
 import numpy as np
 
+from papervein.llm.shared import CACHES
+
 # Pre-tokens remembered by one Python worker, twice as many at most, about 240 MB.
 REMEMBERED = 600_000
 
@@ -105,6 +107,7 @@ class Encoder:
 
 
 _ENCODERS: dict[str, Encoder] = {}
+CACHES.append(_ENCODERS)
 
 
 def encoder(path: str) -> Encoder:
