@@ -26,7 +26,7 @@ def kruskal(edges):
     return kept
 
 
-@pytest.mark.parametrize("seed, nodes, count", [(1, 60, 200), (2, 200, 260), (3, 5, 4)])
+@pytest.mark.parametrize("seed, nodes, count", [(1, 60, 120), (3, 5, 4)])
 def test_minimum_forest(spark, seed, nodes, count):
     """Few distinct weights, so that ties matter, and several components."""
     rng = random.Random(seed)
