@@ -52,10 +52,15 @@ def weights(spark):
     return vectors.unit_weights(units).checkpoint()
 
 
-def test_singular_values_and_vectors(weights):
+@pytest.fixture(scope="module")
+def decomposed(weights):
+    return vectors.decompose(weights, 5)
+
+
+def test_singular_values_and_vectors(weights, decomposed):
     matrix, units, columns = dense(weights.collect())
     u, s, v = np.linalg.svd(matrix, full_matrices=False)
-    got = vectors.decompose(weights, 5)
+    got = decomposed
     assert np.allclose(got.values, s[:5], rtol=0.01)
     reduced = {r["unit_id"]: r["reduced"] for r in got.reduced.collect()}
     components = {r["index"]: r["v"] for r in got.components.collect()}
@@ -68,8 +73,8 @@ def test_singular_values_and_vectors(weights):
     assert np.allclose(matrix @ axes, [reduced[x] for x in units], atol=1e-8)
 
 
-def test_subjects_stay_apart(weights):
-    reduced = {r["unit_id"]: np.array(r["reduced"]) for r in vectors.decompose(weights, 4).reduced.collect()}
+def test_subjects_stay_apart(decomposed):
+    reduced = {r["unit_id"]: np.array(r["reduced"])[:4] for r in decomposed.reduced.collect()}
     unit = {x: v / np.linalg.norm(v) for x, v in reduced.items()}
     same = [unit[f"u{i}"] @ unit[f"u{i + 4}"] for i in range(0, 200)]
     other = [unit[f"u{i}"] @ unit[f"u{i + 1}"] for i in range(0, 200)]
@@ -79,8 +84,8 @@ def test_subjects_stay_apart(weights):
 def test_fewer_ranks_than_asked(spark):
     rows = [("a", 1, 3.0), ("b", 1, 4.0), ("c", 2, 2.0)]
     weights = spark.createDataFrame(rows, "unit_id STRING, index LONG, weight DOUBLE")
-    got = vectors.decompose(weights, 3)
+    got = vectors.decompose(weights, 3, passes=2)
     assert got.values == pytest.approx([5.0, 2.0, 0.0], abs=1e-6)
     assert len(got.reduced.collect()) == 3
-    empty = vectors.decompose(weights.limit(0), 2)
+    empty = vectors.decompose(weights.limit(0), 2, passes=1)
     assert empty.values == [0.0, 0.0] and empty.reduced.count() == 0
