@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from papervein.llm import batches as B
 from papervein.llm import tokens
-from papervein.llm.shared import Tables
+from papervein.llm.shared import Tables, release
 from papervein.operators.joins import sized
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"  # ids: 4 bytes each, little-endian
@@ -70,6 +70,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int =
     kind = id_type(tokenizer, end_id)
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         encoder = tokens.encoder(tokenizer)
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in parts:

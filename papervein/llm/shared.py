@@ -11,6 +11,7 @@ import re
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,12 @@ def forget() -> None:
     """Let a worker's memos go, where work begins that needs the memory and not them."""
     for cache in CACHES:
         cache.clear()
+    release()
+
+
+def release() -> None:
+    """Give memory that Arrow holds in a worker for later batches back to the system."""
+    pa.default_memory_pool().release_unused()
 
 
 class Tables:

@@ -22,8 +22,8 @@ import numpy as np
 
 from papervein.llm.shared import CACHES
 
-# Pre-tokens remembered by one Python worker, twice as many at most, about 240 MB.
-REMEMBERED = 600_000
+# Pre-tokens remembered by one Python worker, twice as many at most, about 160 MB.
+REMEMBERED = 400_000
 
 # Letters whose class no version of Unicode disputes, and the characters that may stand
 # beside them.
