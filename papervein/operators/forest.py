@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from papervein.operators.checkpoints import cut_lineage, written
+from papervein.operators.checkpoints import written
 from papervein.operators.density import NOISE, components
 from papervein.operators.joins import numbered_rows
 
@@ -67,13 +67,13 @@ def minimum_forest(edges: DataFrame) -> DataFrame:
 def kept_edges(forest: DataFrame, factor: float) -> DataFrame:
     """The forest's edges that are not long for their surroundings."""
     both = forest.select(F.col("u").alias("x"), F.col("v").alias("y"), "w").union(forest.select("v", "u", "w"))
-    around = cut_lineage(both.groupBy("x").agg(F.sum("w").alias("sum"), F.count(F.lit(1)).alias("n")))
+    around = written(both.groupBy("x").agg(F.sum("w").alias("sum"), F.count(F.lit(1)).alias("n")))
     other = around.select(F.col("x").alias("y"), F.col("sum").alias("_s"), F.col("n").alias("_n"))
     # What lies one step further, through each neighbour, without the edge that leads there.
     further = both.join(other, "y").groupBy("x").agg(
         F.sum(F.col("_s") - F.col("w")).alias("far_sum"), F.sum(F.col("_n") - 1).alias("far_n")
     )
-    near = cut_lineage(around.join(further, "x"))
+    near = written(around.join(further, "x"))
     u = near.select(*[F.col(c).alias(a) for c, a in zip(near.columns, ("u", "u_sum", "u_n", "u_far", "u_far_n"))])
     v = near.select(*[F.col(c).alias(a) for c, a in zip(near.columns, ("v", "v_sum", "v_n", "v_far", "v_far_n"))])
     # A side without the edge itself and without what lies beyond it.

@@ -20,11 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from papervein.operators.checkpoints import cut_lineage
+from papervein.operators.checkpoints import cut_lineage, written
 from papervein.operators.joins import first_rows
 
 # Planes a tree can cut by; a step of a split uses this many.
-DEEPEST, STEP = 40, 2
+DEEPEST, STEP = 40, 6
 EDGES = "id long, neighbour long, similarity double"
 
 
@@ -77,7 +77,7 @@ def buckets(sides: DataFrame, count: int, bucket: int) -> DataFrame:
         prefix = F.col("sides").bitwiseAND(F.lit((1 << depth) - 1))
         dealt = rest.withColumn("_group", F.xxhash64("tree", F.lit(depth), prefix))
         sizes = dealt.groupBy("_group").agg(F.count(F.lit(1)).alias("_n"))
-        dealt = cut_lineage(dealt.join(sizes, "_group"))
+        dealt = written(dealt.join(sizes, "_group"))
         small = dealt.where(F.col("_n") <= bucket).select(F.col("_group").alias("group"), "id")
         large = dealt.where(F.col("_n") > bucket)
         if large.isEmpty():
@@ -144,11 +144,11 @@ def nearest(
         return distinct.sparkSession.createDataFrame([], EDGES)
     width = facts["width"]
     grouped = buckets(cut_lineage(_sides(distinct, width, trees, seed)), facts["n"], bucket)
-    edges = cut_lineage(_best(_nearest_in_buckets(grouped, distinct, width, k), k))
+    edges = written(_best(_nearest_in_buckets(grouped, distinct, width, k), k))
     if facts["n"] <= bucket:  # one bucket held all: the edges are exact
         return edges
     for _ in range(rounds):
-        edges = cut_lineage(_best(edges.union(_further(edges, distinct, width)), k))
+        edges = written(_best(edges.union(_further(edges, distinct, width)), k))
     return edges
 
 

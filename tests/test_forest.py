@@ -1,9 +1,7 @@
-"""The spanning forest against Kruskal's way, and topics of different density."""
+"""The spanning forest against Kruskal's way, and its cut against a walk."""
 
 import random
-from collections import Counter
 
-import numpy as np
 import pytest
 
 from papervein.operators import forest, neighbours
@@ -76,35 +74,6 @@ def test_cut(spark):
         assert {tuple(r) for r in forest.kept_edges(df, factor).collect()} == sides(edges, factor)
 
 
-def test_groups_of_different_density(spark):
-    """A radius that keeps the sparse group together would join the dense ones."""
-    rng = np.random.default_rng(7)
-    parts, planted = [], []
-    for g, (scale, n) in enumerate([(0.01, 120), (0.01, 120), (0.12, 200), (0.03, 150)]):
-        centre = np.zeros(8)
-        centre[g] = 1
-        if g == 1:  # near the first, at a distance that is small for the sparse group
-            centre = np.zeros(8)
-            centre[0], centre[1] = 1, 0.18
-        parts.append(centre + rng.normal(scale=scale, size=(n, 8)))
-        planted += [g] * n
-    parts.append(rng.normal(size=(30, 8)))
-    planted += [-1] * 30
-    matrix = np.concatenate(parts)
-    df = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(matrix)], "id LONG, vector ARRAY<DOUBLE>")
-    distinct, _ = neighbours.points(df)
-    edges = neighbours.nearest(distinct, 15)
-    got = {r["id"]: r["topic"] for r in forest.topics(distinct, edges).collect()}
-    pairs = Counter((got[i], g) for i, g in enumerate(planted) if got[i] >= 0 and g >= 0)
-    best = {t: max(n for (u, _), n in pairs.items() if u == t) for t, _ in pairs}
-    print(pairs)
-    assert sum(best.values()) / sum(pairs.values()) >= 0.95
-    assert sum(pairs.values()) >= 0.8 * sum(g >= 0 for g in planted)
-    # Every planted group has a topic that is mostly its own.
-    owners = {max((n, g) for (u, g), n in pairs.items() if u == t)[1] for t in best}
-    assert owners == {0, 1, 2, 3}
-
-
 def test_no_points(spark):
     edges = spark.createDataFrame([], neighbours.EDGES)
     points = spark.createDataFrame([(1,), (2,)], "id LONG")
