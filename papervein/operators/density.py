@@ -27,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from papervein.operators.checkpoints import cut_lineage
+from papervein.operators.checkpoints import cut_lineage, written
 from papervein.operators.joins import numbered_rows, sized
 
 NOISE = -1
@@ -45,19 +45,20 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``(id, component)``: the smallest id reachable; ``edges (a, b)`` hold both directions.
 
     Each round takes the smallest label among the neighbours, then the label's own label,
-    so long chains close in few rounds.
+    so long chains close in few rounds.  Rounds are written, so that no plan grows with them,
+    and merged: tables that look small on disk would each be held by the driver.
     """
-    edges = cut_lineage(edges.select("a", "b").distinct())
+    edges = written(edges.select("a", "b").distinct())
     labels = nodes.select("id", F.col("id").alias("component"))
     while True:
         seen = labels.select(F.col("id").alias("b"), F.col("component").alias("_seen"))
-        best = edges.join(seen, "b").groupBy("a").agg(F.min("_seen").alias("_best"))
-        stepped = labels.join(best, labels["id"] == best["a"], "left").select(
+        best = edges.join(seen.hint("merge"), "b").groupBy("a").agg(F.min("_seen").alias("_best"))
+        stepped = labels.join(best.hint("merge"), labels["id"] == best["a"], "left").select(
             "id", F.col("component").alias("_old"),
             F.least("component", F.coalesce("_best", "component")).alias("component"),
         )
         jump = stepped.select(F.col("id").alias("component"), F.col("component").alias("_jump"))
-        moved = cut_lineage(stepped.join(jump, "component").select(
+        moved = written(stepped.join(jump.hint("merge"), "component").select(
             "id", "_old", F.col("_jump").alias("component")
         ))
         labels = moved.select("id", "component")

@@ -4,7 +4,8 @@ edge is long for its surroundings.
 Edges weigh as much as the distance at which both ends are dense: the greater of their
 distance and of each end's distance to its ``min_points``-th neighbour.  The forest is found
 in Boruvka's rounds: every component takes its cheapest edge to another one, and what is
-joined becomes one component, so rounds grow with the logarithm of the points.
+joined becomes one component, so rounds grow with the logarithm of the points.  Tables of all
+points or edges are joined by merging, so the driver holds none of them.
 
 An edge is cut if it is more than ``factor`` times as long as the forest's edges within two
 steps of it, on both of its sides (Zahn, 1971).  The measure is taken from the place itself,
@@ -31,8 +32,8 @@ def mutual_edges(edges: DataFrame, min_points: int = 5) -> DataFrame:
     apart = edges.select("id", "neighbour", F.round(far, DIGITS).alias("d"))
     nearest = F.row_number().over(Window.partitionBy("id").orderBy("d", "neighbour"))
     dense = apart.withColumn("_r", nearest).where(F.col("_r") <= min_points).groupBy("id").agg(F.max("d").alias("core"))
-    ends = apart.join(dense, "id").join(
-        dense.select(F.col("id").alias("neighbour"), F.col("core").alias("_other")), "neighbour", "left"
+    ends = apart.join(dense.hint("merge"), "id").join(
+        dense.select(F.col("id").alias("neighbour"), F.col("core").alias("_other")).hint("merge"), "neighbour", "left"
     )
     weighed = ends.select(
         F.least("id", "neighbour").alias("u"), F.greatest("id", "neighbour").alias("v"),
@@ -57,7 +58,7 @@ def minimum_forest(edges: DataFrame) -> DataFrame:
         first = merged.select(F.col("id").alias("a"), F.col("component").alias("_a"))
         second = merged.select(F.col("id").alias("b"), F.col("component").alias("_b"))
         current = written(
-            current.join(first, "a").join(second, "b").where("_a <> _b")
+            current.join(first.hint("merge"), "a").join(second.hint("merge"), "b").where("_a <> _b")
             .select("u", "v", "w", F.col("_a").alias("a"), F.col("_b").alias("b"))
         )
         if current.isEmpty():
@@ -70,16 +71,16 @@ def kept_edges(forest: DataFrame, factor: float) -> DataFrame:
     around = written(both.groupBy("x").agg(F.sum("w").alias("sum"), F.count(F.lit(1)).alias("n")))
     other = around.select(F.col("x").alias("y"), F.col("sum").alias("_s"), F.col("n").alias("_n"))
     # What lies one step further, through each neighbour, without the edge that leads there.
-    further = both.join(other, "y").groupBy("x").agg(
+    further = both.join(other.hint("merge"), "y").groupBy("x").agg(
         F.sum(F.col("_s") - F.col("w")).alias("far_sum"), F.sum(F.col("_n") - 1).alias("far_n")
     )
-    near = written(around.join(further, "x"))
+    near = written(around.join(further.hint("merge"), "x"))
     u = near.select(*[F.col(c).alias(a) for c, a in zip(near.columns, ("u", "u_sum", "u_n", "u_far", "u_far_n"))])
     v = near.select(*[F.col(c).alias(a) for c, a in zip(near.columns, ("v", "v_sum", "v_n", "v_far", "v_far_n"))])
     # A side without the edge itself and without what lies beyond it.
     u_scale = F.try_divide(F.col("u_sum") + F.col("u_far") - F.col("v_sum"), F.col("u_n") + F.col("u_far_n") - F.col("v_n"))
     v_scale = F.try_divide(F.col("v_sum") + F.col("v_far") - F.col("u_sum"), F.col("v_n") + F.col("v_far_n") - F.col("u_n"))
-    measured = forest.join(u, "u").join(v, "v").withColumn("scale", F.greatest(u_scale, v_scale))
+    measured = forest.join(u.hint("merge"), "u").join(v.hint("merge"), "v").withColumn("scale", F.greatest(u_scale, v_scale))
     return measured.where(F.col("scale").isNull() | (F.col("w") <= factor * F.col("scale"))).select("u", "v", "w")
 
 

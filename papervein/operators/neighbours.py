@@ -41,7 +41,7 @@ def points(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     usable = measured.where((F.col("_length") > 0) & ~F.isnan("_length") & (F.col("_length") < float("inf")))
     scaled = usable.select("member", F.transform("vector", lambda x: x / F.col("_length")).alias("v"))
     distinct = cut_lineage(scaled.groupBy("v").agg(F.min("member").alias("id")).select("id", "v"))
-    return distinct, scaled.join(distinct, "v").select("member", "id")
+    return distinct, scaled.join(distinct.hint("merge"), "v").select("member", "id")
 
 
 def _planes(width: int, trees: int, seed: int) -> np.ndarray:
@@ -102,7 +102,7 @@ def _nearest_in_buckets(grouped: DataFrame, distinct: DataFrame, width: int, k:
             "similarity": np.take_along_axis(alike, best, 1).ravel(),
         })
 
-    return grouped.join(distinct, "id").groupBy("group").applyInPandas(compared, EDGES)
+    return grouped.join(distinct.hint("merge"), "id").groupBy("group").applyInPandas(compared, EDGES)
 
 
 def _best(edges: DataFrame, k: int) -> DataFrame:
@@ -115,9 +115,9 @@ def _further(edges: DataFrame, distinct: DataFrame, width: int) -> DataFrame:
     """Edges to neighbours of neighbours that are not neighbours yet."""
     via = edges.select(F.col("id").alias("neighbour"), F.col("neighbour").alias("further"))
     back = edges.select(F.col("neighbour").alias("id"), F.col("id").alias("further"))
-    steps = edges.select("id", "neighbour").join(via, "neighbour").select("id", "further").union(back)
+    steps = edges.select("id", "neighbour").join(via.hint("merge"), "neighbour").select("id", "further").union(back)
     known = edges.select("id", F.col("neighbour").alias("further"))
-    fresh = steps.where("id <> further").distinct().join(known, ["id", "further"], "left_anti")
+    fresh = steps.where("id <> further").distinct().join(known.hint("merge"), ["id", "further"], "left_anti")
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,7 +128,7 @@ def _further(edges: DataFrame, distinct: DataFrame, width: int) -> DataFrame:
 
     own = distinct.select("id", F.col("v").alias("_own"))
     other = distinct.select(F.col("id").alias("further"), F.col("v").alias("_other"))
-    paired = fresh.join(own, "id").join(other, "further").select("id", "further", "_own", "_other")
+    paired = fresh.join(own.hint("merge"), "id").join(other.hint("merge"), "further").select("id", "further", "_own", "_other")
     return paired.mapInArrow(measured, EDGES)
 
 

@@ -4,7 +4,8 @@ import random
 
 import pytest
 
-from papervein.operators import forest, neighbours
+from papervein.operators import density, forest, neighbours
+from papervein.operators.checkpoints import written
 
 
 def kruskal(edges):
@@ -79,3 +80,15 @@ def test_no_points(spark):
     points = spark.createDataFrame([(1,), (2,)], "id LONG")
     assert {r["topic"] for r in forest.topics(points, edges).collect()} == {-1}
     assert forest.topics(points.limit(0), edges).count() == 0
+
+
+def test_no_round_has_the_driver_hold_a_table(spark, monkeypatch):
+    """Tables that are small on disk would be broadcast, every one through the driver."""
+    plans = []
+    monkeypatch.setattr(forest, "written", lambda df: plans.append(df) or written(df))
+    monkeypatch.setattr(density, "written", lambda df: plans.append(df) or written(df))
+    edges = [(i, i + 1, float(i % 7)) for i in range(200)]
+    df = spark.createDataFrame(edges, "u LONG, v LONG, w DOUBLE")
+    found = forest.kept_edges(forest.minimum_forest(df), 1.5)
+    texts = [p._jdf.queryExecution().executedPlan().toString() for p in (*plans, found)]
+    assert len(texts) > 10 and not any("Broadcast" in text for text in texts)
