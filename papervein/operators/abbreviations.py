@@ -42,18 +42,23 @@ def word_counts(documents: DataFrame) -> DataFrame:
 
     With a stop behind it, without one, and as a capitalised word behind a possible break.
     """
-    pieces = F.transform(F.split("text", " "), lambda p: F.struct(
-        F.lower(F.regexp_extract(p, PIECE, 1)).alias("word"),
-        F.when(F.regexp_extract(p, PIECE, 2) == ".", 1).otherwise(0).alias("kind"),
-    ))
+    # Equal pieces are counted before the expressions that take them apart see them.
+    pieces = F.transform(F.split("text", " "), lambda p: F.struct(p.alias("piece"), F.lit(False).alias("opens")))
     opening = F.transform(
         F.regexp_extract_all("text", F.lit(OPENING), F.lit(1)),
-        lambda w: F.struct(F.lower(w).alias("word"), F.lit(2).alias("kind")),
+        lambda w: F.struct(w.alias("piece"), F.lit(True).alias("opens")),
     )
-    words = documents.select(F.inline_outer(F.concat(pieces, opening))).where(F.col("word") != "")
+    counted = documents.select(F.inline_outer(F.concat(pieces, opening))).groupBy("piece", "opens").agg(F.count(F.lit(1)).alias("n"))
+    words = counted.select(
+        F.lower(F.when(F.col("opens"), F.col("piece")).otherwise(F.regexp_extract("piece", PIECE, 1))).alias("word"),
+        F.when(F.col("opens"), 2).when(F.regexp_extract("piece", PIECE, 2) == ".", 1).otherwise(0).alias("kind"), "n",
+    ).where(F.col("word") != "")
+
+    def total(kind: int) -> Column:
+        return F.sum(F.when(F.col("kind") == kind, F.col("n")).otherwise(0))
+
     return words.groupBy("word").agg(
-        F.count_if(F.col("kind") == 1).alias("n_stop"), F.count_if(F.col("kind") == 0).alias("n_plain"),
-        F.count_if(F.col("kind") == 2).alias("n_open"),
+        total(1).alias("n_stop"), total(0).alias("n_plain"), total(2).alias("n_open"),
     )
 
 
@@ -121,7 +126,8 @@ def sentence_parts(text: Column, bounds: Bounds, documents: DataFrame) -> DataFr
     cut = documents.select("doc_id", F.split(text, tx.SENTENCE_BREAK, -1).alias("_cut"))
     worded = cut.select(
         "doc_id", "_cut",
-        F.transform("_cut", lambda s: F.lower(F.regexp_extract(s, LAST_WORD, 1))).alias("_last"),
+        # The last word and its stop lie behind the last space but one.
+        F.transform("_cut", lambda s: F.lower(F.regexp_extract(F.substring_index(s, " ", -2), LAST_WORD, 1))).alias("_last"),
         F.transform("_cut", lambda s: F.lower(F.regexp_extract(s, FIRST_WORD, 1))).alias("_first"),
     )
     # A generated row: what a lambda looks into is computed once a text, not once a sentence.

@@ -5,6 +5,8 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from papervein.config import Config
 from papervein.operators import abbreviations, extraction
 from papervein.operators.joins import literal_table
@@ -109,3 +111,25 @@ def test_lists_beyond_the_bound_are_an_error(spark, monkeypatch):
     monkeypatch.setattr(abbreviations, "LIST_BYTES", 10)
     with pytest.raises(ValueError, match="min_count"):
         abbreviations.learn(corpus(spark))
+
+
+def test_counting_takes_each_distinct_piece_apart_once(spark):
+    """Texts that come often are counted as often, and the expressions see every piece once."""
+    text = "Cf. the plot. The (Dr. Li) plot! The end."
+    docs = spark.createDataFrame([(i, text) for i in range(40)] + [(40, None), (41, "")], "doc_id LONG, text STRING")
+    counts = abbreviations.word_counts(docs)
+    got = {r["word"]: (r["n_stop"], r["n_plain"], r["n_open"]) for r in counts.collect()}
+    assert got == {
+        "cf": (40, 0, 0), "the": (0, 120, 80), "plot": (40, 40, 0), "dr": (40, 0, 0), "li": (0, 40, 40), "end": (40, 0, 0),
+    }
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 2  # pieces first, then words
+
+
+def test_the_last_word_is_found_behind_brackets_and_quotes(spark):
+    words = spark.createDataFrame([("fig",), ("dr",), ("e.g",)], "word STRING")
+    none = spark.createDataFrame([], "word STRING")
+    text = "See (Fig. 3 here. Now \"Dr. Li came. X [e.g. This. Dr. Who"
+    docs = spark.createDataFrame([(1, text)], "doc_id LONG, text STRING")
+    parts = abbreviations.sentence_parts(F.col("text"), abbreviations.Bounds(words, none), docs).first()["_parts"]
+    assert parts == ["See (Fig. 3 here. ", "Now \"Dr. Li came. ", "X [e.g. This. ", "Dr. Who", ""]
