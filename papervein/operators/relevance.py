@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from papervein.config import Config
 from papervein.functions import text as tx
+from papervein.operators import term_index
 from papervein.operators.checkpoints import cut_lineage
-from papervein.operators.joins import BROADCAST_BYTES
+from papervein.operators.joins import BROADCAST_BYTES, sized
 
 
 def with_hits(documents: DataFrame, cfg: Config) -> DataFrame:
@@ -58,65 +64,100 @@ def status_list(tagged: DataFrame) -> DataFrame:
 
 # ---- term lists of any size ----------------------------------------------------
 
-# Texts are searched in blocks of this many characters, each with the start of the next one.
-BLOCK_CHARS = 256
-GRAM_CHARS = 3
+# What a term takes in the index of a list beside its own bytes.
+TERM_BYTES = 24
 
 
-def term_postings(terms: DataFrame) -> DataFrame:
-    """``(gram, term, times)``: each lower-cased term under its rarest run of three characters.
+def term_table(terms: DataFrame) -> DataFrame:
+    """``(number, term, times)``: the distinct lower-cased terms of a list ``(term)``, blank ones left out.
 
-    Rarest among the terms, then the smallest.  A shorter term stands under itself.  Blank
-    terms are skipped; ``times`` is how often the list holds the term in any case.
+    ``times`` is how often the list holds the term in any case.
     """
     lowered = terms.select(F.lower("term").alias("term")).where(F.trim("term") != "")
     counted = lowered.groupBy("term").agg(F.count(F.lit(1)).alias("times"))
-    grams = F.when(F.length("term") <= GRAM_CHARS, F.array("term")).otherwise(F.array_distinct(_grams(F.col("term"), GRAM_CHARS)))
-    each = counted.select("term", "times", F.explode(grams).alias("gram"))
-    common = each.groupBy("gram").agg(F.count(F.lit(1)).alias("_n"))
-    best = each.join(common, "gram").groupBy("term", "times").agg(F.min(F.struct("_n", "gram")).alias("_best"))
-    return best.select(F.col("_best.gram").alias("gram"), "term", "times")
+    return cut_lineage(counted.select(F.monotonically_increasing_id().alias("number"), "term", "times"))
 
 
-def _grams(text: Column, size: int) -> Column:
-    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))."), F.lit(1))
+def _parts(listed: DataFrame, max_broadcast_bytes: int) -> list[DataFrame]:
+    """A term table in parts of about ``max_broadcast_bytes``; none of an empty one."""
+    size = listed.agg(F.sum(F.octet_length("term") + F.lit(TERM_BYTES)).alias("bytes")).first()["bytes"]
+    parts = -(-(size or 0) // max_broadcast_bytes)
+    return [listed.where(F.pmod(F.xxhash64("term"), F.lit(parts)) == part) for part in range(parts)]
+
+
+def _sent(part: DataFrame) -> Broadcast:
+    rows = part.orderBy("term").toArrow().combine_chunks()
+    terms, number, times = (rows.column(name).combine_chunks() for name in ("term", "number", "times"))
+    return part.sparkSession.sparkContext.broadcast(term_index.build(terms, number.to_numpy(), times.to_numpy()))
+
+
+def _searched(documents: DataFrame, part: DataFrame) -> DataFrame:
+    """``(doc_id, number)``: the terms of a part that each row's text contains, once a row."""
+    shared = _sent(part)
+
+    def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, _, row, term in term_index.found(shared.value, batch.column(1)):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(row + start)), pa.array(shared.value.number[term])], names=["doc_id", "number"]
+                )
+
+    texts = documents.select("doc_id", F.lower("text").alias("_text"))
+    return texts.mapInArrow(searched, StructType([texts.schema["doc_id"], StructField("number", LongType())]))
+
+
+def _counted(documents: DataFrame, part: DataFrame) -> DataFrame:
+    """``(doc_id, _hits)``: how often the list holds the terms of a part that each row's text contains."""
+    shared = _sent(part)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, end, row, term in term_index.found(shared.value, batch.column(1)):
+                hits = np.zeros(end - start, np.int64)
+                np.add.at(hits, row, shared.value.times[term])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), pa.array(hits)], names=["doc_id", "_hits"])
+
+    texts = documents.select("doc_id", F.lower("text").alias("_text"))
+    return texts.mapInArrow(counted, StructType([texts.schema["doc_id"], StructField("_hits", LongType())]))
+
+
+def _listed(documents: DataFrame, parts: list[DataFrame]) -> DataFrame:
+    found = [
+        _searched(documents, part).distinct().join(F.broadcast(part), "number").select("doc_id", "term", "times") for part in parts
+    ]
+    nothing = documents.select("doc_id", F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("times")).limit(0)
+    return reduce(DataFrame.union, found) if found else nothing
 
 
 def listed_terms(documents: DataFrame, terms: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``(doc_id, term, times)``: every term of a list ``(term)`` that a text contains, once.
 
-    Substrings in any case, as in :func:`with_hits`, without an expression for each term: the
-    runs of three characters of a block of text are looked up among the terms' rarest ones,
-    and what is found is proved by ``contains``.  Blocks overlap by the longest term, so no
-    term is lost at a cut.  Only proved terms are shuffled, never text.  A list beyond
-    ``max_broadcast_bytes`` is taken in parts of at most that size, one reading each.
+    Substrings in any case, as in :func:`with_hits`, without an expression for each term: every
+    place of a text is looked up once in the sorted list (``term_index.py``).  Only numbers of
+    terms are shuffled, never text.  A list beyond ``max_broadcast_bytes`` is taken in parts of
+    about that size, one reading each.
     """
-    postings = cut_lineage(term_postings(terms))
-    facts = postings.agg(
-        F.max(F.length("term")).alias("longest"), F.collect_set(F.length("gram")).alias("sizes"),
-        F.sum(F.octet_length("term") + F.octet_length("gram") + F.lit(96)).alias("bytes"),
-    ).first()
-    if facts["longest"] is None:
-        return documents.select("doc_id", F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("times")).limit(0)
-    step = max(BLOCK_CHARS, facts["longest"])
-    cut = f"(?s)(?=(.{{1,{step + facts['longest'] - 1}}})).{{1,{step}}}"
-    blocks = documents.select(
-        "doc_id", F.explode_outer(F.regexp_extract_all(F.lower("text"), F.lit(cut), F.lit(1))).alias("_block")
-    )
-    grams = reduce(F.concat, [_grams(F.col("_block"), size) for size in sorted(facts["sizes"])])
-    looked = blocks.select("doc_id", "_block", F.explode_outer(F.array_distinct(grams)).alias("gram"))
-    parts = -(-facts["bytes"] // max_broadcast_bytes)
-    found = []
-    for part in range(parts):
-        own = postings if parts == 1 else postings.where(F.pmod(F.hash("term"), F.lit(parts)) == part)
-        proved = looked.join(F.broadcast(own), "gram").where(F.contains("_block", "term"))
-        found.append(proved.select("doc_id", "term", "times").distinct())
-    return reduce(DataFrame.union, found)
+    return _listed(documents, _parts(term_table(terms), max_broadcast_bytes))
 
 
 def hits_of_list(documents: DataFrame, terms: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """``(doc_id, domain_term_hits)`` of every document for a list ``(term)`` of any size."""
-    counted = listed_terms(documents, terms, max_broadcast_bytes).groupBy("doc_id").agg(F.sum("times").alias("_hits"))
+    """``(doc_id, domain_term_hits)`` of every document for a list ``(term)`` of any size.
+
+    Terms are counted where the text is read; only counts are shuffled.  Rows that share an id
+    are one document: their terms meet, so that each counts once.
+    """
+    parts = _parts(term_table(terms), max_broadcast_bytes)
+    known = documents.where(F.col("doc_id").isNotNull())
+    repeated = cut_lineage(known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("doc_id"))
+    none = documents.select("doc_id", F.lit(0).cast("long").alias("_hits")).limit(0)
+    if repeated.isEmpty():
+        counts = [_counted(known, part) for part in parts]
+    else:
+        together = sized(repeated)
+        single, several = known.join(together, "doc_id", "left_anti"), known.join(together, "doc_id", "left_semi")
+        counts = [_counted(single, part) for part in parts]
+        counts.append(_listed(several, parts).select("doc_id", F.col("times").alias("_hits")))
+    counted = reduce(DataFrame.union, counts, none).groupBy("doc_id").agg(F.sum("_hits").alias("_hits"))
     return documents.select("doc_id").join(counted, "doc_id", "left").select(
         "doc_id", F.coalesce("_hits", F.lit(0)).cast("int").alias("domain_term_hits")
     )
