@@ -7,12 +7,13 @@ distances need no looking at:
 
 - A cell's diagonal is the radius, so all points of a cell are neighbours.  A cell of
   ``min_points`` points has core points only, and its points are one node, however many.
-- Points of sparser cells (fewer than ``min_points`` each) look at the cells near them.
-  A near cell that holds many positions is opened box by box: a box wholly within the radius
-  counts as a whole, one wholly outside not at all, and only boxes that the sphere cuts are
-  opened further, until few positions are left to measure.
-- Of two near cells of core points one close pair suffices.  A pair of representatives decides
-  most; cells that are connected anyway are left alone; the rest is opened box by box as above.
+- Space is dealt into blocks of cells, each with the cells around it that are in reach.  A task
+  measures a block's points against a few positions of every cell there, which decides what
+  lies in sparse cells and most of the rest.
+- What only a full cell's other positions can decide is opened box by box: a box wholly within
+  the radius counts as a whole, one wholly outside not at all, and only boxes that the sphere
+  cuts are opened further, until few positions are left to measure.  Of two cells of core points
+  one close pair suffices, so pairs that are connected anyway are left alone.
 
 So no two points of a full cell are ever compared, equal points are one position with a
 count, and work grows with the number of points.  Distances are summed in the order of the
@@ -21,14 +22,16 @@ dimensions, so they are the same on every engine.
 
 from __future__ import annotations
 
-import itertools
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from papervein.operators.checkpoints import cut_lineage, written
-from papervein.operators.joins import numbered_rows, sized
+from papervein.operators.joins import first_rows, numbered_rows, sized
 
 NOISE = -1
 # A box is cut into this many parts along each dimension when it is opened.
@@ -37,8 +40,11 @@ PARTS = 4
 DEEPEST = 12
 # Sums of squares are trusted to this relative error; what is closer to the radius is measured.
 SLACK = 1e-9
-# A cell's neighbours are looked up by this many leading dimensions, then tested in all.
-LOOKUP_DIMS = 3
+# Blocks are so many cells wide, the widest that hold at most so many of the positions measured,
+# in at most so many dimensions.
+WIDTHS, BLOCK_POSITIONS, BLOCK_DIMS = (64, 32, 16, 10, 7, 5), 16384, 5
+# A task measures so many positions at once against so many others.
+ROWS, COLUMNS = 128, 8192
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -93,6 +99,56 @@ def _box_from(x: Column, box: Column, side: float) -> tuple[Column, Column]:
     return _sum(F.transform(least, lambda g: g * g)), _sum(F.transform(greatest, lambda g: g * g))
 
 
+def _matrix(table: pa.Table, name: str, dims: int) -> np.ndarray:
+    return table[name].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+
+
+def _lists(matrix: np.ndarray) -> pa.Array:
+    ends = np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1]
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(matrix.ravel()))
+
+
+def _close_pairs(x: np.ndarray, y: np.ndarray, radius: float, limit: float, labels=None) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """(rows of x, rows of y, which are close), so many at a time; rows of y are those around the rows of x.
+
+    ``labels()`` gives the labels of both; others of the one label that the rows of x have are left out.
+    """
+    order = np.argsort(y[:, 0], kind="stable")
+    y = y[order]
+    slack = radius * 1e-6 + 8 * np.spacing(max(np.abs(x).max(initial=0), np.abs(y).max(initial=0)))
+    for start in range(0, len(x), ROWS):
+        rows = slice(start, min(len(x), start + ROWS))
+        low, high = x[rows].min(0) - radius - slack, x[rows].max(0) + radius + slack
+        begin, end = np.searchsorted(y[:, 0], low[0], "left"), np.searchsorted(y[:, 0], high[0], "right")
+        there = ((y[begin:end, 1:] >= low[1:]) & (y[begin:end, 1:] <= high[1:])).all(1)
+        if labels is not None:
+            own, other = labels()
+            if (own[rows] == own[start]).all():
+                there &= other[order[begin:end]] != own[start]
+        there = np.flatnonzero(there) + begin
+        for first in range(0, len(there), COLUMNS):
+            some = there[first : first + COLUMNS]
+            far = np.zeros((rows.stop - start, len(some)))
+            for d in range(x.shape[1]):
+                gap = x[rows, d, None] - y[some, d]
+                far += gap * gap
+            yield rows, order[some], far <= limit
+
+
+def _merged(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels, each the least index of its group, after the groups of a and b have been joined."""
+    while True:
+        low, high = np.minimum(label[a], label[b]), np.maximum(label[a], label[b])
+        apart = low < high
+        if not apart.any():
+            return label
+        a, b = low[apart], high[apart]
+        label = label.copy()
+        np.minimum.at(label, b, a)
+        while (label[label] != label).any():
+            label = label[label]
+
+
 class Density:
     """Core points and their connections, of ``positions (x, n, cell)`` in a number of dimensions.
 
@@ -128,26 +184,35 @@ class Density:
         counted = whole.groupBy("x").agg(F.count(F.lit(1)).alias("n"))
         return cut_lineage(counted.withColumn("cell", self.box(F.col("x"))))
 
-    def near_cells(self, left: DataFrame, right: DataFrame) -> DataFrame:
-        """``(cell, near)``: other cells of ``right`` that may hold points within the radius.
+    def _blocks(self, rows: DataFrame, most: int) -> int:
+        """The width of the blocks for ``rows (cell, k)``, of which ``most`` of a cell are measured."""
+        for width in WIDTHS:
+            sums = rows.groupBy(*self._home(width)).agg(F.sum(F.least("k", F.lit(most))).alias("_n"))
+            if width == WIDTHS[-1] or (sums.agg(F.max("_n")).first()[0] or 0) <= BLOCK_POSITIONS:
+                return width
+
+    def _home(self, width: int) -> list[Column]:
+        return [F.floor(F.get("cell", F.lit(d)) / width) for d in range(min(self.dims, BLOCK_DIMS))]
 
-        Cells are met by their place in a coarser grid of few dimensions, then all are tested.
+    def _dealt(self, rows: DataFrame, width: int, once: bool) -> DataFrame:
+        """Rows with ``block`` and ``own``, in their own block and in all that have them in reach.
+
+        With ``once``, of two blocks only the first in order gets the other one's rows.
         """
         reach = 1 + math.isqrt(self.dims)
-        coarse = reach + 1
-        look = min(self.dims, LOOKUP_DIMS)
-        around = [
-            F.array(*[F.floor(F.get("cell", F.lit(d)) / coarse) + step for d, step in enumerate(steps)])
-            for steps in itertools.product((-1, 0, 1), repeat=look)
-        ]
-        asked = left.select("cell", F.explode(F.array(*around)).alias("_block"))
-        there = right.select(
-            F.col("cell").alias("near"),
-            F.array(*[F.floor(F.get("cell", F.lit(d)) / coarse) for d in range(look)]).alias("_block"),
-        )
-        gaps = F.zip_with("cell", "near", lambda p, q: F.greatest(F.abs(p - q) - 1, F.lit(0)))
-        apart = F.aggregate(F.transform(gaps, lambda g: g * g), F.lit(0).cast("bigint"), lambda t, g: t + g)
-        return asked.join(there, "_block").where((apart <= self.dims) & (F.col("cell") != F.col("near"))).drop("_block")
+        names = [f"_b{d}" for d in range(min(self.dims, BLOCK_DIMS))]
+        dealt = rows
+        for d, name in enumerate(names):
+            at = F.get("cell", F.lit(d))
+            dealt = dealt.withColumn(name, F.explode(F.sequence(F.floor((at - reach) / width), F.floor((at + reach) / width))))
+        block, home = F.array(*names), F.array(*self._home(width))
+        if once:
+            dealt = dealt.where(block <= home)
+        return dealt.withColumn("own", block == home).withColumn("block", F.xxhash64(block)).drop(*names)
+
+    def _grouped(self, dealt: DataFrame):
+        tasks = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return dealt.repartition(tasks, "block").groupBy("block")
 
     def _opened(self, positions: DataFrame, boxes: DataFrame, depth: int) -> DataFrame:
         """``(box, part, n, k)``: the parts of boxes one step deeper, with points and positions."""
@@ -159,12 +224,60 @@ class Density:
         """``(x, n, cell, dense)``: the positions of core points."""
         cells = cut_lineage(positions.groupBy("cell").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")))
         dense = F.col("n") >= self.min_points
-        sparse = cells.where(~dense)
-        near = self.near_cells(sparse, cells.select("cell"))
-        met = near.join(cells.select(F.col("cell").alias("near"), "n", "k"), "near")
-        asking = positions.join(sparse.select("cell", F.col("n").alias("own")), "cell")
-        pairs = asking.select("x", "cell", "own").join(met, "cell").select("x", F.col("near").alias("box"), "n", "k")
-        sure = asking.select("x", F.col("own").alias("n"))
+        most = 2 * self.min_points
+        width = self._blocks(cells, most)
+        offered = first_rows(positions, "cell", most, F.asc("x")).join(
+            cells.select("cell", "k", (~dense).alias("asks")), "cell"
+        )
+        asked = cells.where(~dense).select(F.xxhash64(F.array(*self._home(width))).alias("block")).distinct()
+        dealt = self._dealt(offered, width, False).join(sized(asked), "block", "left_semi")
+        counted = cut_lineage(self._grouped(dealt.select("block", "own", "asks", "cell", "x", "n", "k")).applyInArrow(
+            self._count_task(most), "x array<double>, cell array<bigint>, n long, sure long, near array<array<bigint>>"
+        ))
+        near_enough = counted.where(F.col("n") >= self.min_points).select("x")
+        # Only what full cells' other positions may decide goes on.
+        undecided = counted.where((F.col("n") < self.min_points) & (F.size("near") > 0))
+        if not undecided.isEmpty():
+            pairs = undecided.select("x", F.explode("near").alias("cell")).join(cells, "cell").select(
+                "x", F.col("cell").alias("box"), "n", "k"
+            )
+            near_enough = near_enough.union(self._core_by_opening(positions, pairs, undecided.select("x", F.col("sure").alias("n"))))
+        found = near_enough.join(positions, "x").select("x", "n", "cell")
+        full = positions.join(cells.where(dense).select("cell"), "cell", "left_semi")
+        return cut_lineage(
+            found.withColumn("dense", F.lit(False)).unionByName(full.select("x", "n", "cell").withColumn("dense", F.lit(True)))
+        )
+
+    def _count_task(self, most: int):
+        """Of a block's sparse positions: the points in reach, those outside cut cells, and cut cells in reach."""
+        dims, radius, side, limit, min_points = self.dims, self.radius, self.side, self.limit, self.min_points
+
+        def task(table: pa.Table) -> pa.Table:
+            cell, x = _matrix(table, "cell", dims), _matrix(table, "x", dims)
+            n, k = table["n"].to_numpy().astype(float), table["k"].to_numpy()
+            asked = np.flatnonzero(table["own"].to_numpy() & table["asks"].to_numpy())
+            asked = asked[np.lexsort(cell[asked].T[::-1])]
+            whole = np.where(k > most, 0.0, n)
+            total, sure = np.zeros(len(asked)), np.zeros(len(asked))
+            for rows, others, close in _close_pairs(x[asked], x, radius, limit):
+                total[rows] += close @ n[others]
+                sure[rows] += close @ whole[others]
+            near = [[] for _ in asked]
+            cut = np.unique(cell[k > most], axis=0)
+            if len(cut):
+                for i in np.flatnonzero(total < min_points).tolist():
+                    p = x[asked[i]]
+                    gaps = np.maximum(np.maximum(cut * side - p, p - (cut + 1) * side), 0)
+                    near[i] = cut[(gaps * gaps).sum(1) <= limit * (1 + SLACK)].tolist()
+            return pa.table({
+                "x": table["x"].take(pa.array(asked)), "cell": table["cell"].take(pa.array(asked)),
+                "n": total.astype(np.int64), "sure": sure.astype(np.int64), "near": pa.array(near, pa.list_(pa.list_(pa.int64()))),
+            })
+
+        return task
+
+    def _core_by_opening(self, positions: DataFrame, pairs: DataFrame, sure: DataFrame) -> DataFrame:
+        """``(x)`` of core points: ``pairs (x, box, n, k)`` are opened until the counts, from ``sure`` on, decide."""
         for depth in range(DEEPEST + 1):
             least, greatest = _box_from(F.col("x"), F.col("box"), self.side / PARTS**depth)
             judged = pairs.select("x", "box", "n", "k", least.alias("_least"), greatest.alias("_greatest")).where(
@@ -186,28 +299,46 @@ class Density:
                 break
             parts = self._opened(positions, cut, depth)
             pairs = cut.join(parts, "box").select("x", F.col("part").alias("box"), "n", "k")
-        found = sure.where(F.col("n") >= self.min_points).select("x").join(positions, "x").select("x", "n", "cell")
-        full = positions.join(cells.where(dense).select("cell"), "cell", "left_semi")
-        return cut_lineage(
-            found.withColumn("dense", F.lit(False)).unionByName(full.select("x", "n", "cell").withColumn("dense", F.lit(True)))
-        )
-
-    def _by_representatives(self, core: DataFrame, near: DataFrame) -> DataFrame:
-        """Of near cells those of which two well placed core points are within the radius.
-
-        Each cell offers one point of each of its parts; the one nearest to the other cell's
-        centre is taken.
-        """
-        offered = core.groupBy("cell", self.box(F.col("x"), 1).alias("_part")).agg(F.min("x").alias("x"))
-        centre = F.transform("near", lambda p: (p + 0.5) * self.side)
-        both = near.union(near.select(F.col("near").alias("cell"), F.col("cell").alias("near")))
-        towards = both.join(offered, "cell").groupBy("cell", "near").agg(
-            F.min(F.struct(squared_distance(F.col("x"), centre).alias("_d"), "x")).alias("_best")
-        ).select("cell", "near", F.col("_best.x").alias("x"))
-        other = towards.select(F.col("near").alias("cell"), F.col("cell").alias("near"), F.col("x").alias("_y"))
-        return towards.where("cell < near").join(other, ["cell", "near"]).where(
-            squared_distance(F.col("x"), F.col("_y")) <= self.limit
-        ).select("cell", "near")
+        return sure.where(F.col("n") >= self.min_points).select("x")
+
+    def _join_task(self, most: int):
+        """Cells of a block that belong together, and pairs of cells that only other positions can tell."""
+        dims, radius, side, limit = self.dims, self.radius, self.side, self.limit
+
+        def task(table: pa.Table) -> pa.Table:
+            cell, x, own = _matrix(table, "cell", dims), _matrix(table, "x", dims), table["own"].to_numpy()
+            cells, of = np.unique(cell, axis=0, return_inverse=True)
+            of = of.reshape(-1)
+            inside, cut = np.zeros(len(cells), bool), np.zeros(len(cells), bool)
+            inside[of[own]] = True
+            cut[of[table["k"].to_numpy() > most]] = True
+            label = np.arange(len(cells))
+            # One position of each cell joins most; then only cells that are still apart are compared.
+            gaps = x - (cell + 0.5) * side
+            order = np.lexsort(((gaps * gaps).sum(1), of))
+            one = order[np.unique(of[order], return_index=True)[1]]
+            mine = np.flatnonzero(inside)
+            for rows, others, close in _close_pairs(x[one[mine]], x[one], radius, limit):
+                i, j = np.nonzero(close)
+                label = _merged(label, mine[rows][i], others[j])
+            points = np.flatnonzero(own)
+            points = points[np.lexsort((of[points], label[of[points]]))]
+            for rows, others, close in _close_pairs(x[points], x, radius, limit, lambda: (label[of[points]], label[of])):
+                i, j = np.nonzero(close)
+                label = _merged(label, of[points[rows][i]], of[others[j]])
+            joined = np.flatnonzero(label != np.arange(len(cells)))
+            first, second = [cells[joined]], [cells[label[joined]]]
+            told = [np.ones(len(joined), bool)]
+            for a in mine if cut.any() else ():
+                apart = np.flatnonzero((label != label[a]) & (cut | cut[a]))
+                steps = np.maximum(np.abs(cells[apart] - cells[a]) - 1, 0)
+                apart = apart[(steps * steps).sum(1) <= dims]
+                first.append(np.repeat(cells[a : a + 1], len(apart), 0))
+                second.append(cells[apart])
+                told.append(np.zeros(len(apart), bool))
+            return pa.table({"cell": _lists(np.concatenate(first)), "near": _lists(np.concatenate(second)), "told": np.concatenate(told)})
+
+        return task
 
     def _by_opening(self, core: DataFrame, near: DataFrame) -> DataFrame:
         """The same, exactly: boxes of both cells are opened until a pair of points decides."""
@@ -246,14 +377,19 @@ class Density:
     def connected(self, core: DataFrame) -> DataFrame:
         """``(cell, component)`` of the cells of core points."""
         nodes = cut_lineage(core.select(F.col("cell").alias("id")).distinct())
-        cells = nodes.select(F.col("id").alias("cell"))
-        near = cut_lineage(self.near_cells(cells, cells).where("cell < near"))
-        likely = self._by_representatives(core, near)
-        first = components(nodes, _both(likely))
+        held = core.groupBy("cell").agg(F.count(F.lit(1)).alias("k"))
+        most = 2 * self.min_points
+        offered = first_rows(core.select("cell", "x"), "cell", most, F.asc("x")).join(held, "cell")
+        dealt = self._dealt(offered, self._blocks(held, most), True).select("block", "own", "cell", "x", "k")
+        pairs = cut_lineage(self._grouped(dealt).applyInArrow(
+            self._join_task(most), "cell array<bigint>, near array<bigint>, told boolean"
+        ))
+        first = components(nodes, _both(pairs.where("told").select("cell", "near")))
         named = first.select(F.col("id").alias("cell"), F.col("component").alias("_own"))
         other = first.select(F.col("id").alias("near"), F.col("component").alias("_other"))
+        untold = pairs.where(~F.col("told")).select(F.least("cell", "near").alias("cell"), F.greatest("cell", "near").alias("near"))
         open_pairs = cut_lineage(
-            near.join(named, "cell").join(other, "near").where("_own <> _other").select("cell", "near", "_own", "_other")
+            untold.distinct().join(named, "cell").join(other, "near").where("_own <> _other").select("cell", "near", "_own", "_other")
         )
         if open_pairs.isEmpty():
             return first.select(F.col("id").alias("cell"), "component")
