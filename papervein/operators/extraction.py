@@ -131,6 +131,21 @@ MAX_FIRST_WORDS = 40
 BITS_PER_WORD, MAX_BITS = 16, 1 << 26
 
 
+def _first_characters(core: str) -> str | None:
+    """What is inside a character class of all characters that a match may begin with, or None if unsure."""
+    begins = re.match(r"(\\d|\[(?:[A-Za-z0-9](?:-[A-Za-z0-9])?)+\]|[A-Za-z0-9])(?![*?]|\{0)", core)
+    if begins is None or "|" in re.sub(r"\([^()]*\)", "", core):
+        return None
+    return begins[1].strip("[]")
+
+
+def _any_of(cores: list[str]) -> str:
+    """One regex for all; a character that begins none of them is passed over by a single look."""
+    begins = [_first_characters(core) for core in cores]
+    look = "" if None in begins else f"(?=[{''.join(dict.fromkeys(begins))}])"
+    return look + "(?:" + "|".join(f"(?:{core})" for core in cores) + ")"
+
+
 def _may_hold(sentence: Column, cfg: Config, first_words: list[str]) -> Column | None:
     """A cheap condition that every sentence with a mention meets, or None if there is none.
 
@@ -151,7 +166,7 @@ def _may_hold(sentence: Column, cfg: Config, first_words: list[str]) -> Column |
         else:
             tests += [F.lower(sentence).contains(word) for word in test.lower_in]
     if cores:
-        tests.insert(0, sentence.rlike("|".join(f"(?:{core})" for core in sorted(cores))))
+        tests.insert(0, sentence.rlike(_any_of(sorted(set(cores)))))
     return reduce(or_, tests, F.lit(False))
 
 
