@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from papervein.config import Config, TokenPattern, TokenTest
 from papervein.functions import text as tx
 from papervein.operators.abbreviations import Bounds, sentence_parts
+from papervein.operators.checkpoints import cut_lineage
 from papervein.operators.joins import BROADCAST_BYTES, fits_broadcast
 
 ENTITY_COLUMNS = (
@@ -216,9 +217,12 @@ def candidates(
     first_words: list[str] = []
     if lexicon is not None:
         phrases = lexicon_phrases(lexicon)
+        some = phrases.select("first_token").distinct().limit(MAX_FIRST_WORDS + 1).collect()
+        if len(some) > MAX_FIRST_WORDS:
+            # Read several times below; what the lexicon is made from is not.
+            phrases = cut_lineage(phrases)
         length = F.struct(F.lit(None).cast("string").alias("label"), F.col("phrase_tokens").alias("n_tokens"))
         firsts = phrases.groupBy("first_token").agg(F.collect_set(length).alias("phrase_spans"))
-        some = firsts.select("first_token").limit(MAX_FIRST_WORDS + 1).collect()
         if len(some) <= MAX_FIRST_WORDS:
             first_words = [row[0] for row in some]
         else:
