@@ -6,7 +6,7 @@ are handled as the library does by default.
 
 A byte-level BPE file without normaliser splits a text into pre-tokens that are encoded
 independently.  For texts of plain Latin letters, digits and punctuation the split is done
-here, and each distinct pre-token is encoded by the library once per task and remembered.
+here, and each distinct pre-token is encoded by the library's model once per task and remembered.
 Any other text goes to the library whole.
 """
 
@@ -45,11 +45,36 @@ def version_digest(path: str) -> str:
     return hashlib.sha256(f"{content} {library} {importlib.metadata.version(library)}".encode()).hexdigest()
 
 
+
+
+def _byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = (b for b in range(256) if b not in shown)
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+_BYTES = str.maketrans(_byte_characters())
+
+
+class _Memo(dict):
+    """Ids of pre-tokens; one that is missing is taken from those of the time before or encoded."""
+
+    def __init__(self, model, before: dict[str, bytes]):
+        super().__init__()
+        self.model, self.before = model, before
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.before.get(piece)
+        if ids is None:
+            found = self.model.tokenize(piece.encode().decode("latin-1").translate(_BYTES))
+            ids = array("I", [t.id for t in found]).tobytes()
+        self[piece] = ids
+        return ids
+
+
 class Encoder:
     def __init__(self, path: str):
-        # Pre-tokens seen lately, and those of the time before: frequent ones move on.
-        self.remembered: dict[str, bytes] = {}
-        self.remembered_before: dict[str, bytes] = {}
         self.plain_split = False
         self.special: list[str] = []
         if path.endswith(".json"):
@@ -68,6 +93,8 @@ class Encoder:
                 and before.get("use_regex", True) and not spec.get("normalizer")
                 and spec["model"].get("type", "BPE") == "BPE" and not spec["model"].get("dropout")
             )
+            # Pre-tokens seen lately, and those of the time before: frequent ones move on.
+            self.remembered = _Memo(self.library.model, {})
         else:
             import sentencepiece
 
@@ -84,26 +111,12 @@ class Encoder:
 
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
-        known = self.remembered
         if not self.plain_split or not _PLAIN.fullmatch(text) or any(s in text for s in self.special):
             return np.array(self._library_ids([text])[0], "<u4").tobytes()
-        pieces = _SPLIT.findall(text)
-        try:
-            return b"".join(map(known.__getitem__, pieces))
-        except KeyError:
-            pass
-        if len(known) > REMEMBERED:
-            self.remembered, self.remembered_before = known, before = {}, known
-        else:
-            before = self.remembered_before
-        missing = []
-        for p in set(pieces).difference(known):
-            if p in before:
-                known[p] = before[p]
-            else:
-                missing.append(p)
-        known.update((p, array("I", x).tobytes()) for p, x in zip(missing, self._library_ids(missing)))
-        return b"".join(map(known.__getitem__, pieces))
+        if len(self.remembered) > REMEMBERED:
+            self.remembered.before = {}  # let the oldest go first
+            self.remembered = _Memo(self.library.model, self.remembered)
+        return b"".join(map(self.remembered.__getitem__, _SPLIT.findall(text)))
 
 
 _ENCODERS: dict[str, Encoder] = {}

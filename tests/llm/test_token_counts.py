@@ -91,3 +91,20 @@ def test_repeated_rows_are_encoded_once(spark, cache):
     batches = [pa.RecordBatch.from_pydict({"digest": [b"a", b"b", b"a"], "text": ["x", "yy", "x"]})] * 5
     out = pa.Table.from_batches(token_counts.count_once(encoder, iter(batches)))
     assert encoder.calls == 2 and out.to_pydict() == {"digest": [b"a", b"b"], "n_tokens": [1, 2]}
+
+
+def test_unseen_pre_tokens_go_to_the_model(monkeypatch):
+    """Plain texts never take the slow way of the whole library, and their ids are its own."""
+    from tokenizers import Tokenizer
+
+    library, encoder = Tokenizer.from_file(tokenizer_path()), tokens.Encoder(tokenizer_path())
+
+    def refused(self, texts):
+        raise AssertionError(texts)
+
+    monkeypatch.setattr(tokens, "REMEMBERED", 20)
+    monkeypatch.setattr(tokens.Encoder, "_library_ids", refused)
+    letters = "".join(chr(c) for c in [*range(9, 14), *range(32, 127), *range(0xC0, 0x250)]) + "‐‧‰⁞€"
+    texts = [letters, " ".join(letters), "it's  we'll\n\n x1 22 ÀÉé ſƀ ǅ \t ", *(f"w{k} ünïcode{k}'s  {k}€" for k in range(60)), ""]
+    for text in texts * 2:
+        assert encoder.ids(text) == b"".join(i.to_bytes(4, "little") for i in library.encode(text, add_special_tokens=False).ids)
