@@ -47,12 +47,13 @@ from pyspark.sql import functions as F
 
 from papervein.llm import batches as B
 from papervein.llm import components
-from papervein.llm.shared import Tables, forget
-from papervein.operators.joins import first_rows, sized
+from papervein.llm.shared import ROWS_A_TASK, Tables, forget, gathered
+from papervein.operators.joins import first_rows, fits_broadcast, sized
 
 MINWISE = 128
 PIVOT_BLOCK = 256  # sets confirmed against one copy of a pivot's set
 IDS_BROADCAST_BYTES = 8 << 20
+SETS_A_TASK = 4096     # compared in one task, about
 MATRIX_COLUMNS = 4096  # of a node's shingles multiplied at once
 CONSENSUS_ROWS = 128   # of a large node's classes that its consensus is taken from
 
@@ -197,8 +198,13 @@ def _branch(members: DataFrame, search: Search) -> DataFrame:
     return members.select("node", "id", "tokens").mapInArrow(branched, "node long, id long")
 
 
-def _hubs(members: DataFrame) -> DataFrame:
-    """(node, pivot): the member of each node that agrees most with its consensus; (node, id, sketch)."""
+def _hubs(members: DataFrame, rows: int, narrow: DataFrame, tables: Tables) -> DataFrame:
+    """(node, pivot, pivot_n, pivot_sketch): the member of each large node that agrees most with
+    its consensus; ``members``: (node, id, n, sketch), written.
+
+    There are ``small`` times fewer nodes than members, so members meet their node's row by a
+    broadcast and need not be shuffled for it, as long as these rows fit one.
+    """
 
     def consensus(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
@@ -219,10 +225,17 @@ def _hubs(members: DataFrame) -> DataFrame:
             )
 
     some = first_rows(members.select("node", "id", "sketch"), "node", CONSENSUS_ROWS, F.xxhash64("id"), F.asc("id"))
-    common = some.groupBy("node").agg(F.collect_list("sketch").alias("rows")).mapInArrow(consensus, "node long, consensus binary")
-    scored = members.join(common, "node").select("node", "id", "sketch", "consensus").mapInArrow(agreeing, "node long, id long, agree int")
+    sampled = gathered(some.groupBy("node").agg(F.collect_list("sketch").alias("rows")), rows)
+    common = tables.write(
+        sampled.mapInArrow(consensus, "node long, consensus binary"),
+        "consensus",
+    )
+    few = F.broadcast if fits_broadcast(common) else (lambda df: df)
+    scored = members.join(few(common), "node").select("node", "id", "sketch", "consensus").mapInArrow(agreeing, "node long, id long, agree int")
     best = scored.groupBy("node").agg(F.max(F.struct("agree", F.negative("id").alias("id"))).alias("best"))
-    return best.select("node", F.negative("best.id").alias("pivot"))
+    hubs = tables.write(gathered(best, rows).select("node", F.negative("best.id").alias("pivot")), "hubs")
+    other = narrow.select(F.col("id").alias("pivot"), F.col("n").alias("pivot_n"), F.col("sketch").alias("pivot_sketch"))
+    return few(other.join(few(hubs), "pivot"))
 
 
 def _agreeing(ids, n, labels, sketch, search: Search) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -267,13 +280,13 @@ def _nodes_of(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarr
         yield group, ids[order], n[order], labels[order], sketch[order]
 
 
-def _collected(members: DataFrame) -> DataFrame:
+def _collected(members: DataFrame, rows: int) -> DataFrame:
     """Nodes of bounded size as one row each; ``members``: (group, id, n, sketch, label)."""
     grouped = members.groupBy("group").agg(F.collect_list(F.struct("id", "n", "sketch", "label")).alias("rows"))
-    return grouped.where(F.size("rows") > 1).select("group", "rows")
+    return gathered(grouped, rows).where(F.size("rows") > 1).select("group", "rows")
 
 
-def _small_pairs(members: DataFrame, search: Search) -> DataFrame:
+def _small_pairs(members: DataFrame, rows: int, search: Search) -> DataFrame:
     """The best spanning forest of each small node's promising pairs."""
 
     def compared(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,10 +301,10 @@ def _small_pairs(members: DataFrame, search: Search) -> DataFrame:
                 [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32()))], names=["a", "b", "agree"]
             )
 
-    return _collected(members).mapInArrow(compared, PAIRS)
+    return _collected(members, rows).mapInArrow(compared, PAIRS)
 
 
-def _undecided(members: DataFrame, search: Search) -> DataFrame:
+def _undecided(members: DataFrame, rows: int, search: Search) -> DataFrame:
     """(group, id, label) of the members with any promising partner across components."""
 
     def promising(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,7 +317,7 @@ def _undecided(members: DataFrame, search: Search) -> DataFrame:
             columns = [np.concatenate([o[k] for o in out] or [np.empty(0, np.int64)]) for k in range(3)]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["group", "id", "label"])
 
-    return _collected(members).mapInArrow(promising, "group long, id long, label long")
+    return _collected(members, rows).mapInArrow(promising, "group long, id long, label long")
 
 
 def _intersections(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -332,7 +345,7 @@ def _intersections(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return sizes, np.rint(common).astype(np.int64)
 
 
-def _exhaustive(members: DataFrame, sets: DataFrame, search: Search) -> DataFrame:
+def _exhaustive(members: DataFrame, count: int, sets: DataFrame, search: Search) -> DataFrame:
     """Links (u, v) across components of small nodes, by comparing all their full sets.
 
     ``members``: (group, id, label).  Sets of a node stream in one after the other; of the
@@ -369,7 +382,8 @@ def _exhaustive(members: DataFrame, sets: DataFrame, search: Search) -> DataFram
         yield _link_batch(list(links(*held)))
 
     rows = members.join(sets.select("id", "n", "brief"), "id").select("group", "id", "label", "n", "brief")
-    return rows.repartition("group").sortWithinPartitions("group", "id").mapInArrow(compared, LINKS)
+    dealt = gathered(rows.repartition("group"), count, SETS_A_TASK)
+    return dealt.sortWithinPartitions("group", "id").mapInArrow(compared, LINKS)
 
 
 def _link_batch(found: list[tuple[int, int, bool]]) -> pa.RecordBatch:
@@ -379,8 +393,8 @@ def _link_batch(found: list[tuple[int, int, bool]]) -> pa.RecordBatch:
     )
 
 
-def _pivot_pairs(members: DataFrame, sets: DataFrame, search: Search) -> DataFrame:
-    """Every member against its node's pivot; ``members``: (id, pivot, n, sketch)."""
+def _hub_pairs(members: DataFrame, rows: int, narrow: DataFrame, tables: Tables, search: Search) -> DataFrame:
+    """Candidate pairs of large nodes: every member with the node's hub."""
 
     def compared(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
@@ -394,9 +408,9 @@ def _pivot_pairs(members: DataFrame, sets: DataFrame, search: Search) -> DataFra
                 [batch.column(0), batch.column(1), pa.array(agree)], names=["a", "b", "agree"]
             ).filter(pa.array(agree >= search.sketch_agreement))
 
-    other = sets.select(F.col("id").alias("pivot"), F.col("n").alias("pivot_n"), F.col("sketch").alias("pivot_sketch"))
     return (
-        members.join(other, "pivot")
+        members.join(_hubs(members, rows, narrow, tables), "node")
+        .where(F.col("id") != F.col("pivot"))
         .where(100 * F.least("n", "pivot_n") >= search.percent * F.greatest("n", "pivot_n"))
         .select("id", "pivot", "sketch", "pivot_sketch")
         .mapInArrow(compared, PAIRS)
@@ -461,19 +475,21 @@ def _verdicts(common, n, other, brief, other_brief, percent: int):
 LINKS = "u long, v long, sure boolean"
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, search: Search, brief: bool = True) -> DataFrame:
+def _confirmed(pairs: DataFrame, rows: int, sets: DataFrame, search: Search, brief: bool = True) -> DataFrame:
     """The pairs (a, b) that are linked on their full sets, for sure or perhaps.
 
     All a's of one b are confirmed against it in blocks of about ``PIVOT_BLOCK``: each block
     gets one copy of b's set ahead of the sets of its a's, which stream past it.
     """
     many = pairs.groupBy("b").agg(F.ceil(F.count("*") / PIVOT_BLOCK).cast("long").alias("blocks"))
-    blocked = pairs.join(many, "b").select("a", "b", F.xxhash64("b", F.pmod(F.xxhash64("a"), "blocks")).alias("block"))
+    # One b in as many pairs has more than one block, so these are few.
+    wide = F.broadcast(many.where("blocks > 1"))
+    own = F.pmod(F.xxhash64("a"), F.coalesce("blocks", F.lit(1).cast("long")))
     held = sets.select("id", "n", F.col("brief" if brief else "packed").alias("codes"))
-    own = blocked.join(held, F.col("a") == F.col("id")).select("block", "b", "a", "n", "codes", F.lit(1).alias("turn"))
+    asked = pairs.join(wide, "b", "left").select(F.col("a").alias("id"), "b", F.xxhash64("b", own).alias("block"), F.lit(1).alias("turn"))
     ahead = (
-        blocked.select("block", "b").distinct().join(held, F.col("b") == F.col("id"))
-        .select("block", "b", F.col("b").alias("a"), "n", "codes", F.lit(0).alias("turn"))
+        many.select("b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("own"))
+        .select(F.col("b").alias("id"), "b", F.xxhash64("b", "own").alias("block"), F.lit(0).alias("turn"))
     )
     kind = "<u4" if brief else "<u8"
 
@@ -497,16 +513,18 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, search: Search, brief: bool =
                     found.append((a, b, bool(sure)))
             yield _link_batch(found)
 
-    rows = own.union(ahead).repartition("block").sortWithinPartitions("block", "b", "turn")
-    return rows.mapInArrow(checked, LINKS)
+    met = asked.union(ahead).join(held, "id").select("block", "b", F.col("id").alias("a"), "n", "codes", "turn")
+    dealt = gathered(met.repartition("block"), 2 * rows, SETS_A_TASK)
+    return dealt.sortWithinPartitions("block", "b", "turn").mapInArrow(checked, LINKS)
 
 
 def _settled(found: DataFrame, sets: DataFrame, groups: _Groups, tables: Tables, search: Search) -> None:
     """Take over links that are sure, and of the others those that 64 bits confirm."""
     links = tables.write(found, "links")
     unsure = links.where("NOT sure").select(F.col("u").alias("a"), F.col("v").alias("b")).distinct()
-    if not unsure.isEmpty():
-        links = tables.write(links.where("sure").union(_confirmed(unsure, sets, search, brief=False)), "links")
+    rows = unsure.count()
+    if rows:
+        links = tables.write(links.where("sure").union(_confirmed(unsure, rows, sets, search, brief=False)), "links")
     if not links.isEmpty():
         groups.link(links.select("u", "v"))
 
@@ -516,28 +534,26 @@ class _Groups:
 
     def __init__(self, spark: SparkSession, tables: Tables):
         self.tables = tables
-        self.labels = spark.createDataFrame([], "id long, label long")
+        self.labels = self.known = spark.createDataFrame([], "id long, label long")
 
     def label(self, df: DataFrame, name: str) -> DataFrame:
         """The label of a column of ids, as ``<name>_label``."""
-        own = self.labels.select(F.col("id").alias(name), F.col("label").alias("_label"))
+        own = self.known.select(F.col("id").alias(name), F.col("label").alias("_label"))
         return df.join(own, name, "left").withColumn(f"{name}_label", F.coalesce("_label", name)).drop("_label")
 
-    def across(self, pairs: DataFrame) -> DataFrame:
-        """The pairs whose ends are in different components."""
-        return self.label(self.label(pairs, "a"), "b").where("a_label <> b_label").select(*pairs.columns)
-
     def link(self, links: DataFrame) -> None:
         stars = self.labels.select(F.col("id").alias("u"), F.col("label").alias("v"))
         self.labels = components.connected(self.tables, links.union(stars))
+        self.known = sized(self.labels)
 
 
-def _settle(pairs: DataFrame, sets: DataFrame, groups: _Groups, tables: Tables, search: Search) -> None:
+def _settle(pairs: DataFrame, most: int, sets: DataFrame, groups: _Groups, tables: Tables, search: Search) -> None:
     """Confirm or refute candidate pairs, each once however many nodes offer it."""
-    pairs = tables.write(pairs.select("a", "b").distinct(), "pairs")
-    if pairs.isEmpty():
+    pairs = tables.write(gathered(pairs.select("a", "b").distinct(), most), "pairs")
+    rows = pairs.count()
+    if not rows:
         return
-    _settled(_confirmed(pairs, sets, search), sets, groups, tables, search)
+    _settled(_confirmed(pairs, rows, sets, search), sets, groups, tables, search)
     tables.drop(pairs)
 
 
@@ -545,7 +561,7 @@ def _link_classes(sets: DataFrame, docs: DataFrame, tables: Tables, search: Sear
     """Labels (id, label) of linked classes; ``sets``: (id, n, sketch, tokens)."""
     groups = _Groups(docs.sparkSession, tables)
     start = tables.write(_start(sets, search), "start")
-    inside = tables.write(_sized_nodes(start), "inside")
+    inside = tables.write(gathered(_sized_nodes(start), start.count(), 8 * ROWS_A_TASK), "inside")
     tables.drop(start)
     if inside.isEmpty():
         return groups.labels
@@ -560,44 +576,52 @@ def _link_classes(sets: DataFrame, docs: DataFrame, tables: Tables, search: Sear
         large = current.where(F.col("size") > search.small)
         levels.append(small)
         some_large = not large.isEmpty()
-        pairs = _small_pairs(_ready(small, narrow).withColumnRenamed("node", "group"), search)
+        rows = current.count()
+        pairs = _small_pairs(_ready(small, narrow).withColumnRenamed("node", "group"), rows, search)
         if some_large:
-            pairs = pairs.union(_hub_pairs(_ready(large, narrow), narrow, search))
-        _settle(pairs, full, groups, tables, search)
+            ready = tables.write(gathered(_ready(large, narrow), rows), "ready")
+            pairs = pairs.union(_hub_pairs(ready, rows, narrow, tables, search))
+        _settle(pairs, rows, full, groups, tables, search)
         if not some_large:
             break
-        few, large = _lopsided(tables.write(_open(large, groups), "large"), search)
-        levels.append(few)
-        large = tables.write(large, "large")
+        tables.drop(ready)
+        told = _told(large, rows, groups, tables)
+        levels.append(_lopsided(told, search))
+        large = told.where(F.col("few") > search.small).select("node", "id", "size", "id_label")
         if large.isEmpty():
             break
         if depth + search.step > search.depth:
-            _compare_fully(_block_pairs(_ready(large, narrow), search), full, groups, tables, search)
+            _compare_fully(_block_pairs(_ready(large, narrow), search), rows * rows // search.small, full, groups, tables, search)
             break
         grown = _branch(large.select("node", "id").join(sets.select("id", "tokens"), "id"), search)
-        current = tables.write(_open(_sized_nodes(grown.distinct()), groups), "inside")
+        current = tables.write(gathered(_open(grown, groups), search.branches * rows), "inside")
         depth += search.step
     # All that the small nodes of all levels still leave across components.
-    left = _open(reduce(DataFrame.union, (level.select("node", "id") for level in levels)), groups)
-    _compare_fully(_ready(left, narrow).withColumnRenamed("node", "group"), full, groups, tables, search)
+    left = reduce(DataFrame.union, (level.select("node", "id") for level in levels))
+    rows = left.count()
+    _compare_fully(_ready(_open(left, groups), narrow).withColumnRenamed("node", "group"), rows, full, groups, tables, search)
     tables.drop(full)
     return groups.labels
 
 
-def _lopsided(large: DataFrame, search: Search) -> tuple[DataFrame, DataFrame]:
+def _told(large: DataFrame, rows: int, groups: _Groups, tables: Tables) -> DataFrame:
+    """The members of large nodes that are not yet one component, with their labels, the node's
+    largest component ``top (n, label)`` and the ``few`` classes outside it."""
+    labelled = groups.label(large.drop("id_label"), "id")
+    parts = labelled.groupBy("node", "id_label").agg(F.count("*").alias("n"))
+    tops = parts.groupBy("node").agg(F.max(F.struct("n", F.col("id_label").alias("label"))).alias("top"), F.sum("n").alias("all"))
+    tops = tops.select("node", "top", (F.col("all") - F.col("top.n")).alias("few")).where("few > 0")
+    return tables.write(labelled.join(sized(tables.write(gathered(tops, rows), "tops")), "node"), "large")
+
+
+def _lopsided(told: DataFrame, search: Search) -> DataFrame:
     """Of open large nodes those with at most ``small`` classes outside their largest component,
-    as nodes of these few and a block of the others each; and the rest."""
-    parts = large.groupBy("node", "id_label").agg(F.count("*").alias("n"))
-    tops = parts.groupBy("node").agg(F.max(F.struct("n", F.col("id_label").alias("label"))).alias("top"))
-    told = large.join(tops, "node").withColumn("few", F.col("size") - F.col("top.n"))
+    as nodes of these few and a block of the others each."""
     blocks = F.ceil(F.col("top.n") / search.small).cast("long")
     own = F.pmod(F.xxhash64("id", "node"), blocks)
     block = F.when(F.col("id_label") == F.col("top.label"), F.array(own)).otherwise(F.sequence(F.lit(0).cast("long"), blocks - 1))
     few = told.where(F.col("few") <= search.small).withColumn("block", F.explode(block))
-    return (
-        few.select(F.xxhash64("node", "block").alias("node"), "id", "size", "id_label"),
-        told.where(F.col("few") > search.small).select("node", "id", "size", "id_label"),
-    )
+    return few.select(F.xxhash64("node", "block").alias("node"), "id", "size", "id_label")
 
 
 def _ready(members: DataFrame, narrow: DataFrame) -> DataFrame:
@@ -605,29 +629,27 @@ def _ready(members: DataFrame, narrow: DataFrame) -> DataFrame:
     return members.join(narrow, "id").withColumnRenamed("id_label", "label")
 
 
-def _compare_fully(members: DataFrame, sets: DataFrame, groups: _Groups, tables: Tables, search: Search) -> None:
+def _compare_fully(members: DataFrame, most: int, sets: DataFrame, groups: _Groups, tables: Tables, search: Search) -> None:
     """Link what the members of each group link across components; (group, id, n, sketch, label)."""
-    members = tables.write(_undecided(members, search), "undecided")
-    if members.isEmpty():
+    members = tables.write(_undecided(members, most, search), "undecided")
+    rows = members.count()
+    if not rows:
         return
-    _settled(_exhaustive(members, sets, search), sets, groups, tables, search)
+    _settled(_exhaustive(members, rows, sets, search), sets, groups, tables, search)
 
 
-def _open(inside: DataFrame, groups: _Groups) -> DataFrame:
-    """The members of nodes whose classes are in more than one component, with their labels."""
-    labelled = groups.label(inside.drop("id_label"), "id")
+def _open(members: DataFrame, groups: _Groups) -> DataFrame:
+    """The members (node, id) of nodes whose classes are in more than one component, with their
+    labels and the node's size."""
+    labelled = groups.label(members, "id")
     nodes = (
-        labelled.groupBy("node").agg(F.min("id_label").alias("low"), F.max("id_label").alias("high"))
-        .where("low <> high").select("node")
+        labelled.groupBy("node")
+        .agg(F.count("*").alias("size"), F.min("id_label").alias("low"), F.max("id_label").alias("high"))
+        .where("low <> high").select("node", "size")
     )
     return labelled.join(nodes, "node")
 
 
-def _hub_pairs(members: DataFrame, narrow: DataFrame, search: Search) -> DataFrame:
-    """Candidate pairs of large nodes: every member with the node's hub."""
-    return _pivot_pairs(members.join(_hubs(members), "node").where(F.col("id") != F.col("pivot")), narrow, search)
-
-
 def _classified(found: DataFrame, docs: DataFrame, tables: Tables, search: Search) -> DataFrame:
     """doc_id, n_shingles, component_id and kept; ``found``: profiles of documents with own ids."""
     sets = tables.write(

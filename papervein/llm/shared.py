@@ -64,6 +64,15 @@ class Tables:
         drop_path(self.spark, written.shared_path)
 
 
+ROWS_A_TASK = 20_000
+
+
+def gathered(df: DataFrame, rows: int, each: int = ROWS_A_TASK) -> DataFrame:
+    """A small table's many partitions dealt to fewer tasks: as many as there are cores at least,
+    and one for each so many of its rows, of which ``rows`` bounds the number."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, rows // each + 1))
+
+
 def first_by_hash(rows: DataFrame, key: str, most: int) -> DataFrame:
     """The ``most`` rows of a written table that come first in the order of their key's hash.
 

@@ -191,3 +191,19 @@ def test_large_nodes_with_few_outsiders(spark):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
     found = near_dup.classify(docs, near_dup.Search(small=20, depth=3))
     assert sorted(tuple(r) for r in found.collect()) == expected_of(texts)
+
+
+def test_small_tables_are_not_spread_over_all_partitions(spark):
+    """However many shuffle partitions there are, few labels are written by few tasks."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(n) for n in names]
+    try:
+        for name, value in zip(names, ("150", "false")):
+            spark.conf.set(name, value)
+        edges = spark.createDataFrame([(k // 2, k) for k in range(1, 400)], "u long, v long")
+        labels = components.connected(Tables(spark, "test"), edges)
+        assert {(r.id, r.label) for r in labels.collect()} == {(k, 0) for k in range(1, 400)}
+        assert len(labels.inputFiles()) <= spark.sparkContext.defaultParallelism
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)
