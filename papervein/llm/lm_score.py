@@ -6,12 +6,13 @@ shortened costs a factor ``alpha``.  A word no other document has counts ``alpha
 at a document's beginning start with what context there is.  Counts and totals leave the
 document itself out.  The document's score is the sum of the logarithms.
 
-The work is relational.  Documents are exploded into n-grams: a row for every distinct n-gram of
-a document with the number of times it is there.  Count tables sum these by the n-gram's code;
-n-grams that occur once in all are left out, since no other document has them.
-The exploded n-grams are joined to the count table of their order, those not found go on to the
+The work is relational.  Count tables sum the n-grams of each order by their code; n-grams that
+occur once in all are left out, since no other document has them.  Documents are exploded into
+n-grams: a row for every distinct n-gram of a document with the number of times it is there.
+These are joined to the count table of their order, those not found go on to the
 next lower one, those found to the count of their context, and the logarithms are summed for
-each document.  Everything is partitioned by the hash of the code.  The n-grams of the highest
+each document.  Everything is partitioned by the hash of the code, but that a lower order's table
+which fits a broadcast goes to the rows.  The n-grams of the highest
 order, by far the most rows, are taken in ``rounds`` ranges of their codes, so that only a part of
 them is shuffled at a time; every round reads the texts again.
 
@@ -31,8 +32,10 @@ from pyspark.sql import functions as F
 
 from papervein.llm import batches as B
 from papervein.llm.shared import Tables, sweep
+from papervein.operators.joins import sized
 
 ALPHA, ORDER, ROUNDS = 0.4, 2, 4
+HELD = 1 << 22  # n-grams summed in a task before they are rows
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -60,9 +63,11 @@ def _grams(codes: np.ndarray, order: int) -> np.ndarray:
 
 def _times(owner: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each element, how often its row has its code; and the first element of each (row, code)."""
-    order = np.lexsort((codes, owner))
+    keys = B.mix(owner.astype(np.uint64) + np.uint64(1)) ^ codes
+    order = np.argsort(keys)
+    keys = keys[order]
     new = np.ones(len(order), bool)
-    new[1:] = (codes[order][1:] != codes[order][:-1]) | (owner[order][1:] != owner[order][:-1])
+    new[1:] = keys[1:] != keys[:-1]
     group = np.cumsum(new) - 1
     out = np.empty(len(order), np.int64)
     out[order] = np.bincount(group)[group] if len(order) else 0
@@ -85,27 +90,37 @@ def _sizes(keyed: DataFrame) -> DataFrame:
 
 
 def _exploded(keyed: DataFrame, order: int) -> DataFrame:
-    """A row for every distinct n-gram of a document: (code, times)."""
+    """(code, times) of all n-grams, summed over many texts at a time."""
+
+    def summed(held: list[np.ndarray]) -> pa.RecordBatch:
+        codes, times = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), pa.array(times)], names=["code", "times"])
 
     def exploded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in parts:
             for _, _, data, offsets in B.text_slices(batch.column(2)):
-                words, owner, place = _words(data, offsets)
-                grams = _grams(words, order)
-                # One row a slice of texts: the first step of the sum.
-                codes, times = np.unique(grams[place >= order - 1], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), pa.array(times)], names=["code", "times"])
+                words, _, place = _words(data, offsets)
+                held.append(_grams(words, order)[place >= order - 1])
+                size += len(held[-1])
+                # One row for so many n-grams: the first step of the sum.
+                if size > HELD:
+                    yield summed(held)
+                    held, size = [], 0
+        if held:
+            yield summed(held)
 
     return keyed.mapInArrow(exploded, "code long, times long")
 
 
 def _range(codes: np.ndarray, ranges: int) -> np.ndarray:
-    return (B.mix(codes.copy()) >> np.uint64(40)).astype(np.int64) % ranges
+    return (codes >> np.uint64(40)).astype(np.int64) % ranges
 
 
 def _counts(grams: DataFrame) -> DataFrame:
-    """(code, total) of the n-grams that occur more than once."""
-    return grams.groupBy("code").agg(F.sum("times").alias("total")).where("total > 1")
+    """(code, total) of the n-grams that occur more than once.  Each comes once from many texts, so
+    there is little to sum before they are dealt by code."""
+    return grams.repartition("code").groupBy("code").agg(F.sum("times").alias("total")).where("total > 1")
 
 
 def _columns(order: int) -> list[str]:
@@ -128,13 +143,17 @@ def _asked(keyed: DataFrame, order: int, range_: int, ranges: int) -> DataFrame:
                 own, some = {}, {}
                 for n in range(1, order + 1):
                     at = np.flatnonzero(place >= n - 1)
+                    if n == order:  # equal n-grams are in one range
+                        at = at[_range(grams[n][at], ranges) == range_]
                     own[n] = np.zeros(len(words), np.int64)
                     own[n][at], head = _times(owner[at], grams[n][at])
                     some[n] = at[head]
                 for m in range(1, order + 1):
                     # Below the highest order only the places that have no more words before them.
-                    at = some[m] if m == order else np.flatnonzero(place == m - 1)
-                    at = at[_range(grams[m][at], ranges) == range_]
+                    at = some[m]
+                    if m < order:
+                        at = np.flatnonzero(place == m - 1)
+                        at = at[_range(grams[m][at], ranges) == range_]
                     times = own[m][at] if m == order else np.ones(len(at), np.int64)
                     columns = [pa.array(keys[first + owner[at]]), pa.array(times), pa.array(np.full(len(at), m, np.int32))]
                     for name in names:
@@ -165,11 +184,8 @@ def _scored(rows: DataFrame, counts: dict[int, DataFrame], order: int, alpha: fl
         "own": F.when(starts, F.col(f"o{order}")).otherwise(F.lit(0)),
     })
     shortened = F.col("cut") * F.log(F.lit(alpha))
-    # The highest order is dealt by its code once, for the sums and for the join with them.
-    state = state.repartition("key")
-    summed = state.where(starts).groupBy("key").agg(F.sum("k").alias("total")).where("total > 1")
     for n in range(order, 0, -1):
-        known = summed if n == order else counts[n].select(F.col("code").alias("key"), "total")
+        known = counts[n].withColumnRenamed("code", "key")
         active = F.col("m") >= n
         other = F.when(active & F.col("total").isNotNull(), F.col("total") - F.col("own")).otherwise(0).cast("double")
         joined = state.join(known, "key", "left").withColumn("other", other)
@@ -204,11 +220,15 @@ def score(docs: DataFrame, alpha: float = ALPHA, order: int = ORDER, rounds: int
     keyed = _keyed(docs)
     sizes = tables.write(_sizes(keyed), "sizes")
     corpus = sizes.agg(F.sum("n_words")).first()[0] or 0
-    counts = {n: tables.write(_counts(_exploded(keyed, n)), f"counts{n}") for n in range(1, order)}
+    counts = {n: tables.write(_counts(_exploded(keyed, n)), f"counts{n}") for n in range(1, order + 1)}
+    sweep(docs.sparkSession)
+    # A table of few words goes to the rows; a larger one is met by a shuffle.
+    known = {n: sized(table) for n, table in counts.items() if n < order}
     sums = []
     for range_ in range(rounds):
         asked = _asked(keyed, order, range_, rounds)
-        sums.append(tables.write(_scored(asked, counts, order, alpha), "sums"))
+        known[order] = counts[order].where(F.shiftrightunsigned("code", 40) % rounds == range_).hint("shuffle_hash")
+        sums.append(tables.write(_scored(asked, known, order, alpha), "sums"))
         sweep(docs.sparkSession)
     every = sums[0]
     for part in sums[1:]:

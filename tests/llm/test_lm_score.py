@@ -66,3 +66,21 @@ def test_repeated_rows_know_each_other(spark):
     own = docs.collect()
     expected = sorted((str(r.doc_id), *e) for r, e in zip(own, expected_of([r.text for r in own])))
     alike(rows_of(docs.repartition(4)), expected)
+
+
+def test_each_round_reads_the_texts_once(spark, monkeypatch):
+    """The n-grams of a round are made for the join alone; the counts they meet are a written table."""
+    made = []
+    scored = lm_score._scored
+
+    def plan_of(*given):
+        out = scored(*given)
+        made.append(out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow"))
+        return out
+
+    monkeypatch.setattr(lm_score, "_scored", plan_of)
+    docs = spark.createDataFrame([(1, "one two three"), (2, "one two four"), (3, "")], "doc_id long, text string")
+    own = docs.collect()
+    expected = sorted((str(r.doc_id), *e) for r, e in zip(own, expected_of([r.text for r in own])))
+    alike(rows_of(docs, rounds=2), expected)
+    assert made == [1, 1]
