@@ -6,15 +6,17 @@ shortened costs a factor ``alpha``.  A word no other document has counts ``alpha
 at a document's beginning start with what context there is.  Counts and totals leave the
 document itself out.  The document's score is the sum of the logarithms.
 
-The work is relational.  Count tables sum the n-grams of each order by their code; n-grams that
-occur once in all are left out, since no other document has them.  Documents are exploded into
+The work is relational.  Count tables sum the n-grams of each order, which are a context and a
+word; n-grams that occur once in all are left out, since no other document has them.  To each of
+the rest its context's count is joined once.  Documents are exploded into
 n-grams: a row for every distinct n-gram of a document with the number of times it is there.
-These are joined to the count table of their order, those not found go on to the
-next lower one, those found to the count of their context, and the logarithms are summed for
-each document.  Everything is partitioned by the hash of the code, but that a lower order's table
-which fits a broadcast goes to the rows.  The n-grams of the highest
-order, by far the most rows, are taken in ``rounds`` ranges of their codes, so that only a part of
-them is shuffled at a time; every round reads the texts again.
+These are joined to the count table of their order; only those not found go on to the
+next lower one, and the logarithms are summed for
+each document.  Everything is partitioned by the hash of the n-gram, but that a table of words
+which fits a broadcast goes to the rows.  The documents are scored in ``rounds`` parts by the hash
+of their rows, so that only a part of the n-grams, by far the most rows, is shuffled at a time; a
+text is cut into words for one part only, and a round's few documents are summed where their rows
+are found.
 
 Words are runs of non-space characters, A-Z in lower case.  A null or wordless text scores 0
 over no words.  Repeated rows are separate documents, so each knows the other's n-grams.
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 
 from papervein.llm import batches as B
 from papervein.llm.shared import Tables, sweep
-from papervein.operators.joins import sized
+from papervein.operators.joins import fits_broadcast
 
 ALPHA, ORDER, ROUNDS = 0.4, 2, 4
 HELD = 1 << 22  # n-grams summed in a task before they are rows
@@ -90,19 +92,28 @@ def _sizes(keyed: DataFrame) -> DataFrame:
 
 
 def _exploded(keyed: DataFrame, order: int) -> DataFrame:
-    """(code, times) of all n-grams, summed over many texts at a time."""
-
-    def summed(held: list[np.ndarray]) -> pa.RecordBatch:
-        codes, times = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), pa.array(times)], names=["code", "times"])
+    """(code, times) of all words, or (context, word, code, times) of all longer n-grams, summed
+    over many texts at a time."""
+    names = ["code", "times"] if order == 1 else ["context", "word", "code", "times"]
+
+    def summed(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        codes, first, times = np.unique(np.concatenate([h[0] for h in held]), return_index=True, return_counts=True)
+        columns = [codes, times]
+        if order > 1:
+            context, word = (np.concatenate([h[k] for h in held])[first] for k in (1, 2))
+            by = np.argsort(context)  # equal ones side by side take less room
+            columns = [context[by], word[by], codes[by], times[by]]
+        return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], names=names)
 
     def exploded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in parts:
             for _, _, data, offsets in B.text_slices(batch.column(2)):
                 words, _, place = _words(data, offsets)
-                held.append(_grams(words, order)[place >= order - 1])
-                size += len(held[-1])
+                at = np.flatnonzero(place >= order - 1)
+                own = (_grams(words, order)[at],)
+                held.append(own if order == 1 else (*own, _grams(words, order - 1)[at - 1], words[at]))
+                size += len(at)
                 # One row for so many n-grams: the first step of the sum.
                 if size > HELD:
                     yield summed(held)
@@ -110,28 +121,44 @@ def _exploded(keyed: DataFrame, order: int) -> DataFrame:
         if held:
             yield summed(held)
 
-    return keyed.mapInArrow(exploded, "code long, times long")
+    return keyed.mapInArrow(exploded, ", ".join(f"{c} long" for c in names))
+
+
+def _counts(grams: DataFrame, *key: str) -> DataFrame:
+    """The totals of the n-grams that occur more than once.  Each comes once from many texts, so
+    there is little to sum before they are dealt by ``key``; other columns follow from it."""
+    others = [F.first(c).alias(c) for c in grams.columns if c not in (*key, "times")]
+    return grams.repartition(*key).groupBy(*key).agg(F.sum("times").alias("total"), *others).where("total > 1")
 
 
-def _range(codes: np.ndarray, ranges: int) -> np.ndarray:
-    return (codes >> np.uint64(40)).astype(np.int64) % ranges
+def _met(table: DataFrame) -> DataFrame:
+    """A look-up table: of few rows, it goes to the others; a larger one is met by a shuffle."""
+    return F.broadcast(table) if fits_broadcast(table) else table.hint("shuffle_hash")
 
 
-def _counts(grams: DataFrame) -> DataFrame:
-    """(code, total) of the n-grams that occur more than once.  Each comes once from many texts, so
-    there is little to sum before they are dealt by code."""
-    return grams.repartition("code").groupBy("code").agg(F.sum("times").alias("total")).where("total > 1")
+def _tabled(keyed: DataFrame, order: int, tables: Tables) -> dict[int, DataFrame]:
+    """The written count tables: (code, total) of words; of longer n-grams (context, word, total,
+    whole), where ``whole`` is the total of the context, and their code if it is a context itself."""
+    counts = {1: tables.write(_counts(_exploded(keyed, 1), "code"), "counts1")}
+    for n in range(2, order + 1):
+        grams = _exploded(keyed, n)
+        grams = tables.write(_counts(grams if n < order else grams.drop("code"), "context", "word"), f"grams{n}")
+        whole = counts[n - 1].select(F.col("code").alias("context"), F.col("total").alias("whole"))
+        counts[n] = tables.write(grams.join(_met(whole), "context"), f"counts{n}")
+        tables.drop(grams)
+    return counts
 
 
 def _columns(order: int) -> list[str]:
-    """Of each order n below the highest: the n-gram g and its own count o; of each above the
-    lowest: its context c and that one's own count p."""
-    return [f"{name}{n}" for n in range(order, 0, -1) for name in (("g", "o", "c", "p") if n > 1 else ("g", "o"))]
+    """Of each order n above the lowest: the context c, the n-gram's own count o, the context's p."""
+    return [f"{name}{n}" for n in range(order, 1, -1) for name in "cop"]
 
 
-def _asked(keyed: DataFrame, order: int, range_: int, ranges: int) -> DataFrame:
+def _asked(keyed: DataFrame, order: int) -> DataFrame:
     """A row for every distinct n-gram of the highest order that a place in a document allows:
-    (r, k times, highest order m, and the codes and own counts of all that the scores may need)."""
+    (r, the word w and its own count o1, and the contexts and own counts of all that the scores
+    may need).  An n-gram of the highest order is there as often as its own count, those that
+    begin a document once."""
     names = _columns(order)
 
     def asked(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,75 +170,69 @@ def _asked(keyed: DataFrame, order: int, range_: int, ranges: int) -> DataFrame:
                 own, some = {}, {}
                 for n in range(1, order + 1):
                     at = np.flatnonzero(place >= n - 1)
-                    if n == order:  # equal n-grams are in one range
-                        at = at[_range(grams[n][at], ranges) == range_]
                     own[n] = np.zeros(len(words), np.int64)
                     own[n][at], head = _times(owner[at], grams[n][at])
                     some[n] = at[head]
                 for m in range(1, order + 1):
                     # Below the highest order only the places that have no more words before them.
-                    at = some[m]
-                    if m < order:
-                        at = np.flatnonzero(place == m - 1)
-                        at = at[_range(grams[m][at], ranges) == range_]
-                    times = own[m][at] if m == order else np.ones(len(at), np.int64)
-                    columns = [pa.array(keys[first + owner[at]]), pa.array(times), pa.array(np.full(len(at), m, np.int32))]
+                    at = some[m] if m == order else np.flatnonzero(place == m - 1)
+                    columns = [pa.array(v) for v in (keys[first + owner[at]], words[at].view(np.int64), own[1][at])]
                     for name in names:
                         kind, n = name[0], int(name[1:])
                         if n > m:
                             columns.append(pa.nulls(len(at), pa.int64()))
-                        elif kind == "g":
-                            columns.append(pa.array(grams[n][at].view(np.int64)))
                         elif kind == "o":
                             columns.append(pa.array(own[n][at]))
-                        else:  # the context: the n - 1 words before
+                        else:  # of the n - 1 words before
                             values = grams[n - 1].view(np.int64) if kind == "c" else own[n - 1]
                             columns.append(pa.array(values[at - 1]))
-                    yield pa.RecordBatch.from_arrays(columns, names=["r", "k", "m", *names])
+                    yield pa.RecordBatch.from_arrays(columns, names=["r", "w", "o1", *names])
 
-    return keyed.mapInArrow(asked, "r long, k long, m int, " + ", ".join(f"{c} long" for c in names))
+    return keyed.mapInArrow(asked, ", ".join(f"{c} long" for c in ("r", "w", "o1", *names)))
 
 
 def _scored(rows: DataFrame, counts: dict[int, DataFrame], order: int, alpha: float) -> DataFrame:
-    """(r, logs, single, backoff): per document the sum of logarithms but for the total of words,
-    how many words are divided by that total, and how many had their context shortened."""
-    # ``found``: the count to be divided by that of the context, which is looked up next.  A row
-    # whose highest order is lower waits; until then it looks up a code that no n-gram has.
-    starts = F.col("m") == order
-    state = rows.withColumns({
-        "found": F.lit(None).cast("double"), "cut": F.lit(0), "log": F.lit(None).cast("double"),
-        "key": F.when(starts, F.col(f"g{order}")).otherwise(F.col("r")),
-        "own": F.when(starts, F.col(f"o{order}")).otherwise(F.lit(0)),
-    })
-    shortened = F.col("cut") * F.log(F.lit(alpha))
-    for n in range(order, 0, -1):
-        known = counts[n].withColumnRenamed("code", "key")
-        active = F.col("m") >= n
-        other = F.when(active & F.col("total").isNotNull(), F.col("total") - F.col("own")).otherwise(0).cast("double")
-        joined = state.join(known, "key", "left").withColumn("other", other)
-        divided = F.log(F.col("found") / F.col("other")) + shortened
-        if n == 1:
-            alone = F.log(F.when(F.col("other") > 0, F.col("other")).otherwise(F.lit(alpha))) + shortened
-            scored = joined.select(
-                "r", "k", "cut", F.coalesce("log", F.when(F.col("found").isNotNull(), divided).otherwise(alone)).alias("log"),
-                (F.col("log").isNull() & F.col("found").isNull()).cast("int").alias("single"),
-            )
-            return scored.groupBy("r").agg(
-                F.sum(F.col("k") * F.col("log")).alias("logs"), F.sum(F.col("k") * F.col("single")).alias("single"),
-                F.sum(F.when(F.col("cut") > 0, F.col("k")).otherwise(0)).alias("backoff"),
-            )
-        over = F.col("log").isNotNull() | F.col("found").isNotNull()  # scored here or before
-        seen = F.col("other") > 0
-        waits = ~active & (F.col("m") < n - 1)
+    """(r, k, cut, logs, w, o1): ``logs`` of the k places of each row where an n-gram longer than
+    a word scores them, else the word that is left to score them, and how often their context
+    has been shortened."""
+    # What follows from the other columns is added after the first join, so it is not shuffled.
+    begun = {
+        "k": F.coalesce(f"o{order}", F.lit(1).cast("long")) if order > 1 else F.col("o1"),
+        "cut": F.lit(0), "logs": F.lit(None).cast("double"),
+    }
+    state = rows if order > 1 else rows.withColumns(begun)
+    for n in range(order, 1, -1):
+        # A row that is scored, or whose highest order is lower, looks up what no n-gram is.
+        key = F.coalesce(f"c{n}", "r")
+        if n < order:
+            key = F.when(F.col("logs").isNull(), key).otherwise(F.col("r"))
+        known = counts[n].select(F.col("context").alias("key"), F.col("word").alias("w"), "total", "whole")
+        joined = state.withColumn("key", key).drop(f"c{n}").join(known, ["key", "w"], "left")
+        if n == order:
+            joined = joined.withColumns(begun)
+        active = F.col("logs").isNull() & F.col(f"o{n}").isNotNull()
+        seen = active & F.coalesce(F.col("total") > F.col(f"o{n}"), F.lit(False))
+        log = F.log((F.col("total") - F.col(f"o{n}")) / (F.col("whole") - F.col(f"p{n}"))) + F.col("cut") * F.log(F.lit(alpha))
         lower = [c for c in _columns(order) if int(c[1:]) < n]
         state = joined.select(
-            "r", "k", "m", *lower,
-            F.coalesce("log", F.when(F.col("found").isNotNull(), divided)).alias("log"),
-            F.when(~over & seen, F.col("other")).alias("found"),
-            F.when(over | waits, F.col("r")).when(seen, F.col(f"c{n}")).otherwise(F.col(f"g{n - 1}")).alias("key"),
-            F.when(over | waits, 0).when(seen, F.col(f"p{n}")).otherwise(F.col(f"o{n - 1}")).alias("own"),
-            (F.col("cut") + F.when(active & ~over & ~seen, 1).otherwise(0)).alias("cut"),
+            "r", "w", "o1", *lower, "k", F.coalesce("logs", F.when(seen, F.col("k") * log)).alias("logs"),
+            (F.col("cut") + F.when(active & ~seen, 1).otherwise(0)).alias("cut"),
         )
+    left = F.col("logs").isNull()
+    return state.select("r", "k", "cut", "logs", F.when(left, F.col("w")).alias("w"), F.when(left, F.col("o1")).alias("o1"))
+
+
+def _summed(scored: DataFrame, words: DataFrame, alpha: float) -> DataFrame:
+    """(r, logs, single, backoff): per document the sum of logarithms but for the total of words,
+    how many words are divided by that total, and how many had their context shortened."""
+    backoff = F.when(F.col("cut") > 0, F.col("k")).otherwise(0).alias("backoff")
+    longer = scored.where("logs IS NOT NULL").select("r", "logs", F.lit(0).cast("long").alias("single"), backoff)
+    joined = scored.where("logs IS NULL").join(words.withColumnRenamed("code", "w"), "w", "left")
+    other = F.coalesce(F.col("total") - F.col("o1"), F.lit(0)).cast("double")
+    log = F.log(F.when(other > 0, other).otherwise(F.lit(alpha))) + F.col("cut") * F.log(F.lit(alpha))
+    alone = joined.select("r", (F.col("k") * log).alias("logs"), F.col("k").alias("single"), backoff)
+    sums = [F.sum(c).alias(c) for c in ("logs", "single", "backoff")]
+    return longer.union(alone).groupBy("r").agg(*sums)
 
 
 def score(docs: DataFrame, alpha: float = ALPHA, order: int = ORDER, rounds: int = ROUNDS) -> DataFrame:
@@ -220,19 +241,20 @@ def score(docs: DataFrame, alpha: float = ALPHA, order: int = ORDER, rounds: int
     keyed = _keyed(docs)
     sizes = tables.write(_sizes(keyed), "sizes")
     corpus = sizes.agg(F.sum("n_words")).first()[0] or 0
-    counts = {n: tables.write(_counts(_exploded(keyed, n)), f"counts{n}") for n in range(1, order + 1)}
+    counts = _tabled(keyed, order, tables)
     sweep(docs.sparkSession)
-    # A table of few words goes to the rows; a larger one is met by a shuffle.
-    known = {n: sized(table) for n, table in counts.items() if n < order}
+    words = _met(counts[1])
+    known = {n: counts[n].hint("shuffle_hash") for n in range(2, order + 1)}
     sums = []
-    for range_ in range(rounds):
-        asked = _asked(keyed, order, range_, rounds)
-        known[order] = counts[order].where(F.shiftrightunsigned("code", 40) % rounds == range_).hint("shuffle_hash")
-        sums.append(tables.write(_scored(asked, known, order, alpha), "sums"))
+    for part in range(rounds):
+        own = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)) == part)
+        scored = tables.write(_scored(_asked(_keyed(own), order), known, order, alpha), "scored")
+        sums.append(tables.write(_summed(scored, words, alpha), "sums"))
+        tables.drop(scored)
         sweep(docs.sparkSession)
     every = sums[0]
-    for part in sums[1:]:
-        every = every.union(part)
+    for more in sums[1:]:
+        every = every.union(more)
     # Rows that share id and text have been summed together and are equal: each gets its share.
     copies = sizes.groupBy("r").agg(F.count(F.lit(1)).alias("copies"))
     whole = every.groupBy("r").agg(F.sum("logs").alias("logs"), F.sum("single").alias("single"), F.sum("backoff").alias("backoff"))

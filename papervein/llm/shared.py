@@ -10,6 +10,8 @@ import gc
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +45,21 @@ def release() -> None:
     pa.default_memory_pool().release_unused()
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Spark deletes the shuffle files of what is run within as soon as it has ended, not when the
+    driver happens to collect its garbage.  Nothing else reads them: each run of a frame has its own."""
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 class Tables:
     """The intermediate tables of one run, in a folder of their own."""
 
@@ -54,7 +71,8 @@ class Tables:
     def write(self, df: DataFrame, name: str = "step") -> DataFrame:
         self.count += 1
         path = f"{self.folder}/{self.count:03d}-{name}"
-        df.write.parquet(path)
+        with shuffles_dropped(self.spark):
+            df.write.parquet(path)
         written = self.spark.read.schema(df.schema).parquet(path)
         written.shared_path = path
         return written

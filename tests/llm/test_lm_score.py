@@ -84,3 +84,35 @@ def test_each_round_reads_the_texts_once(spark, monkeypatch):
     expected = sorted((str(r.doc_id), *e) for r, e in zip(own, expected_of([r.text for r in own])))
     alike(rows_of(docs, rounds=2), expected)
     assert made == [1, 1]
+
+
+def test_only_words_left_meet_the_table_of_words(spark, monkeypatch):
+    """What a longer n-gram scores is not shuffled again, also where the words do not fit a broadcast."""
+    left = []
+    summed = lm_score._summed
+
+    def rows_in(scored, *given):
+        left.extend((r.logs is None, r.w is None) for r in scored.collect())
+        return summed(scored, *given)
+
+    monkeypatch.setattr(lm_score, "_summed", rows_in)
+    monkeypatch.setattr(lm_score, "fits_broadcast", lambda table: False)
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "a b e"), (3, "a b c f"), (None, "b c")], "doc_id long, text string")
+    expected = sorted((str(r.doc_id), *e) for r, e in zip(docs.collect(), expected_of([r.text for r in docs.collect()])))
+    alike(rows_of(docs, rounds=2), expected)
+    assert sorted(left) == [(False, True)] * 6 + [(True, False)] * 7
+
+
+def test_a_document_is_in_one_round(spark, monkeypatch):
+    """Every text is cut into the n-grams to be scored once, whatever the number of rounds."""
+    ids = []
+    asked = lm_score._asked
+
+    def asked_of(keyed, *given):
+        ids.extend(r.doc_id for r in keyed.collect())
+        return asked(keyed, *given)
+
+    monkeypatch.setattr(lm_score, "_asked", asked_of)
+    docs = spark.createDataFrame([(i, f"one two {i}") for i in range(9)] + [(None, None)], "doc_id long, text string")
+    lm_score.score(docs, rounds=3)
+    assert sorted(ids, key=str) == [*range(9), None]
