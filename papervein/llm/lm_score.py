@@ -76,59 +76,62 @@ def _times(owner: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out, order[new]
 
 
-def _sizes(keyed: DataFrame) -> DataFrame:
-    """(r, doc_id, n_words) of every row."""
-
-    def counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts:
-            counts = [np.empty(0, np.int64)]
-            for _, _, data, offsets in B.text_slices(batch.column(2)):
-                counts.append(np.diff(B.words(~B.SPACE[data], offsets)[2]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(np.concatenate(counts))], names=["r", "doc_id", "n_words"]
-            )
-
-    return keyed.mapInArrow(counted, "r long, doc_id long, n_words long")
-
-
-def _exploded(keyed: DataFrame, order: int) -> DataFrame:
-    """(code, times) of all words, or (context, word, code, times) of all longer n-grams, summed
-    over many texts at a time."""
-    names = ["code", "times"] if order == 1 else ["context", "word", "code", "times"]
-
-    def summed(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        codes, first, times = np.unique(np.concatenate([h[0] for h in held]), return_index=True, return_counts=True)
-        columns = [codes, times]
-        if order > 1:
-            context, word = (np.concatenate([h[k] for h in held])[first] for k in (1, 2))
-            by = np.argsort(context)  # equal ones side by side take less room
-            columns = [context[by], word[by], codes[by], times[by]]
-        return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], names=names)
+def _exploded(docs: DataFrame, order: int) -> DataFrame:
+    """(code, context, times) of the n-grams of all orders, summed over many texts at a time; a
+    word alone has no context."""
+
+    def summed(codes: list[np.ndarray], contexts: list[np.ndarray]) -> pa.RecordBatch:
+        flat = np.concatenate(codes)
+        by = np.argsort(flat)
+        flat = flat[by]
+        new = np.ones(len(flat), bool)
+        new[1:] = flat[1:] != flat[:-1]
+        cut = np.flatnonzero(new)
+        times = np.diff(np.append(cut, len(flat)))
+        columns = [pa.array(flat[cut].view(np.int64)), pa.nulls(len(cut), pa.int64()), pa.array(times)]
+        if contexts:
+            context = np.concatenate(contexts)[by[cut]].view(np.int64)
+            near = np.argsort(context)  # equal ones side by side take less room
+            columns = [pa.array(c[near]) for c in (flat[cut].view(np.int64), context, times)]
+        return pa.RecordBatch.from_arrays(columns, names=["code", "context", "times"])
+
+    def released(codes: dict[int, list], contexts: dict[int, list]) -> Iterator[pa.RecordBatch]:
+        for n in codes:
+            if codes[n]:
+                yield summed(codes[n], contexts[n])
+                codes[n].clear()
+                contexts[n].clear()
 
     def exploded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        codes: dict[int, list] = {n: [] for n in range(1, order + 1)}
+        contexts: dict[int, list] = {n: [] for n in range(1, order + 1)}
+        size = 0
         for batch in parts:
-            for _, _, data, offsets in B.text_slices(batch.column(2)):
+            for _, _, data, offsets in B.text_slices(batch.column(0)):
                 words, _, place = _words(data, offsets)
-                at = np.flatnonzero(place >= order - 1)
-                own = (_grams(words, order)[at],)
-                held.append(own if order == 1 else (*own, _grams(words, order - 1)[at - 1], words[at]))
-                size += len(at)
+                grams = _grams(words, 1)
+                codes[1].append(grams)
+                for n in range(2, order + 1):
+                    at = np.flatnonzero(place >= n - 1)
+                    before, grams = grams, _grams(words, n)
+                    codes[n].append(grams[at])
+                    contexts[n].append(before[at - 1])
+                size += len(words)
                 # One row for so many n-grams: the first step of the sum.
                 if size > HELD:
-                    yield summed(held)
-                    held, size = [], 0
-        if held:
-            yield summed(held)
+                    yield from released(codes, contexts)
+                    size = 0
+        yield from released(codes, contexts)
 
-    return keyed.mapInArrow(exploded, ", ".join(f"{c} long" for c in names))
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
+    return texts.mapInArrow(exploded, "code long, context long, times long")
 
 
-def _counts(grams: DataFrame, *key: str) -> DataFrame:
-    """The totals of the n-grams that occur more than once.  Each comes once from many texts, so
-    there is little to sum before they are dealt by ``key``; other columns follow from it."""
-    others = [F.first(c).alias(c) for c in grams.columns if c not in (*key, "times")]
-    return grams.repartition(*key).groupBy(*key).agg(F.sum("times").alias("total"), *others).where("total > 1")
+def _counts(grams: DataFrame) -> DataFrame:
+    """(code, context, total) of the n-grams that occur more than once.  Each comes once from many
+    texts, so there is little to sum before they are dealt by code."""
+    dealt = grams.repartition("code").groupBy("code")
+    return dealt.agg(F.first("context").alias("context"), F.sum("times").alias("total")).where("total > 1")
 
 
 def _met(table: DataFrame) -> DataFrame:
@@ -136,27 +139,28 @@ def _met(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if fits_broadcast(table) else table.hint("shuffle_hash")
 
 
-def _tabled(keyed: DataFrame, order: int, tables: Tables) -> dict[int, DataFrame]:
-    """The written count tables: (code, total) of words; of longer n-grams (context, word, total,
-    whole), where ``whole`` is the total of the context, and their code if it is a context itself."""
-    counts = {1: tables.write(_counts(_exploded(keyed, 1), "code"), "counts1")}
-    for n in range(2, order + 1):
-        grams = _exploded(keyed, n)
-        grams = tables.write(_counts(grams if n < order else grams.drop("code"), "context", "word"), f"grams{n}")
-        whole = counts[n - 1].select(F.col("code").alias("context"), F.col("total").alias("whole"))
-        counts[n] = tables.write(grams.join(_met(whole), "context"), f"counts{n}")
-        tables.drop(grams)
-    return counts
+def _tabled(docs: DataFrame, order: int, tables: Tables) -> tuple[DataFrame, DataFrame]:
+    """The written count tables: (code, total) of words, and (code, total, whole) of longer n-grams,
+    where ``whole`` is the total of the context."""
+    grams = tables.write(_counts(_exploded(docs, order)), "grams")
+    words = tables.write(grams.where("context IS NULL").select("code", "total"), "words")
+    longer = grams.where("context IS NOT NULL")
+    # Words alone are contexts of pairs; of longer n-grams, others of those counted are.
+    contexts = words if order < 3 else grams
+    whole = contexts.select(F.col("code").alias("context"), F.col("total").alias("whole"))
+    counts = tables.write(longer.join(_met(whole), "context").select("code", "total", "whole"), "counts")
+    tables.drop(grams)
+    return words, counts
 
 
 def _columns(order: int) -> list[str]:
-    """Of each order n above the lowest: the context c, the n-gram's own count o, the context's p."""
-    return [f"{name}{n}" for n in range(order, 1, -1) for name in "cop"]
+    """Of each order n above the lowest: the n-gram g, its own count o, its context's own count p."""
+    return [f"{name}{n}" for n in range(order, 1, -1) for name in "gop"]
 
 
 def _asked(keyed: DataFrame, order: int) -> DataFrame:
     """A row for every distinct n-gram of the highest order that a place in a document allows:
-    (r, the word w and its own count o1, and the contexts and own counts of all that the scores
+    (r, the word w and its own count o1, and the codes and own counts of all that the scores
     may need).  An n-gram of the highest order is there as often as its own count, those that
     begin a document once."""
     names = _columns(order)
@@ -181,17 +185,16 @@ def _asked(keyed: DataFrame, order: int) -> DataFrame:
                         kind, n = name[0], int(name[1:])
                         if n > m:
                             columns.append(pa.nulls(len(at), pa.int64()))
-                        elif kind == "o":
-                            columns.append(pa.array(own[n][at]))
-                        else:  # of the n - 1 words before
-                            values = grams[n - 1].view(np.int64) if kind == "c" else own[n - 1]
-                            columns.append(pa.array(values[at - 1]))
+                        elif kind == "g":
+                            columns.append(pa.array(grams[n][at].view(np.int64)))
+                        else:  # the context: the n - 1 words before
+                            columns.append(pa.array(own[n][at] if kind == "o" else own[n - 1][at - 1]))
                     yield pa.RecordBatch.from_arrays(columns, names=["r", "w", "o1", *names])
 
     return keyed.mapInArrow(asked, ", ".join(f"{c} long" for c in ("r", "w", "o1", *names)))
 
 
-def _scored(rows: DataFrame, counts: dict[int, DataFrame], order: int, alpha: float) -> DataFrame:
+def _scored(rows: DataFrame, counts: DataFrame, order: int, alpha: float) -> DataFrame:
     """(r, k, cut, logs, w, o1): ``logs`` of the k places of each row where an n-gram longer than
     a word scores them, else the word that is left to score them, and how often their context
     has been shortened."""
@@ -201,13 +204,13 @@ def _scored(rows: DataFrame, counts: dict[int, DataFrame], order: int, alpha: fl
         "cut": F.lit(0), "logs": F.lit(None).cast("double"),
     }
     state = rows if order > 1 else rows.withColumns(begun)
+    known = counts.withColumnRenamed("code", "key").hint("shuffle_hash")
     for n in range(order, 1, -1):
         # A row that is scored, or whose highest order is lower, looks up what no n-gram is.
-        key = F.coalesce(f"c{n}", "r")
+        key = F.coalesce(f"g{n}", "r")
         if n < order:
             key = F.when(F.col("logs").isNull(), key).otherwise(F.col("r"))
-        known = counts[n].select(F.col("context").alias("key"), F.col("word").alias("w"), "total", "whole")
-        joined = state.withColumn("key", key).drop(f"c{n}").join(known, ["key", "w"], "left")
+        joined = state.withColumn("key", key).drop(f"g{n}").join(known, "key", "left")
         if n == order:
             joined = joined.withColumns(begun)
         active = F.col("logs").isNull() & F.col(f"o{n}").isNotNull()
@@ -223,42 +226,41 @@ def _scored(rows: DataFrame, counts: dict[int, DataFrame], order: int, alpha: fl
 
 
 def _summed(scored: DataFrame, words: DataFrame, alpha: float) -> DataFrame:
-    """(r, logs, single, backoff): per document the sum of logarithms but for the total of words,
-    how many words are divided by that total, and how many had their context shortened."""
+    """(r, n, logs, single, backoff): per document its words, the sum of logarithms but for the total
+    of words, how many words are divided by that total, and how many had their context shortened."""
     backoff = F.when(F.col("cut") > 0, F.col("k")).otherwise(0).alias("backoff")
-    longer = scored.where("logs IS NOT NULL").select("r", "logs", F.lit(0).cast("long").alias("single"), backoff)
+    longer = scored.where("logs IS NOT NULL").select("r", "k", "logs", F.lit(0).cast("long").alias("single"), backoff)
     joined = scored.where("logs IS NULL").join(words.withColumnRenamed("code", "w"), "w", "left")
     other = F.coalesce(F.col("total") - F.col("o1"), F.lit(0)).cast("double")
     log = F.log(F.when(other > 0, other).otherwise(F.lit(alpha))) + F.col("cut") * F.log(F.lit(alpha))
-    alone = joined.select("r", (F.col("k") * log).alias("logs"), F.col("k").alias("single"), backoff)
+    alone = joined.select("r", "k", (F.col("k") * log).alias("logs"), F.col("k").alias("single"), backoff)
     sums = [F.sum(c).alias(c) for c in ("logs", "single", "backoff")]
-    return longer.union(alone).groupBy("r").agg(*sums)
+    return longer.union(alone).groupBy("r").agg(F.sum("k").alias("n"), *sums)
 
 
 def score(docs: DataFrame, alpha: float = ALPHA, order: int = ORDER, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, n_words, n_backoff and log_score of every document."""
     tables = Tables(docs.sparkSession, "lm-score")
-    keyed = _keyed(docs)
-    sizes = tables.write(_sizes(keyed), "sizes")
-    corpus = sizes.agg(F.sum("n_words")).first()[0] or 0
-    counts = _tabled(keyed, order, tables)
+    rows = tables.write(_keyed(docs).select("r", "doc_id"), "rows")
+    words, counts = _tabled(docs, order, tables)
     sweep(docs.sparkSession)
-    words = _met(counts[1])
-    known = {n: counts[n].hint("shuffle_hash") for n in range(2, order + 1)}
+    met = _met(words)
     sums = []
     for part in range(rounds):
         own = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)) == part)
-        scored = tables.write(_scored(_asked(_keyed(own), order), known, order, alpha), "scored")
-        sums.append(tables.write(_summed(scored, words, alpha), "sums"))
+        scored = tables.write(_scored(_asked(_keyed(own), order), counts, order, alpha), "scored")
+        sums.append(tables.write(_summed(scored, met, alpha), "sums"))
         tables.drop(scored)
         sweep(docs.sparkSession)
     every = sums[0]
     for more in sums[1:]:
         every = every.union(more)
+    corpus = every.agg(F.sum("n")).first()[0] or 0
     # Rows that share id and text have been summed together and are equal: each gets its share.
-    copies = sizes.groupBy("r").agg(F.count(F.lit(1)).alias("copies"))
-    whole = every.groupBy("r").agg(F.sum("logs").alias("logs"), F.sum("single").alias("single"), F.sum("backoff").alias("backoff"))
-    joined = sizes.join(copies, "r").join(whole, "r", "left")
+    copies = rows.groupBy("r").agg(F.count(F.lit(1)).alias("copies"))
+    whole = every.groupBy("r").agg(*(F.sum(c).alias(c) for c in ("n", "logs", "single", "backoff")))
+    joined = rows.join(copies, "r").join(whole, "r", "left")
+    joined = joined.withColumn("n_words", F.coalesce((F.col("n") / F.col("copies")).cast("long"), F.lit(0).cast("long")))
     others = F.greatest(F.lit(corpus) - F.col("n_words"), F.lit(1)).cast("double")
     logs = (F.col("logs") - F.col("single") * F.log(others)) / F.col("copies")
     return joined.select(
