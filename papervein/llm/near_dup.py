@@ -651,19 +651,23 @@ def _open(members: DataFrame, groups: _Groups) -> DataFrame:
 
 
 def _classified(found: DataFrame, docs: DataFrame, tables: Tables, search: Search) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept; ``found``: profiles of documents with own ids."""
+    """doc_id, n_shingles, component_id and kept; ``found``: the written profiles of documents
+    with own ids, which is dropped."""
     sets = tables.write(
         found.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("code1", "code2")
         .agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"),
              F.first("tokens").alias("tokens")),
         "sets",
     )
+    # The minwise tokens, by far the most of the profiles, are in the sets now.
+    own = tables.write(found.select("doc_id", "n_shingles", "code1", "code2"), "codes")
+    tables.drop(found)
     labels = _link_classes(sets, docs, tables, search)
     classes = (
         sets.select("code1", "code2", "id").join(labels, "id", "left")
         .select("code1", "code2", F.coalesce("label", "id").alias("class_id"))
     )
-    own = found.select("doc_id", "n_shingles", "code1", "code2").join(classes, ["code1", "code2"], "left")
+    own = own.join(classes, ["code1", "code2"], "left")
     component = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("class_id")).otherwise(F.col("doc_id"))
     return own.select(
         "doc_id", "n_shingles", component.alias("component_id"),

@@ -207,3 +207,29 @@ def test_small_tables_are_not_spread_over_all_partitions(spark):
     finally:
         for name, value in zip(names, before):
             spark.conf.set(name, value)
+
+
+def test_no_shuffle_files_stay_and_tokens_are_written_once(spark):
+    """A written table's shuffle files go at once, and the minwise tokens are kept with the sets alone."""
+    import time
+
+    tables = Tables(spark, "test-shuffles")
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = blocks.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before = shuffled()
+    tables.write(spark.range(1000).repartition(7).groupBy("id").count())
+    end = time.time() + 20
+    while shuffled() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not shuffled() - before
+
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, "g")], "doc_id long, text string")
+    found = tables.write(near_dup.profiles(docs), "profiles")
+    rows = near_dup._classified(found, docs, tables, near_dup.Search())
+    assert sorted(tuple(r) for r in rows.collect()) == [(1, 2, 1, True), (2, 2, 1, False), (3, 1, 3, True)]
+    path = spark._jvm.org.apache.hadoop.fs.Path(found.shared_path)
+    assert not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
