@@ -25,7 +25,7 @@ from papervein.config import Config, TokenPattern, TokenTest
 from papervein.functions import text as tx
 from papervein.operators.abbreviations import Bounds, sentence_parts
 from papervein.operators.checkpoints import cut_lineage
-from papervein.operators.joins import BROADCAST_BYTES, fits_broadcast
+from papervein.operators.joins import BROADCAST_BYTES, fits_broadcast, literal_table, sized
 
 ENTITY_COLUMNS = (
     "doc_id", "entity_text", "label", "scope_tag", "context", "start_char", "end_char",
@@ -206,9 +206,11 @@ def candidates(
 
     A lexicon is matched in two steps: a token that begins a phrase opens one candidate for
     each length of such phrases, and the candidate's whole token sequence is then looked up.
-    So a first word that many phrases share costs no more than one that few do.  A lexicon
-    beyond ``max_broadcast_bytes`` is joined by shuffling the candidates; if its first words
-    alone exceed that, too, the tokens that pass the bitmap of first words are shuffled.
+    So a first word that many phrases share costs no more than one that few do.  Phrases of a
+    lexicon beyond ``max_broadcast_bytes`` are found where the text is read, by
+    :func:`_found_where_read`; neither tokens nor spans are shuffled.  Only a lexicon that has
+    phrases of more than ``MAX_KINDS`` labels and lengths is joined by shuffling the candidates
+    or, if its first words alone exceed the bound, the tokens that pass the bitmap of them.
     """
     if lexicon is None and not cfg.patterns:
         raise ValueError("neither patterns nor a lexicon to match")
@@ -218,16 +220,21 @@ def candidates(
     if lexicon is not None:
         phrases = lexicon_phrases(lexicon)
         some = phrases.select("first_token").distinct().limit(MAX_FIRST_WORDS + 1).collect()
-        if len(some) > MAX_FIRST_WORDS:
+        whole = len(some) <= MAX_FIRST_WORDS and fits_broadcast(phrases, max_broadcast_bytes)
+        if not whole:
             # Read several times below; what the lexicon is made from is not.
             phrases = cut_lineage(phrases)
+            whole = fits_broadcast(phrases, max_broadcast_bytes)
+        kinds = [] if whole else _kinds(phrases)
+        if kinds and len(kinds) <= MAX_KINDS:
+            return _found_where_read(parts, cfg, phrases, kinds, max_broadcast_bytes)
         length = F.struct(F.lit(None).cast("string").alias("label"), F.col("phrase_tokens").alias("n_tokens"))
         firsts = phrases.groupBy("first_token").agg(F.collect_set(length).alias("phrase_spans"))
         if len(some) <= MAX_FIRST_WORDS:
             first_words = [row[0] for row in some]
         else:
             bitmap = first_word_bitmap(firsts, firsts.count())
-        if fits_broadcast(phrases, max_broadcast_bytes):
+        if whole:
             phrases, firsts = F.broadcast(phrases), F.broadcast(firsts)
         elif fits_broadcast(firsts.select("first_token", F.to_json("phrase_spans")), max_broadcast_bytes):
             firsts = F.broadcast(firsts)
@@ -308,6 +315,140 @@ def _looked_up(spans: DataFrame, phrases: DataFrame | None) -> DataFrame:
     return joined.withColumn("label", label).where(F.col("label").isNotNull()).select(*SPAN_COLUMNS)
 
 
+# ---- lexicons beyond the broadcast bound ---------------------------------------
+
+# Most labels and lengths of phrases that are told apart by bits, and most words of 64 bits in the
+# table of first tokens (16 MB) and in that of phrases (32 MB).  Beyond that more spans pass the
+# tables and are looked up by a join; the rows found are the same.
+MAX_KINDS, MAX_FIRST_SLOTS, MAX_PHRASE_WORDS = 256, 1 << 21, 1 << 22
+# Words of a table that one task puts in order.
+RUN = 1 << 12
+_HITS = "array<struct<label: string, n_tokens: int, kind: int>>"
+
+
+def _kinds(phrases: DataFrame) -> list[tuple[str, int]]:
+    """The labels and lengths of phrases, ``MAX_KINDS`` and one more at most."""
+    labelled = phrases.where(F.col("phrase_label").isNotNull())
+    found = labelled.select("phrase_label", "phrase_tokens").distinct().limit(MAX_KINDS + 1).collect()
+    return sorted(tuple(row) for row in found)
+
+
+def _power(least: int, most: int) -> int:
+    return min(most, 1 << max(0, math.ceil(math.log2(max(1, least)))))
+
+
+def _dense(words: DataFrame, size: int) -> Column:
+    """``(id, word)`` as an array of ``size`` words, zero where there is none: a scalar of the plan."""
+    every = words.sparkSession.range(size).join(words, "id", "left")
+    word = F.struct("id", F.coalesce("word", F.lit(0).cast("long")).alias("word"))
+    runs = every.groupBy(F.floor(F.col("id") / RUN).alias("run")).agg(F.sort_array(F.collect_list(word)).alias("_all"))
+    whole = runs.agg(F.sort_array(F.collect_list(F.struct("run", F.col("_all.word").alias("words")))).alias("_all"))
+    return cut_lineage(whole.select(F.flatten("_all.words").alias("words"))).scalar()
+
+
+def _bit(position: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), position.cast("int"))
+
+
+def _four_bits(code: Column) -> Column:
+    """Four bits of a word that the upper 24 bits of a code choose."""
+    return reduce(Column.bitwiseOR, [_bit(F.shiftrightunsigned(code, at).bitwiseAND(F.lit(63))) for at in (40, 46, 52, 58)])
+
+
+def _low(code: Column, size: int) -> Column:
+    return code.bitwiseAND(F.lit(size - 1).cast("long"))
+
+
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Generated columns: what is made of them does not compute them again."""
+    return df.select("*", F.inline(F.array(F.struct(*[column.alias(name) for name, column in columns.items()]))))
+
+
+def _phrase_code(sequence_hash: Column, kind: Column) -> Column:
+    """64 bits that stand for a token sequence with a label and a length."""
+    return F.xxhash64(sequence_hash, kind)
+
+
+def _pair_code(pair_hash: Column, kind: Column) -> Column:
+    """64 bits that stand for the first two tokens of longer phrases with a label and a length."""
+    return F.xxhash64(pair_hash, F.lit(-1) - kind)
+
+
+def _found_where_read(
+    parts: DataFrame, cfg: Config, phrases: DataFrame, kinds: list[tuple[str, int]], max_broadcast_bytes: int
+) -> DataFrame:
+    """Spans of patterns and phrases, found inside the scan's stage whatever the size of the lexicon.
+
+    Two tables of bits are scalars of the plan.  The first has, for a token's hash, the kinds
+    (label and length) of the phrases that it begins; the second tells a phrase, and the first
+    two tokens of longer ones, by four bits of one word.  A first reading of the texts collects
+    the 64-bit codes of what passes both; those that no phrase has are left out of the second
+    reading by a broadcast.  So only codes, once a task, are shuffled here, and spans are exact
+    up to 64-bit codes of token sequences.
+    """
+    spark = phrases.sparkSession
+    table = literal_table(spark, "phrase_label STRING,phrase_tokens INT,kind INT", [(*kind, i) for i, kind in enumerate(kinds)])
+    kind = F.col("kind")
+    coded = phrases.join(F.broadcast(table), ["phrase_label", "phrase_tokens"]).select(
+        F.xxhash64("first_token").alias("_first"), "kind", _phrase_code(F.xxhash64("phrase"), kind).alias("_code"),
+        F.when(F.col("phrase_tokens") > 2, _pair_code(F.xxhash64(F.get("phrase", F.lit(0)), F.get("phrase", F.lit(1))), kind)).alias("_pair"),
+    )
+    sizes = coded.agg(F.approx_count_distinct("_first"), F.count("_code"), F.count("_pair")).first()
+    slots, words = _power(2 * sizes[0], MAX_FIRST_SLOTS), _power((sizes[1] + sizes[2]) // 4, MAX_PHRASE_WORDS)
+    last = F.lit(63)
+    kinds_of = coded.groupBy(_low(F.col("_first"), slots).alias("id")).agg(F.bit_or(_bit(F.least(kind, last))).alias("word"))
+    codes = coded.select(F.explode(F.array("_code", "_pair")).alias("_code")).where(F.col("_code").isNotNull())
+    four_of = codes.groupBy(_low(F.col("_code"), words).alias("id")).agg(F.bit_or(_four_bits(F.col("_code"))).alias("word"))
+    first_table, phrase_table = _dense(kinds_of, slots), _dense(four_of, words)
+
+    def known(code: Column) -> Column:
+        four = _four_bits(code)
+        return F.get(phrase_table, _low(code, words).cast("int")).bitwiseAND(four) == four
+
+    pos, count = F.col("pos"), F.col("_hit.n_tokens")
+    opened = F.array(*[
+        F.struct(F.lit(label).alias("label"), F.lit(n).alias("n_tokens"), F.lit(i).alias("kind")) for i, (label, n) in enumerate(kinds)
+    ])
+    begins = F.col("_kinds") != 0
+    cut = _once(_once(parts, pieces=_pieces()), _tokens=F.transform("pieces", lambda piece: F.rtrim(piece)))
+    placed = cut.select("*", F.posexplode_outer("_tokens").alias("pos", "token"))
+    rows = _once(placed, _kinds=F.get(first_table, _low(F.xxhash64("token"), slots).cast("int")))
+    if cfg.patterns:
+        matched = F.array(*[
+            F.when(_matches_at(p, pos), F.struct(F.lit(p.label).alias("label"), F.lit(p.n_tokens).alias("n_tokens"), F.lit(-1).alias("kind")))
+            for p in cfg.patterns
+        ])
+        may_start = _may_start(F.col("token"), cfg.patterns)
+        begins, opened = begins | may_start, F.concat(F.when(may_start, matched).otherwise(F.array().cast(_HITS)), opened)
+    paired = _once(rows.where(F.col("token").isNotNull() & begins), _two=F.xxhash64("token", F.get("_tokens", pos + 1)))
+    hits = paired.withColumn("_hit", F.explode_outer(opened)).where(F.col("_hit").isNotNull())
+    own, lexical = F.col("_hit.kind"), F.col("_hit.kind") >= 0
+    # Near the end of a sentence fewer tokens may be left than a phrase of that length has.
+    hits = hits.where(pos + count <= F.size("pieces")).where(~lexical | (F.getbit("_kinds", F.least(own, last)) == 1))
+    sequence = F.xxhash64(F.slice("_tokens", pos + 1, count))
+    hits = _once(hits, _tested=(
+        F.when(count == 1, _phrase_code(F.xxhash64("token"), own)).when(count == 2, _phrase_code(F.col("_two"), own))
+        .otherwise(_pair_code(F.col("_two"), own))
+    )).where(~lexical | known(F.col("_tested")))
+    hits = _once(hits, _code=F.when(lexical, F.when(count > 2, _phrase_code(sequence, own)).otherwise(F.col("_tested"))))
+    hits = hits.where(~lexical | (count <= 2) | known(F.col("_code")))
+    unlike = cut_lineage(
+        hits.where(lexical).select("_code").distinct().join(coded.select("_code"), "_code", "left_anti")
+    )
+    keys = ["_code"]
+    if cfg.patterns:
+        # Spans of patterns are like none; a code of their document keeps them apart if the join is shuffled.
+        hits = hits.withColumn("_lexical", lexical).withColumn("_code", F.coalesce("_code", F.xxhash64("doc_id")))
+        unlike, keys = unlike.withColumn("_lexical", F.lit(True)), ["_code", "_lexical"]
+    kept = hits.join(sized(unlike, max_broadcast_bytes), keys, "left_anti")
+    before = F.array_join(F.slice("pieces", F.lit(1), pos), "")
+    return kept.select(
+        "doc_id", "sent_id", "sentence", F.col("_hit.label").alias("label"), count.alias("n_tokens"),
+        (F.col("sent_start") + F.length(before)).alias("start_char"),
+        F.rtrim(F.array_join(F.slice("pieces", pos + 1, count), "")).alias("entity_text"),
+    ).withColumn("end_char", F.col("start_char") + F.length("entity_text")).select(*SPAN_COLUMNS)
+
+
 def resolved_sentences(spans: DataFrame) -> DataFrame:
     """One row per sentence with its surviving spans.
 
