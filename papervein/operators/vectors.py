@@ -12,11 +12,16 @@ number of components asked for and a few more.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from papervein.operators.checkpoints import cut_lineage
 from papervein.operators.joins import sized
@@ -30,22 +35,117 @@ def term_index(term: Column, dims: int = DIMS) -> Column:
     return F.conv(F.substring(F.md5(F.encode(term, "UTF-8")), 1, 8), 16, 10).cast("long") % dims
 
 
-def unit_weights(units: DataFrame, dims: int = DIMS) -> DataFrame:
-    """``(unit_id, index, weight)``: TF-IDF weights of unit length; zero weights are left out.
+# Beyond so many dimensions their inverse frequencies are joined and not sent to the tasks (32 MB).
+MAX_SENT_DIMS = 1 << 22
+# Units are weighed in slices of about this many words, so that work arrays stay small.
+SLICE_WORDS = 1 << 20
 
-    idf = ln((n + 1) / (f + 1)) with n units, f of them with the dimension.  A unit without
-    words, or whose words are in all units, has no rows.
-    """
-    terms = units.select("unit_id", F.explode_outer(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("_term"))
+
+def _terms() -> Column:
+    return F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))
+
+
+def _term_rows(units: DataFrame, dims: int) -> DataFrame:
+    """``(unit_id, index, _tf)`` by a shuffle of the words, so rows that share an id are one unit."""
+    terms = units.select("unit_id", F.explode_outer(_terms()).alias("_term"))
     indexed = terms.where(F.col("_term").isNotNull()).select("unit_id", term_index(F.col("_term"), dims).alias("index"))
-    counted = cut_lineage(indexed.groupBy("unit_id", "index").agg(F.count(F.lit(1)).alias("_tf")))
-    n = units.select("unit_id").count()
-    idf = counted.groupBy("index").agg(F.log(F.lit(n + 1.0) / (F.count(F.lit(1)) + 1)).alias("_idf"))
+    return cut_lineage(indexed.groupBy("unit_id", "index").agg(F.count(F.lit(1)).alias("_tf")))
+
+
+def _weighed_rows(counted: DataFrame, idf: DataFrame) -> DataFrame:
     raw = counted.join(sized(idf), "index").select("unit_id", "index", (F.col("_tf") * F.col("_idf")).alias("_raw"))
     length = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy("unit_id")))
     return raw.where(F.col("_raw") != 0).select("unit_id", "index", (F.col("_raw") / length).alias("weight"))
 
 
+def _places(words: pa.ListArray, dims: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, row, dimension, count) of slices of rows; a term is hashed once a slice."""
+    offsets, start = words.offsets.to_numpy(), 0
+    while start < len(words):
+        end = int(np.searchsorted(offsets, offsets[start] + SLICE_WORDS, side="right")) - 1
+        end = min(len(words), max(start + 1, end))
+        own = offsets[start : end + 1]
+        flat = words.values.slice(own[0], own[-1] - own[0]).dictionary_encode()
+        terms = flat.dictionary.cast(pa.binary()).to_pylist()
+        index = np.array([int.from_bytes(hashlib.md5(term).digest()[:4], "big") % dims for term in terms], np.int64)
+        row = np.repeat(np.arange(end - start), np.diff(own))
+        codes, count = np.unique(row * dims + index[flat.indices.to_numpy()], return_counts=True)
+        yield start, codes // dims, codes % dims, count
+        start = end
+
+
+def _with_terms(units: DataFrame) -> DataFrame:
+    return units.select("unit_id", F.coalesce(_terms(), F.array().cast("array<string>")).alias("_terms"))
+
+
+def _unit_counts(units: DataFrame, dims: int) -> DataFrame:
+    """``(index, _f)``: units with a dimension, each row a unit; summed where the text is read."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, index, _ in _places(batch.column(1), dims):
+                at, f = np.unique(index, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(f.astype(np.int64))], names=["index", "_f"])
+
+    found = _with_terms(units).mapInArrow(counted, "index LONG, _f LONG")
+    return found.groupBy("index").agg(F.sum("_f").alias("_f"))
+
+
+def _weighed_units(units: DataFrame, idf: DataFrame, dims: int) -> DataFrame:
+    """Weights of units, each row a unit, made where the text is read: nothing is shuffled."""
+    rows = idf.toArrow()
+    table = np.zeros(dims)
+    table[rows.column("index").to_numpy()] = rows.column("_idf").to_numpy()
+    sent = units.sparkSession.sparkContext.broadcast(table)
+
+    def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, row, index, count in _places(batch.column(1), dims):
+                raw = count * sent.value[index]
+                length = np.sqrt(np.bincount(row, raw * raw))
+                kept = np.flatnonzero(raw)
+                row, index, raw = row[kept], index[kept], raw[kept]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(row + start)), pa.array(index), pa.array(raw / length[row])],
+                    names=["unit_id", "index", "weight"],
+                )
+
+    schema = StructType([units.schema["unit_id"], StructField("index", LongType()), StructField("weight", DoubleType())])
+    return _with_terms(units).mapInArrow(weighed, schema)
+
+
+def unit_weights(units: DataFrame, dims: int = DIMS) -> DataFrame:
+    """``(unit_id, index, weight)``: TF-IDF weights of unit length; zero weights are left out.
+
+    idf = ln((n + 1) / (f + 1)) with n units, f of them with the dimension.  A unit without
+    words, or whose words are in all units, has no rows.  Units are weighed where their text is
+    read; only the words of rows that share an id meet by a shuffle.
+    """
+    grouped = units.groupBy("unit_id").agg(F.count(F.lit(1)).alias("_rows"))
+    numbers = Observation()
+    shared = cut_lineage(
+        grouped.observe(numbers, F.sum("_rows").alias("n")).where("_rows > 1").select(F.col("unit_id").alias("_shared"))
+    )
+    n = numbers.get["n"] or 0
+    together = sized(shared)
+    same = F.col("unit_id").eqNullSafe(F.col("_shared"))
+    single, several = units, None
+    if dims > MAX_SENT_DIMS:
+        single, several = None, units
+    elif not shared.isEmpty():
+        single, several = units.join(together, same, "left_anti"), units.join(together, same, "left_semi")
+    rows = None if several is None else _term_rows(several, dims)
+    counts = [] if single is None else [_unit_counts(single, dims)]
+    if rows is not None:
+        counts.append(rows.groupBy("index").agg(F.count(F.lit(1)).alias("_f")))
+    summed = reduce(DataFrame.union, counts).groupBy("index").agg(F.sum("_f").alias("_f"))
+    idf = cut_lineage(summed.select("index", F.log(F.lit(n + 1.0) / (F.col("_f") + 1)).alias("_idf")))
+    weights = [] if single is None else [_weighed_units(single, idf, dims)]
+    if rows is not None:
+        weights.append(_weighed_rows(rows, idf))
+    return reduce(DataFrame.union, weights)
+
+
 @dataclass(frozen=True)
 class Decomposition:
     """Singular values, largest first; ``components (index, v)`` and ``reduced (unit_id, reduced)``.
