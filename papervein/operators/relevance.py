@@ -79,10 +79,17 @@ def term_table(terms: DataFrame) -> DataFrame:
 
 
 def _parts(listed: DataFrame, max_broadcast_bytes: int) -> list[DataFrame]:
-    """A term table in parts of about ``max_broadcast_bytes``; none of an empty one."""
+    """A term table in parts of about ``max_broadcast_bytes``; none of an empty one.
+
+    The parts are ranges of the sorted list, so that a place of a text is searched in the one
+    or few parts that its first bytes lie in, and only compared with the bounds of the others.
+    """
     size = listed.agg(F.sum(F.octet_length("term") + F.lit(TERM_BYTES)).alias("bytes")).first()["bytes"]
     parts = -(-(size or 0) // max_broadcast_bytes)
-    return [listed.where(F.pmod(F.xxhash64("term"), F.lit(parts)) == part) for part in range(parts)]
+    if parts < 2:
+        return [listed] * parts
+    ranged = cut_lineage(listed.repartitionByRange(parts, "term").withColumn("_part", F.spark_partition_id()))
+    return [ranged.where(F.col("_part") == part).drop("_part") for part in range(parts)]
 
 
 def _sent(part: DataFrame) -> Broadcast:
