@@ -15,7 +15,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +51,16 @@ def _term_rows(units: DataFrame, dims: int) -> DataFrame:
     return cut_lineage(indexed.groupBy("unit_id", "index").agg(F.count(F.lit(1)).alias("_tf")))
 
 
+def _unit_frequencies(counted: DataFrame) -> DataFrame:
+    return counted.groupBy("index").agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _idf(frequencies: DataFrame, n: int) -> DataFrame:
+    """``(index, _idf)`` of ``(index, _n)``, whose counts are summed, among n units."""
+    summed = frequencies.groupBy("index").agg(F.sum("_n").alias("_n"))
+    return cut_lineage(summed.select("index", F.log(F.lit(n + 1.0) / (F.col("_n") + 1)).alias("_idf")))
+
+
 def _weighed_rows(counted: DataFrame, idf: DataFrame) -> DataFrame:
     raw = counted.join(sized(idf), "index").select("unit_id", "index", (F.col("_tf") * F.col("_idf")).alias("_raw"))
     length = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy("unit_id")))
@@ -79,16 +88,25 @@ def _with_terms(units: DataFrame) -> DataFrame:
 
 
 def _unit_counts(units: DataFrame, dims: int) -> DataFrame:
-    """``(index, _f)``: units with a dimension, each row a unit; summed where the text is read."""
+    """``(unit_id, index, _n)``: rows of each id, without index, and units with each dimension, without id.
+
+    Each row is taken as a unit; dimensions are summed where the text is read.
+    """
+    schema = StructType([units.schema["unit_id"], StructField("index", LongType()), StructField("_n", LongType())])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            ids = batch.column(0)
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.nulls(len(ids), pa.int64()), pa.array(np.ones(len(ids), np.int64))], names=["unit_id", "index", "_n"]
+            )
             for _, _, index, _ in _places(batch.column(1), dims):
-                at, f = np.unique(index, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(f.astype(np.int64))], names=["index", "_f"])
+                at, n = np.unique(index, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.nulls(len(at), ids.type), pa.array(at), pa.array(n.astype(np.int64))], names=["unit_id", "index", "_n"]
+                )
 
-    found = _with_terms(units).mapInArrow(counted, "index LONG, _f LONG")
-    return found.groupBy("index").agg(F.sum("_f").alias("_f"))
+    return _with_terms(units).mapInArrow(counted, schema).groupBy("unit_id", "index").agg(F.sum("_n").alias("_n"))
 
 
 def _weighed_units(units: DataFrame, idf: DataFrame, dims: int) -> DataFrame:
@@ -121,29 +139,24 @@ def unit_weights(units: DataFrame, dims: int = DIMS) -> DataFrame:
     words, or whose words are in all units, has no rows.  Units are weighed where their text is
     read; only the words of rows that share an id meet by a shuffle.
     """
-    grouped = units.groupBy("unit_id").agg(F.count(F.lit(1)).alias("_rows"))
+    if dims > MAX_SENT_DIMS:
+        rows = _term_rows(units, dims)
+        return _weighed_rows(rows, _idf(_unit_frequencies(rows), units.select("unit_id").count()))
     numbers = Observation()
-    shared = cut_lineage(
-        grouped.observe(numbers, F.sum("_rows").alias("n")).where("_rows > 1").select(F.col("unit_id").alias("_shared"))
-    )
+    counted = _unit_counts(units, dims).observe(numbers, F.sum(F.when(F.col("index").isNull(), F.col("_n"))).alias("n"))
+    # Of the ids only those of several rows are kept.
+    counted = cut_lineage(counted.where(F.col("index").isNotNull() | (F.col("_n") > 1)))
     n = numbers.get["n"] or 0
-    together = sized(shared)
-    same = F.col("unit_id").eqNullSafe(F.col("_shared"))
-    single, several = units, None
-    if dims > MAX_SENT_DIMS:
-        single, several = None, units
-    elif not shared.isEmpty():
-        single, several = units.join(together, same, "left_anti"), units.join(together, same, "left_semi")
-    rows = None if several is None else _term_rows(several, dims)
-    counts = [] if single is None else [_unit_counts(single, dims)]
-    if rows is not None:
-        counts.append(rows.groupBy("index").agg(F.count(F.lit(1)).alias("_f")))
-    summed = reduce(DataFrame.union, counts).groupBy("index").agg(F.sum("_f").alias("_f"))
-    idf = cut_lineage(summed.select("index", F.log(F.lit(n + 1.0) / (F.col("_f") + 1)).alias("_idf")))
-    weights = [] if single is None else [_weighed_units(single, idf, dims)]
-    if rows is not None:
-        weights.append(_weighed_rows(rows, idf))
-    return reduce(DataFrame.union, weights)
+    found = counted.where(F.col("index").isNotNull()).select("index", "_n")
+    shared = counted.where(F.col("index").isNull()).select(F.col("unit_id").alias("_shared"))
+    if shared.isEmpty():
+        return _weighed_units(units, _idf(found, n), dims)
+    together, same = sized(shared), F.col("unit_id").eqNullSafe(F.col("_shared"))
+    single, several = units.join(together, same, "left_anti"), units.join(together, same, "left_semi")
+    rows = _term_rows(several, dims)
+    found = _unit_counts(single, dims).where(F.col("index").isNotNull()).select("index", "_n")
+    idf = _idf(found.union(_unit_frequencies(rows)), n)
+    return _weighed_units(single, idf, dims).union(_weighed_rows(rows, idf))
 
 
 @dataclass(frozen=True)
